@@ -6,7 +6,7 @@ from tradelane import dims
 from tradelane.functions.weather import _BANDS
 
 from .oracle import (ALERT, B, BADGE, CONC, CONGEST, CORR, FIRST_WORD, HS_CASE, NOTE, PRIORITY,
-                     ROUTE_CASE, SENS_CASE, SPEED, T, TS, WHOLE, bf_name, case, counts, current, q,
+                     ROUTE_CASE, SENS_CASE, SPEED, T, TABLES, TS, WHOLE, bf_name, case, counts, current, q,
                      r, usd, yoy)
 
 D = "CAST({} AS VARCHAR)"
@@ -38,7 +38,7 @@ def stats(columns) -> str:
 
 
 def hist(source: str, column: str, bins: int) -> str:
-    return f"""SELECT bin, {r(f'lo + bin * (hi - lo) / {bins}', 6)} AS bin_start,
+    return f"""SELECT bin, {r(f'lo + bin * ((hi - lo) / {bins})', 6)} AS bin_start,
       coalesce(n, 0) AS count
     FROM range({bins}) g(bin), (SELECT min({column}) AS lo, max({column}) AS hi FROM {source})
     LEFT JOIN (SELECT least(CAST(floor(({column} - lo) / ((hi - lo) / {bins})) AS BIGINT), {bins - 1})
@@ -99,6 +99,8 @@ BALANCE = (f"coalesce({usd(chr(39).join(['CASE WHEN flow_direction = ', 'Export'
            f" - coalesce({usd(chr(39).join(['CASE WHEN flow_direction = ', 'Import', ' THEN trade_value_usd END']))}, 0)")
 EXP = f"coalesce({usd(chr(39).join(['CASE WHEN flow_direction = ', 'Export', ' THEN trade_value_usd END']))}, 0)"
 IMP = f"coalesce({usd(chr(39).join(['CASE WHEN flow_direction = ', 'Import', ' THEN trade_value_usd END']))}, 0)"
+TABLES["by_country"] = f"""SELECT reporter_country, {r(f'({BALANCE}) / {T}', 4)} AS "balance_T"
+  FROM trade_flows GROUP BY 1"""
 BALANCE_VIEW = f"""SELECT reporter_country, reporter_iso, hs_code, commodity_name AS commodity, year,
   {r(f'{EXP} / {B}', 2)} AS "exports_B", {r(f'{IMP} / {B}', 2)} AS "imports_B",
   {r(f'({BALANCE}) / {B}', 2)} AS balance,
@@ -545,9 +547,8 @@ QUERIES = {
     "dash_top_exporters": f"""SELECT reporter_country, {r(f'v / {T}', 4)} AS "val_T" FROM (
       SELECT reporter_country, {usd('trade_value_usd')} AS v FROM exports GROUP BY 1)
       ORDER BY v DESC, reporter_country LIMIT 15""",
-    "dash_balance_extremes": f"""WITH by_country AS (SELECT reporter_country,
-        {r(f'({BALANCE}) / {T}', 4)} AS "balance_T" FROM trade_flows GROUP BY 1)
-      (SELECT *, 'top' AS side FROM by_country ORDER BY "balance_T" DESC, reporter_country LIMIT 8)
+    "dash_balance_extremes": """(SELECT *, 'top' AS side FROM by_country
+        ORDER BY "balance_T" DESC, reporter_country LIMIT 8)
       UNION ALL (SELECT *, 'bottom' FROM by_country ORDER BY "balance_T", reporter_country LIMIT 8)""",
     "dash_trade_by_year": f"""SELECT year, hs_code, commodity_name,
       {r(usd('trade_value_usd') + ' / ' + B, 2)} AS "val_B" FROM trade_flows GROUP BY ALL""",

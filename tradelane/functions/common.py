@@ -29,10 +29,20 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(_SPACE))
 
 
+def round_half_up(value: Column | str, digits: int) -> Column:
+    """Round on the decimal form of a double, half away from zero.
+
+    Rounding the binary value directly would send ``x.xx5`` up or down depending on
+    how it was computed; nine decimals absorb that.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column.cast("decimal(38,9)"), digits).cast("double")
+
+
 def safe_ratio(a: Column, b: Column, digits: int | None = None) -> Column:
     """``a / b`` where ``b`` is above zero, else null."""
     ratio = F.when(b > 0, F.try_divide(a, b))
-    return ratio if digits is None else F.round(ratio, digits)
+    return ratio if digits is None else round_half_up(ratio, digits)
 
 
 def pct_change(new: Column, old: Column) -> Column:

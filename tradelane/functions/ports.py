@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import ladder
+from .common import ladder, round_half_up
 
 # Alert text by priority 1..5.
 PORT_ALERTS = ["🔴 CRITICAL — High-value port at risk", "🟠 HIGH — Major port at risk",
@@ -64,7 +64,7 @@ def traffic_gap_pct(current: Column, baseline: Column) -> Column:
 
 def route_impact(traffic_gap: Column, speed_gap: Column, fuel_pressure: Column, news_risk: Column,
                  cap: bool = False) -> Column:
-    score = F.round(F.greatest(F.lit(0.0), traffic_gap * -0.4)
+    score = round_half_up(F.greatest(F.lit(0.0), traffic_gap * -0.4)
                     + F.greatest(F.lit(0.0), speed_gap * -5.0)
                     + fuel_pressure * 0.3 + news_risk * 0.3, 1)
     return F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)) if cap else score

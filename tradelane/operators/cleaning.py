@@ -172,7 +172,7 @@ def tag_source(df: DataFrame, source: str, data_type: str, granularity: str,
 
 def scale_unit(df: DataFrame, source: str = "trade_value_usd", out: str = "trade_value_trillion",
                unit: float = 1e12, digits: int = 4) -> DataFrame:
-    return df.withColumn(out, F.round(F.col(source) / F.lit(unit), digits))
+    return df.withColumn(out, common.round_half_up(F.col(source) / F.lit(unit), digits))
 
 
 def map_code(df: DataFrame, column: str, names: Mapping[int, str], default: str,
@@ -189,7 +189,7 @@ def clean_trade(raw: DataFrame, order: Sequence[Column]) -> DataFrame:
     df = rename_columns(drop_columns(raw))
     df = fill_constant(drop_null_required(df, ["trade_value_usd"]))
     df = coerce_numeric(df, {"year": "int", "hs_code": "int", "trade_value_usd": "double"})
-    df = df.withColumn("trade_value_usd", F.round("trade_value_usd", 2))
+    df = df.withColumn("trade_value_usd", common.round_half_up("trade_value_usd", 2))
     df = dedupe_first(standardize_text(df), _present(df, TRADE_KEY), order)
     df = df.withColumn("value_per_kg", common.safe_ratio(
         F.col("trade_value_usd"), F.col("net_weight_kg"), 4))

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import round_half_up
+
 
 def validate(df: DataFrame, rules: Mapping[str, Column],
              unique: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
@@ -32,7 +34,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c)
                                                   for c in names])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls"),
-                     F.round(F.try_divide(F.col(c), F.col("_rows")) * 100, 1).alias("null_pct"))
+                     round_half_up(F.try_divide(F.col(c), F.col("_rows")) * 100, 1).alias("null_pct"))
             for c in names]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -118,7 +120,7 @@ def describe_stats(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Da
         ("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("lo", F.min), ("hi", F.max))])
 
     def rounded(value: Column, name: str) -> Column:
-        return F.round(value.cast("double"), digits).alias(name)
+        return round_half_up(value.cast("double"), digits).alias(name)
 
     rows = [F.struct(
         F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("count"),
@@ -146,7 +148,7 @@ def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
         F.count_if("is_outlier").alias("outliers"), listed("year").alias("years"),
         F.count_distinct("reporter_iso").alias("reporters"), listed("hs_code").alias("hs_codes"),
         F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-        F.round(F.avg(value), 2).alias("mean_value"),
+        round_half_up(F.avg(value), 2).alias("mean_value"),
     ).select(was["rows"].alias("rows_before"), was["nulls"].alias("nulls_before"), "*",
              (was["rows"] - F.col("rows_after")).alias("rows_removed"),
-             F.round(F.lit(median).cast("double"), 2).alias("median_value"))
+             round_half_up(F.lit(median).cast("double"), 2).alias("median_value"))

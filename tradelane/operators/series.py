@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import market
-from ..functions.common import pct_change
+from ..functions.common import pct_change, round_half_up
 from .cleaning import date_parts
 from .trade import flag_outlier_global
 
@@ -26,14 +26,14 @@ def rolling_mean(value: Column, order: str, n: int, min_rows: int = 1,
                  digits: int = 2) -> Column:
     """Mean of the last ``n`` rows, null below ``min_rows`` values."""
     w = _last_rows(order, n)
-    mean = F.round(F.avg(value).over(w), digits)
+    mean = round_half_up(F.avg(value).over(w), digits)
     return mean if min_rows <= 1 else F.when(F.count(value).over(w) >= min_rows, mean)
 
 
 def enrich_index(df: DataFrame, date: str = "date", value: str = "bdi_value") -> DataFrame:
     """Changes, rolling means, flags and date parts of a daily index (one row per date)."""
     v = F.col(value)
-    change = F.round(pct_change(v, F.lag(v).over(Window.orderBy(date))), 4)
+    change = round_half_up(pct_change(v, F.lag(v).over(Window.orderBy(date))), 4)
     df = df.withColumns({
         "daily_change_pct": change,
         "rolling_7d_avg": rolling_mean(v, date, 7),
@@ -57,11 +57,11 @@ def enrich_fuel(df: DataFrame, date: str = "date",
         "brent_7d_avg": rolling_mean(v, date, 7),
         "brent_30d_avg": rolling_mean(v, date, 30, min_rows=5),
     })
-    pressure = F.round(pct_change(v, F.col("brent_30d_avg")), 2)
+    pressure = round_half_up(pct_change(v, F.col("brent_30d_avg")), 2)
     df = df.withColumn("fuel_pressure_score", F.coalesce(pressure, F.lit(0.0)))
     df = df.withColumns({
         "fuel_signal": market.fuel_signal(F.col("fuel_pressure_score")),
-        "vlsfo_est_usd_per_mt": F.round(v * 7.1, 2),
+        "vlsfo_est_usd_per_mt": round_half_up(v * 7.1, 2),
     })
     return date_parts(df, date, ("year", "month", "weekday"))
 

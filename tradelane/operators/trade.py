@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import money_sum, pct_change
+from ..functions.common import money_sum, pct_change, round_half_up
 
 
 def flag_outlier_grouped(df: DataFrame, group: str = "hs_code", value: str = "trade_value_usd",
@@ -39,7 +39,7 @@ def trade_balance(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(money_sum(F.when(flow == "Export", value)), F.lit(0.0)).alias("export_usd"),
         F.coalesce(money_sum(F.when(flow == "Import", value)), F.lit(0.0)).alias("import_usd"))
     return sums.withColumn("trade_balance_usd",
-                           F.round(F.col("export_usd") - F.col("import_usd"), 2))
+                           round_half_up(F.col("export_usd") - F.col("import_usd"), 2))
 
 
 def add_trade_balance(df: DataFrame, keys: Sequence[str] = ("reporter_iso", "partner_iso",
@@ -59,7 +59,7 @@ def yoy_growth(df: DataFrame, keys: Sequence[str] = ("reporter_iso", "partner_is
     order = [c for c in ("year", "hs_code") if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*order)
     value = F.col("trade_value_usd")
-    return df.withColumn(out, F.round(pct_change(value, F.lag(value).over(w)), 2))
+    return df.withColumn(out, round_half_up(pct_change(value, F.lag(value).over(w)), 2))
 
 
 def top_commodity_mode(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import market, ports, weather
-from ..functions.common import cents_sum, money_sum, pct_change, usd
+from ..functions.common import cents_sum, money_sum, pct_change, round_half_up, usd
 from ..operators.cleaning import dedupe_first, dedupe_latest
 from ..operators.series import rolling_mean
 
@@ -51,10 +51,10 @@ def latest_straits(straits: DataFrame, tiebreak: Sequence[str] = ()) -> DataFram
 
 def index_by_year(index: DataFrame) -> DataFrame:
     return index.groupBy("year").agg(
-        F.round(F.avg("bdi_value"), 2).alias("avg_bdi"),
+        round_half_up(F.avg("bdi_value"), 2).alias("avg_bdi"),
         F.max("bdi_value").alias("max_bdi"),
         F.min("bdi_value").alias("min_bdi"),
-        F.round(F.stddev_samp("bdi_value"), 2).alias("bdi_volatility"),
+        round_half_up(F.stddev_samp("bdi_value"), 2).alias("bdi_volatility"),
         F.count_if("is_spike").alias("spike_days"),
         F.count_if("is_drop").alias("drop_days"),
         F.count("bdi_value").alias("trading_days"),
@@ -74,13 +74,13 @@ def bdi_trade(index: DataFrame, trade: DataFrame, trillion: float = TRILLION,
         usd(F.sum("v")).alias("export_value_usd"),
         F.count_distinct("reporter_iso").alias("unique_countries"),
         F.count_distinct("hs_code").alias("commodity_count"),
-    ).withColumn("export_value_trillion", F.round(F.col("export_value_usd") / F.lit(trillion), 3))
+    ).withColumn("export_value_trillion", round_half_up(F.col("export_value_usd") / F.lit(trillion), 3))
     joined = index_by_year(index).join(by_year, "year", "inner").join(dominant, "year", "left")
 
     years = Window.orderBy("year")  # one row per year
 
     def yoy(name: str) -> Column:
-        return F.round(pct_change(F.col(name), F.lag(name).over(years)), 2)
+        return round_half_up(pct_change(F.col(name), F.lag(name).over(years)), 2)
 
     out = joined.withColumns({
         "dominant_commodity": market.commodity_name(F.col("dominant_hs")),
@@ -89,7 +89,7 @@ def bdi_trade(index: DataFrame, trade: DataFrame, trillion: float = TRILLION,
     }).withColumns({
         "correlation_signal": market.correlation_signal(F.col("bdi_yoy_pct"),
                                                         F.col("trade_yoy_pct")),
-        "freight_intensity": F.round(
+        "freight_intensity": round_half_up(
             F.try_divide(F.col("avg_bdi"), F.col("export_value_trillion") * 1000), 4),
     })
     return _stamp(out.orderBy("year"), run_date)
@@ -107,9 +107,9 @@ def country_totals(trade: DataFrame, billion: float = BILLION) -> DataFrame:
     unit = F.lit(billion)
     return sums.withColumn(
         "total_trade_usd", F.col("total_export_usd") + F.col("total_import_usd")).withColumns({
-            "export_B": F.round(F.col("total_export_usd") / unit, 2),
-            "import_B": F.round(F.col("total_import_usd") / unit, 2),
-            "total_B": F.round(F.col("total_trade_usd") / unit, 2),
+            "export_B": round_half_up(F.col("total_export_usd") / unit, 2),
+            "import_B": round_half_up(F.col("total_import_usd") / unit, 2),
+            "total_B": round_half_up(F.col("total_trade_usd") / unit, 2),
             "trade_position": market.trade_position(F.col("total_export_usd"),
                                                     F.col("total_import_usd")),
         })
@@ -143,10 +143,10 @@ def strait_monitor(straits: DataFrame, seaborne_trillion: float = 25,
                    tiebreak: Sequence[str] = (), run_date=None) -> DataFrame:
     """Latest reading per strait with the trade that depends on it."""
     out = latest_straits(straits, tiebreak)
-    out = out.withColumn("est_trade_through_B", F.round(
+    out = out.withColumn("est_trade_through_B", round_half_up(
         F.col("trade_pct_global") / 100 * F.lit(seaborne_trillion) * 1000, 0))
     out = out.withColumns({
-        "daily_trade_at_risk_B": F.round(F.col("est_trade_through_B") / 365, 1),
+        "daily_trade_at_risk_B": round_half_up(F.col("est_trade_through_B") / 365, 1),
         "reroute_note": weather.reroute_note(F.col("strait_name")),
         "combined_risk": weather.risk_badge(F.col("risk_level")),
     })
@@ -160,10 +160,10 @@ def commodity_bdi(index: DataFrame, trade: DataFrame, billion: float = BILLION,
         money_sum(F.col("trade_value_usd")).alias("trade_value_usd"))
     years = index_by_year(index).select("year", "avg_bdi", "bdi_volatility", "spike_days")
     cheapest = years.agg(F.min_by("year", F.struct("avg_bdi", "year"))).scalar()
-    out = by_code.withColumn("export_B", F.round(F.col("trade_value_usd") / F.lit(billion), 2))
+    out = by_code.withColumn("export_B", round_half_up(F.col("trade_value_usd") / F.lit(billion), 2))
     out = out.join(years, "year", "inner").withColumns({
         "commodity_name": market.commodity_name(F.col("hs_code")),
-        "freight_burden_index": F.round(F.col("avg_bdi") / (F.col("export_B") + 0.01), 4),
+        "freight_burden_index": round_half_up(F.col("avg_bdi") / (F.col("export_B") + 0.01), 4),
         "bdi_sensitivity": market.freight_sensitivity(F.col("hs_code")),
         "is_cheapest_freight_year": F.col("year") == cheapest,
     })
@@ -207,7 +207,7 @@ def net_exporter_risk(trade: DataFrame, weather_df: DataFrame,
     out = exports.join(imports, "reporter_iso", "full_outer").fillna(
         0.0, subset=["export_usd", "import_usd"])
     out = out.withColumns({
-        "trade_balance_B": F.round((F.col("export_usd") - F.col("import_usd")) / F.lit(billion), 2),
+        "trade_balance_B": round_half_up((F.col("export_usd") - F.col("import_usd")) / F.lit(billion), 2),
         "is_net_exporter": F.col("export_usd") > F.col("import_usd"),
     }).join(top, "reporter_iso", "left")
 
@@ -226,8 +226,8 @@ def seasonal_freight(index: DataFrame, run_date=None) -> DataFrame:
     """Index level per calendar month."""
     v = "bdi_value"
     monthly = index.groupBy("month").agg(
-        F.round(F.avg(v), 1).alias("avg_bdi"), F.round(F.min(v), 1).alias("min_bdi"),
-        F.round(F.max(v), 1).alias("max_bdi"), F.round(F.stddev_samp(v), 1).alias("std_bdi"),
+        round_half_up(F.avg(v), 1).alias("avg_bdi"), round_half_up(F.min(v), 1).alias("min_bdi"),
+        round_half_up(F.max(v), 1).alias("max_bdi"), round_half_up(F.stddev_samp(v), 1).alias("std_bdi"),
         F.count(v).alias("count_obs"))
     # twelve rows: an exact percentile is cheap here
     cuts = monthly.agg(F.percentile("avg_bdi", F.array(F.lit(0.33), F.lit(0.67)))).scalar()
@@ -255,13 +255,13 @@ def china_concentration(trade: DataFrame, weather_df: DataFrame, index: DataFram
     share = F.try_divide(F.col("china_export_usd"), F.col("world_export_usd")) * 100
     out = sums.withColumns({
         "commodity_name": market.commodity_name(F.col("hs_code")),
-        "china_share_pct": F.round(share, 1),
+        "china_share_pct": round_half_up(share, 1),
         "china_port_risk_today": wind["risk"],
         "china_max_beaufort": wind["bf"],
         "current_bdi": newest,
     }).withColumns({
         "supply_concentration": market.supply_concentration(F.col("china_share_pct")),
-        "disruption_exposure_B": F.round(
+        "disruption_exposure_B": round_half_up(
             F.col("china_export_usd") / F.lit(billion) * (F.col("china_max_beaufort") / 12), 2),
     })
     return _stamp(out, run_date)
@@ -274,7 +274,7 @@ def vessel_counts(vessels: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count_if(F.col("vessel_category") == "Tanker").alias("tanker_count"),
         F.count_if(F.col("vessel_category") == "Cargo").alias("cargo_count"),
         F.count_if("is_moving").alias("moving_count"),
-        F.round(F.avg("sog_knots"), 1).alias("avg_speed_knots"),
+        round_half_up(F.avg("sog_knots"), 1).alias("avg_speed_knots"),
     )
 
 
@@ -330,5 +330,5 @@ def strait_vessel_trend(vessels: DataFrame, run_date=None) -> DataFrame:
     """Daily traffic per strait over the whole history."""
     out = vessel_counts(vessels.where("is_strait"), ["fetch_date", "port_guess"])
     out = out.withColumnsRenamed({"port_guess": "strait_name", "vessels": "total_vessels"})
-    return _stamp(out.withColumn("pct_moving", F.round(
+    return _stamp(out.withColumn("pct_moving", round_half_up(
         F.col("moving_count") / F.greatest("total_vessels", F.lit(1)) * 100, 1)), run_date)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 
-from ..functions.common import ladder, money_sum, strip
+from ..functions.common import ladder, money_sum, round_half_up, strip
 from ..operators.cleaning import dedupe_first, dedupe_latest, latest_snapshot
 from ..operators.quality import exact_quantiles
 from .marts import BILLION, TRILLION
@@ -51,8 +51,8 @@ def vessel_snapshot(vessels: DataFrame, category: str | None = None,
         F.count_if(F.col("vessel_category") == "Tanker").alias("tankers"),
         F.count_if(F.col("vessel_category") == "Cargo").alias("cargo_ships"),
     ).withColumns({
-        "median_latitude": F.round(F.lit(mid[("latitude", 0.5)]).cast("double"), 6),
-        "median_longitude": F.round(F.lit(mid[("longitude", 0.5)]).cast("double"), 6),
+        "median_latitude": round_half_up(F.lit(mid[("latitude", 0.5)]).cast("double"), 6),
+        "median_longitude": round_half_up(F.lit(mid[("longitude", 0.5)]).cast("double"), 6),
     })
 
 
@@ -64,8 +64,8 @@ def fuel_delta(fuel: DataFrame, days: int = 90) -> DataFrame:
     first = last.agg(F.min_by(price, "date")).scalar()
     rows = last.agg(F.count("*")).scalar()
     return last.orderBy(F.desc("date")).limit(1).select(
-        "date", F.round(price, 2).alias("brent_price"), "fuel_signal",
-        F.round(F.col(price) - F.when(rows > 8, eighth).otherwise(first), 2).alias("delta_7d"))
+        "date", round_half_up(price, 2).alias("brent_price"), "fuel_signal",
+        round_half_up(F.col(price) - F.when(rows > 8, eighth).otherwise(first), 2).alias("delta_7d"))
 
 
 def news_top(news: DataFrame, n: int = 8) -> DataFrame:
@@ -100,12 +100,12 @@ def exec_kpis(index: DataFrame, signals: DataFrame, weather: DataFrame, straits:
     ships = latest_snapshot(vessels).agg(F.count_distinct("mmsi")).scalar()
     signal = signals.agg(F.max_by("market_signal", "date")).scalar()
     return base.select(
-        F.round("bdi", 0).alias("bdi"),
-        F.when(F.col("_days") > 6, F.round(F.col("bdi") - ago, 0)).otherwise(0.0)
+        round_half_up("bdi", 0).alias("bdi"),
+        F.when(F.col("_days") > 6, round_half_up(F.col("bdi") - ago, 0)).otherwise(0.0)
         .alias("bdi_delta_5d"),
         day["risk"].alias("ports_at_risk"), day["n"].alias("ports_total"),
         points["risk"].alias("straits_elevated"), points["n"].alias("straits_total"),
-        F.round(exports / F.lit(trillion), 1).alias("total_export_trillion"),
+        round_half_up(exports / F.lit(trillion), 1).alias("total_export_trillion"),
         ships.alias("vessels_tracked"), signal.alias("bdi_signal"))
 
 
@@ -136,7 +136,7 @@ def route_kpis(disruption: DataFrame) -> DataFrame:
         F.count("*").alias("routes_monitored"),
         F.count_if(status.contains("DISRUPTED")).alias("disrupted"),
         F.count_if(status.contains("WATCH")).alias("watched"),
-        F.round(F.avg("strait_disruption_score"), 1).alias("avg_strait_score"))
+        round_half_up(F.avg("strait_disruption_score"), 1).alias("avg_strait_score"))
 
 
 # index page ------------------------------------------------------------------
@@ -150,11 +150,11 @@ def index_kpis(index: DataFrame, y0: int | None = None, y1: int | None = None) -
         F.max(v).alias("_hi"), F.min(v).alias("_lo"), F.avg(v).alias("_avg"),
         F.count_if("is_spike").alias("spikes"), F.count_if("is_drop").alias("drops"),
     ).select(
-        F.round("_now", 0).alias("current_bdi"),
-        F.when(F.col("_days") > 6, F.round(F.col("_now") - ago, 0)).otherwise(0.0)
+        round_half_up("_now", 0).alias("current_bdi"),
+        F.when(F.col("_days") > 6, round_half_up(F.col("_now") - ago, 0)).otherwise(0.0)
         .alias("delta_5d"),
-        F.round("_hi", 0).alias("period_high"), F.round("_lo", 0).alias("period_low"),
-        F.round("_avg", 0).alias("period_avg"), "spikes", "drops")
+        round_half_up("_hi", 0).alias("period_high"), round_half_up("_lo", 0).alias("period_low"),
+        round_half_up("_avg", 0).alias("period_avg"), "spikes", "drops")
 
 
 def signal_timeline(signals: DataFrame, y0: int | None = None, y1: int | None = None) -> DataFrame:
@@ -169,7 +169,7 @@ def spikes_by_year(index: DataFrame) -> DataFrame:
 def month_mean(index: DataFrame) -> DataFrame:
     return index.groupBy("month").agg(
         F.date_format(F.make_date(F.lit(2024), F.col("month"), F.lit(1)), "MMM")
-        .alias("month_name"), F.round(F.avg("bdi_value"), 0).alias("avg_bdi"))
+        .alias("month_name"), round_half_up(F.avg("bdi_value"), 0).alias("avg_bdi"))
 
 
 def signal_days(signals: DataFrame) -> DataFrame:
@@ -188,9 +188,9 @@ def trade_filter(trade: DataFrame, y0: int | None = None, y1: int | None = None,
 def trade_kpis(trade: DataFrame, trillion: float = TRILLION) -> DataFrame:
     flow, value = F.col("flow_direction"), F.col(VALUE)
     return trade.agg(
-        F.round(money_sum(value) / F.lit(trillion), 1).alias("total_trillion"),
+        round_half_up(money_sum(value) / F.lit(trillion), 1).alias("total_trillion"),
         F.count_distinct("reporter_iso").alias("countries"),
-        F.round(F.try_divide(money_sum(F.when(flow == "Export", value)),
+        round_half_up(F.try_divide(money_sum(F.when(flow == "Export", value)),
                              money_sum(F.when(flow == "Import", value))), 2)
         .alias("export_import_ratio"))
 
@@ -199,7 +199,7 @@ def top_exporters(trade: DataFrame, n: int = 15, trillion: float = TRILLION) ->
     return (trade.where("flow_direction = 'Export'").groupBy("reporter_country")
             .agg(money_sum(F.col(VALUE)).alias("_v"))
             .orderBy(F.desc("_v"), "reporter_country").limit(n)
-            .select("reporter_country", F.round(F.col("_v") / F.lit(trillion), 4).alias("val_T")))
+            .select("reporter_country", round_half_up(F.col("_v") / F.lit(trillion), 4).alias("val_T")))
 
 
 def balance_extremes(trade: DataFrame, n: int = 8, trillion: float = TRILLION) -> DataFrame:
@@ -208,7 +208,7 @@ def balance_extremes(trade: DataFrame, n: int = 8, trillion: float = TRILLION) -
     balance = (F.coalesce(money_sum(F.when(flow == "Export", value)), F.lit(0.0))
                - F.coalesce(money_sum(F.when(flow == "Import", value)), F.lit(0.0)))
     by_country = trade.groupBy("reporter_country").agg(
-        F.round(balance / F.lit(trillion), 4).alias("balance_T"))
+        round_half_up(balance / F.lit(trillion), 4).alias("balance_T"))
     top = by_country.orderBy(F.desc("balance_T"), "reporter_country").limit(n)
     low = by_country.orderBy("balance_T", "reporter_country").limit(n)
     return top.withColumn("side", F.lit("top")).unionByName(low.withColumn("side", F.lit("bottom")))
@@ -216,7 +216,7 @@ def balance_extremes(trade: DataFrame, n: int = 8, trillion: float = TRILLION) -
 
 def trade_by_year(trade: DataFrame, billion: float = BILLION) -> DataFrame:
     return trade.groupBy("year", "hs_code", "commodity_name").agg(
-        F.round(money_sum(F.col(VALUE)) / F.lit(billion), 2).alias("val_B"))
+        round_half_up(money_sum(F.col(VALUE)) / F.lit(billion), 2).alias("val_B"))
 
 
 def bdi_trade_year(bdi_trade: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def yoy_heatmap(trade: DataFrame, years: Sequence[int], n: int = 20) -> DataFram
            .orderBy(F.desc("v"), "reporter_country").limit(n))
     return (exports.join(top, "reporter_country", "left_semi")
             .groupBy("reporter_country").pivot("year", list(years))
-            .agg(F.round(F.avg("yoy_growth_pct"), 2))
+            .agg(round_half_up(F.avg("yoy_growth_pct"), 2))
             .withColumnsRenamed({str(y): f"y{y}" for y in years}))
 
 
@@ -263,9 +263,9 @@ def port_kpis(weather_now: DataFrame, port_trade: DataFrame) -> DataFrame:
     return weather_now.agg(
         F.count_distinct("port_name").alias("ports_monitored"),
         F.count_if("port_risk_flag").alias("at_risk"),
-        F.round(F.avg("wind_speed_ms"), 1).alias("avg_wind"),
-        F.round(F.avg("temp_c"), 1).alias("avg_temp"),
-    ).withColumn("trade_at_risk_B", F.round(exposed, 0))
+        round_half_up(F.avg("wind_speed_ms"), 1).alias("avg_wind"),
+        round_half_up(F.avg("temp_c"), 1).alias("avg_temp"),
+    ).withColumn("trade_at_risk_B", round_half_up(exposed, 0))
 
 
 def weather_counts(weather: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def vessel_kpis(vessels: DataFrame, **filters) -> DataFrame:
         F.count_if(F.col("vessel_category") == "Tanker").alias("tankers"))).scalar()
     return vessel_filter(vessels, **filters).agg(
         F.count("*").alias("messages"), F.count_distinct("mmsi").alias("unique_vessels"),
-        F.round(F.avg("sog_knots"), 1).alias("avg_speed"),
+        round_half_up(F.avg("sog_knots"), 1).alias("avg_speed"),
     ).withColumns({"moving_vessels": whole["moving"], "tankers": whole["tankers"]})
 
 
@@ -330,7 +330,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
     edges = df.sparkSession.range(bins).select(F.col("id").alias("bin")).withColumn("e", ends)
     return edges.join(counts, "bin", "left").select(
-        "bin", F.round(F.col("e.lo") + F.col("bin") * width, 6).alias("bin_start"),
+        "bin", round_half_up(F.col("e.lo") + F.col("bin") * width, 6).alias("bin_start"),
         F.coalesce("count", F.lit(0)).alias("count"))
 
 
@@ -345,7 +345,7 @@ def change_hist(index: DataFrame, bins: int = 80) -> DataFrame:
 def daily_vessels(vessels: DataFrame) -> DataFrame:
     """Distinct vessels per day over the whole history, with the mean of the days."""
     per_day = vessels.groupBy("fetch_date").agg(F.count_distinct("mmsi").alias("vessels"))
-    return per_day.withColumn("avg_vessels", F.round(per_day.agg(F.avg("vessels")).scalar(), 1))
+    return per_day.withColumn("avg_vessels", round_half_up(per_day.agg(F.avg("vessels")).scalar(), 1))
 
 
 def daily_by_category(vessels: DataFrame) -> DataFrame:
@@ -356,7 +356,7 @@ def daily_by_category(vessels: DataFrame) -> DataFrame:
 
 def daily_speed(vessels: DataFrame) -> DataFrame:
     return vessels.where("sog_knots > 0.5").groupBy("fetch_date").agg(
-        F.round(F.avg("sog_knots"), 4).alias("avg_speed"))
+        round_half_up(F.avg("sog_knots"), 4).alias("avg_speed"))
 
 
 # cross-source page -------------------------------------------------------------
@@ -365,7 +365,7 @@ def pivot_by_commodity(df: DataFrame, value: str,
                        names: Sequence[str] = (*dims.HS_NAMES.values(), "Other")) -> DataFrame:
     """Mean value per year, one column per commodity name."""
     return (df.groupBy("year").pivot("commodity_name", list(names))
-            .agg(F.round(F.avg(value), 4)).orderBy("year"))
+            .agg(round_half_up(F.avg(value), 4)).orderBy("year"))
 
 
 def burden_pivot(burden: DataFrame) -> DataFrame:
@@ -409,7 +409,7 @@ def bdi_trade_corr(index: DataFrame, trade: DataFrame, trillion: float = TRILLIO
     means = index.groupBy("year").agg(F.avg("bdi_value").alias("b"))
     exports = trade.where("flow_direction = 'Export'").groupBy("year").agg(
         (money_sum(F.col(VALUE)) / F.lit(trillion)).alias("t"))
-    return means.join(exports, "year").agg(F.round(F.corr("b", "t"), 6).alias("pearson_r"),
+    return means.join(exports, "year").agg(round_half_up(F.corr("b", "t"), 6).alias("pearson_r"),
                                            F.count("*").alias("years"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import market
-from ..functions.common import ladder, money_sum, pct_change
+from ..functions.common import ladder, money_sum, pct_change, round_half_up
 from ..operators.cleaning import latest_snapshot
 from .marts import BILLION, TRILLION
 
@@ -23,7 +23,7 @@ GEO_ORDER = ["Low", "Medium", "High", "Very High"]
 
 
 def q01_top_exporters(trade: DataFrame, n: int = 10, billion: float = BILLION) -> DataFrame:
-    total = F.round(money_sum(F.col("trade_value_usd")) / F.lit(billion), 2)
+    total = round_half_up(money_sum(F.col("trade_value_usd")) / F.lit(billion), 2)
     return (trade.where("flow_direction = 'Export'")
             .groupBy(F.col("reporter_country").alias("exporter"))
             .agg(total.alias("total_value_billion_usd"))
@@ -35,8 +35,8 @@ def q02_monthly_index(index: DataFrame) -> DataFrame:
     return index.groupBy("month").agg(
         F.date_format(F.make_date(F.lit(2024), F.col("month"), F.lit(1)), "MMMM")
         .alias("month_name"),
-        F.round(F.avg(v), 0).alias("avg_bdi"), F.round(F.min(v), 0).alias("min_bdi"),
-        F.round(F.max(v), 0).alias("max_bdi"), F.round(F.stddev_samp(v), 0).alias("bdi_std_dev"),
+        round_half_up(F.avg(v), 0).alias("avg_bdi"), round_half_up(F.min(v), 0).alias("min_bdi"),
+        round_half_up(F.max(v), 0).alias("max_bdi"), round_half_up(F.stddev_samp(v), 0).alias("bdi_std_dev"),
         F.count("*").alias("trading_days")).orderBy("month")
 
 
@@ -50,9 +50,9 @@ def view_trade_balance(trade: DataFrame, billion: float = BILLION) -> DataFrame:
     unit = F.lit(billion)
     return sums.select(
         "reporter_country", "reporter_iso", "hs_code", "commodity", "year",
-        F.round(F.col("_exp") / unit, 2).alias("exports_B"),
-        F.round(F.col("_imp") / unit, 2).alias("imports_B"),
-        F.round((F.col("_exp") - F.col("_imp")) / unit, 2).alias("balance_B"),
+        round_half_up(F.col("_exp") / unit, 2).alias("exports_B"),
+        round_half_up(F.col("_imp") / unit, 2).alias("imports_B"),
+        round_half_up((F.col("_exp") - F.col("_imp")) / unit, 2).alias("balance_B"),
         market.trade_position(F.col("_exp"), F.col("_imp")).alias("trade_position"))
 
 
@@ -67,16 +67,16 @@ def q03_trade_balance(trade: DataFrame, n: int = 50, billion: float = BILLION) -
 def q04_index_trade_yoy(index: DataFrame, trade: DataFrame,
                         trillion: float = TRILLION) -> DataFrame:
     by_year = index.groupBy("year").agg(
-        F.round(F.avg("bdi_value"), 2).alias("avg_bdi"),
-        F.round(F.stddev_samp("bdi_value"), 2).alias("bdi_volatility"),
+        round_half_up(F.avg("bdi_value"), 2).alias("avg_bdi"),
+        round_half_up(F.stddev_samp("bdi_value"), 2).alias("bdi_volatility"),
         F.count_if("is_spike").alias("spikes"), F.count_if("is_drop").alias("drops"))
     exports = trade.where("flow_direction = 'Export'").groupBy("year").agg(
-        F.round(money_sum(F.col("trade_value_usd")) / F.lit(trillion), 3)
+        round_half_up(money_sum(F.col("trade_value_usd")) / F.lit(trillion), 3)
         .alias("trade_trillion_usd"))
     years = Window.orderBy("year")  # one row per year
 
     def yoy(name: str):
-        return F.round(pct_change(F.col(name), F.lag(name).over(years)), 2)
+        return round_half_up(pct_change(F.col(name), F.lag(name).over(years)), 2)
 
     return by_year.join(exports, "year", "left").withColumns({
         "bdi_yoy_change_pct": yoy("avg_bdi"),
@@ -96,11 +96,11 @@ def q05_bearish_signals(index: DataFrame, from_year: int = 2015, n: int = 50) ->
     })
     return signals.where("signal <> 'NEUTRAL'").select(
         "date", "year", "bdi_value",
-        F.round("daily_change_pct", 2).alias("change_pct"),
-        F.round("rolling_7d_avg", 0).alias("avg_7d"),
-        F.round("rolling_30d_avg", 0).alias("avg_30d"),
+        round_half_up("daily_change_pct", 2).alias("change_pct"),
+        round_half_up("rolling_7d_avg", 0).alias("avg_7d"),
+        round_half_up("rolling_30d_avg", 0).alias("avg_30d"),
         "signal", "below_avg_last_10d",
-        F.round(pct_change(v, F.col("_week_ago")), 2).alias("change_vs_7d_ago_pct"),
+        round_half_up(pct_change(v, F.col("_week_ago")), 2).alias("change_vs_7d_ago_pct"),
     ).orderBy(F.desc("date")).limit(n)
 
 
@@ -111,11 +111,11 @@ def q06_port_weather_trade(weather: DataFrame, trade: DataFrame, from_year: int
     exports = trade.where((F.col("flow_direction") == "Export")
                           & (F.col("year") >= from_year)).groupBy(
         F.col("reporter_iso").alias("country_iso"), "reporter_country").agg(
-            F.round(money_sum(value) / F.lit(billion), 2).alias("total_trade_B"))
+            round_half_up(money_sum(value) / F.lit(billion), 2).alias("total_trade_B"))
     risk, force, total = F.col("port_risk_flag"), F.col("beaufort_number"), F.col("total_trade_B")
     return latest_snapshot(weather).join(exports, "country_iso", "left").select(
         "port_name", "country_iso", "port_rank", "weather_main", "beaufort_number",
-        "beaufort_desc", F.round("wind_speed_ms", 1).alias("wind_ms"),
+        "beaufort_desc", round_half_up("wind_speed_ms", 1).alias("wind_ms"),
         ladder([(risk, "High risk"), (force >= 5, "Moderate risk")], "Normal")
         .alias("operational_status"),
         "port_risk_flag", "fetch_date",
@@ -133,16 +133,16 @@ def q07_strait_today(monitor: DataFrame) -> DataFrame:
         "disruption_score", "risk_level", "geopolitical_risk",
         F.col("trade_pct_global").alias("pct_world_trade_through"),
         F.col("oil_pct_global").alias("pct_world_oil_through"),
-        F.round(F.col("trade_pct_global") / 100 * 25000, 0).alias("est_daily_trade_at_risk_B"),
+        round_half_up(F.col("trade_pct_global") / 100 * 25000, 0).alias("est_daily_trade_at_risk_B"),
         "reroute_note", "risk_notes").orderBy(F.desc("disruption_score"), "strait_name")
 
 
 def q08_index_today(signals: DataFrame, n: int = 10) -> DataFrame:
     return signals.orderBy(F.desc("date")).limit(n).select(
-        "date", "bdi_value", F.round("daily_change_pct", 2).alias("daily_change_pct"),
-        F.round("rolling_7d_avg", 0).alias("avg_7d"),
-        F.round("rolling_30d_avg", 0).alias("avg_30d"),
-        F.round("rolling_90d_avg", 0).alias("avg_90d"),
+        "date", "bdi_value", round_half_up("daily_change_pct", 2).alias("daily_change_pct"),
+        round_half_up("rolling_7d_avg", 0).alias("avg_7d"),
+        round_half_up("rolling_30d_avg", 0).alias("avg_30d"),
+        round_half_up("rolling_90d_avg", 0).alias("avg_90d"),
         "market_signal", "charter_recommendation",
         F.col("is_spike").cast("int").alias("is_spike"),
         F.col("is_drop").cast("int").alias("is_drop"))
@@ -164,17 +164,17 @@ def q10_port_alerts(port_trade: DataFrame, n: int = 20) -> DataFrame:
         n).select(
         "port_name", "country_iso", "port_rank", "beaufort_number", "beaufort_desc",
         "wind_speed_ms", "weather_main", F.col("port_risk_flag").cast("string").alias("at_risk"),
-        F.round("export_B", 1).alias("export_B"), F.round("import_B", 1).alias("import_B"),
-        F.round("total_B", 1).alias("total_trade_B"), "trade_position", "business_alert",
+        round_half_up("export_B", 1).alias("export_B"), round_half_up("import_B", 1).alias("import_B"),
+        round_half_up("total_B", 1).alias("total_trade_B"), "trade_position", "business_alert",
         "fetch_date")
 
 
 def q11_commodity_burden(burden: DataFrame) -> DataFrame:
     return burden.select(
-        "year", "commodity_name", F.round("export_B", 2).alias("export_value_B"),
-        F.round("avg_bdi", 0).alias("avg_bdi"),
-        F.round("bdi_volatility", 0).alias("bdi_volatility"),
-        F.round("freight_burden_index", 4).alias("freight_burden_index"), "bdi_sensitivity",
+        "year", "commodity_name", round_half_up("export_B", 2).alias("export_value_B"),
+        round_half_up("avg_bdi", 0).alias("avg_bdi"),
+        round_half_up("bdi_volatility", 0).alias("bdi_volatility"),
+        round_half_up("freight_burden_index", 4).alias("freight_burden_index"), "bdi_sensitivity",
         F.col("is_cheapest_freight_year").cast("string").alias("cheapest_freight_year"),
     ).orderBy(F.desc("year"), F.desc("freight_burden_index"), "commodity_name")
 
@@ -183,9 +183,9 @@ def q12_net_exporters(exporters: DataFrame, n: int = 20, billion: float = BILLIO
     unit = F.lit(billion)
     return exporters.where("is_net_exporter").orderBy(F.desc("export_usd"), "reporter_iso").limit(
         n).select(
-        "reporter_country", "reporter_iso", F.round(F.col("export_usd") / unit, 1).alias("export_B"),
-        F.round(F.col("import_usd") / unit, 1).alias("import_B"),
-        F.round("trade_balance_B", 1).alias("trade_balance_B"),
+        "reporter_country", "reporter_iso", round_half_up(F.col("export_usd") / unit, 1).alias("export_B"),
+        round_half_up(F.col("import_usd") / unit, 1).alias("import_B"),
+        round_half_up("trade_balance_B", 1).alias("trade_balance_B"),
         F.col("is_net_exporter").cast("string").alias("is_net_exporter"),
         "top_export_commodity", F.col("port_name").alias("primary_port"), "beaufort_number",
         "weather_impact", *[c for c in exporters.columns if c == "last_updated"])
@@ -195,15 +195,15 @@ def q13_booking(seasonal: DataFrame, burden: DataFrame) -> DataFrame:
     """Every month beside every freight-sensitive commodity: the twelve months are one array."""
     months = seasonal.withColumns({
         "cheapest_rank": F.rank().over(Window.orderBy("avg_bdi")),  # twelve rows
-        "avg_0": F.round("avg_bdi", 0),
+        "avg_0": round_half_up("avg_bdi", 0),
     })
     calendar = months.agg(F.collect_list(F.struct(
         "month", "month_name", "avg_0", "freight_level", "cheapest_rank", "booking_advice"))
     ).scalar()
-    peak = seasonal.agg(F.max(F.round("avg_bdi", 0))).scalar()
+    peak = seasonal.agg(F.max(round_half_up("avg_bdi", 0))).scalar()
     newest = burden.agg(F.max("year")).scalar()
     recent = burden.where(F.col("year") >= newest - 2).groupBy(
-        "commodity_name", "bdi_sensitivity").agg(F.round(F.avg("export_B"), 1).alias("avg_export_B"))
+        "commodity_name", "bdi_sensitivity").agg(round_half_up(F.avg("export_B"), 1).alias("avg_export_B"))
     return (
         recent.where(F.col("bdi_sensitivity").contains("High"))
         .withColumns({"_m": calendar, "_peak": peak})
@@ -211,7 +211,7 @@ def q13_booking(seasonal: DataFrame, burden: DataFrame) -> DataFrame:
         .select("month_name", F.col("avg_0").alias("avg_bdi"), "freight_level",
                 F.col("cheapest_rank").alias("freight_cheapness_rank"), "booking_advice",
                 "commodity_name", "avg_export_B", "bdi_sensitivity",
-                F.round((F.col("_peak") - F.col("avg_0")) / F.col("_peak") * 100, 1)
+                round_half_up((F.col("_peak") - F.col("avg_0")) / F.col("_peak") * 100, 1)
                 .alias("pct_saving_vs_peak_month"))
         .orderBy("commodity_name", "freight_cheapness_rank", "month_name")
     )
@@ -228,11 +228,11 @@ def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
     newest = concentration.agg(F.max("year")).scalar()
     unit, share = F.lit(billion), F.col("china_share_pct")
     out = concentration.where(F.col("year") == newest).select(
-        "commodity_name", F.round(share, 1).alias("china_share_pct"),
-        F.round(F.col("china_export_usd") / unit, 1).alias("china_export_B"),
-        F.round(F.col("world_export_usd") / unit, 1).alias("world_export_B"),
+        "commodity_name", round_half_up(share, 1).alias("china_share_pct"),
+        round_half_up(F.col("china_export_usd") / unit, 1).alias("china_export_B"),
+        round_half_up(F.col("world_export_usd") / unit, 1).alias("world_export_B"),
         "supply_concentration",
-        F.round("disruption_exposure_B", 1).alias("disruption_exposure_B"),
+        round_half_up("disruption_exposure_B", 1).alias("disruption_exposure_B"),
         status["bf"].alias("china_max_beaufort_today"),
         status["risk"].alias("china_port_at_risk_today"),
         F.nullif(status["names"], F.lit("")).alias("china_ports_at_risk"), status["n"].alias("risk_port_count"))
@@ -261,7 +261,7 @@ def q15_corridor(monitor: DataFrame, port_trade: DataFrame,
     rank = F.array_position(F.array(*[F.lit(g) for g in GEO_ORDER]), F.col("geopolitical_risk"))
     rows = monitor.where(F.col("strait_name").isin(list(straits))).agg(
         F.count("*").alias("_n"),
-        F.round(F.avg(score), 1).alias("avg_strait_score"), F.max(score).alias("worst_strait_score"),
+        round_half_up(F.avg(score), 1).alias("avg_strait_score"), F.max(score).alias("worst_strait_score"),
         F.max("geopolitical_risk").alias("highest_geo_risk"),
         F.max_by("geopolitical_risk", rank).alias("highest_geo_risk_ordinal"),
         F.array_join(parts["line"], " | ").alias("strait_breakdown"),
@@ -291,18 +291,18 @@ def q16_double_risk(signals: DataFrame, concentration: DataFrame, burden: DataFr
         F.count_if(F.col("market_signal") == "BULLISH").alias("bull"))).scalar()
     newest = concentration.agg(F.max("year")).scalar()
     means = burden.groupBy("commodity_name", "bdi_sensitivity").agg(
-        F.round(F.avg("freight_burden_index"), 4).alias("freight_burden_index"))
+        round_half_up(F.avg("freight_burden_index"), 4).alias("freight_burden_index"))
     unit = F.lit(billion)
     out = concentration.where(F.col("year") == newest).join(means, "commodity_name").select(
         last["date"].alias("signal_date"), last["bdi_value"].alias("bdi_value"),
         last["market_signal"].alias("market_signal"),
-        F.round(pct_change(last["bdi_value"], last["rolling_90d_avg"]), 1)
+        round_half_up(pct_change(last["bdi_value"], last["rolling_90d_avg"]), 1)
         .alias("bdi_pct_vs_90d_avg"),
         last["charter_recommendation"].alias("charter_recommendation"),
         recent["bear"].alias("bearish_days_30d"), recent["bull"].alias("bullish_days_30d"),
         "commodity_name", "china_share_pct", "supply_concentration",
-        F.round(F.col("china_export_usd") / unit, 2).alias("china_export_B"),
-        F.round(F.col("world_export_usd") / unit, 2).alias("world_export_B"),
+        round_half_up(F.col("china_export_usd") / unit, 2).alias("china_export_B"),
+        round_half_up(F.col("world_export_usd") / unit, 2).alias("world_export_B"),
         F.col("china_port_risk_today").cast("string").alias("china_port_risk"),
         "bdi_sensitivity", "freight_burden_index")
     weak = F.col("market_signal").isin("BEARISH", "OVERSOLD")
@@ -323,7 +323,7 @@ def q17_fuel_today(fuel: DataFrame, n: int = 10) -> DataFrame:
     return fuel.orderBy(F.desc("date")).limit(n).select(
         "date", F.col("brent_usd_per_bbl").alias("brent_price"),
         F.col("brent_30d_avg").alias("thirty_day_avg"), "fuel_pressure_score", "fuel_signal",
-        F.round("vlsfo_est_usd_per_mt", 2).alias("est_ship_fuel_per_tonne"))
+        round_half_up("vlsfo_est_usd_per_mt", 2).alias("est_ship_fuel_per_tonne"))
 
 
 def q18_risk_news(news: DataFrame, n: int = 100) -> DataFrame:
@@ -380,10 +380,10 @@ def q21_route_matrix(current: DataFrame, straits: DataFrame,
     traffic, impact = F.col("traffic_vs_history_pct"), F.col("route_impact_score")
     return rows.select(
         "route", "route_impact_score", "status", "current_vessels",
-        F.round(traffic, 1).alias("traffic_vs_history_pct"), "fuel_signal",
-        F.round("news_risk_score", 0).alias("news_risk"),
+        round_half_up(traffic, 1).alias("traffic_vs_history_pct"), "fuel_signal",
+        round_half_up("news_risk_score", 0).alias("news_risk"),
         "strait_disruption_score", "geopolitical_risk",
-        F.round(impact * 0.4 + F.col("strait_disruption_score") * 0.4
+        round_half_up(impact * 0.4 + F.col("strait_disruption_score") * 0.4
                 + F.coalesce("news_risk_score", F.lit(0.0)) * 0.2, 1)
         .alias("composite_risk_score"),
         ladder([

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import ports
+from ..functions.common import round_half_up
 from ..operators.cleaning import latest_snapshot
 from ..operators.geo import map_route
 from .marts import latest_ports, latest_straits
@@ -40,8 +41,8 @@ def route_baselines(vessels: DataFrame, exclude_current: bool = False,
         newest = vessels.agg(F.max("fetch_date")).scalar()
         wanted = wanted.where(F.col("fetch_date") < newest)
     means = route_daily(wanted).groupBy("route").agg(
-        F.round(F.avg("daily_vessels"), 1).alias("baseline_avg_vessels"),
-        F.round(F.avg("avg_speed"), 2).alias("baseline_avg_speed"),
+        round_half_up(F.avg("daily_vessels"), 1).alias("baseline_avg_vessels"),
+        round_half_up(F.avg("avg_speed"), 2).alias("baseline_avg_speed"),
         F.count("*").alias("days_of_history"))
     return route_dim(vessels.sparkSession, routes).join(means, "route", "left").fillna(
         0, subset=["baseline_avg_vessels", "baseline_avg_speed", "days_of_history"])
@@ -96,11 +97,11 @@ def current_vs_historical(vessels: DataFrame, fuel: DataFrame, news: DataFrame,
     traffic = ports.traffic_gap_pct(F.col("current_vessels"), F.col("baseline_avg_vessels"))
     speed = F.col("_cs") - F.col("baseline_avg_speed")
     df = df.withColumns({
-        "current_avg_speed": F.round("_cs", 2),
-        "traffic_vs_history_pct": F.round(traffic, 1),
-        "speed_gap_knots": F.round(speed, 2),
-        "fuel_pressure_score": F.round("_fuel", 2),
-        "news_risk_score": F.round("_news", 1),
+        "current_avg_speed": round_half_up("_cs", 2),
+        "traffic_vs_history_pct": round_half_up(traffic, 1),
+        "speed_gap_knots": round_half_up(speed, 2),
+        "fuel_pressure_score": round_half_up("_fuel", 2),
+        "news_risk_score": round_half_up("_news", 1),
         "route_impact_score": ports.route_impact(traffic, speed, F.col("_fuel"), F.col("_news"),
                                                  cap),
     }).drop("_cs", "_fuel", "_news")
