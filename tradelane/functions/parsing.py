@@ -30,8 +30,11 @@ def to_number(value: Column, dtype: str = "double") -> Column:
 
 def title_case(text: Column) -> Column:
     """Capital after every non-letter, so ``re-export`` gives ``Re-Export``."""
-    words = F.split(F.lower(strip(text)), "(?<=[^\\p{L}])")
-    return F.array_join(F.transform(words, lambda w: F.initcap(w)), "")
+    low = F.lower(strip(text))
+    words = F.split(low, "(?<=[^\\p{L}])")
+    by_word = F.array_join(F.transform(words, lambda w: F.initcap(w)), "")
+    # most values are plain words, which need no splitting
+    return F.when(low.rlike("[^\\p{L} ]"), by_word).otherwise(F.initcap(low))
 
 
 def unix_to_hhmm(seconds: Column) -> Column:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +53,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     The row at a rank is found by narrowing: each pass counts rows per equal-width
     bin of the current bracket (``bins`` rows per rank come back) and moves into the
     bin that holds the rank, until at most ``keep`` rows are left. All ranks of all
-    columns share a pass; no column is ever sorted or gathered as a whole.
+    columns share a pass; no column is ever sorted or gathered as a whole. The
+    columns are kept on the executors between passes, where a lost part is recomputed.
     """
-    cols = list(columns)
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    kept = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _narrow(kept, list(columns), probs, bins, keep)
+    finally:
+        kept.unpersist()
+
+
+def _narrow(df: DataFrame, cols: list[str], probs: Sequence[float], bins: int,
+            keep: int) -> dict[tuple[str, float], float | None]:
     first = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols)
                      for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     brackets: dict[tuple[str, int], dict] = {}

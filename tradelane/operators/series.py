@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import market
 from ..functions.common import pct_change, round_half_up
 from .cleaning import date_parts
-from .trade import flag_outlier_global
 
 
 def _last_rows(order: str, n: int) -> WindowSpec:
@@ -40,13 +39,16 @@ def enrich_index(df: DataFrame, date: str = "date", value: str = "bdi_value") ->
         "rolling_30d_avg": rolling_mean(v, date, 30),
         "rolling_90d_avg": rolling_mean(v, date, 90),
     })
-    mean = df.agg(F.avg(value)).scalar()
+    # the windows above already ordered the dates in one place; whole-series figures add no scan
+    whole = Window.partitionBy()
+    mean, std = F.avg(value).over(whole), F.stddev_samp(value).over(whole)
     df = df.withColumns({
         "above_long_avg": v > mean,
+        "is_outlier": F.coalesce(F.abs(v - mean) > 3 * std, F.lit(False)),
         "is_spike": F.coalesce(F.col("daily_change_pct") > 5, F.lit(False)),
         "is_drop": F.coalesce(F.col("daily_change_pct") < -5, F.lit(False)),
     })
-    return date_parts(flag_outlier_global(df, value), date)
+    return date_parts(df, date)
 
 
 def enrich_fuel(df: DataFrame, date: str = "date",

@@ -159,14 +159,16 @@ def commodity_bdi(index: DataFrame, trade: DataFrame, billion: float = BILLION,
     by_code = _exports(trade).groupBy("year", "hs_code").agg(
         money_sum(F.col("trade_value_usd")).alias("trade_value_usd"))
     years = index_by_year(index).select("year", "avg_bdi", "bdi_volatility", "spike_days")
-    cheapest = years.agg(F.min_by("year", F.struct("avg_bdi", "year"))).scalar()
+    # one row per year
+    years = years.withColumn("_cheapest", F.min_by("year", F.struct("avg_bdi", "year")).over(
+        Window.partitionBy()))
     out = by_code.withColumn("export_B", round_half_up(F.col("trade_value_usd") / F.lit(billion), 2))
     out = out.join(years, "year", "inner").withColumns({
         "commodity_name": market.commodity_name(F.col("hs_code")),
         "freight_burden_index": round_half_up(F.col("avg_bdi") / (F.col("export_B") + 0.01), 4),
         "bdi_sensitivity": market.freight_sensitivity(F.col("hs_code")),
-        "is_cheapest_freight_year": F.col("year") == cheapest,
-    })
+        "is_cheapest_freight_year": F.col("year") == F.col("_cheapest"),
+    }).drop("_cheapest")
     return _stamp(out.orderBy("commodity_name", "hs_code", "year"), run_date)
 
 
@@ -230,12 +232,13 @@ def seasonal_freight(index: DataFrame, run_date=None) -> DataFrame:
         round_half_up(F.max(v), 1).alias("max_bdi"), round_half_up(F.stddev_samp(v), 1).alias("std_bdi"),
         F.count(v).alias("count_obs"))
     # twelve rows: an exact percentile is cheap here
-    cuts = monthly.agg(F.percentile("avg_bdi", F.array(F.lit(0.33), F.lit(0.67)))).scalar()
-    out = monthly.withColumns({
+    cuts = F.percentile("avg_bdi", F.array(F.lit(0.33), F.lit(0.67))).over(Window.partitionBy())
+    out = monthly.withColumn("_cuts", cuts).withColumns({
         "month_name": F.date_format(F.make_date(F.lit(2024), "month", F.lit(1)), "MMM"),
-        "freight_level": market.freight_level(F.col("avg_bdi"), cuts[0], cuts[1]),
+        "freight_level": market.freight_level(F.col("avg_bdi"), F.col("_cuts")[0],
+                                              F.col("_cuts")[1]),
         "booking_advice": market.booking_advice(F.col("month")),
-    })
+    }).drop("_cuts")
     return _stamp(out.orderBy("month"), run_date)
 
 

@@ -30,10 +30,16 @@ def _years(df: DataFrame, y0: int | None, y1: int | None, year: Column) -> DataF
     return df if y1 is None else df.where(year <= y1)
 
 
-def _back(rows: DataFrame, order: str, value: str, n: int) -> Column:
-    """Value ``n`` rows before the newest one (one row per date; n + 1 rows are read)."""
-    newest = rows.select(order, value).orderBy(F.desc(order)).limit(n + 1)
-    return newest.agg(F.when(F.count("*") > n, F.min_by(value, order))).scalar()
+def _newest_values(series: DataFrame, n: int, value: str = "bdi_value") -> DataFrame:
+    """One row: the last ``n`` values of a daily series as an array, newest first."""
+    last = series.select("date", value).orderBy(F.desc("date")).limit(n)
+    ordered = F.sort_array(F.collect_list(F.struct("date", F.col(value).alias("v"))), asc=False)
+    return last.agg(ordered["v"].alias("_v"))
+
+
+def _delta(values: Column, back: int) -> Column:
+    """Newest value against ``back`` rows earlier; zero for a series of that length or less."""
+    return F.when(F.size(values) > back + 1, values[0] - values[back]).otherwise(0.0)
 
 
 # live page -------------------------------------------------------------------
@@ -60,12 +66,15 @@ def fuel_delta(fuel: DataFrame, days: int = 90) -> DataFrame:
     """Newest price and its change against the eighth-newest row of the last ``days`` rows."""
     price = "brent_usd_per_bbl"
     last = fuel.orderBy(F.desc("date")).limit(days)
-    eighth = last.orderBy(F.desc("date")).limit(8).agg(F.min_by(price, "date")).scalar()
-    first = last.agg(F.min_by(price, "date")).scalar()
-    rows = last.agg(F.count("*")).scalar()
-    return last.orderBy(F.desc("date")).limit(1).select(
-        "date", round_half_up(price, 2).alias("brent_price"), "fuel_signal",
-        round_half_up(F.col(price) - F.when(rows > 8, eighth).otherwise(first), 2).alias("delta_7d"))
+    newest = F.sort_array(F.collect_list(F.struct("date", F.col(price).alias("v"),
+                                                  F.col("fuel_signal").alias("s"))), asc=False)
+    rows, n = F.col("_r"), F.size("_r")
+    before = F.when(n > 8, F.try_element_at(rows, F.lit(8))["v"]).otherwise(
+        F.try_element_at(rows, n)["v"])
+    return last.agg(newest.alias("_r")).where(n > 0).select(
+        rows[0]["date"].alias("date"), round_half_up(rows[0]["v"], 2).alias("brent_price"),
+        rows[0]["s"].alias("fuel_signal"),
+        round_half_up(rows[0]["v"] - before, 2).alias("delta_7d"))
 
 
 def news_top(news: DataFrame, n: int = 8) -> DataFrame:
@@ -87,10 +96,7 @@ def exec_kpis(index: DataFrame, signals: DataFrame, weather: DataFrame, straits:
               trade: DataFrame, vessels: DataFrame, trillion: float = TRILLION,
               tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row with the headline numbers; every part is a scalar of its own table."""
-    v = "bdi_value"
-    newest = F.max_by(v, "date")
-    base = index.agg(newest.alias("bdi"), F.count("*").alias("_days"))
-    ago = _back(index, "date", v, 5)
+    base = _newest_values(index, 7)
     day = latest_snapshot(weather).agg(F.struct(
         F.count_if("port_risk_flag").alias("risk"), F.count("*").alias("n"))).scalar()
     now = dedupe_latest(latest_snapshot(straits), ["strait_name"], "fetched_at", tiebreak)
@@ -100,9 +106,8 @@ def exec_kpis(index: DataFrame, signals: DataFrame, weather: DataFrame, straits:
     ships = latest_snapshot(vessels).agg(F.count_distinct("mmsi")).scalar()
     signal = signals.agg(F.max_by("market_signal", "date")).scalar()
     return base.select(
-        round_half_up("bdi", 0).alias("bdi"),
-        F.when(F.col("_days") > 6, round_half_up(F.col("bdi") - ago, 0)).otherwise(0.0)
-        .alias("bdi_delta_5d"),
+        round_half_up(F.col("_v")[0], 0).alias("bdi"),
+        round_half_up(_delta(F.col("_v"), 5), 0).alias("bdi_delta_5d"),
         day["risk"].alias("ports_at_risk"), day["n"].alias("ports_total"),
         points["risk"].alias("straits_elevated"), points["n"].alias("straits_total"),
         round_half_up(exports / F.lit(trillion), 1).alias("total_export_trillion"),
@@ -144,15 +149,13 @@ def route_kpis(disruption: DataFrame) -> DataFrame:
 def index_kpis(index: DataFrame, y0: int | None = None, y1: int | None = None) -> DataFrame:
     df = _years(index, y0, y1, F.col("year"))
     v = "bdi_value"
-    ago = _back(df, "date", v, 5)
+    last = _newest_values(df, 7).scalar()
     return df.agg(
-        F.max_by(v, "date").alias("_now"), F.count("*").alias("_days"),
         F.max(v).alias("_hi"), F.min(v).alias("_lo"), F.avg(v).alias("_avg"),
         F.count_if("is_spike").alias("spikes"), F.count_if("is_drop").alias("drops"),
     ).select(
-        round_half_up("_now", 0).alias("current_bdi"),
-        F.when(F.col("_days") > 6, round_half_up(F.col("_now") - ago, 0)).otherwise(0.0)
-        .alias("delta_5d"),
+        round_half_up(last[0], 0).alias("current_bdi"),
+        round_half_up(_delta(last, 5), 0).alias("delta_5d"),
         round_half_up("_hi", 0).alias("period_high"), round_half_up("_lo", 0).alias("period_low"),
         round_half_up("_avg", 0).alias("period_avg"), "spikes", "drops")
 

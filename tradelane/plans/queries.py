@@ -22,6 +22,12 @@ from .marts import BILLION, TRILLION
 GEO_ORDER = ["Low", "Medium", "High", "Very High"]
 
 
+def newest_year(df: DataFrame) -> DataFrame:
+    """Rows of the newest year of a table with one row per year and commodity."""
+    newest = F.max("year").over(Window.partitionBy())
+    return df.withColumn("_newest", newest).where("year = _newest").drop("_newest")
+
+
 def q01_top_exporters(trade: DataFrame, n: int = 10, billion: float = BILLION) -> DataFrame:
     total = round_half_up(money_sum(F.col("trade_value_usd")) / F.lit(billion), 2)
     return (trade.where("flow_direction = 'Export'")
@@ -197,17 +203,17 @@ def q13_booking(seasonal: DataFrame, burden: DataFrame) -> DataFrame:
         "cheapest_rank": F.rank().over(Window.orderBy("avg_bdi")),  # twelve rows
         "avg_0": round_half_up("avg_bdi", 0),
     })
-    calendar = months.agg(F.collect_list(F.struct(
+    calendar = months.agg(F.struct(F.collect_list(F.struct(
         "month", "month_name", "avg_0", "freight_level", "cheapest_rank", "booking_advice"))
-    ).scalar()
-    peak = seasonal.agg(F.max(round_half_up("avg_bdi", 0))).scalar()
-    newest = burden.agg(F.max("year")).scalar()
-    recent = burden.where(F.col("year") >= newest - 2).groupBy(
+        .alias("months"), F.max("avg_0").alias("peak"))).scalar()
+    newest = F.max("year").over(Window.partitionBy())  # one row per year and commodity
+    recent = burden.withColumn("_newest", newest).where("year >= _newest - 2").groupBy(
         "commodity_name", "bdi_sensitivity").agg(round_half_up(F.avg("export_B"), 1).alias("avg_export_B"))
     return (
         recent.where(F.col("bdi_sensitivity").contains("High"))
-        .withColumns({"_m": calendar, "_peak": peak})
-        .select("commodity_name", "avg_export_B", "bdi_sensitivity", "_peak", F.inline("_m"))
+        .withColumn("_c", calendar)
+        .select("commodity_name", "avg_export_B", "bdi_sensitivity",
+                F.col("_c.peak").alias("_peak"), F.inline("_c.months"))
         .select("month_name", F.col("avg_0").alias("avg_bdi"), "freight_level",
                 F.col("cheapest_rank").alias("freight_cheapness_rank"), "booking_advice",
                 "commodity_name", "avg_export_B", "bdi_sensitivity",
@@ -225,9 +231,8 @@ def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
         F.array_join(F.array_sort(F.collect_list(F.when(risk, F.col("port_name")))), ", ")
         .alias("names"),
         F.count_if(risk).alias("n"))).scalar()
-    newest = concentration.agg(F.max("year")).scalar()
     unit, share = F.lit(billion), F.col("china_share_pct")
-    out = concentration.where(F.col("year") == newest).select(
+    out = newest_year(concentration).select(
         "commodity_name", round_half_up(share, 1).alias("china_share_pct"),
         round_half_up(F.col("china_export_usd") / unit, 1).alias("china_export_B"),
         round_half_up(F.col("world_export_usd") / unit, 1).alias("world_export_B"),
@@ -283,17 +288,16 @@ def q15_corridor(monitor: DataFrame, port_trade: DataFrame,
 
 def q16_double_risk(signals: DataFrame, concentration: DataFrame, burden: DataFrame,
                     billion: float = BILLION) -> DataFrame:
-    last = signals.agg(F.max_by(F.struct("date", "bdi_value", "market_signal",
-                                         "charter_recommendation", "rolling_90d_avg"),
-                                "date")).scalar()
-    recent = signals.orderBy(F.desc("date")).limit(30).agg(F.struct(
+    now = signals.orderBy(F.desc("date")).limit(30).agg(F.struct(
+        F.max_by(F.struct("date", "bdi_value", "market_signal", "charter_recommendation",
+                          "rolling_90d_avg"), "date").alias("last"),
         F.count_if(F.col("market_signal") == "BEARISH").alias("bear"),
         F.count_if(F.col("market_signal") == "BULLISH").alias("bull"))).scalar()
-    newest = concentration.agg(F.max("year")).scalar()
+    last, recent = now["last"], now
     means = burden.groupBy("commodity_name", "bdi_sensitivity").agg(
         round_half_up(F.avg("freight_burden_index"), 4).alias("freight_burden_index"))
     unit = F.lit(billion)
-    out = concentration.where(F.col("year") == newest).join(means, "commodity_name").select(
+    out = newest_year(concentration).join(means, "commodity_name").select(
         last["date"].alias("signal_date"), last["bdi_value"].alias("bdi_value"),
         last["market_signal"].alias("market_signal"),
         round_half_up(pct_change(last["bdi_value"], last["rolling_90d_avg"]), 1)

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import ports
 from ..functions.common import round_half_up
-from ..operators.cleaning import latest_snapshot
 from ..operators.geo import map_route
 from .marts import latest_ports, latest_straits
 
@@ -33,19 +32,41 @@ def route_daily(vessels: DataFrame) -> DataFrame:
     )
 
 
+def _route_figures(vessels: DataFrame, exclude_current: bool,
+                   routes: Sequence[str]) -> DataFrame:
+    """Per route: history means and the newest day, from one pass over the positions.
+
+    The positions become one row per route and day; everything else works on those.
+    The newest day is that of all positions, also those outside the routes.
+    """
+    whole = Window.partitionBy()  # over one row per route and day, or per route
+    daily = route_daily(vessels).withColumns({
+        "_last": F.struct("fetch_date", "daily_vessels", "avg_speed", "tanker_count"),
+        "_past": (F.col("fetch_date") < F.max("fetch_date").over(whole) if exclude_current
+                  else F.lit(True)),
+    })
+
+    def past(name: str):
+        return F.when(F.col("_past"), F.col(name))
+
+    figures = daily.groupBy("route").agg(
+        round_half_up(F.avg(past("daily_vessels")), 1).alias("baseline_avg_vessels"),
+        round_half_up(F.avg(past("avg_speed")), 2).alias("baseline_avg_speed"),
+        F.count(past("fetch_date")).alias("days_of_history"),
+        F.max("_last").alias("_last"))
+    figures = route_dim(vessels.sparkSession, routes).join(figures, "route", "full_outer")
+    figures = figures.withColumn("event_date", F.max(F.col("_last.fetch_date")).over(whole))
+    today = F.col("_last.fetch_date") == F.col("event_date")
+    return (figures.withColumn("_today", F.when(today, F.col("_last"))).drop("_last")
+            .where(F.col("route").isin(list(routes)))
+            .fillna(0, subset=["baseline_avg_vessels", "baseline_avg_speed", "days_of_history"]))
+
+
 def route_baselines(vessels: DataFrame, exclude_current: bool = False,
                     routes: Sequence[str] = tuple(dims.ROUTES)) -> DataFrame:
     """Mean of the daily figures per reported route; a route without traffic has zeros."""
-    wanted = _routed(vessels).where(F.col("route").isin(list(routes)))
-    if exclude_current:
-        newest = vessels.agg(F.max("fetch_date")).scalar()
-        wanted = wanted.where(F.col("fetch_date") < newest)
-    means = route_daily(wanted).groupBy("route").agg(
-        round_half_up(F.avg("daily_vessels"), 1).alias("baseline_avg_vessels"),
-        round_half_up(F.avg("avg_speed"), 2).alias("baseline_avg_speed"),
-        F.count("*").alias("days_of_history"))
-    return route_dim(vessels.sparkSession, routes).join(means, "route", "left").fillna(
-        0, subset=["baseline_avg_vessels", "baseline_avg_speed", "days_of_history"])
+    return _route_figures(vessels, exclude_current, routes).select(
+        "route", "baseline_avg_vessels", "baseline_avg_speed", "days_of_history")
 
 
 def news_by_route(news: DataFrame, routes: Sequence[str] = tuple(dims.ROUTES),
@@ -73,21 +94,15 @@ def current_vs_historical(vessels: DataFrame, fuel: DataFrame, news: DataFrame,
                           exclude_current: bool = False,
                           routes: Sequence[str] = tuple(dims.ROUTES)) -> DataFrame:
     """Newest day per route against its baseline, with the impact score."""
-    routed = _routed(vessels).where(F.col("route").isin(list(routes)))
-    newest = vessels.agg(F.max("fetch_date")).scalar()
-    today = routed.where(F.col("fetch_date") == newest).groupBy("route").agg(
-        F.count_distinct("mmsi").alias("cv"), F.avg("sog_knots").alias("cs"),
-        F.count_if(F.col("vessel_category") == "Tanker").alias("ct"))
     last_fuel = fuel.agg(F.max_by(F.struct("fuel_pressure_score", "fuel_signal"), "date")).scalar()
-    df = (route_baselines(routed, exclude_current, routes)
-          .join(today, "route", "left")
-          .join(news_by_route(news, routes, match), "route", "left"))
+    df = _route_figures(vessels, exclude_current, routes).join(
+        news_by_route(news, routes, match), "route", "left")
     pressure = F.coalesce(last_fuel["fuel_pressure_score"], F.lit(0.0))
     df = df.select(
-        newest.alias("event_date"), "route",
-        F.coalesce("cv", F.lit(0)).alias("current_vessels"),
-        F.coalesce("cs", F.lit(0.0)).alias("_cs"),
-        F.coalesce("ct", F.lit(0)).alias("current_tankers"),
+        "event_date", "route",
+        F.coalesce("_today.daily_vessels", F.lit(0)).alias("current_vessels"),
+        F.coalesce("_today.avg_speed", F.lit(0.0)).alias("_cs"),
+        F.coalesce("_today.tanker_count", F.lit(0)).alias("current_tankers"),
         "baseline_avg_vessels", "baseline_avg_speed",
         pressure.alias("_fuel"),
         F.coalesce(last_fuel["fuel_signal"], F.lit("NORMAL")).alias("fuel_signal"),

@@ -51,15 +51,38 @@ def _country(key: str):
     return F.concat(F.lit("N"), F.lpad(F.col(key).cast("string"), 2, "0"))
 
 
+# Column types of the benchmark tables, so that no read has to infer them.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 class Standin:
     """Lazy domain tables of one data folder. Nothing is cached or collected."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(
+                f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     # trade -----------------------------------------------------------------
     @cached_property
