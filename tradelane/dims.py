@@ -7,7 +7,12 @@ length of the list beside them, so broadcasting them is always safe.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Ports by container throughput (rank order, country ISO-2, lat, lon).
 PORTS = [
@@ -346,15 +351,24 @@ ROUTE_CONFIG_SCHEMA = (
 )
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A literal table; the optimizer sees its rows and size."""
+    schema = StructType.fromDDL(ddl)
+    names = schema.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows],
+                                 schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
+
+
 def ports(spark: SparkSession) -> DataFrame:
     rows = [(n, c, i + 1, lat, lon) for i, (n, c, lat, lon) in enumerate(PORTS)]
-    return spark.createDataFrame(
-        rows, "port_name string, country_iso string, port_rank int, lat double, lon double")
+    return local_table(
+        spark, rows, "port_name string, country_iso string, port_rank int, lat double, lon double")
 
 
 def straits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        STRAITS,
+    return local_table(
+        spark, STRAITS,
         "strait_name string, lat double, lon double, region string, connects string, "
         "trade_pct_global int, oil_pct_global int, key_routes string, geopolitical_risk string, "
         "risk_notes string")
@@ -362,21 +376,21 @@ def straits(spark: SparkSession) -> DataFrame:
 
 def location_boxes(spark: SparkSession) -> DataFrame:
     rows = [(i, *box) for i, box in enumerate(LOCATION_BOXES)]
-    return spark.createDataFrame(
-        rows, "priority int, label string, lat_min double, lat_max double, lon_min double, "
+    return local_table(
+        spark, rows, "priority int, label string, lat_min double, lat_max double, lon_min double, "
               "lon_max double")
 
 
 def iso_crosswalk(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ISO2_TO_ISO3.items()), "iso2 string, iso3 string")
+    return local_table(spark, list(ISO2_TO_ISO3.items()), "iso2 string, iso3 string")
 
 
 def route_definitions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        ROUTE_DEFINITIONS,
+    return local_table(
+        spark, ROUTE_DEFINITIONS,
         "route string, origin_ports array<string>, dest_ports array<string>, strait string, "
         "alt_strait string, hs_codes array<int>, route_notes string")
 
 
 def route_config(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ROUTE_CONFIG, ROUTE_CONFIG_SCHEMA)
+    return local_table(spark, ROUTE_CONFIG, ROUTE_CONFIG_SCHEMA)

@@ -18,10 +18,15 @@ def ladder(steps: Iterable[tuple[Column, object]], otherwise: object) -> Column:
     return F.lit(otherwise) if out is None else out.otherwise(otherwise)
 
 
+def sql_text(text: str) -> str:
+    """A string literal for ``F.expr``; long tables are shorter to send as one expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def code_label(code: Column, names: Mapping[int, str]) -> Column:
     """Label of a code, null when unknown. A literal map: one lookup per row."""
-    pairs = [F.lit(x) for item in names.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), code)
+    pairs = ", ".join(f"{key}, {sql_text(name)}" for key, name in names.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), code)
 
 
 def strip(text: Column) -> Column:

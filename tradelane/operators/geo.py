@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dims
-from ..functions.common import ladder
+from ..functions.common import sql_text
 
 
 def locate_bbox(df: DataFrame, boxes: Sequence[tuple] = tuple(dims.LOCATION_BOXES),
@@ -19,12 +19,12 @@ def locate_bbox(df: DataFrame, boxes: Sequence[tuple] = tuple(dims.LOCATION_BOXE
     For a few dozen boxes: comparisons in generated code, no join and no shuffle.
     Corners may be given in any order.
     """
-    steps = []
-    for label, a, b, c, d in boxes:
-        inside = (F.col(lat).between(min(a, b), max(a, b))
-                  & F.col(lon).between(min(c, d), max(c, d)))
-        steps.append((inside, label))
-    return df.withColumn(out, ladder(steps, otherwise))
+    steps = " ".join(
+        f"WHEN `{lat}` BETWEEN {min(a, b)}D AND {max(a, b)}D "
+        f"AND `{lon}` BETWEEN {min(c, d)}D AND {max(c, d)}D THEN {sql_text(label)}"
+        for label, a, b, c, d in boxes)
+    last = "NULL" if otherwise is None else sql_text(otherwise)
+    return df.withColumn(out, F.expr(f"CASE {steps} ELSE {last} END"))
 
 
 def locate_grid(df: DataFrame, boxes: DataFrame, cell: float = 1.0, lat: str = "latitude",
@@ -67,6 +67,7 @@ def is_strait(df: DataFrame, column: str = "port_guess", out: str = "is_strait",
 def map_route(df: DataFrame, column: str = "port_guess", out: str = "route",
               places: Mapping[str, str] = dims.PLACE_TO_ROUTE) -> DataFrame:
     """Route of the first place whose name the label contains, ignoring case."""
-    low = F.lower(column)
-    steps = [(low.contains(place.lower()), route) for place, route in places.items()]
-    return df.withColumn(out, ladder(steps, dims.UNMAPPED_ROUTE))
+    steps = " ".join(
+        f"WHEN contains(lower(`{column}`), {sql_text(place.lower())}) THEN {sql_text(route)}"
+        for place, route in places.items())
+    return df.withColumn(out, F.expr(f"CASE {steps} ELSE {sql_text(dims.UNMAPPED_ROUTE)} END"))

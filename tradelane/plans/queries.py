@@ -17,6 +17,7 @@ from ..functions import market
 from ..functions.common import ladder, money_sum, pct_change, round_half_up
 from ..operators.cleaning import latest_snapshot
 from .marts import BILLION, TRILLION
+from .routes import route_dim
 
 # Geopolitical words from least to most severe.
 GEO_ORDER = ["Low", "Medium", "High", "Very High"]
@@ -374,10 +375,11 @@ def q21_route_matrix(current: DataFrame, straits: DataFrame,
     hits = latest_snapshot(straits).select(
         "disruption_score", "geopolitical_risk",
         F.explode(F.array_compact(F.array(*tests))).alias("route"))
+    unmatched = route_dim(straits.sparkSession, routes).join(
+        hits.select("route").distinct(), "route", "left_anti")
+    rows = hits.unionByName(unmatched, allowMissingColumns=True)
     # the route table has one row per reported route
-    with_strait = hits.join(F.broadcast(current), "route")
-    without = current.join(hits.select("route").distinct(), "route", "left_anti")
-    rows = with_strait.unionByName(without, allowMissingColumns=True).withColumns({
+    rows = rows.join(F.broadcast(current), "route").withColumns({
         "strait_disruption_score": F.coalesce("disruption_score", F.lit(0)),
         "geopolitical_risk": F.coalesce("geopolitical_risk", F.lit("Unknown")),
     })

@@ -15,7 +15,7 @@ from .marts import latest_ports, latest_straits
 
 
 def route_dim(spark: SparkSession, routes: Sequence[str] = tuple(dims.ROUTES)) -> DataFrame:
-    return spark.createDataFrame([(r,) for r in routes], "route string")
+    return dims.local_table(spark, [(r,) for r in routes], "route string")
 
 
 def _routed(vessels: DataFrame) -> DataFrame:

@@ -223,8 +223,8 @@ class Standin:
 
     @cached_property
     def strait_rows(self) -> DataFrame:
-        dim = self.spark.createDataFrame(
-            [(i, *s) for i, s in enumerate(dims.STRAITS)],
+        dim = dims.local_table(
+            self.spark, [(i, *s) for i, s in enumerate(dims.STRAITS)],
             "strait_no int, strait_name string, lat double, lon double, region string, "
             "connects string, trade_pct_global int, oil_pct_global int, key_routes string, "
             "geopolitical_risk string, risk_notes string")
