@@ -376,6 +376,7 @@ TABLES = {
         {r('CAST(moving_count AS DOUBLE) / greatest(vessels, 1) * 100', 1)} AS pct_moving
       FROM ({counts('fetch_date, port_guess', '(SELECT * FROM vessels_daily WHERE is_strait)')})""",
     "routed": f"SELECT *, {ROUTE_CASE} AS route FROM vessels_daily",
+    "all_routed": f"SELECT *, {ROUTE_CASE} AS route FROM vessels",
     "route_daily": """SELECT route, fetch_date, count(DISTINCT mmsi) AS daily_vessels,
         avg(sog_knots) AS avg_speed, count(*) FILTER (vessel_category = 'Tanker') AS tanker_count,
         count(*) FILTER (vessel_category = 'Cargo') AS cargo_count FROM routed GROUP BY ALL""",
@@ -448,5 +449,6 @@ def with_tables(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    from .oracle_io import QUERIES_IO
     from .oracle_queries import QUERIES
-    return {name: with_tables(sql) for name, sql in QUERIES.items()}
+    return {name: with_tables(sql) for name, sql in (QUERIES | QUERIES_IO).items()}

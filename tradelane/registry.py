@@ -46,6 +46,7 @@ def query(name: str):
 
 
 def queries() -> dict[str, Query]:
+    from . import registry_io  # noqa: F401 - registers sources, sinks and streams
     return dict(_QUERIES)
 
 

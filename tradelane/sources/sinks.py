@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _balanced(df: DataFrame, column: str) -> DataFrame:
@@ -37,7 +36,9 @@ def sink_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Text as it is, blanks included."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def sink_raw_json(df: DataFrame, path: str, run_date: dt.date) -> None:
@@ -56,11 +57,3 @@ def table_snapshot(df: DataFrame, path: str, run_date: dt.date, days: int = 14)
         name = entry.getPath().getName()
         if name.startswith("snap_date=") and name < oldest:
             fs.delete(entry.getPath(), True)
-
-
-def view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
-def tagged_batch(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(batch_id))
