@@ -22,6 +22,8 @@ def parse_date(text: Column, fmt: str = "MM/dd/yyyy") -> Column:
 
 def to_number(value: Column, dtype: str = "double") -> Column:
     """Unparseable text and NaN become null."""
+    if dtype == "boolean":
+        return value.try_cast("boolean")
     if dtype != "double":
         return value.try_cast("double").try_cast(dtype)
     number = value.try_cast("double")

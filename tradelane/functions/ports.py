@@ -25,7 +25,7 @@ def alert_priority(at_risk: Column, trade_b: Column, force: Column) -> Column:
 
 
 def port_alert(priority: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in PORT_ALERTS]), priority)
+    return F.get(F.array(*[F.lit(t) for t in PORT_ALERTS]), priority - 1)
 
 
 def weather_impact(at_risk: Column, force: Column) -> Column:

@@ -17,7 +17,7 @@ def beaufort_number(wind_ms: Column) -> Column:
 
 def beaufort_name(force: Column, long_hurricane: bool = False) -> Column:
     names = BEAUFORT_NAMES[:-1] + [HURRICANE_LONG_NAME if long_hurricane else BEAUFORT_NAMES[-1]]
-    return F.element_at(F.array(*[F.lit(n) for n in names]), force + 1)
+    return F.get(F.array(*[F.lit(n) for n in names]), force)
 
 
 def gale_risk(force: Column) -> Column:

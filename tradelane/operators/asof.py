@@ -43,10 +43,11 @@ def enrich_static(messages: DataFrame, key: str = "mmsi",
                   fields: Sequence[str] = STATIC_FIELDS) -> DataFrame:
     """Position messages with the static fields of the vessel's last earlier static message.
 
-    A static message never fills positions that came before it.
+    A static message never fills positions that came before it. Work is split by vessel
+    and hour unless another time ``bucket`` is given.
     """
     static = F.struct(*[F.col(f) for f in fields])
-    bucket = F.to_date("event_time_utc") if bucket is None else bucket
+    bucket = F.date_trunc("hour", "event_time_utc") if bucket is None else bucket
     df = messages.withColumn("_static", F.when(F.col("message_type") == "ShipStaticData", static))
     df = carry_last(df, key, order, bucket, "_static", "_seen")
     df = df.where("message_type = 'PositionReport'")

@@ -39,6 +39,15 @@ TRADE_DEFAULTS = {"net_weight_kg": 0.0, "quantity": 0.0, "transport_mode": "Not
                   "weight_estimated": True}
 WEATHER_DEFAULTS = {"visibility_m": 10000, "rain_1h_mm": 0.0, "snow_1h_mm": 0.0}
 
+# Types of the trade columns that are not text.
+TRADE_TYPES = {
+    "year": "int", "period": "int", "reporter_code": "int", "partner_code": "int",
+    "hs_code": "int", "aggregation_level": "int", "transport_mode_code": "int",
+    "qty_unit_code": "int", "quantity": "double", "net_weight_kg": "double",
+    "cif_value_usd": "double", "fob_value_usd": "double", "trade_value_usd": "double",
+    "is_leaf": "boolean", "qty_estimated": "boolean", "weight_estimated": "boolean",
+}
+
 TRADE_KEY = ["reporter_iso", "partner_iso", "hs_code", "flow_direction", "year"]
 
 
@@ -186,9 +195,8 @@ def with_commodity_name(df: DataFrame, column: str = "hs_code") -> DataFrame:
 
 def clean_trade(raw: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Raw trade rows to ``trade_flows`` without the columns that need other rows."""
-    df = rename_columns(drop_columns(raw))
+    df = coerce_numeric(rename_columns(drop_columns(raw)), TRADE_TYPES)
     df = fill_constant(drop_null_required(df, ["trade_value_usd"]))
-    df = coerce_numeric(df, {"year": "int", "hs_code": "int", "trade_value_usd": "double"})
     df = df.withColumn("trade_value_usd", common.round_half_up("trade_value_usd", 2))
     df = dedupe_first(standardize_text(df), _present(df, TRADE_KEY), order)
     df = df.withColumn("value_per_kg", common.safe_ratio(

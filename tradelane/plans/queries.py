@@ -112,7 +112,8 @@ def q05_bearish_signals(index: DataFrame, from_year: int = 2015, n: int = 50) ->
 
 
 def q06_port_weather_trade(weather: DataFrame, trade: DataFrame, from_year: int = 2020,
-                           billion: float = BILLION) -> DataFrame:
+                           billion: float = BILLION,
+                           tiebreak: Sequence[str] = ("fetched_at",)) -> DataFrame:
     """Every reading of the newest day beside the recent exports of its country."""
     value = F.col("trade_value_usd")
     exports = trade.where((F.col("flow_direction") == "Export")
@@ -121,7 +122,7 @@ def q06_port_weather_trade(weather: DataFrame, trade: DataFrame, from_year: int
             round_half_up(money_sum(value) / F.lit(billion), 2).alias("total_trade_B"))
     risk, force, total = F.col("port_risk_flag"), F.col("beaufort_number"), F.col("total_trade_B")
     return latest_snapshot(weather).join(exports, "country_iso", "left").select(
-        "port_name", "country_iso", "port_rank", "weather_main", "beaufort_number",
+        *tiebreak, "port_name", "country_iso", "port_rank", "weather_main", "beaufort_number",
         "beaufort_desc", round_half_up("wind_speed_ms", 1).alias("wind_ms"),
         ladder([(risk, "High risk"), (force >= 5, "Moderate risk")], "Normal")
         .alias("operational_status"),
@@ -131,7 +132,8 @@ def q06_port_weather_trade(weather: DataFrame, trade: DataFrame, from_year: int
                 (risk, "Port at risk — low trade exposure"),
                 ((force >= 5) & (total > 200), "Fresh breeze at major port — watch conditions")],
                "Normal operations").alias("business_alert"),
-    ).orderBy(F.desc("port_risk_flag"), F.desc("country_trade_B"), "port_name")
+    ).orderBy(F.desc("port_risk_flag"), F.desc("country_trade_B"), "port_name",
+              *tiebreak).drop(*tiebreak)
 
 
 def q07_strait_today(monitor: DataFrame) -> DataFrame:
@@ -363,7 +365,8 @@ def q20_pressure(fuel: DataFrame, signals: DataFrame) -> DataFrame:
 
 
 def q21_route_matrix(current: DataFrame, straits: DataFrame,
-                     routes: Sequence[str] = tuple(dims.ROUTES)) -> DataFrame:
+                     routes: Sequence[str] = tuple(dims.ROUTES),
+                     tiebreak: Sequence[str] = ("fetched_at",)) -> DataFrame:
     """Routes beside every strait reading of the newest day whose name starts like the route.
 
     A strait row is tested against the few route names in place and then meets its
@@ -373,7 +376,7 @@ def q21_route_matrix(current: DataFrame, straits: DataFrame,
     name = F.lower("strait_name")
     tests = [F.when(name.startswith(r.split(" ")[0].lower()), F.lit(r)) for r in routes]
     hits = latest_snapshot(straits).select(
-        "disruption_score", "geopolitical_risk",
+        "disruption_score", "geopolitical_risk", *tiebreak,
         F.explode(F.array_compact(F.array(*tests))).alias("route"))
     unmatched = route_dim(straits.sparkSession, routes).join(
         hits.select("route").distinct(), "route", "left_anti")
@@ -384,8 +387,9 @@ def q21_route_matrix(current: DataFrame, straits: DataFrame,
         "geopolitical_risk": F.coalesce("geopolitical_risk", F.lit("Unknown")),
     })
     traffic, impact = F.col("traffic_vs_history_pct"), F.col("route_impact_score")
+    # readings of a day share few scores: the tie-break keeps the sort's ranges even
     return rows.select(
-        "route", "route_impact_score", "status", "current_vessels",
+        *tiebreak, "route", "route_impact_score", "status", "current_vessels",
         round_half_up(traffic, 1).alias("traffic_vs_history_pct"), "fuel_signal",
         round_half_up("news_risk_score", 0).alias("news_risk"),
         "strait_disruption_score", "geopolitical_risk",
@@ -399,4 +403,4 @@ def q21_route_matrix(current: DataFrame, straits: DataFrame,
             ((F.col("fuel_signal") == "HIGH") & (F.col("news_risk_score") >= 60),
              "CAUTION: High fuel cost + elevated news risk"),
         ], "Normal operating conditions").alias("risk_interpretation"),
-    ).orderBy(F.desc("composite_risk_score"), "route")
+    ).orderBy(F.desc("composite_risk_score"), "route", *tiebreak).drop(*tiebreak)

@@ -619,7 +619,8 @@ query("q17_fuel_today")(lambda s: sqlq.q17_fuel_today(s.fuel))
 query("q18_risk_news")(lambda s: sqlq.q18_risk_news(s.news))
 query("q19_route_impact")(lambda s: sqlq.q19_route_impact(m_current(s)))
 query("q20_pressure")(lambda s: sqlq.q20_pressure(s.fuel, m_signals(s)))
-query("q21_route_matrix")(lambda s: sqlq.q21_route_matrix(m_current(s), s.strait_conditions))
+query("q21_route_matrix")(lambda s: sqlq.q21_route_matrix(
+    m_current(s), s.strait_conditions, tiebreak=("fetched_at", "event_id")))
 query("view_trade_balance")(lambda s: sqlq.view_trade_balance(s.trade_flows, BILLION))
 query("row_counts")(lambda s: quality.row_counts({
     "trade_flows": s.trade_flows, "bdi_daily": s.index_daily, "port_weather": s.port_weather_rows,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,11 +30,22 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sink_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
-    """Replace a table; an empty frame leaves it as it was."""
-    if skip_empty and df.isEmpty():
-        return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+    """Replace a table; with ``skip_empty`` an empty frame leaves it as it was.
+
+    The emptiness test and the write share one computation. Large tables that cannot
+    be empty are better written with ``skip_empty=False``.
+    """
+    if not skip_empty:
+        df.write.mode("overwrite").parquet(path)
+        return True
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if kept.isEmpty():
+            return False
+        kept.write.mode("overwrite").parquet(path)
+        return True
+    finally:
+        kept.unpersist()
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
@@ -46,14 +59,18 @@ def sink_raw_json(df: DataFrame, path: str, run_date: dt.date) -> None:
     df.write.mode("overwrite").json(f"{path}/dt={run_date:%Y-%m-%d}")
 
 
-def table_snapshot(df: DataFrame, path: str, run_date: dt.date, days: int = 14) -> None:
-    """Dated copy; copies older than ``days`` are removed."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}/snap_date={run_date:%Y%m%d}")
+def remove_folders(spark: SparkSession, path: str, unwanted: Callable[[str], bool]) -> None:
+    """Delete the folders directly below ``path`` whose name is unwanted."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    oldest = f"snap_date={run_date - dt.timedelta(days=days):%Y%m%d}"
     for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        if name.startswith("snap_date=") and name < oldest:
+        if unwanted(entry.getPath().getName()):
             fs.delete(entry.getPath(), True)
+
+
+def table_snapshot(df: DataFrame, path: str, run_date: dt.date, days: int = 14) -> None:
+    """Dated copy; copies older than ``days`` are removed."""
+    df.write.mode("overwrite").parquet(f"{path}/snap_date={run_date:%Y%m%d}")
+    oldest = f"snap_date={run_date - dt.timedelta(days=days):%Y%m%d}"
+    remove_folders(df.sparkSession, path,
+                   lambda name: name.startswith("snap_date=") and name < oldest)

@@ -207,7 +207,7 @@ class Standin:
         supplier, events = self.table("supplier"), self.table("events")
         names = F.array(*[F.lit(p[0]) for p in dims.PORTS])
         key = F.col("s_suppkey")
-        base = F.element_at(names, (F.pmod(key, F.lit(100)) + 1).cast("int"))
+        base = F.get(names, F.pmod(key, F.lit(100)).cast("int"))
         turn = F.floor(key / 100).cast("string")
         return supplier.join(events, F.col("user_id") == key).select(
             F.when(key < 100, base).otherwise(F.concat(base, F.lit(" #"), turn))

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.asof import STATIC_FIELDS, enrich_static
 from ..sources.readers import parse_ais
+from ..sources.sinks import remove_folders
 
 TIME = "event_time_utc"
 
@@ -102,6 +104,7 @@ def stream_enrich_static(messages: DataFrame, out: str, state: str, checkpoint:
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
         before = spark.read.parquet(f"{state}/batch={batch_id - 1}") if batch_id else None
         rows = batch if before is None else before.unionByName(batch, allowMissingColumns=True)
         enrich_static(rows, order=order, bucket=bucket).write.mode("overwrite").parquet(
@@ -112,6 +115,10 @@ def stream_enrich_static(messages: DataFrame, out: str, state: str, checkpoint:
         newest = rows.agg(F.max(TIME)).scalar()
         last.where(F.col(TIME) >= newest - F.make_dt_interval(F.lit(keep_days))).write.mode(
             "overwrite").parquet(f"{state}/batch={batch_id}")
+        # a repeat of this batch needs the state before it, nothing older
+        old = {f"batch={i}" for i in range(batch_id - 1)}
+        remove_folders(spark, state, lambda name: name in old)
+        batch.unpersist()
 
     query = (messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
