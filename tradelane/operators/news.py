@@ -41,16 +41,21 @@ def clean_news(articles: DataFrame, order: Sequence[str] = (),
     stored title, description and address are shortened to 300, 500 and 500
     characters; the title is matched before it is shortened. A kept article with
     a bad date is dropped.
+
+    Articles are classified where they are read and whole titles are compared by
+    their SHA-256, so the shuffle carries the short columns only, never the text.
     """
     df = articles.withColumn("title", strip(F.col("title")))
     df = df.where((F.col("title") != "") & (F.col("title") != "[Removed]"))
-    df = dedupe_first(df, ["title"], [F.col(c) for c in order] or [F.col("publishedAt")])
     df = df.withColumn("description", F.substring(F.coalesce("description", F.lit("")), 1, 500))
     df = classify_news(df, keywords=keywords, routes=routes)
-    return df.withColumns({
+    df = df.withColumns({
+        "_key": F.sha2("title", 256),
         "pub_date": F.try_to_timestamp("publishedAt"),
         "title": F.substring("title", 1, 300),
         "url": F.substring(F.coalesce("url", F.lit("")), 1, 500),
         "source_name": F.coalesce("source_name", F.lit("unknown")),
         "source_api": F.lit("newsapi.org"),
-    }).dropna(subset=["pub_date"])
+    })
+    df = dedupe_first(df, ["_key"], [F.col(c) for c in order] or [F.col("publishedAt")])
+    return df.drop("_key").dropna(subset=["pub_date"])

@@ -76,23 +76,26 @@ def _narrow(df: DataFrame, cols: list[str], probs: Sequence[float], bins: int,
                 brackets[(c, rank)] = {"lo": first[f"lo{i}"], "hi": first[f"hi{i}"],
                                        "below": 0, "rows": n}
 
-    def tagged(open_ranks: list, extra) -> DataFrame:
-        cells = []
-        for t, (c, rank) in enumerate(open_ranks):
-            b, x = brackets[(c, rank)], F.col(c)
-            cells.append(F.when(x.between(b["lo"], b["hi"]),
-                                F.struct(F.lit(t).alias("t"), x.alias("x"),
-                                         extra(b, x).cast("int").alias("bin"))))
+    def place(key: tuple[str, int]) -> tuple:
+        """Ranks of one column in the same bracket are looked for together."""
+        return key[0], brackets[key]["lo"], brackets[key]["hi"]
+
+    def tagged(places: list[tuple], extra) -> DataFrame:
+        cells = [F.when(F.col(c).between(lo, hi),
+                        F.struct(F.lit(t).alias("t"), F.col(c).alias("x"),
+                                 extra(F.col(c), lo, hi).cast("int").alias("bin")))
+                 for t, (c, lo, hi) in enumerate(places)]
         return df.select(F.inline(F.array_compact(F.array(*cells))))
 
-    def bin_of(b: dict, x: Column) -> Column:
-        return F.least(F.floor((x - b["lo"]) / (b["hi"] - b["lo"]) * bins), F.lit(bins - 1))
+    def bin_of(x: Column, lo: float, hi: float) -> Column:
+        return F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
 
     while wide := [k for k, b in brackets.items() if b["rows"] > keep and b["lo"] < b["hi"]]:
-        counted = tagged(wide, bin_of).groupBy("t", "bin").agg(
+        places = sorted({place(k) for k in wide})
+        counted = tagged(places, bin_of).groupBy("t", "bin").agg(
             F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
-        for t, key in enumerate(wide):
-            below = brackets[key]["below"]
+        for key in wide:
+            t, below = places.index(place(key)), brackets[key]["below"]
             for r in sorted((r for r in counted if r["t"] == t), key=lambda r: r["bin"]):
                 if key[1] < below + r["n"]:
                     brackets[key] = {"lo": r["lo"], "hi": r["hi"], "below": below, "rows": r["n"]}
@@ -100,9 +103,10 @@ def _narrow(df: DataFrame, cols: list[str], probs: Sequence[float], bins: int,
                 below += r["n"]
 
     if short := [k for k, b in brackets.items() if b["lo"] < b["hi"]]:
-        values = tagged(short, lambda b, x: F.lit(0)).groupBy("t", "x").count().collect()
-        for t, key in enumerate(short):
-            below = brackets[key]["below"]
+        places = sorted({place(k) for k in short})
+        values = tagged(places, lambda x, lo, hi: F.lit(0)).groupBy("t", "x").count().collect()
+        for key in short:
+            t, below = places.index(place(key)), brackets[key]["below"]
             for r in sorted((r for r in values if r["t"] == t), key=lambda r: r["x"]):
                 below += r["count"]
                 if key[1] < below:
