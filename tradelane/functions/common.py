@@ -31,8 +31,11 @@ def code_label(code: Column, names: Mapping[int, str]) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends; text without any is left untouched."""
-    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
-    return F.when(edges.rlike("\\s"), F.trim(text, F.lit(_SPACE))).otherwise(text)
+    # looking at the two ends costs the same for any length
+    edge = text.startswith(_SPACE[0]) | text.endswith(_SPACE[0])
+    for c in _SPACE[1:]:
+        edge = edge | text.startswith(c) | text.endswith(c)
+    return F.when(edge, F.trim(text, F.lit(_SPACE))).otherwise(text)
 
 
 def round_half_up(value: Column | str, digits: int) -> Column:

@@ -42,4 +42,4 @@ def matched_routes(text: Column, routes: Mapping[str, Sequence[str]] = ROUTE_KEY
         for test in tests[1:]:
             hit = hit | test
         found.append(F.when(hit, F.lit(name)))
-    return F.array_compact(F.array(*found))
+    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
