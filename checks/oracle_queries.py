@@ -569,7 +569,7 @@ QUERIES = {
     "dash_port_kpis": f"""SELECT count(DISTINCT port_name) AS ports_monitored,
       count(*) FILTER (port_risk_flag) AS at_risk, {r('avg(wind_speed_ms)', 1)} AS avg_wind,
       {r('avg(temp_c)', 1)} AS avg_temp,
-      (SELECT {r('sum(CAST("total_B" AS DECIMAL(18,2)))', 0)} FROM mart_port_risk_trade
+      (SELECT {r('coalesce(sum(CAST("total_B" AS DECIMAL(18,2))), 0)', 0)} FROM mart_port_risk_trade
         WHERE port_risk_flag) AS "trade_at_risk_B"
       FROM port_weather WHERE fetch_date = (SELECT max(fetch_date) FROM port_weather)""",
     "dash_weather_counts": "SELECT weather_main, count(*) AS count FROM port_rows GROUP BY 1",
