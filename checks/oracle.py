@@ -451,4 +451,6 @@ def with_tables(sql: str) -> str:
 def oracle_sql() -> dict[str, str]:
     from .oracle_io import QUERIES_IO
     from .oracle_queries import QUERIES
-    return {name: with_tables(sql) for name, sql in (QUERIES | QUERIES_IO).items()}
+    from .oracle_rules import QUERIES_RULES
+    texts = QUERIES | QUERIES_IO | QUERIES_RULES
+    return {name: with_tables(sql) for name, sql in texts.items()}

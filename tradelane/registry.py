@@ -46,7 +46,7 @@ def query(name: str):
 
 
 def queries() -> dict[str, Query]:
-    from . import registry_io  # noqa: F401 - registers sources, sinks and streams
+    from . import registry_io, registry_rules  # noqa: F401 - both register their queries
     return dict(_QUERIES)
 
 
