@@ -132,8 +132,8 @@ def decide(probed: DataFrame) -> DataFrame:
     maybe = probed.where("maybe")
     groups = maybe.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"),
                                       F.max(F.struct("doc_id", "row")).alias("last"))
-    # unique on the right, so a hot digest on the left can be split by AQE
-    copies = maybe.join(groups, "sha").select(
+    # unique on the right, which is stored, so that AQE can split a hot digest on the left
+    copies = maybe.join(cut(groups, "groups"), "sha").select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("last.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
     return alone.unionAll(copies)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact, rules
+from . import classifier, exact, extraction, rules, toxicity
 from .tables import labelled_sample, read, texts
 
 
@@ -16,6 +16,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(read(spark, sf_dir, "documents"), labels)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"),
+                             labelled_sample(spark, sf_dir, "toxic", toxicity.SAMPLE))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -26,5 +31,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score_rules(docs, model)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality, op5_exact_dedup, op6_quality_rules)}
+    f.__name__: f for f in (op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction)}
