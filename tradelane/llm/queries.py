@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact, extraction, rules, toxicity
+from . import classifier, exact, extraction, packing, rules, toxicity
 from .tables import labelled_sample, read, texts
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return classifier.quality_scores(read(spark, sf_dir, "documents"), labels)
@@ -35,5 +41,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(read(spark, sf_dir, "pages"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction)}
+    f.__name__: f for f in (op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
+                            op9_best_fit_packing)}
