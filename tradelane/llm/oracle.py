@@ -10,4 +10,47 @@ WITH t AS (SELECT doc_id, sha256({AZ}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
 FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    "op1_line_dedup": """
+WITH raw AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls
+  FROM documents),
+each AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS raw FROM raw),
+real AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw) AS pos FROM each
+  WHERE regexp_matches(line, '[^ \t\n\v\f\r]')),
+runs AS (SELECT *, lead(line, 1) OVER d AS l1, lead(line, 2) OVER d AS l2 FROM real
+  WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (SELECT *,
+    length(line) >= 40 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS one,
+    l2 IS NOT NULL AND row_number() OVER (PARTITION BY line, l1, l2 ORDER BY doc_id, pos) > 1 AS run
+  FROM runs),
+gone AS (SELECT doc_id, raw, line, one OR bool_or(run) OVER (PARTITION BY doc_id ORDER BY pos
+    ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM later),
+counts AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed FROM gone GROUP BY doc_id),
+kept AS (SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.raw) AS text FROM each e
+  LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.raw = e.raw WHERE g.gone IS NOT TRUE GROUP BY e.doc_id)
+SELECT r.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM raw r LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
+    "op8_mixing": """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, md5(CAST(doc_id AS VARCHAR)) AS key,
+  length(coalesce(text, '')) + 1 AS size FROM documents),
+sizes AS (SELECT source, sum(size) AS size FROM d GROUP BY source),
+q AS (SELECT source, row_number() OVER (ORDER BY source) AS i, size, greatest(1, CAST(round(
+  pow(CAST(size AS DOUBLE), 0.5) / sum(pow(CAST(size AS DOUBLE), 0.5)) OVER () * 1000) AS BIGINT)) AS q FROM sizes),
+p AS (SELECT sum(q) AS p, list(q ORDER BY i) AS qs, count(*) AS n FROM q),
+edf AS (SELECT 0 AS t, (SELECT list_transform(qs, lambda x: CAST(0 AS BIGINT)) FROM p) AS done, CAST(NULL AS BIGINT) AS k,
+    CAST(NULL AS BIGINT) AS nth
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda x, i: CASE WHEN i = c THEN x + 1 ELSE x END), c, done[c]
+  FROM (SELECT t, done, list_min(list_filter(list_transform(done, lambda x, i: CASE
+      WHEN x < qs[i] AND CAST(floor(x * p / qs[i]) AS BIGINT) <= t
+      THEN CAST(ceil((x + 1) * p / qs[i]) AS BIGINT) * 1000000 + i END), lambda z: z IS NOT NULL)) % 1000000 AS c
+    FROM edf, p WHERE t < p)),
+plan AS (SELECT q.source, e.nth, e.t - 1 AS slot, q.q FROM edf e JOIN q ON q.i = e.k),
+b AS (SELECT doc_id, source, CAST((sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
+  ROWS UNBOUNDED PRECEDING) - size) // 200000 AS BIGINT) AS block FROM d),
+ends AS (SELECT min(plan.slot + (CAST(ceil(q.size / 200000) AS BIGINT) // q.q) * (SELECT p FROM p)) AS horizon
+  FROM q JOIN plan ON plan.source = q.source AND plan.nth = CAST(ceil(q.size / 200000) AS BIGINT) % q.q)
+SELECT b.doc_id, b.source, b.block, CAST(plan.slot + (b.block // plan.q) * (SELECT p FROM p) AS BIGINT) AS slot,
+  plan.slot + (b.block // plan.q) * (SELECT p FROM p) < (SELECT horizon FROM ends) AS in_mix
+FROM b JOIN plan ON plan.source = b.source AND plan.nth = b.block % plan.q""",
 }

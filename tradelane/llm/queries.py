@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact, extraction, packing, rules, toxicity
+from . import classifier, exact, extraction, lines, mixing, packing, rules, toxicity
 from .tables import labelled_sample, read, texts
 
 
@@ -17,6 +17,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return classifier.quality_scores(read(spark, sf_dir, "documents"), labels)
@@ -41,10 +48,15 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_pages(read(spark, sf_dir, "pages"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.schedule(docs).drop("kept", "key", "size")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
-                            op9_best_fit_packing)}
+    f.__name__: f for f in (op1_line_dedup, op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
+                            op8_mixing, op9_best_fit_packing)}
