@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact, extraction, lines, mixing, packing, rules, toxicity
+from . import classifier, exact, extraction, lines, mixing, packing, rules, substring, toxicity
 from .tables import labelled_sample, read, texts
 
 
@@ -57,6 +57,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
-                            op8_mixing, op9_best_fit_packing)}
+                            op8_mixing, op9_best_fit_packing, op10_substring_dedup)}
