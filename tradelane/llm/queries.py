@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, exact, extraction, lines, mixing, packing, rules, substring, toxicity
+from . import classifier, exact, extraction, lines, minhash, mixing, packing, rules, substring, toxicity
 from .tables import labelled_sample, read, texts
 
 
@@ -24,6 +24,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(read(spark, sf_dir, "documents")).drop("row")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return classifier.quality_scores(read(spark, sf_dir, "documents"), labels)
@@ -62,5 +66,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
+    f.__name__: f for f in (op1_line_dedup, op2_minhash, op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
                             op8_mixing, op9_best_fit_packing, op10_substring_dedup)}
