@@ -1,10 +1,16 @@
-"""Corpus pipeline: quality rules, line dedup, near-dedup, mixing, packing."""
+"""Corpus pipeline: quality rules, line dedup, near-dedup, mixing to target weights, packing.
+
+``run`` applies the stages to ``documents``; each stage's rows are written as Parquet and read
+again as the next one's documents. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradelane.llm import rules
+from tradelane.llm import lines, minhash, mixing, packing, rules
+from tradelane.llm.queries import tokenizer_path
 from tradelane.llm.tables import cut, labelled_sample, read, texts
 
 
@@ -14,8 +20,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_by_rules(docs, model)
 
 
-STAGES = [("quality_rules", quality_rules)]
-ORACLE_SQL = None  # the trees are fitted, which SQL cannot express
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated lines go, and documents of which nothing else is left."""
+    cleaned = lines.dedup_lines(docs).where("n_removed = 0 or n_removed < n_lines")
+    return cleaned.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c
+                            for c in docs.columns))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    kept = minhash.near_dedup(docs).where("kept").select(F.col("row").alias("__row"))
+    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").drop("__row")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in an order that gives the sources their target weights."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces in token sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("mixing", mix_sources), ("packing", pack)]
+ORACLE_SQL = None  # fitted trees and tokenizers are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
