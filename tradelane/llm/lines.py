@@ -68,12 +68,11 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int =
         active = _intervals(cut(named, f"names-{length}"), f"suffixes-{length}")
         starts = active.where("later").select("row", "at")
         active = active.drop("later")
+    if min_lines == 1:
+        return single.where("later").select("row", "raw")
     marks = single.select("row", "at", "raw", (F.col("long") & F.col("later")).alias("gone"),
                           F.lit(False).alias("start"))
-    if min_lines > 1:
-        marks = marks.unionByName(starts.withColumn("start", F.lit(True)), allowMissingColumns=True)
-    else:
-        marks = marks.withColumn("gone", F.lit(True)).where("gone")
+    marks = marks.unionByName(starts.withColumn("start", F.lit(True)), allowMissingColumns=True)
     run = W.partitionBy("row").orderBy("at").rangeBetween(1 - min_lines, 0)
     return (marks.withColumn("inside", F.max("start").over(run))
             .where("raw is not null and (gone or inside)").select("row", "raw"))

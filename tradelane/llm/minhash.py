@@ -67,7 +67,7 @@ def signatures(text: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, m: i
     time, k = np.zeros(len(text)), 0
     while len(text):
         k += 1
-        seed = mix(h + U(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        seed = mix(h + U(k * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
         time = time - np.log(((seed >> U(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / weight
         place = text * m + (mix(seed + U(0x632BE59BD9B4E019)) % U(m)).astype(np.int64)
         early = np.flatnonzero(time < first[place])

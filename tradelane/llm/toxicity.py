@@ -20,7 +20,7 @@ from .textops import Flat, byte_class, slices
 BUCKETS = 1 << 18
 SAMPLE = 60_000  # labelled rows the model is fitted on, at most
 LEAST_TEXTS = 4  # of the sample, for a word to get a weight
-Z = 2.5
+Z = 4.0  # deviations from chance that make a word telling
 
 _LETTER = byte_class("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _LETTER[0x80:] = True
