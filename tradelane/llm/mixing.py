@@ -33,12 +33,12 @@ def slots(weights: DataFrame, period: int = PERIOD) -> DataFrame:
 
     ``weights`` has source and weight, one row per source; sources with weight 0 or null get none.
     """
-    total = weights.where("weight > 0").agg(F.sum("weight").alias("total"))
-    q = F.greatest(F.lit(1), F.round(F.col("weight") / F.col("total") * period).cast("int"))
-    one = (weights.where("weight > 0").join(F.broadcast(total))  # one row
-           .select(F.struct("source", q.alias("q")).alias("s"))
-           .agg(F.sort_array(F.collect_list("s")).alias("s"))
-           .withColumn("p", F.aggregate("s", F.lit(0), lambda a, x: a + x["q"])).where("p > 0"))
+    each = (weights.where("weight > 0").select(F.struct("source", "weight").alias("s"))
+            .agg(F.sort_array(F.collect_list("s")).alias("w")).where(F.size("w") > 0)
+            .withColumn("total", F.aggregate("w", F.lit(0.0), lambda a, x: a + x["weight"])))
+    one = each.select(F.transform("w", lambda x: F.struct(x["source"].alias("source"), F.greatest(
+        F.lit(1), F.round(x["weight"] / F.col("total") * period).cast("int")).alias("q"))).alias("s"))
+    one = one.withColumn("p", F.aggregate("s", F.lit(0), lambda a, x: a + x["q"]))
 
     def step(acc, t):
         open_ = F.transform("s", lambda x, i: F.when(
