@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from checks import compare, oracle
 from tests.conftest import SF
+from tradelane import registry
 
-SQL = entry.oracle_sql()
+SQL, QUERIES = oracle.oracle_sql(), registry.queries()
 # at this scale some results are rightly empty (ten ports, few days)
 MAY_BE_EMPTY = {"equal but empty"}
 
@@ -16,14 +17,18 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    problem = compare.compare(spark, con, name, entry.queries()[name], SQL.get(name), SF)
+    problem = compare.compare(spark, con, name, QUERIES[name], SQL.get(name), SF)
     assert problem is None or problem in MAY_BE_EMPTY
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -2,12 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import SF
+from tradelane import registry
 from tradelane.standin import Standin
 
+QUERIES = registry.queries()
 IO = ("src_", "sink_", "stream_", "table_snapshot")
-NAMES = [n for n in entry.queries() if not n.startswith(IO)]
+NAMES = [n for n in QUERIES if not n.startswith(IO)]
 
 
 def plan_of(df) -> str:
@@ -16,7 +17,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, node
 
@@ -27,7 +28,7 @@ def test_dedupe_is_limited_before_the_shuffle(spark):
 
 
 def test_columns_and_filters_reach_the_scan(spark):
-    plan = plan_of(entry.queries()["q01_top_exporters"](spark, SF))
+    plan = plan_of(QUERIES["q01_top_exporters"](spark, SF))
     line = next(x for x in plan.splitlines() if "lineitem.parquet" in x)
     assert "l_discount" not in line and "l_shipdate" not in line
     assert "IsNotNull(l_orderkey)" in line
@@ -40,7 +41,7 @@ def test_results_do_not_depend_on_partitioning(spark):
     try:
         for n in ("1", "7"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            results.append([sorted(map(repr, entry.queries()[x](spark, SF).collect())) for x in names])
+            results.append([sorted(map(repr, QUERIES[x](spark, SF).collect())) for x in names])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
