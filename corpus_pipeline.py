@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    kept = minhash.near_dedup(docs).where("kept").select(F.col("row").alias("__row"))
+    kept = minhash.near_dedup(docs).where("kept").select(F.col("row").alias("__row")).hint("merge")
     return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").drop("__row")
 
 

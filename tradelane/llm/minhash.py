@@ -156,7 +156,8 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
     """The pairs (one, two) that are similar; each side's profile is fetched by its row."""
     own = profiles.select("row", "ids", "counts")
-    both = (pairs.join(own.withColumnRenamed("row", "one"), "one")
+    # merged at every size: the pairs grow with the data, and AQE can split a hot leader
+    both = (pairs.hint("merge").join(own.withColumnRenamed("row", "one"), "one").hint("merge")
             .join(own.toDF("two", "ids2", "counts2"), "two"))
     return cut(both.mapInArrow(_verify, "one long, two long"), name)
 
@@ -244,7 +245,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = cut(same, "same-shingles")
     named = cut(slim.join(same, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.coalesce("one", "row").alias("one")), "shingle-classes")
-    alone = profiles.join(named.where("one = row").select("row"), "row")
+    alone = profiles.join(named.where("one = row").select("row").hint("merge"), "row")
     comp = near_components(cut(alone, "distinct-profiles")).toDF("one", "comp")
     found = cut(named.join(comp, "one", "left").select("row", "doc_id", F.coalesce("comp", "one").alias("comp")), "classes")
     classes = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
