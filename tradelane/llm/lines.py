@@ -44,8 +44,8 @@ def _intervals(suffixes: DataFrame, name: str) -> DataFrame:
     found = (suffixes.groupBy("a", "b")
              .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at")).alias("first"))
              .where("n > 1").drop("n"))
-    # the stored side is unique, so AQE can split a hot name on the other
-    shared = suffixes.join(cut(found, f"{name}-intervals"), ["a", "b"])
+    # the stored side is unique, so AQE can split a hot name on the other; merged at every size
+    shared = suffixes.join(cut(found, f"{name}-intervals").hint("merge"), ["a", "b"])
     later = F.struct("doc_id", "row", "at") != F.col("first")
     return cut(shared.select(*suffixes.columns, later.alias("later")), name)
 
@@ -92,7 +92,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LO
                         F.coalesce(F.col(f"kept.`{text_col}`"), F.lit("")).alias("text"))
     gone = (repeated_lines(slim, min_lines, long_line).groupBy("row")
             .agg(F.sort_array(F.collect_list("raw")).alias("gone")))  # no longer than its document
-    both = whole.join(cut(gone, "gone"), "row", "left").withColumn(
+    both = whole.join(cut(gone, "gone").hint("merge"), "row", "left").withColumn(
         "lines", _split(F.coalesce(F.col(f"kept.`{text_col}`"), F.lit(""))))
     between = F.transform(
         F.sequence(F.lit(0), F.size("gone")),
