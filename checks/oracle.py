@@ -213,12 +213,12 @@ TABLES = {
     "vessels_daily": """SELECT * FROM vessels QUALIFY row_number() OVER (
         PARTITION BY mmsi, fetch_date ORDER BY event_time_utc DESC, event_id DESC) = 1""",
     "port_names": "SELECT [" + ", ".join(q(p[0]) for p in dims.PORTS) + "] AS names",
-    "port_rows": f"""SELECT CASE WHEN s_suppkey < 100 THEN names[s_suppkey + 1]
-          ELSE concat(names[s_suppkey % 100 + 1], ' #', s_suppkey // 100) END AS port_name,
-        concat('N', lpad(CAST(s_nationkey AS VARCHAR), 2, '0')) AS country_iso,
-        CAST(s_suppkey + 1 AS INT) AS port_rank, CAST(ts AS DATE) AS fetch_date,
+    "port_rows": f"""SELECT CASE WHEN user_id < 100 THEN names[user_id + 1]
+          ELSE concat(names[user_id % 100 + 1], ' #', user_id // 100) END AS port_name,
+        concat('N', lpad(CAST(coalesce(s_nationkey, user_id % 25) AS VARCHAR), 2, '0')) AS country_iso,
+        CAST(user_id + 1 AS INT) AS port_rank, CAST(ts AS DATE) AS fetch_date,
         ts AS fetched_at, event_id, {WX}
-      FROM supplier JOIN events ON user_id = s_suppkey CROSS JOIN port_names""",
+      FROM events LEFT JOIN supplier ON user_id = s_suppkey CROSS JOIN port_names""",
     "port_weather": f"""SELECT *, {bf_name('Hurricane')} AS beaufort_desc,
         beaufort_number >= 7 AS port_risk_flag, visibility_m < 1000 AS low_visibility
       FROM (SELECT *, {BF} AS beaufort_number FROM port_rows)""",
@@ -248,7 +248,7 @@ TABLES = {
         CASE WHEN found = '' THEN 'General' ELSE found END AS relevant_routes
       FROM (SELECT *, {HITS} AS hits, {NEWS_MATCH} AS found
         FROM (SELECT *, lower(concat(title, ' ', description)) AS txt FROM articles))""",
-    "news": """SELECT * REPLACE (substr(title, 1, 300) AS title) FROM (
+    "news": """SELECT * FROM (
         SELECT * FROM classified WHERE title NOT IN ('', '[Removed]')
         QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1)
       WHERE pub_date IS NOT NULL""",

@@ -27,7 +27,6 @@ AIS = f"""SELECT {said("CASE WHEN st THEN 'ShipStaticData' ELSE 'PositionReport'
   {said("concat('PORT ', k % 9)", 'st')} AS destination, {said('k', 'st')} AS vessel_type,
   {said("strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", 'true')} AS event_time_utc, bad AS malformed
   FROM {MESSAGES}"""
-FINAL = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 QUERIES_IO = {
     "src_trade_csv": """SELECT "reporterISO", "cmdCode", "flowDesc", "refYear",
@@ -49,30 +48,52 @@ QUERIES_IO = {
       beaufort_number, port_risk_flag, {GAP} AND low_visibility AS low_visibility,
       {day('fetch_date')}, CAST(year(p.fetch_date) AS INT) AS fetch_year,
       CAST(month(p.fetch_date) AS INT) AS fetch_month
-      FROM port_weather p JOIN port_dim d ON d.port_name = p.port_name""",
+      FROM port_weather p LEFT JOIN port_dim d ON d.port_name = p.port_name""",
+    "src_strait_json": f"""SELECT *, CASE WHEN disruption_score >= 60 THEN 'Critical'
+        WHEN disruption_score >= 40 THEN 'High' WHEN disruption_score >= 20 THEN 'Moderate'
+        ELSE 'Normal' END AS risk_level
+      FROM (SELECT strait_name, region, geopolitical_risk, trade_pct_global, {stamp('fetched_at')}, temp_c,
+        wind_speed_ms, CASE WHEN {GAP} THEN wind_speed_ms * 2 ELSE wind_speed_ms END AS wind_gust_ms,
+        visibility_m, beaufort_number, beaufort_number >= 7 AS weather_risk_flag,
+        CAST(least(100, CASE geopolitical_risk WHEN 'Very High' THEN 40 WHEN 'High' THEN 25
+          WHEN 'Medium' THEN 10 ELSE 0 END + least(beaufort_number * 6, 60)
+          + CASE WHEN visibility_m < 1000 THEN 10 WHEN visibility_m < 5000 THEN 5 ELSE 0 END) AS INT)
+          AS disruption_score, {day('fetch_date')}
+      FROM (SELECT * REPLACE (CAST(CASE WHEN {GAP} THEN visibility_m ELSE 10000 END AS INT) AS visibility_m)
+        FROM strait_conditions))""",
     "src_ais_jsonl": AIS,
     "src_fuel_json": "SELECT CAST(date AS VARCHAR) AS date, brent_usd_per_bbl FROM fuel_raw",
     "src_news_json": """SELECT title, description, coalesce(strftime(pub_date, '%Y-%m-%dT%H:%M:%S'),
       'not a date') AS "publishedAt", url, source_name FROM articles""",
     "src_clean_csv": f"""SELECT {day('date')}, bdi_value, daily_change_pct, is_spike, year, weekday,
       'investing_bdi_csv' AS source FROM bdi_daily""",
+    "src_fallback": f"""SELECT 'static' AS branch, {day('date')}, bdi_value, is_spike FROM bdi_daily UNION ALL
+      SELECT 'daily', {day('date')}, bdi_value, is_spike FROM bdi_daily WHERE year % 2 = 0""",
+    "sink_merge_days": f"""SELECT event_id, port_name, {stamp('fetched_at')}, wind_speed_ms,
+      {day('fetch_date')} FROM port_rows""",
     "sink_append": f"""SELECT event_id, port_name, wind_speed_ms, CASE WHEN fetch_date >=
       DATE '2024-01-16' THEN temp_c END AS temp_c, {day('fetch_date')} FROM port_rows""",
     "sink_overwrite": "SELECT CAST(date AS VARCHAR) AS date, brent_usd_per_bbl FROM fuel_raw",
     "sink_raw_json": """SELECT event_id, mmsi, sog_knots, '2024-02-01' AS dt FROM vessel_rows""",
     "table_snapshot": """SELECT d AS snap_date, count(*) AS rows FROM fuel_raw,
       (VALUES ('20240201'), ('20240118')) AS v(d) GROUP BY 1""",
-    "stream_ais_source": f"SELECT * EXCLUDE (malformed) FROM ({AIS}) WHERE message_type IS NOT NULL",
+    "stream_ais_source": AIS,
+    "stream_filter_type": f"""SELECT message_type, mmsi, latitude, longitude, event_time_utc FROM ({AIS})
+      WHERE message_type IS NOT NULL""",
     "stream_dedupe_daily": f"""SELECT mmsi, {day('fetch_date')}, event_id, sog_knots, port_guess
-      FROM vessels_daily v WHERE v.fetch_date + INTERVAL 1 DAY <= {FINAL}""",
-    "stream_strait_counts": f"""SELECT CAST(v.fetch_date AS VARCHAR) AS fetch_date,
+      FROM vessels_daily v""",
+    "stream_strait_counts": """SELECT CAST(v.fetch_date AS VARCHAR) AS fetch_date,
       port_guess AS strait_name, count(*) AS vessels, count(*) FILTER (is_moving) AS moving
-      FROM vessels_daily v WHERE is_strait AND v.fetch_date + INTERVAL 1 DAY <= {FINAL} GROUP BY ALL""",
-    "stream_route_activity": f"""SELECT CAST(CAST(v.fetch_date - CAST(i AS INT) AS DATE) AS VARCHAR)
-        AS window_start, route, count(*) AS messages, {r('avg(sog_knots)', 6)} AS avg_speed
-      FROM (SELECT * FROM all_routed) v, range(7) g(i)
-      WHERE v.fetch_date - CAST(i AS INT) + INTERVAL 7 DAY <= {FINAL} GROUP BY ALL""",
-    "stream_upsert_history": f"""SELECT event_id, mmsi, sog_knots, {day('fetch_date')}, 0 AS batch_id
+      FROM vessels_daily v WHERE is_strait GROUP BY ALL""",
+    "stream_route_activity": f"""SELECT CAST(w AS VARCHAR) AS window_start, a.route, messages, avg_speed,
+        vessels, b.v AS baseline_avg_vessels,
+        {r('(CAST(vessel_days AS DOUBLE) / 7 - b.v) / nullif(b.v, 0) * 100', 1)} AS vessels_vs_baseline_pct
+      FROM (SELECT CAST(v.fetch_date - CAST(i AS INT) AS DATE) AS w, route, count(*) AS messages,
+          {r('avg(sog_knots)', 6)} AS avg_speed, count(DISTINCT mmsi) AS vessels,
+          count(DISTINCT (mmsi, v.fetch_date)) AS vessel_days
+        FROM (SELECT * FROM all_routed) v, range(7) g(i) GROUP BY ALL) a
+      LEFT JOIN (SELECT route, baseline_avg_vessels AS v FROM route_baselines) b USING (route)""",
+    "stream_upsert_history": f"""SELECT event_id, mmsi, sog_knots, {day('fetch_date')}
       FROM vessel_rows""",
     "stream_enrich_static": QUERIES["enrich_static"],
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tradelane import dims
 from tradelane.functions.weather import _BANDS
 
+from .fixed import GEO_ORDER, NEWS_WORDS, ROUTE_WORDS
 from .oracle import (ALERT, B, BADGE, CONC, CONGEST, CORR, FIRST_WORD, HS_CASE, NOTE, PRIORITY,
                      ROUTE_CASE, SENS_CASE, SPEED, T, TABLES, TS, WHOLE, bf_name, case, counts, current, q,
                      r, usd, yoy)
@@ -137,7 +138,11 @@ QUERIES = {
       FROM index_raw WHERE date IS NOT NULL AND price IS NOT NULL""",
     "dedupe_first": """SELECT reporter_iso, partner_iso, hs_code, flow_direction, year,
       trade_value_usd, l_orderkey FROM trade_unique""",
-    "dedupe_exact": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedupe_exact": "SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem",
+    "src_route_config": """SELECT route_name, strait_name, readings, worst_score
+      FROM (SELECT route_name, unnest(points) AS strait_name FROM cfg)
+      LEFT JOIN (SELECT strait_name, count(*) AS readings, max(disruption_score) AS worst_score
+        FROM strait_conditions GROUP BY 1) USING (strait_name)""",
     "dedupe_latest": f"""SELECT mmsi, {day('fetch_date')}, event_id, sog_knots, port_guess
       FROM vessels_daily""",
     "latest_snapshot": f"""SELECT port_name, event_id, {day('fetch_date')}, wind_speed_ms
@@ -213,6 +218,11 @@ QUERIES = {
       risk_level, risk_score, relevant_routes FROM news""",
     "classify_news": """SELECT doc_id, hits AS risk_hits, risk_level, risk_score, relevant_routes
       FROM classified""",
+    "classify_news_lists": f"""SELECT doc_id, {' + '.join(f"CAST(contains(txt, {q(w)}) AS INT)" for w in NEWS_WORDS)}
+        AS risk_hits, coalesce(nullif(concat_ws(', ', {', '.join(
+          f"CASE WHEN {' OR '.join(f'contains(txt, {q(w)})' for w in words)} THEN {q(route)} END"
+          for route, words in ROUTE_WORDS)}), ''), 'General') AS relevant_routes
+      FROM (SELECT doc_id, lower(concat(title, ' ', description)) AS txt FROM articles)""",
     "union_sources": f"""SELECT * REPLACE (CAST(date AS VARCHAR) AS date),
       row_number() OVER (ORDER BY source, date NULLS LAST, row_key) AS row_id FROM (
       SELECT 'un_comtrade' AS source, make_date(year, 1, 1) AS date,
@@ -396,8 +406,8 @@ QUERIES = {
         {r('"disruption_exposure_B"', 1)} AS "disruption_exposure_B",
         (SELECT max(beaufort_number) FROM {AT_RISK_VIEW}) AS china_max_beaufort_today,
         (SELECT bool_or(port_risk_flag) FROM {AT_RISK_VIEW}) AS china_port_at_risk_today,
-        (SELECT string_agg(port_name, ', ' ORDER BY port_name) FROM {AT_RISK_VIEW} WHERE port_risk_flag)
-          AS china_ports_at_risk,
+        (SELECT string_agg(port_name, ', ' ORDER BY port_name) FROM (SELECT port_name FROM {AT_RISK_VIEW}
+          WHERE port_risk_flag ORDER BY beaufort_number DESC, port_name LIMIT 10)) AS china_ports_at_risk,
         (SELECT count(*) FROM {AT_RISK_VIEW} WHERE port_risk_flag) AS risk_port_count
         FROM mart_china_concentration
         WHERE year = (SELECT max(year) FROM mart_china_concentration))""",
@@ -411,7 +421,8 @@ QUERIES = {
         {r('avg(disruption_score)', 1)} AS avg_strait_score, max(disruption_score) AS worst_strait_score,
         string_agg(concat(strait_name, ': ', disruption_score, '/100 (', risk_level, ')'), ' | '
           ORDER BY disruption_score DESC, strait_name) AS strait_breakdown,
-        max(geopolitical_risk) AS highest_geo_risk, 'Very High' AS highest_geo_risk_ordinal,
+        max(geopolitical_risk) AS highest_geo_risk, arg_max(geopolitical_risk,
+          list_position([{', '.join(q(w) for w in GEO_ORDER)}], geopolitical_risk)) AS highest_geo_risk_ordinal,
         CAST(sum(trade_pct_global) AS BIGINT) AS total_trade_pct_through_straits,
         (SELECT count(*) FROM mart_port_risk_trade WHERE port_risk_flag AND port_name IN
           ('Shanghai', 'Ningbo-Zhoushan', 'Shenzhen', 'Busan')) AS origin_ports_at_risk,
@@ -474,7 +485,8 @@ QUERIES = {
         THEN 'CAUTION: High fuel cost + elevated news risk' ELSE 'Normal operating conditions' END
         AS risk_interpretation
       FROM current_vs_historical c LEFT JOIN (SELECT * FROM strait_conditions
-        WHERE fetch_date = (SELECT max(fetch_date) FROM strait_conditions)) s
+        WHERE fetch_date = (SELECT max(fetch_date) FROM strait_conditions)
+        QUALIFY row_number() OVER (PARTITION BY strait_name ORDER BY fetched_at DESC, event_id DESC) = 1) s
       ON lower(s.strait_name) LIKE lower(split_part(c.route, ' ', 1) || '%')""",
     "view_trade_balance": f"""SELECT * REPLACE (CAST(hs_code AS VARCHAR) AS hs_code)
       RENAME (balance AS "balance_B") FROM ({BALANCE_VIEW})""",

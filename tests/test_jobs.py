@@ -13,7 +13,9 @@ from tradelane.standin import Standin
 def land(spark, sf_dir, root):
     s = Standin(spark, sf_dir)
     named = F.when(F.col("reporterISO") == " n07 ", "CHN").otherwise(F.col("reporterISO"))
-    sinks.sink_csv(s.trade_raw.withColumn("reporterISO", named).coalesce(1), f"{root}/trade/TradeData_1.csv")
+    raw = s.trade_raw.withColumn("reporterISO", named)
+    for i, name in enumerate(("TradeData_1.csv", "comtrade_2.csv", "un_comtrade_3.csv")):
+        sinks.sink_csv(raw.where(F.pmod("l_orderkey", F.lit(3)) == i).repartition(2), f"{root}/trade/{name}")
     sinks.sink_csv(s.index_raw, f"{root}/index")
     weather_lines(s).write.json(f"{root}/port_weather")
     weather_lines(s).withColumn("place", F.when(F.col("place") == "Singapore", "Suez Canal")
@@ -44,10 +46,16 @@ def test_daily_run(spark, sf_dir, tmp_path):
     assert shares.where("china_share_pct > 0").count() > 0
     ports = read("analysis_port_risk_trade").where("country_iso = 'CN'")
     assert ports.where("total_B is not null").count() == ports.count() > 0
-    before = ships.count()
-    again = jobs.sources(spark, landing, run_date)["vessel_movements"]
-    sinks.sink_replace_days(again, f"{warehouse}/vessel_movements")  # a repeat changes nothing
-    assert read("vessel_movements").count() == before
+    before = sorted(map(str, ships.collect()))
+    late = jobs.sources(spark, landing, run_date)["vessel_movements"]
+    late = late.where("mmsi % 2 = 0").withColumn("mmsi", F.col("mmsi") + 10**9)  # further vessels of old days
+    keys, newest = jobs.HISTORIES["vessel_movements"]
+    for _ in range(2):  # a repeat changes nothing
+        sinks.sink_merge_days(late, f"{warehouse}/vessel_movements", keys, [F.col(newest).desc()])
+    spark.catalog.clearCache()
+    after = spark.read.parquet(f"{warehouse}/vessel_movements")
+    assert sorted(map(str, after.where("mmsi < 1000000000").select(*ships.columns).collect())) == before
+    assert after.where("mmsi >= 1000000000").count() == late.count() > 0
 
 
 def test_nothing_landed(spark, tmp_path):

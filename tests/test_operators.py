@@ -31,7 +31,7 @@ def test_rolling_bucketed(spark, chunk):
     data = [(i, random.randrange(8), float(random.randrange(100))) for i in range(120)]
     df = spark.createDataFrame(data, "id int, t int, v double").repartition(5)
     out = series.rolling_bucketed(
-        df, ["t", "id"], {"_b": F.col("t")}, 6,
+        df, ["t", "id"], 6,
         lambda w: {"s": F.sum("v").over(w.rowsBetween(-5, 0)), "p": F.lag("v", 6).over(w)},
         chunk_rows=chunk).collect()
     ordered = sorted(data, key=lambda r: (r[1], r[0]))
@@ -45,7 +45,7 @@ def test_rolling_bucketed(spark, chunk):
 
 def test_rolling_bucketed_rejects_short_chunks(spark):
     with pytest.raises(ValueError):
-        series.rolling_bucketed(spark.range(3), ["id"], {}, 5, lambda w: {}, chunk_rows=4)
+        series.rolling_bucketed(spark.range(3), ["id"], 5, lambda w: {}, chunk_rows=4)
 
 
 @pytest.mark.parametrize("width", [1, 10, 1000])
@@ -68,7 +68,7 @@ def test_row_numbers_are_dense_and_ordered(spark):
     b = [(random.choice(["b", None]), random.choice([None, dt.date(2024, 1, 2)]), i)
          for i in range(60)]
     frames = [spark.createDataFrame(x, "source string, date date, row_key long") for x in (a, b)]
-    rows = combine.union_sources(frames, "row_key", key_span=50).orderBy("row_id").collect()
+    rows = combine.union_sources(frames, "row_key").orderBy("row_id").collect()
     assert [r.row_id for r in rows] == list(range(1, 361))
     keys = [(r.source, r.date is None, r.date or dt.date.min, r.row_key) for r in rows]
     assert keys == sorted(keys)
@@ -121,8 +121,8 @@ def test_news_cleaning(spark):
     out = {r.n: r for r in news.clean_news(df, ["n"]).collect()}
     assert sorted(out) == [1, 7]
     assert out[1].risk_level == "MEDIUM" and out[1].source_name == "unknown"
-    assert len(out[7].title) == 300 and len(out[7].description) == 500
-    assert out[7].risk_level == "LOW"
+    assert len(out[7].title) == 301 and len(out[7].description) == 505
+    assert out[7].risk_level == "MEDIUM"  # the word stands at the very end
 
 
 def test_one_sided_countries(spark):
@@ -174,10 +174,87 @@ def test_missing_sources_are_empty(spark, tmp_path):
         readers.src_trade_csv(spark, str(tmp_path))
 
 
-def test_newest_trade_file_in_latin1(spark, tmp_path):
-    for name, country in (("TradeData_1.csv", "Chile"), ("TradeData_2.csv", "Côte d'Ivoire")):
+def test_all_trade_files_in_latin1(spark, tmp_path):
+    for name, country in (("TradeData_1.csv", "Chile"), ("un_comtrade_2.csv", "Côte d'Ivoire"), ("fuel.csv", "no")):
         (tmp_path / name).write_bytes(f"reporterDesc,refYear\n{country},2020\n".encode("latin-1"))
-    assert readers.src_trade_csv(spark, str(tmp_path)).first().reporterDesc == "Côte d'Ivoire"
+    (tmp_path / "comtrade_3.csv").write_text("refYear,reporterDesc,motDesc\n2021,Peru,Sea\n2021,Peru,Air\n")
+    rows = readers.src_trade_csv(spark, str(tmp_path), position=True)
+    got = [(r.reporterDesc, r.refYear, r.motDesc) for r in rows.orderBy("_position").collect()]
+    assert got == [("Chile", "2020", None), ("Peru", "2021", "Sea"), ("Peru", "2021", "Air"),
+                   ("Côte d'Ivoire", "2020", None)]
+    newest = readers.src_trade_csv(spark, str(tmp_path), newest_only=True)
+    assert [r.reporterDesc for r in newest.collect()] == ["Côte d'Ivoire"]
+
+
+def test_only_other_files_are_no_trade(spark, tmp_path):
+    (tmp_path / "fuel.csv").write_text("date\n2020\n")
+    with pytest.raises(FileNotFoundError):
+        readers.src_trade_csv(spark, str(tmp_path))
+
+
+def test_late_rows_join_their_day(spark, tmp_path):
+    path = str(tmp_path / "h")
+
+    def land(rows):
+        df = spark.createDataFrame(rows, "k int, t int, v string, d string")
+        sinks.sink_merge_days(df.withColumn("fetch_date", F.to_date("d")).drop("d"), path, ["k", "fetch_date"],
+                              [F.col("t").desc()])
+
+    land([(k, 5, "old", "2024-02-01") for k in range(100)])
+    second = [(0, 9, "newer", "2024-02-01"), (1, 1, "older", "2024-02-01"), (200, 5, "late", "2024-02-01"),
+              (0, 1, "next", "2024-02-02")]
+    for _ in range(2):  # a repeat changes nothing
+        land(second)
+        rows = {(r.k, str(r.fetch_date)): r.v for r in sinks.read_history(spark, path).collect()}
+        assert len(rows) == 102 and rows[(0, "2024-02-01")] == "newer" and rows[(1, "2024-02-01")] == "old"
+        assert rows[(200, "2024-02-01")] == "late" and rows[(0, "2024-02-02")] == "next"
+
+
+@pytest.mark.parametrize("extra", [[float("nan")] * 3, [float("inf")] * 2, [float("-inf"), 1e308], [1e300, None]])
+def test_exact_quantiles_with_odd_values(spark, extra):
+    values = [float(i % 997) for i in range(6000)] + extra
+    df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
+    real = sorted(v for v in values if v is not None and v == v)
+    got = quality.exact_quantiles(df, ["a"], (0.0, 0.25, 0.5, 1.0), keep=50)
+    for p in (0.0, 0.25, 0.5, 1.0):
+        at = (len(real) - 1) * p
+        low, high = real[int(at)], real[min(int(at) + 1, len(real) - 1)]
+        assert got[("a", p)] == (low if low == high or at == int(at) else low + (high - low) * (at - int(at)))
+
+
+def test_places_outside_the_dimension_stay(spark, tmp_path):
+    (tmp_path / "w.json").write_text(
+        '{"place": "Nowhere", "fetched_at": "2024-01-01T00:00:00Z", "wind": {"speed": 3.0}}\n'
+        '{"place": "Home", "fetched_at": "2024-01-01T00:00:00Z", "wind": {"speed": 4.0}}\n')
+    own = spark.createDataFrame([("Home", "HM", 1, 1.0, 2.0)],
+                                "port_name string, country_iso string, port_rank int, lat double, lon double")
+    rows = {r.port_name: r for r in readers.src_weather_json(spark, str(tmp_path), own).collect()}
+    assert rows["Home"].country_iso == "HM" and rows["Nowhere"].country_iso is None
+    assert rows["Nowhere"].beaufort_number is not None
+
+
+def test_own_routes_find_their_ports_at_risk(spark):
+    wx = spark.createDataFrame(
+        [(p, True, "2024-01-01", 9) for p in ("Tokyo", "Osaka", "Rotterdam")],
+        "port_name string, port_risk_flag boolean, d string, beaufort_number int").withColumns(
+        {"fetch_date": F.to_date("d"), "fetched_at": F.to_timestamp("d")})
+    straits = spark.createDataFrame([("S", 10, "Normal", "Low", 3, "2024-01-01")],
+        "strait_name string, disruption_score int, risk_level string, geopolitical_risk string, "
+        "beaufort_number int, d string").withColumns({"fetch_date": F.to_date("d"), "fetched_at": F.to_timestamp("d")})
+    own = spark.createDataFrame([("Mine", ["Tokyo"], ["Osaka"], "S", None, [2709], "n")],
+        "route string, origin_ports array<string>, dest_ports array<string>, strait string, "
+        "alt_strait string, hs_codes array<int>, route_notes string")
+    r = marts.route_disruption(straits, wx, own).first()
+    assert (r.origin_ports_at_risk, r.dest_ports_at_risk) == ("Tokyo", "Osaka")
+
+
+def test_long_descriptions_are_classified_whole(spark):
+    text = "quiet " * 300 + "attack piracy houthi"
+    df = spark.createDataFrame([("t", text, "2024-01-01T00:00:00", "u", "s")],
+                               "title string, description string, publishedAt string, url string, source_name string")
+    row = news.clean_news(df, keywords=["attack", "piracy", "houthi"]).first()
+    assert row.risk_level == "HIGH" and row.description == text
+    assert len(news.clean_news(df, stored={"description": 500}).first().description) == 500
 
 
 def test_repeated_day_is_replaced(spark, tmp_path):

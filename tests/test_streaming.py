@@ -27,7 +27,7 @@ def test_enrich_static_across_batches(spark, sf_dir, tmp_path):
     events, source = landed_in_order(spark, sf_dir, tmp_path)
     out = str(tmp_path / "out")
     query = stream.stream_enrich_static(vessel_messages(source), out, str(tmp_path / "state"),
-                                        str(tmp_path / "ck"), keep_days=400)
+                                        str(tmp_path / "ck"))
     assert query.lastProgress["batchId"] >= 2
     got = spark.read.parquet(out).select(*KEEP)
     want = asof.enrich_static(vessel_messages(events)).select(*KEEP)
@@ -38,21 +38,40 @@ def test_history_is_written_once(spark, sf_dir, tmp_path):
     events, source = landed_in_order(spark, sf_dir, tmp_path)
     rows = vessel_rows(source).select("event_id", "fetch_date")
     out = str(tmp_path / "out")
-    for _ in range(2):  # the second run finds nothing new
-        stream.stream_upsert_history(rows, out, str(tmp_path / "ck"))
+    for ck in ("ck", "ck", "new"):  # nothing new, then everything again under a new checkpoint
+        stream.stream_upsert_history(rows, out, str(tmp_path / ck), ["event_id"], [F.col("event_id")])
     ids = [r.event_id for r in spark.read.parquet(out).collect()]
     assert len(ids) == len(set(ids)) == events.count()
 
 
 def test_daily_last_position_over_batches(spark, sf_dir, tmp_path):
     events, source = landed_in_order(spark, sf_dir, tmp_path)
-    df = stream.stream_dedupe_daily(vessel_rows(source), ["event_id"])
-    out = str(tmp_path / "out")
-    stream.run_available(df, out, str(tmp_path / "ck"))
-    got = {(r.mmsi, r.day.start.date()): r.event_id
-           for r in spark.read.schema(df.schema).parquet(out).collect()}
+    df = stream.stream_dedupe_daily(vessel_rows(source), ["event_id"], delay="40 days")
+    rows = stream.run_complete(df, str(tmp_path / "out"), str(tmp_path / "ck"), ["mmsi", "day"], "day.end").collect()
+    got = {(r.mmsi, r.day.start.date()): r.event_id for r in rows}
+    assert len(got) == len(rows)
     want = {}
     for r in vessel_rows(events).orderBy("event_time_utc").collect():
         want[(r.mmsi, r.fetch_date)] = r.event_id
-    last_day = max(d for _, d in want)
-    assert got == {k: v for k, v in want.items() if k[1] < last_day}
+    assert got == want and not all(r.final for r in rows)
+
+
+def test_late_positions_find_the_static_of_their_time(spark, tmp_path):
+    """An old static message is remembered, and a late position takes the one before it."""
+    def land(i, rows):
+        spark.createDataFrame(rows, SCHEMA).withColumn("event_time_utc", F.to_timestamp("t")).drop("t") \
+            .coalesce(1).write.parquet(str(tmp_path / "in" / f"p{i}"))
+
+    SCHEMA = ("message_id long, mmsi long, t string, message_type string, ship_name string, imo long, "
+              "call_sign string, destination string, vessel_type int, eta string")
+    static = lambda i, t, name: (i, 1, t, "ShipStaticData", name, i, None, None, None, None)
+    seen = lambda i, t: (i, 1, t, "PositionReport", None, None, None, None, None, None)
+    land(0, [static(1, "2024-01-01", "OLD")])
+    land(1, [seen(2, "2024-02-20"), static(3, "2024-02-21", "NEW")])
+    land(2, [seen(4, "2024-02-22")])
+    land(3, [seen(5, "2024-02-19")])
+    schema = spark.read.parquet(str(tmp_path / "in" / "p0")).schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    out = str(tmp_path / "out")
+    stream.stream_enrich_static(source, out, str(tmp_path / "state"), str(tmp_path / "ck"))
+    assert {r.message_id: r.ship_name for r in spark.read.parquet(out).collect()} == {2: "OLD", 4: "NEW", 5: "OLD"}

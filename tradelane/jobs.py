@@ -3,8 +3,8 @@
     spark-submit -m tradelane.jobs --landing DIR --warehouse DIR --run-date 2024-02-01
 
 Order: sources, routes, marts. Each table is a folder below the warehouse. Histories
-(port weather, strait conditions, vessel movements) are written per day, so running a
-day again replaces that day; everything else is rebuilt.
+(port weather, strait conditions, vessel movements) are merged by key: late rows join the
+day they belong to, and running a day again changes nothing. Everything else is rebuilt.
 """
 
 from __future__ import annotations
@@ -21,13 +21,22 @@ from .plans import marts, routes
 from .session import get_session
 from .sources import readers, sinks
 
-HISTORIES = ("port_weather", "strait_conditions", "vessel_movements")
+# key of each history, and the column whose newest value wins
+HISTORIES = {"port_weather": (["port_name", "fetched_at"], "fetched_at"),
+             "strait_conditions": (["strait_name", "fetched_at"], "fetched_at"),
+             "vessel_movements": (["mmsi", "fetch_date"], "event_time_utc")}
+POSITION = readers.POSITION
+
+
+def vessel_rejects(messages: DataFrame) -> DataFrame:
+    """Messages that are broken or name no vessel: no key to find their static data by."""
+    return messages.where(F.col("malformed") | F.col("mmsi").isNull()).drop(POSITION)
 
 
 def vessel_movements(messages: DataFrame, run_date: dt.date) -> DataFrame:
     """Typed messages to the last enriched, labelled position per vessel and day."""
-    df = messages.where(~F.col("malformed")).withColumns({
-        "message_id": F.xxhash64("mmsi", "event_time_utc", "message_type", "latitude", "longitude"),
+    df = messages.where(~F.col("malformed") & F.col("mmsi").isNotNull()).withColumns({
+        "message_id": F.col(POSITION),  # messages of one second follow each other as in their file
         "capture_utc": F.lit(run_date).cast("timestamp"),
     })
     df = df.withColumn("event_time_utc", F.coalesce("event_time_utc", "capture_utc"))
@@ -37,16 +46,13 @@ def vessel_movements(messages: DataFrame, run_date: dt.date) -> DataFrame:
     df = df.withColumn("fetch_date", F.to_date("event_time_utc"))
     df = cleaning.dedupe_latest(df, ["mmsi", "fetch_date"], "event_time_utc", ["message_id"])
     df = cleaning.date_parts(df, "event_time_utc", ("year", "month", "day", "hour"))
-    return cleaning.tag_source(df.drop("malformed", "message_id"), "aisstream",
+    return cleaning.tag_source(df.drop("malformed", "message_id", POSITION), "aisstream",
                                "vessel_movement", "event")
 
 
 def trade_flows(raw: DataFrame) -> DataFrame:
     """Cleaned trade rows with outlier flag, balance and growth."""
-    keys = [F.col(c) for c in ("reporterISO", "partnerISO", "cmdCode", "flowDesc", "refYear",
-                               "primaryValue") if c in raw.columns]
-    raw = raw.withColumn("_order", F.xxhash64(*keys))
-    df = cleaning.clean_trade(raw, [F.col("_order"), F.col("trade_value_usd")]).drop("_order")
+    df = cleaning.clean_trade(raw, [F.col(POSITION)]).drop(POSITION)
     df = trade.yoy_growth(trade.add_trade_balance(trade.flag_outlier_grouped(df)))
     return cleaning.with_commodity_name(cleaning.drop_all_null_columns(
         df, ["qty_unit", "value_per_kg", "isGrossWgtEstimated"]))
@@ -60,22 +66,24 @@ def sources(spark: SparkSession, landing: str, run_date: dt.date) -> dict[str, D
         return readers.path_exists(spark, f"{landing}/{name}")
 
     if have("trade"):
-        out["trade_flows"] = trade_flows(readers.src_trade_csv(spark, f"{landing}/trade"))
+        out["trade_flows"] = trade_flows(readers.src_trade_csv(spark, f"{landing}/trade",
+                                                                  position=True))
     if have("index"):
-        raw = readers.src_index_csv(spark, f"{landing}/index")
-        daily = cleaning.dedupe_first(cleaning.clean_index(raw), ["date"], [F.col("bdi_value")])
-        out["bdi_daily"] = cleaning.tag_source(series.enrich_index(daily), "investing_bdi_csv",
+        raw = readers.src_index_csv(spark, f"{landing}/index", position=True)
+        daily = cleaning.dedupe_first(cleaning.clean_index(raw), ["date"], [F.col(POSITION)])
+        out["bdi_daily"] = cleaning.tag_source(series.enrich_index(daily.drop(POSITION)), "investing_bdi_csv",
                                                "freight_index", "daily")
     if have("port_weather"):
         out["port_weather"] = readers.src_weather_json(spark, f"{landing}/port_weather")
     if have("straits"):
         out["strait_conditions"] = readers.src_strait_json(spark, f"{landing}/straits")
     if have("ais"):
-        out["vessel_movements"] = vessel_movements(
-            readers.src_ais_jsonl(spark, f"{landing}/ais"), run_date)
+        messages = readers.src_ais_jsonl(spark, f"{landing}/ais", position=True)
+        out["vessel_movements"] = vessel_movements(messages, run_date)
+        out["vessel_rejects"] = vessel_rejects(messages)
     if have("fuel"):
-        fuel = cleaning.dedupe_first(readers.src_fuel_json(spark, f"{landing}/fuel"), ["date"],
-                                     [F.col("brent_usd_per_bbl")])
+        fuel = cleaning.dedupe_first(readers.src_fuel_json(spark, f"{landing}/fuel", position=True),
+                                     ["date"], [F.col(POSITION)]).drop(POSITION)
         out["fuel_prices_daily"] = cleaning.tag_source(series.enrich_fuel(fuel), "EIA_RBRTE_API",
                                                        "fuel_price", "daily", run_date)
     if have("news"):
@@ -131,16 +139,17 @@ def mart_tables(t: dict[str, DataFrame], run_date: dt.date) -> dict[str, DataFra
 
 def run(spark: SparkSession, landing: str, warehouse: str, run_date: dt.date) -> list[str]:
     """All jobs of one day; returns the names of the tables written."""
-    written = []
+    written, tables = [], {}
     for name, df in sources(spark, landing, run_date).items():
         path = f"{warehouse}/{name}"
         if name in HISTORIES:
-            sinks.sink_replace_days(df, path)
+            keys, newest = HISTORIES[name]
+            sinks.sink_merge_days(df, path, keys, [F.col(newest).desc_nulls_last()])
         else:
             sinks.sink_overwrite(df, path, skip_empty=False)
         written.append(name)
-    # later steps read what was written, whole histories included
-    tables = {n: sinks.read_history(spark, f"{warehouse}/{n}") for n in written}
+        # later steps read what was written, whole histories included
+        tables[name] = sinks.read_history(spark, path, df.schema)
     for step in (route_tables(tables), mart_tables(tables, run_date) if tables else {}):
         for name, df in step.items():
             if sinks.sink_overwrite(df, f"{warehouse}/{name}"):

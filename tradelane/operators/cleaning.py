@@ -195,10 +195,15 @@ def with_commodity_name(df: DataFrame, column: str = "hs_code") -> DataFrame:
 
 def clean_trade(raw: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Raw trade rows to ``trade_flows`` without the columns that need other rows."""
-    df = coerce_numeric(rename_columns(drop_columns(raw)), TRADE_TYPES)
-    df = fill_constant(drop_null_required(df, ["trade_value_usd"]))
+    df = rename_columns(drop_columns(raw))
+    # what decides which rows stay is cleaned first, the rest of the kept rows afterwards
+    early = {*TRADE_KEY, "trade_value_usd"}
+    df = coerce_numeric(df, {c: t for c, t in TRADE_TYPES.items() if c in early})
+    df = drop_null_required(df, ["trade_value_usd"])
     df = df.withColumn("trade_value_usd", common.round_half_up("trade_value_usd", 2))
-    df = dedupe_first(standardize_text(df), _present(df, TRADE_KEY), order)
+    df = dedupe_first(standardize_text(df, trim=()), _present(df, TRADE_KEY), order)
+    df = coerce_numeric(df, {c: t for c, t in TRADE_TYPES.items() if c not in early})
+    df = standardize_text(fill_constant(df), upper=(), title=())
     df = df.withColumn("value_per_kg", common.safe_ratio(
         F.col("trade_value_usd"), F.col("net_weight_kg"), 4))
     df = scale_unit(decade_bucket(df))

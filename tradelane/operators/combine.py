@@ -11,15 +11,11 @@ from pyspark.sql import functions as F
 from .series import with_position
 
 
-def union_sources(frames: Sequence[DataFrame], row_key: str,
-                  key_span: int = 1_000_000) -> DataFrame:
+def union_sources(frames: Sequence[DataFrame], row_key: str) -> DataFrame:
     """Union by name, numbered from 1 in (source, date, row key) order, missing dates last.
 
-    ``row_key`` is a number unique inside its source; rows of one source and date are
-    cut every ``key_span`` keys, so no such group is numbered in one task.
+    ``row_key`` is a number unique inside its source.
     """
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     df = df.withColumn("source", F.coalesce("source", F.lit("unknown")))
-    buckets = {"source": F.col("source"), "date": F.col("date"),
-               "_span": F.floor(F.col(row_key) / key_span)}
-    return with_position(df, ["source", "date", row_key], buckets, "row_id")
+    return with_position(df, ["source", "date", row_key], "row_id")

@@ -34,28 +34,31 @@ def classify_news(df: DataFrame, title: str = "title", description: str = "descr
 
 def clean_news(articles: DataFrame, order: Sequence[str] = (),
                keywords: Sequence[str] = tuple(dims.RISK_KEYWORDS),
-               routes: Mapping[str, Sequence[str]] = dims.ROUTE_KEYWORDS) -> DataFrame:
+               routes: Mapping[str, Sequence[str]] = dims.ROUTE_KEYWORDS,
+               stored: Mapping[str, int] | None = None) -> DataFrame:
     """Unique, dated, classified articles.
 
-    The first article of equal titles is kept in ``order`` (arrival columns). The
-    stored title, description and address are shortened to 300, 500 and 500
-    characters; the title is matched before it is shortened. A kept article with
-    a bad date is dropped.
-
-    Articles are classified where they are read and whole titles are compared by
-    their SHA-256, so the shuffle carries the short columns only, never the text.
+    The first article of equal titles is kept in ``order`` (arrival columns). Whole titles and
+    descriptions are classified; ``stored`` may give a number of characters to which ``title``,
+    ``description`` or ``url`` are shortened afterwards. A kept article with a bad date is dropped.
+    Whole titles are compared by their SHA-256.
     """
     df = articles.withColumn("title", strip(F.col("title")))
     df = df.where((F.col("title") != "") & (F.col("title") != "[Removed]"))
-    df = df.withColumn("description", F.substring(F.coalesce("description", F.lit("")), 1, 500))
+    df = df.withColumn("description", F.coalesce("description", F.lit("")))
     df = classify_news(df, keywords=keywords, routes=routes)
     df = df.withColumns({
         "_key": F.sha2("title", 256),
         "pub_date": F.try_to_timestamp("publishedAt"),
-        "title": F.substring("title", 1, 300),
-        "url": F.substring(F.coalesce("url", F.lit("")), 1, 500),
+        "url": F.coalesce("url", F.lit("")),
         "source_name": F.coalesce("source_name", F.lit("unknown")),
         "source_api": F.lit("newsapi.org"),
     })
+    df = df.withColumns({c: F.substring(c, 1, n) for c, n in (stored or {}).items()})
     df = dedupe_first(df, ["_key"], [F.col(c) for c in order] or [F.col("publishedAt")])
     return df.drop("_key").dropna(subset=["pub_date"])
+
+
+def newest_first(news_df: DataFrame, tiebreak: Sequence[str] = ("url",)) -> DataFrame:
+    """Articles in the order in which they are shown."""
+    return news_df.orderBy(F.desc("pub_date"), *tiebreak)

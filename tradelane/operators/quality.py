@@ -46,65 +46,83 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NaN as null."""
+    return df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    bins: int = 2048, keep: int = 4096) -> dict[tuple[str, float], float | None]:
-    """Exact linear-interpolated quantiles of long columns.
-
-    The row at a rank is found by narrowing: each pass counts rows per equal-width
-    bin of the current bracket (``bins`` rows per rank come back) and moves into the
-    bin that holds the rank, until at most ``keep`` rows are left. All ranks of all
-    columns share a pass; no column is ever sorted or gathered as a whole. The
-    columns are kept on the executors between passes, where a lost part is recomputed.
+                    bins: int = 256, keep: int = 4096) -> dict[tuple[str, float], float | None]:
+    """Exact linear-interpolated quantiles of long columns; NaN counts as null.
+
+    The row at a rank is found by narrowing: each pass cuts the bracket at approximate quantiles of
+    its own rows, so that far values and infinities do not matter, counts the rows of each piece
+    and moves into the one that holds the rank, until at most ``keep`` rows are left. All ranks
+    of all columns share a pass; no column is ever sorted or gathered as a whole. The columns are
+    kept on the executors between passes, where a lost part is recomputed.
     """
-    kept = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    return _summary(df, columns, probs, bins, keep)[1]
+
+
+def _summary(df: DataFrame, columns: Sequence[str], probs: Sequence[float], bins: int = 256,
+             keep: int = 4096) -> tuple[list[dict], dict[tuple[str, float], float | None]]:
+    """Count, least, greatest, mean and deviation per column, and the quantiles, in one computation."""
+    kept = _numbers(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _narrow(kept, list(columns), probs, bins, keep)
+        names = {"n": F.count, "lo": F.min, "hi": F.max, "mean": F.avg, "std": F.stddev_samp}
+        row = kept.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in names.items()]).first()
+        first = [{k: row[f"{k}{i}"] for k in names} for i in range(len(columns))]
+        return first, _narrow(kept, list(columns), first, probs, bins, keep)
     finally:
         kept.unpersist()
 
 
-def _narrow(df: DataFrame, cols: list[str], probs: Sequence[float], bins: int,
+def _narrow(df: DataFrame, cols: list[str], first: list[dict], probs: Sequence[float], bins: int,
             keep: int) -> dict[tuple[str, float], float | None]:
-    first = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols)
-                     for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     brackets: dict[tuple[str, int], dict] = {}
-    for i, c in enumerate(cols):
-        n = first[f"n{i}"]
-        for p in probs if n else ():
-            for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
-                brackets[(c, rank)] = {"lo": first[f"lo{i}"], "hi": first[f"hi{i}"],
-                                       "below": 0, "rows": n}
+    for c, of in zip(cols, first, strict=True):
+        for p in probs if of["n"] else ():
+            for rank in {math.floor((of["n"] - 1) * p), math.ceil((of["n"] - 1) * p)}:
+                brackets[(c, rank)] = {"lo": of["lo"], "hi": of["hi"], "below": 0, "rows": of["n"]}
 
     def place(key: tuple[str, int]) -> tuple:
         """Ranks of one column in the same bracket are looked for together."""
         return key[0], brackets[key]["lo"], brackets[key]["hi"]
 
-    def tagged(places: list[tuple], extra) -> DataFrame:
+    def tagged(places: list[tuple], bin_of) -> DataFrame:
         cells = [F.when(F.col(c).between(lo, hi),
-                        F.struct(F.lit(t).alias("t"), F.col(c).alias("x"),
-                                 extra(F.col(c), lo, hi).cast("int").alias("bin")))
+                        F.struct(F.lit(t).alias("t"), F.col(c).alias("x"), bin_of(t).alias("bin")))
                  for t, (c, lo, hi) in enumerate(places)]
         return df.select(F.inline(F.array_compact(F.array(*cells))))
 
-    def bin_of(x: Column, lo: float, hi: float) -> Column:
-        return F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))
-
     while wide := [k for k, b in brackets.items() if b["rows"] > keep and b["lo"] < b["hi"]]:
         places = sorted({place(k) for k in wide})
-        counted = tagged(places, bin_of).groupBy("t", "bin").agg(
+        at = [i / bins for i in range(1, bins)]
+        row = df.agg(*[f.alias(f"{k}{t}") for t, (c, lo, hi) in enumerate(places) for k, f in (
+            ("cuts", F.percentile_approx(F.when(F.col(c).between(lo, hi), F.col(c)), at, 10 * bins)),
+            ("next", F.min(F.when((F.col(c) > lo) & (F.col(c) <= hi), F.col(c)))))]).first()
+        # the least value alone and the greatest alone are pieces of their own at any rate
+        cuts = [sorted({*row[f"cuts{t}"], row[f"next{t}"], hi} - {lo}) for t, (_, lo, hi) in enumerate(places)]
+
+        def cuts_below(t: int) -> Column:
+            x = F.col(places[t][0])
+            return F.size(F.filter(F.array(*map(F.lit, cuts[t])), lambda cut: cut <= x))
+
+        counted = tagged(places, cuts_below).groupBy("t", "bin").agg(
             F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
         for key in wide:
-            t, below = places.index(place(key)), brackets[key]["below"]
+            t, below, before = places.index(place(key)), brackets[key]["below"], brackets[key]["rows"]
             for r in sorted((r for r in counted if r["t"] == t), key=lambda r: r["bin"]):
                 if key[1] < below + r["n"]:
                     brackets[key] = {"lo": r["lo"], "hi": r["hi"], "below": below, "rows": r["n"]}
                     break
                 below += r["n"]
+            if brackets[key]["rows"] >= before:
+                raise RuntimeError(f"no progress at rank {key[1]} of {key[0]}")
 
     if short := [k for k, b in brackets.items() if b["lo"] < b["hi"]]:
         places = sorted({place(k) for k in short})
-        values = tagged(places, lambda x, lo, hi: F.lit(0)).groupBy("t", "x").count().collect()
+        values = tagged(places, lambda t: F.lit(0)).groupBy("t", "x").count().collect()
         for key in short:
             t, below = places.index(place(key)), brackets[key]["below"]
             for r in sorted((r for r in values if r["t"] == t), key=lambda r: r["x"]):
@@ -114,35 +132,31 @@ def _narrow(df: DataFrame, cols: list[str], probs: Sequence[float], bins: int,
                     break
 
     out: dict[tuple[str, float], float | None] = {}
-    for i, c in enumerate(cols):
-        n = first[f"n{i}"]
+    for c, of in zip(cols, first, strict=True):
         for p in probs:
-            if not n:
+            if not of["n"]:
                 out[(c, p)] = None
                 continue
-            pos = (n - 1) * p
+            pos = (of["n"] - 1) * p
             a = brackets[(c, math.floor(pos))]["lo"]
             b = brackets[(c, math.ceil(pos))]["lo"]
-            out[(c, p)] = a + (b - a) * (pos - math.floor(pos))
+            out[(c, p)] = a if a == b else a + (b - a) * (pos - math.floor(pos))
     return out
 
 
 def describe_stats(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, one row each."""
-    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
-    sums = df.agg(*[f(c).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in (
-        ("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("lo", F.min), ("hi", F.max))])
+    """count, mean, std, min, quartiles and max per column, one row each; NaN counts as null."""
+    first, q = _summary(df, columns, (0.25, 0.5, 0.75))
 
-    def rounded(value: Column, name: str) -> Column:
-        return round_half_up(value.cast("double"), digits).alias(name)
+    def rounded(value: float | None, name: str) -> Column:
+        return round_half_up(F.lit(value).cast("double"), digits).alias(name)
 
     rows = [F.struct(
-        F.lit(c).alias("column_name"), F.col(f"n_{i}").alias("count"),
-        rounded(F.col(f"mean_{i}"), "mean"), rounded(F.col(f"std_{i}"), "std"),
-        rounded(F.col(f"lo_{i}"), "min"), rounded(F.lit(q[(c, 0.25)]), "q25"),
-        rounded(F.lit(q[(c, 0.5)]), "q50"), rounded(F.lit(q[(c, 0.75)]), "q75"),
-        rounded(F.col(f"hi_{i}"), "max")) for i, c in enumerate(columns)]
-    return sums.select(F.inline(F.array(*rows)))
+        F.lit(c).alias("column_name"), F.lit(of["n"]).cast("long").alias("count"),
+        rounded(of["mean"], "mean"), rounded(of["std"], "std"), rounded(of["lo"], "min"),
+        rounded(q[(c, 0.25)], "q25"), rounded(q[(c, 0.5)], "q50"), rounded(q[(c, 0.75)], "q75"),
+        rounded(of["hi"], "max")) for c, of in zip(columns, first, strict=True)]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import market
 from ..functions.common import pct_change, round_half_up
+from ..session import scratch_path
 from .cleaning import date_parts
 
 
@@ -68,35 +69,27 @@ def enrich_fuel(df: DataFrame, date: str = "date",
     return date_parts(df, date, ("year", "month", "weekday"))
 
 
-def with_position(df: DataFrame, order: Sequence[str], buckets: Mapping[str, Column],
-                  out: str = "position") -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """Exact 1..n position in a total order without sorting everything in one task.
 
-    ``buckets`` are columns that follow the order (nulls last) and cut it into
-    pieces small enough for one task. Only one count per bucket is ordered globally.
+    The rows are dealt to ranges of the order once, sorted there and written; a place is its number
+    in its range and the rows of the ranges before, of which there are few.
     """
-    names = list(buckets)
-    tagged = df.withColumns(dict(buckets))
-    by_bucket = Window.orderBy(*[F.col(c).asc_nulls_last() for c in names])
-    offsets = (
-        tagged.groupBy(*names).agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(
-            by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(names)], "_before")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(names)]
-    within = Window.partitionBy(*names).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return (
-        tagged.withColumn("_local", F.row_number().over(within))
-        .join(offsets, same, "inner")
-        .withColumn(out, F.col("_before") + F.col("_local"))
-        .drop(*[c for c in names if c not in df.columns], "_local", "_before",
-              *[f"_o{i}" for i in range(len(names))])
-    )
-
-
-def rolling_bucketed(df: DataFrame, order: Sequence[str], buckets: Mapping[str, Column],
-                     lookback: int, columns: Callable[[WindowSpec], Mapping[str, Column]],
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    number = F.monotonically_increasing_id()  # partition * 2**33 + place in it
+    dealt = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_number", number)
+    path = scratch_path(df.sparkSession, "position")
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path).withColumns({
+        "_range": F.shiftright("_number", 33), "_place": F.col("_number") - F.shiftleft(F.shiftright("_number", 33), 33)})
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (dealt.join(offsets, "_range").withColumn(out, F.col("_before") + F.col("_place") + 1)
+            .drop("_number", "_range", "_place", "_before"))
+
+
+def rolling_bucketed(df: DataFrame, order: Sequence[str], lookback: int, columns: Callable[[WindowSpec], Mapping[str, Column]],
                      chunk_rows: int = 1_000_000) -> DataFrame:
     """Ordered-window columns over one long series, in chunks.
 
@@ -108,7 +101,7 @@ def rolling_bucketed(df: DataFrame, order: Sequence[str], buckets: Mapping[str,
     home = F.floor((F.col("position") - 1) / chunk_rows)
     tail = F.pmod(F.col("position") - 1, F.lit(chunk_rows)) >= chunk_rows - lookback
     spread = (
-        with_position(df, order, buckets)
+        with_position(df, order)
         .withColumn("_home", home)
         .withColumn("_chunk", F.explode(F.when(tail, F.array("_home", F.col("_home") + 1))
                                         .otherwise(F.array("_home"))))

@@ -119,8 +119,7 @@ def to_iso3(df: DataFrame, crosswalk: DataFrame | None) -> DataFrame:
     """Add ``trade_iso``: the weather country code in the trade table's notation."""
     if crosswalk is None:
         return df.withColumn("trade_iso", F.col("country_iso"))
-    codes = F.broadcast(crosswalk.select(F.col("iso2").alias("country_iso"),
-                                         F.col("iso3").alias("trade_iso")))
+    codes = crosswalk.select(F.col("iso2").alias("country_iso"), F.col("iso3").alias("trade_iso"))
     return df.join(codes, "country_iso", "left")
 
 
@@ -293,11 +292,11 @@ def vessel_port_risk(vessels: DataFrame, weather_df: DataFrame, run_date=None) -
 def route_disruption(straits: DataFrame, weather_df: DataFrame, routes: DataFrame,
                      tiebreak: Sequence[str] = (), run_date=None) -> DataFrame:
     """Morning overview: every route with its strait and the ports at risk at both ends."""
-    watched = sorted({p for r in dims.ROUTE_DEFINITIONS for p in (*r[1], *r[2])})
+    ends = routes.select(F.explode(F.array_distinct(F.concat("origin_ports", "dest_ports"))).alias("port_name"))
     at_risk = (
-        latest_ports(weather_df.where(F.col("port_name").isin(watched)), tiebreak)
+        latest_ports(weather_df.join(ends.distinct(), "port_name", "left_semi"), tiebreak)
         .where("port_risk_flag").agg(F.collect_set("port_name")).scalar()
-    )  # at most the watched names
+    )  # at most the ports that the routes name
     now = latest_straits(straits, tiebreak).select(
         F.col("strait_name").alias("strait"), "disruption_score", "risk_level",
         "geopolitical_risk", "beaufort_number")

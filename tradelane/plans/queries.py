@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import market
 from ..functions.common import ladder, money_sum, pct_change, round_half_up
-from ..operators.cleaning import latest_snapshot
+from ..operators.cleaning import dedupe_latest, latest_snapshot
 from .marts import BILLION, TRILLION
 from .routes import route_dim
 
@@ -63,6 +63,11 @@ def view_trade_balance(trade: DataFrame, billion: float = BILLION) -> DataFrame:
         market.trade_position(F.col("_exp"), F.col("_imp")).alias("trade_position"))
 
 
+def create_view_trade_balance(trade: DataFrame, name: str = "v_trade_balance", billion: float = BILLION) -> None:
+    """The balance as a view for SQL."""
+    view_trade_balance(trade, billion).createOrReplaceTempView(name)
+
+
 def q03_trade_balance(trade: DataFrame, n: int = 50, billion: float = BILLION) -> DataFrame:
     size = F.abs("trade_balance_B")
     view = view_trade_balance(trade.where(F.col("hs_code").isNotNull()), billion)
@@ -227,13 +232,15 @@ def q13_booking(seasonal: DataFrame, burden: DataFrame) -> DataFrame:
 
 
 def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
-                   focus_weather: str = "CN", billion: float = BILLION) -> DataFrame:
+                   focus_weather: str = "CN", billion: float = BILLION, listed: int = 10) -> DataFrame:
     risk = F.col("port_risk_flag")
     status = port_trade.where(F.col("country_iso") == focus_weather).agg(F.struct(
         F.max("beaufort_number").alias("bf"), F.bool_or(risk).alias("risk"),
-        F.array_join(F.array_sort(F.collect_list(F.when(risk, F.col("port_name")))), ", ")
-        .alias("names"),
         F.count_if(risk).alias("n"))).scalar()
+    # a report of the worst ports; risk_port_count has the number of all
+    worst = (port_trade.where((F.col("country_iso") == focus_weather) & risk)
+             .orderBy(F.desc("beaufort_number"), "port_name").limit(listed)
+             .agg(F.array_join(F.array_sort(F.collect_list("port_name")), ", ")).scalar())
     unit, share = F.lit(billion), F.col("china_share_pct")
     out = newest_year(concentration).select(
         "commodity_name", round_half_up(share, 1).alias("china_share_pct"),
@@ -243,7 +250,7 @@ def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
         round_half_up("disruption_exposure_B", 1).alias("disruption_exposure_B"),
         status["bf"].alias("china_max_beaufort_today"),
         status["risk"].alias("china_port_at_risk_today"),
-        F.nullif(status["names"], F.lit("")).alias("china_ports_at_risk"), status["n"].alias("risk_port_count"))
+        F.nullif(worst, F.lit("")).alias("china_ports_at_risk"), status["n"].alias("risk_port_count"))
     at_risk = F.col("china_port_at_risk_today")
     return out.withColumn("supply_risk_alert", ladder([
         (at_risk & (share > 40), "🔴 CRITICAL — China dominates AND ports at risk"),
@@ -367,27 +374,25 @@ def q20_pressure(fuel: DataFrame, signals: DataFrame) -> DataFrame:
 def q21_route_matrix(current: DataFrame, straits: DataFrame,
                      routes: Sequence[str] = tuple(dims.ROUTES),
                      tiebreak: Sequence[str] = ("fetched_at",)) -> DataFrame:
-    """Routes beside every strait reading of the newest day whose name starts like the route.
+    """Routes beside the newest reading of every strait of the newest day that starts like the route.
 
-    A strait row is tested against the few route names in place and then meets its
-    routes by equality, so readings are never paired with all routes. Routes without
-    any such strait follow with a score of zero.
+    A strait is tested against the few route names in place and then meets its routes by
+    equality. Routes without any such strait follow with a score of zero.
     """
     name = F.lower("strait_name")
     tests = [F.when(name.startswith(r.split(" ")[0].lower()), F.lit(r)) for r in routes]
-    hits = latest_snapshot(straits).select(
+    newest = dedupe_latest(latest_snapshot(straits), ["strait_name"], "fetched_at", tiebreak)
+    hits = newest.select(
         "disruption_score", "geopolitical_risk", *tiebreak,
         F.explode(F.array_compact(F.array(*tests))).alias("route"))
     unmatched = route_dim(straits.sparkSession, routes).join(
         hits.select("route").distinct(), "route", "left_anti")
     rows = hits.unionByName(unmatched, allowMissingColumns=True)
-    # the route table has one row per reported route
-    rows = rows.join(F.broadcast(current), "route").withColumns({
+    rows = rows.join(current, "route").withColumns({
         "strait_disruption_score": F.coalesce("disruption_score", F.lit(0)),
         "geopolitical_risk": F.coalesce("geopolitical_risk", F.lit("Unknown")),
     })
     traffic, impact = F.col("traffic_vs_history_pct"), F.col("route_impact_score")
-    # readings of a day share few scores: the tie-break keeps the sort's ranges even
     return rows.select(
         *tiebreak, "route", "route_impact_score", "status", "current_vessels",
         round_half_up(traffic, 1).alias("traffic_vs_history_pct"), "fuel_signal",

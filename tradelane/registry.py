@@ -16,6 +16,7 @@ from .functions import market, parsing, ports, weather
 from .functions.common import safe_ratio
 from .operators import asof, cleaning, combine, geo, news, quality, series, trade
 from .plans import marts, panels, queries as sqlq, routes
+from .sources import readers
 from .standin import (BILLION, FOCUS_COUNTRY, NEWS_KEYWORDS, NEWS_ROUTES, TRILLION, Standin)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,7 +194,12 @@ def _(s):
 
 @query("dedupe_exact")
 def _(s):
-    return cleaning.dedupe_exact(s.table("lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole rows with a nested column; every fifth row comes twice."""
+    rows = s.table("lineitem").select("l_orderkey", "l_linenumber", F.struct(
+        "l_partkey", F.array("l_suppkey").alias("l_suppkeys")).alias("part"))
+    twice = rows.unionAll(rows.where("l_orderkey % 5 = 0"))
+    return cleaning.dedupe_exact(twice).select("l_orderkey", "l_linenumber", F.col("part.l_partkey").alias("l_partkey"),
+                                               F.get("part.l_suppkeys", 0).alias("l_suppkey"))
 
 
 @query("dedupe_latest")
@@ -361,6 +367,12 @@ def _(s):
         "doc_id", "risk_hits", "risk_level", "risk_score", "relevant_routes")
 
 
+@query("classify_news_lists")
+def _(s):
+    """The library's own word and route lists over every document."""
+    return news.classify_news(s.articles).select("doc_id", "risk_hits", "relevant_routes")
+
+
 @query("union_sources")
 def _(s):
     flow = F.when(F.col("flow_direction") == "Export", 1).otherwise(0)
@@ -377,7 +389,7 @@ def _(s):
         F.lit("aisstream").alias("source"),
         F.when(F.pmod("event_id", F.lit(50)) != 0, F.col("fetch_date")).alias("date"),
         F.col("event_id").alias("row_key"), "mmsi", "sog_knots")
-    return combine.union_sources([flows, index, readings, seen], "row_key", key_span=500)
+    return combine.union_sources([flows, index, readings, seen], "row_key")
 
 
 @query("validate")
@@ -417,7 +429,7 @@ def _(s):
                 "previous": F.lag(v).over(w)}
 
     return series.rolling_bucketed(
-        s.table("events"), ["ts", "event_id"], {"_hour": F.date_trunc("hour", "ts")}, 7, columns,
+        s.table("events"), ["ts", "event_id"], 7, columns,
         chunk_rows=4096).select("event_id", "position", "mean_7", "previous")
 
 
@@ -621,7 +633,24 @@ query("q19_route_impact")(lambda s: sqlq.q19_route_impact(m_current(s)))
 query("q20_pressure")(lambda s: sqlq.q20_pressure(s.fuel, m_signals(s)))
 query("q21_route_matrix")(lambda s: sqlq.q21_route_matrix(
     m_current(s), s.strait_conditions, tiebreak=("fetched_at", "event_id")))
-query("view_trade_balance")(lambda s: sqlq.view_trade_balance(s.trade_flows, BILLION))
+
+
+@query("view_trade_balance")
+def _(s):
+    """Through SQL on the view."""
+    sqlq.create_view_trade_balance(s.trade_flows, "v_trade_balance", BILLION)
+    return s.spark.sql("SELECT * FROM v_trade_balance")
+
+
+@query("src_route_config")
+def _(s):
+    """Every strait that a route passes, with the readings of its newest day."""
+    legs = readers.src_route_config(s.spark).select("route_name", F.explode("primary_chokepoints").alias("strait_name"))
+    seen = s.strait_conditions.groupBy("strait_name").agg(F.count("*").alias("readings"),
+                                                          F.max("disruption_score").alias("worst_score"))
+    return legs.join(seen, "strait_name", "left")
+
+
 query("row_counts")(lambda s: quality.row_counts({
     "trade_flows": s.trade_flows, "bdi_daily": s.index_daily, "port_weather": s.port_weather_rows,
     "vessel_movements": s.vessel_rows, "shipping_news": s.articles}))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import cleaning, geo
+from .plans import routes
 from .registry import query, vessel_messages
 from .session import scratch_path
 from .sources import readers, sinks
@@ -25,11 +26,14 @@ RUN_DATE = dt.date(2024, 2, 1)
 
 def weather_lines(s: Standin) -> DataFrame:
     """Port readings as nested service responses."""
+    return response_lines(s.port_weather_rows, "port_name")
+
+
+def response_lines(rows: DataFrame, place: str) -> DataFrame:
     gap = F.pmod("event_id", F.lit(3)) == 0
     seconds = F.pmod(F.col("event_id") * 977, F.lit(900000))
-    rows = s.port_weather_rows.where("port_rank <= 100")
     return rows.select(
-        F.col("port_name").alias("place"),
+        F.col(place).alias("place"),
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("fetched_at"),
         F.struct(F.col("temp_c").alias("temp"), (F.col("temp_c") - 1).alias("feels_like"),
                  F.col("humidity_pct").alias("humidity"), F.lit(1013).alias("pressure"))
@@ -95,9 +99,13 @@ def landed(s: Standin, name: str, lines: DataFrame, fmt: str = "json") -> str:
 
 @query("src_trade_csv")
 def _(s):
-    path = landed(s, "comtrade", s.trade_raw, "csv")
-    folder, name = path.rsplit("/", 1)
-    return readers.src_trade_csv(s.spark, folder, ("nothing*.csv", name)).select(
+    """A download in three folders of files, named after each of the patterns."""
+    folder = scratch_path(s.spark, "trade")
+    third = F.pmod("l_orderkey", F.lit(3))
+    for i, name in enumerate(("TradeData_1.csv", "un_comtrade_2.csv", "comtrade_3.csv")):
+        sinks.sink_csv(s.trade_raw.where(third == i), f"{folder}/{name}")
+    sinks.sink_csv(s.fuel_raw, f"{folder}/fuel.csv")  # no trade file
+    return readers.src_trade_csv(s.spark, folder).select(
         "reporterISO", "cmdCode", "flowDesc", "refYear", "primaryValue", "motDesc", "l_orderkey",
         "l_linenumber", "l_partkey")
 
@@ -118,6 +126,15 @@ def _(s):
         "low_visibility", "fetch_date", "fetch_year", "fetch_month")
 
 
+@query("src_strait_json")
+def _(s):
+    return readers.src_strait_json(
+        s.spark, landed(s, "straits", response_lines(s.strait_rows, "strait_name"))).select(
+        "strait_name", "region", "geopolitical_risk", "trade_pct_global", "fetched_at", "temp_c",
+        "wind_speed_ms", "wind_gust_ms", "visibility_m", "beaufort_number", "weather_risk_flag",
+        "disruption_score", "risk_level", "fetch_date")
+
+
 @query("src_ais_jsonl")
 def _(s):
     path = landed(s, "ais", ais_lines(s.table("events")), "text")
@@ -144,8 +161,7 @@ def _(s):
         s, "news", s.articles.select(F.array(article).alias("articles"))))
 
 
-@query("src_clean_csv")
-def _(s):
+def _index_csv(s: Standin) -> str:
     cols = ("date", "bdi_value", "bdi_open", "bdi_high", "bdi_low", "bdi_volume",
             "bdi_change_pct", "daily_change_pct", "rolling_7d_avg", "rolling_30d_avg",
             "rolling_90d_avg", "above_long_avg", "is_spike", "is_drop", "is_outlier", "year",
@@ -155,10 +171,26 @@ def _(s):
         full = full.withColumn(c, F.lit(None).cast("double"))
     path = scratch_path(s.spark, "bdi-clean")
     sinks.sink_csv(full.select(*cols), path)
-    return readers.src_fallback(s.spark, path + "-missing", path, "bdi_daily").select(
+    return path
+
+
+@query("src_clean_csv")
+def _(s):
+    return readers.src_clean_csv(s.spark, _index_csv(s), "bdi_daily").select(
         "date", "bdi_value", "daily_change_pct", "is_spike", "year", "weekday", "source")
 
 
+@query("src_fallback")
+def _(s):
+    """The static file when the daily one is missing, and the daily one when both are there."""
+    path, small = _index_csv(s), scratch_path(s.spark, "bdi-daily")
+    sinks.sink_csv(s.spark.read.option("header", True).csv(path).where("year % 2 = 0"), small)
+    missing = readers.src_fallback(s.spark, path + "-missing", path, "bdi_daily")
+    there = readers.src_fallback(s.spark, small, path, "bdi_daily")
+    return missing.withColumn("branch", F.lit("static")).unionByName(
+        there.withColumn("branch", F.lit("daily"))).select("branch", "date", "bdi_value", "is_spike")
+
+
 # sinks -------------------------------------------------------------------------------
 
 @query("sink_append")
@@ -174,6 +206,17 @@ def _(s):
     return sinks.read_history(s.spark, path)
 
 
+@query("sink_merge_days")
+def _(s):
+    """Two landings of the same days, the second with late rows and some repeated ones."""
+    path = scratch_path(s.spark, "merged")
+    rows = s.port_weather_rows.select("event_id", "port_name", "fetched_at", "wind_speed_ms", "fetch_date")
+    late = F.pmod("event_id", F.lit(3)) == 0
+    for part in (rows.where(~late), rows.where(late | (F.pmod("event_id", F.lit(5)) == 0))):
+        sinks.sink_merge_days(part, path, ["event_id"], [F.col("fetched_at").desc()])
+    return sinks.read_history(s.spark, path, rows.schema)
+
+
 @query("sink_overwrite")
 def _(s):
     path = scratch_path(s.spark, "table")
@@ -208,56 +251,87 @@ def event_stream(s: Standin) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def landed_events(s: Standin, parts: int = 4) -> DataFrame:
+    """The events as a stream of one file after another, in the order of their ids."""
+    root, events = scratch_path(s.spark, "events"), s.table("events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - (first or 0)) * parts / ((last or 0) - (first or 0) + 1))
+    for i in range(parts):
+        events.where(part == i).coalesce(1).write.parquet(f"{root}/p{i}")
+    return (s.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{root}/*"))
+
+
 def _finished(s: Standin, name: str, df: DataFrame) -> DataFrame:
     out = scratch_path(s.spark, name)
     stream.run_available(df, out, out + "-checkpoint")
     return s.spark.read.schema(df.schema).parquet(out)
 
 
+def _complete(s: Standin, name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+    out = scratch_path(s.spark, name)
+    return stream.run_complete(df, out, out + "-checkpoint", keys, "day.end")
+
+
 def stream_positions(s: Standin) -> DataFrame:
     df = cleaning.vessel_derived(vessel_rows(event_stream(s)))
     return geo.map_route(geo.is_strait(geo.locate_bbox(df)))
 
 
 @query("stream_ais_source")
+def _(s):
+    path = landed(s, "ais", ais_lines(s.table("events")), "text")
+    df = stream.stream_ais_source(s.spark, path)
+    return _finished(s, "stream-ais", df.select(*_AIS))
+
+
+@query("stream_filter_type")
 def _(s):
     path = landed(s, "ais", ais_lines(s.table("events")), "text")
     df = stream.stream_filter_type(stream.stream_ais_source(s.spark, path))
-    return _finished(s, "stream-ais", df.select(*[c for c in _AIS if c != "malformed"]))
+    return _finished(s, "stream-filtered", df.select("message_type", "mmsi", "latitude", "longitude",
+                                                     "event_time_utc"))
 
 
 @query("stream_dedupe_daily")
 def _(s):
     df = stream.stream_dedupe_daily(stream_positions(s), ["event_id", "sog_knots", "port_guess"])
-    out = _finished(s, "stream-daily", df)
+    out = _complete(s, "stream-daily", df, ["mmsi", "day"])
     return out.select("mmsi", F.to_date("day.start").alias("fetch_date"), "event_id", "sog_knots",
                       "port_guess")
 
 
 @query("stream_strait_counts")
 def _(s):
-    return _finished(s, "stream-straits", stream.stream_strait_counts(stream_positions(s)))
+    df = stream.stream_dedupe_daily(stream_positions(s), ["port_guess", "is_strait", "is_moving"])
+    return stream.strait_counts(_complete(s, "stream-straits", df, ["mmsi", "day"]))
 
 
 @query("stream_route_activity")
 def _(s):
-    df = stream.stream_route_activity(stream_positions(s)).drop("approx_vessels")
-    return _finished(s, "stream-routes", df).withColumn("avg_speed", F.round("avg_speed", 6))
+    daily = _complete(s, "stream-routes", stream.stream_route_activity(stream_positions(s)),
+                      ["route", "mmsi", "day"])
+    baseline = routes.route_baselines(s.vessels_daily)
+    return stream.route_windows(daily, 7, baseline).withColumn("avg_speed", F.round("avg_speed", 6))
 
 
 @query("stream_upsert_history")
 def _(s):
+    """The events in four batches, and once more under a new checkpoint."""
     out = scratch_path(s.spark, "stream-history")
-    rows = vessel_rows(event_stream(s)).select("event_id", "mmsi", "sog_knots", "fetch_date")
-    stream.stream_upsert_history(rows, out, out + "-checkpoint")
-    return s.spark.read.parquet(out)
+    source = landed_events(s).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = vessel_rows(source).select("event_id", "mmsi", "sog_knots", "fetch_date")
+    for i in range(2):
+        stream.stream_upsert_history(rows, out, f"{out}-checkpoint-{i}", ["event_id"], [F.col("event_id")])
+    return sinks.read_history(s.spark, out, rows.schema)
 
 
 @query("stream_enrich_static")
 def _(s):
+    """Four batches, each of which finds the static messages of the ones before."""
     out = scratch_path(s.spark, "stream-static")
-    stream.stream_enrich_static(vessel_messages(event_stream(s)), out, out + "-state",
-                                out + "-checkpoint")
+    source = landed_events(s).withColumn("ts", F.col("ts").cast("timestamp"))
+    stream.stream_enrich_static(vessel_messages(source), out, out + "-state", out + "-checkpoint")
     return s.spark.read.parquet(out).select(
         "message_id", "mmsi", "sog_knots", "ship_name", "imo", "call_sign", "destination",
         "vessel_type")

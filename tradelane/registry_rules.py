@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from . import dims
@@ -119,10 +121,12 @@ def _(s):
 
 @query("src_table")
 def _(s):
-    """A table with upper-case names, read with the columns asked for."""
+    """A saved table with upper-case names, read with the columns asked for."""
     rows = s.vessel_rows.select("event_id", "mmsi", "sog_knots")
-    rows.toDF(*[c.upper() for c in rows.columns]).createOrReplaceTempView("vessel_table")
-    return readers.src_table(s.spark, "vessel_table", ["event_id", "sog_knots"])
+    name = f"vessel_table_{uuid.uuid4().hex[:8]}"
+    rows.toDF(*[c.upper() for c in rows.columns]).write.option(
+        "path", scratch_path(s.spark, name)).saveAsTable(name)
+    return readers.src_table(s.spark, name, ["event_id", "sog_knots"])
 
 
 @query("sink_csv")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,20 @@ from ..functions import parsing
 from ..operators.cleaning import (WEATHER_DEFAULTS, clean_weather, fill_constant,
                                   fill_from_column, strait_derived, tag_source)
 
-# File name patterns of a trade download, in order of preference.
-TRADE_PATTERNS = ["comtrade*.csv", "TradeData*.csv", "*.csv"]
+# File name patterns of a trade download.
+TRADE_PATTERNS = ["TradeData*.csv", "un_comtrade*.csv", "comtrade*.csv"]
+
+POSITION = "_position"
+
+
+def file_position() -> Column:
+    """Where a row stands in its files: path, block, and number within the block as it is read."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start",
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def _placed(df: DataFrame, position: bool) -> DataFrame:
+    return df.withColumn(POSITION, file_position()) if position else df
 
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
@@ -27,19 +40,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_glob(spark, path))
 
 
-def src_trade_csv(spark: SparkSession, folder: str,
-                  patterns: Sequence[str] = tuple(TRADE_PATTERNS)) -> DataFrame:
-    """The last file in name order of the first pattern that matches; every column as text."""
-    for pattern in patterns:
-        if files := _glob(spark, f"{folder}/{pattern}"):
-            return (spark.read.option("header", True).option("encoding", "ISO-8859-1")
-                    .csv(files[-1]))
-    raise FileNotFoundError(f"no trade file in {folder}")
+def _by_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The files in groups of equal first lines, in the order of their names."""
+    lines = spark.read.option("encoding", "ISO-8859-1").text(files).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    # one row per file comes back
+    heads = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "row").alias("head")).collect()
+    groups: dict[str, list[str]] = {}
+    for r in sorted(heads, key=lambda r: r.path):
+        groups.setdefault(r["head"], []).append(r.path)
+    return list(groups.values())
 
 
-def src_index_csv(spark: SparkSession, path: str) -> DataFrame:
+def src_trade_csv(spark: SparkSession, folder: str,
+                  patterns: Sequence[str] = tuple(TRADE_PATTERNS), newest_only: bool = False,
+                  position: bool = False) -> DataFrame:
+    """Every file or folder of files that matches a pattern; every column as text.
+
+    Files may differ in their columns, which are matched by name. ``newest_only`` reads the last
+    one in name order only. ``position`` adds where in its file a row stands.
+    """
+    files = sorted({f for pattern in patterns for f in _glob(spark, f"{folder}/{pattern}")},
+                   key=lambda f: f.rsplit("/", 1)[-1])
+    if not files:
+        raise FileNotFoundError(f"no trade file in {folder}")
+    parts = [_placed(spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(group), position)
+             for group in _by_header(spark, files[-1:] if newest_only else files)]
+    if not parts:
+        raise ValueError(f"only empty trade files in {folder}")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def src_index_csv(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
     """Index download as text columns; ``clean_index`` types them."""
-    return spark.read.option("header", True).csv(path)
+    return _placed(spark.read.option("header", True).csv(path), position)
 
 
 def _observation() -> dict[str, Column]:
@@ -63,17 +98,21 @@ def _weather_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("place", "fetched_at", *[c.alias(n) for n, c in _observation().items()])
 
 
-def src_weather_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed port readings to ``port_weather`` rows; unknown places are left out."""
-    ports = F.broadcast(dims.ports(spark).withColumnRenamed("port_name", "place"))
-    rows = _weather_lines(spark, path).join(ports, "place").withColumnRenamed("place", "port_name")
+def src_weather_json(spark: SparkSession, path: str, ports: DataFrame | None = None) -> DataFrame:
+    """Landed port readings to ``port_weather`` rows.
+
+    ``ports`` is a dimension of any size with ``port_name``; a place that is not in it stays, with
+    nulls for what the dimension would tell.
+    """
+    ports = (dims.ports(spark) if ports is None else ports).withColumnRenamed("port_name", "place")
+    rows = _weather_lines(spark, path).join(ports, "place", "left").withColumnRenamed("place", "port_name")
     return clean_weather(rows)
 
 
-def src_strait_json(spark: SparkSession, path: str) -> DataFrame:
-    """Landed strait readings to ``strait_conditions`` rows with their score."""
-    straits = F.broadcast(dims.straits(spark).withColumnRenamed("strait_name", "place"))
-    rows = _weather_lines(spark, path).join(straits, "place").withColumnRenamed(
+def src_strait_json(spark: SparkSession, path: str, straits: DataFrame | None = None) -> DataFrame:
+    """Landed strait readings to ``strait_conditions`` rows with their score; unknown places stay."""
+    straits = (dims.straits(spark) if straits is None else straits).withColumnRenamed("strait_name", "place")
+    rows = _weather_lines(spark, path).join(straits, "place", "left").withColumnRenamed(
         "place", "strait_name")
     rows = strait_derived(fill_constant(fill_from_column(rows), WEATHER_DEFAULTS))
     rows = rows.withColumn("fetch_date", F.to_date("fetched_at"))
@@ -128,17 +167,20 @@ def parse_ais(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def src_ais_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    return parse_ais(spark.read.text(path))
+def src_ais_jsonl(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
+    return parse_ais(_placed(spark.read.text(path), position))
 
 
-def src_fuel_json(spark: SparkSession, path: str) -> DataFrame:
+def src_fuel_json(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
     """Price rows of every landed response; rows without a date or a number are dropped."""
-    raw = spark.read.schema(schemas.FUEL_FILE).json(path)
-    return raw.select(F.inline("response.data")).select(
-        F.to_date(F.try_to_timestamp("period")).alias("date"),
-        parsing.to_number(F.col("value")).alias("brent_usd_per_bbl"),
-    ).dropna()
+    raw = _placed(spark.read.schema(schemas.FUEL_FILE).json(path), position)
+    own = [POSITION] if position else []
+    rows = raw.select(*own, F.posexplode("response.data").alias("nth", "x"))
+    place = [F.struct(POSITION, "nth").alias(POSITION)] if position else []
+    return rows.select(
+        F.to_date(F.try_to_timestamp("x.period")).alias("date"),
+        parsing.to_number(F.col("x.value")).alias("brent_usd_per_bbl"), *place,
+    ).dropna(subset=["date", "brent_usd_per_bbl"])
 
 
 def src_news_json(spark: SparkSession, path: str) -> DataFrame:

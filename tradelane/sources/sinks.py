@@ -1,12 +1,16 @@
-"""Writers. History is only ever added to; a rerun of one day replaces that day."""
+"""Writers. Histories are merged by key, so late rows join their day and reruns change nothing."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.cleaning import dedupe_first
+from ..session import scratch_path
 
 
 def _balanced(df: DataFrame, column: str) -> DataFrame:
@@ -25,27 +29,64 @@ def sink_replace_days(df: DataFrame, path: str, partition: str = "fetch_date") -
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
+def read_history(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """A history; without its ``schema`` the files' own are merged, which reads all their footers."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def sink_merge_days(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column],
+                    partition: str = "fetch_date") -> None:
+    """Add rows to a history and keep the first row of each key in ``order``.
+
+    Only the days in ``df`` are read and written; of rows equal in ``order`` the new one stays.
+    ``keys`` hold the partition column or decide it. The merged days are written beside the history
+    first, so a failure leaves either the old or the new state of a day, and a repeat ends the same.
+    """
+    spark = df.sparkSession
+    staged = scratch_path(spark, "merge")
+    df.write.parquet(f"{staged}/new")
+    new = spark.read.schema(df.schema).parquet(f"{staged}/new")
+    both = new.withColumn("_old", F.lit(False))
+    if exists(spark, path):
+        old = spark.read.schema(merged_schema(spark, path, new)).parquet(path)
+        touched = new.select(partition).distinct()
+        kept = old.join(touched, old[partition].eqNullSafe(touched[partition]), "left_semi")
+        both = both.unionByName(kept.withColumn("_old", F.lit(True)), allowMissingColumns=True)
+    merged = dedupe_first(both, keys, [*order, F.col("_old")]).drop("_old")
+    merged.write.parquet(f"{staged}/merged")
+    sink_replace_days(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, partition)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def merged_schema(spark: SparkSession, path: str, new: DataFrame) -> StructType:
+    """The columns of ``new``, then those that only the history has."""
+    own = {f.name for f in new.schema}
+    return StructType([*new.schema, *(f for f in read_history(spark, path).schema if f.name not in own)])
+
+
 def sink_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Replace a table; with ``skip_empty`` an empty frame leaves it as it was.
 
-    The emptiness test and the write share one computation. Large tables that cannot
-    be empty are better written with ``skip_empty=False``.
+    The new table is written beside the old one and takes its place when it is complete.
     """
-    if not skip_empty:
-        df.write.mode("overwrite").parquet(path)
-        return True
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if kept.isEmpty():
-            return False
-        kept.write.mode("overwrite").parquet(path)
-        return True
-    finally:
-        kept.unpersist()
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}__new"
+    df.write.mode("overwrite").parquet(beside)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    new, old = jvm.Path(beside), jvm.Path(path)
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    if skip_empty and spark.read.schema(df.schema).parquet(beside).isEmpty():
+        fs.delete(new, True)
+        return False
+    fs.delete(old, True)
+    fs.rename(new, old)
+    return True
 
 
 def sink_csv(df: DataFrame, path: str) -> None:

@@ -204,12 +204,16 @@ class Standin:
     # weather -----------------------------------------------------------------
     @cached_property
     def port_weather_rows(self) -> DataFrame:
-        supplier, events = self.table("supplier"), self.table("events")
+        """A reading per event; the supplier of the user's number gives the country, if there is one."""
+        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        events = self.table("events")
         names = F.array(*[F.lit(p[0]) for p in dims.PORTS])
-        key = F.col("s_suppkey")
+        key = F.col("user_id")
         base = F.get(names, F.pmod(key, F.lit(100)).cast("int"))
         turn = F.floor(key / 100).cast("string")
-        return supplier.join(events, F.col("user_id") == key).select(
+        rows = events.join(supplier, key == F.col("s_suppkey"), "left").withColumn(
+            "s_nationkey", F.coalesce("s_nationkey", F.pmod(key, F.lit(25)).cast("int")))
+        return rows.select(
             F.when(key < 100, base).otherwise(F.concat(base, F.lit(" #"), turn))
             .alias("port_name"),
             _country("s_nationkey").alias("country_iso"),

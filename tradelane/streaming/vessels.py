@@ -1,23 +1,25 @@
 """Vessel messages as a stream.
 
 Sources are landed files. Aggregations carry a watermark, so state is bounded and a
-day is final once the watermark has passed it. Sinks that need more than one row
-type go through ``foreachBatch`` and write under the batch id, so that a repeated
-batch replaces its own output.
+day is final once the watermark has passed it; days still open are given out as well and
+marked. Sinks go through ``foreachBatch`` and write under the batch id or merge by key, so
+that a repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..functions.common import round_half_up
 from ..operators.asof import STATIC_FIELDS, enrich_static
-from ..sources.readers import parse_ais
-from ..sources.sinks import remove_folders
+from ..operators.cleaning import dedupe_latest
+from ..sources.readers import parse_ais, path_exists
+from ..sources.sinks import sink_merge_days
 
 TIME = "event_time_utc"
 
@@ -37,33 +39,77 @@ def stream_filter_type(df: DataFrame) -> DataFrame:
 
 def stream_dedupe_daily(df: DataFrame, columns: Sequence[str], tiebreak: str = "event_id",
                         delay: str = "1 hour") -> DataFrame:
-    """Last position per vessel and day, given out when the day is over."""
+    """Last position per vessel and day."""
     last = F.max_by(F.struct(TIME, *columns), F.struct(TIME, tiebreak)).alias("_last")
     return (df.withWatermark(TIME, delay)
             .groupBy("mmsi", F.window(TIME, "1 day").alias("day")).agg(last)
             .select("mmsi", "day", F.col("_last.*")))
 
 
-def stream_strait_counts(df: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Exact vessels per strait and day, counted on the daily last positions."""
-    daily = stream_dedupe_daily(df, ["port_guess", "is_strait", "is_moving", "sog_knots"],
-                                delay=delay)
+def strait_counts(daily: DataFrame) -> DataFrame:
+    """Exact vessels per strait and day, from the daily last positions that a stream has written."""
     return (daily.where("is_strait")
-            .groupBy(F.window(F.window_time("day"), "1 day").alias("d"), "port_guess")
-            .agg(F.count("*").alias("vessels"), F.count_if("is_moving").alias("moving"))
-            .select(F.to_date("d.start").alias("fetch_date"),
-                    F.col("port_guess").alias("strait_name"), "vessels", "moving"))
+            .groupBy(F.to_date("day.start").alias("fetch_date"), F.col("port_guess").alias("strait_name"))
+            .agg(F.count("*").alias("vessels"), F.count_if("is_moving").alias("moving")))
 
 
-def stream_route_activity(df: DataFrame, span: str = "7 days", step: str = "1 day",
-                          delay: str = "1 hour") -> DataFrame:
-    """Messages and speed per route over sliding windows."""
+def stream_route_activity(df: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Messages and speed per route, vessel and day: what windows of any length are made of."""
     return (df.withWatermark(TIME, delay)
-            .groupBy(F.window(TIME, span, step).alias("w"), "route")
-            .agg(F.count("*").alias("messages"), F.avg("sog_knots").alias("avg_speed"),
-                 F.approx_count_distinct("mmsi").alias("approx_vessels"))
-            .select(F.to_date("w.start").alias("window_start"), "route", "messages", "avg_speed",
-                    "approx_vessels"))
+            .groupBy("route", "mmsi", F.window(TIME, "1 day").alias("day"))
+            .agg(F.count("*").alias("messages"), F.sum("sog_knots").alias("speed_sum"),
+                 F.count("sog_knots").alias("speeds")))
+
+
+def route_windows(daily: DataFrame, days: int = 7, baseline: DataFrame | None = None) -> DataFrame:
+    """Sliding windows of whole days: messages, mean speed, exact vessels; with the ``baseline``
+    (of ``route_baselines``) also how far the vessels a day are from it, in percent."""
+    first = F.to_date("day.start")
+    spread = daily.withColumn("window_start", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(days - 1)), lambda i: F.date_sub(first, i))))
+    # one row per vessel first, so that the distinct count needs no set of all vessels
+    vessel = spread.groupBy("window_start", "route", "mmsi").agg(
+        F.sum("messages").alias("m"), F.sum("speed_sum").alias("s"), F.sum("speeds").alias("n"),
+        F.count("*").alias("days"))
+    out = vessel.groupBy("window_start", "route").agg(
+        F.sum("m").alias("messages"), F.try_divide(F.sum("s"), F.sum("n")).alias("avg_speed"),
+        F.count("*").alias("vessels"), F.sum("days").alias("_vessel_days"))
+    if baseline is not None:
+        usual = baseline.select("route", "baseline_avg_vessels")
+        a_day = F.col("_vessel_days") / days
+        out = out.join(usual, "route", "left").withColumn("vessels_vs_baseline_pct", round_half_up(
+            F.try_divide(a_day - F.col("baseline_avg_vessels"), F.col("baseline_avg_vessels")) * 100, 1))
+    return out.drop("_vessel_days")
+
+
+def _with_batch(df: DataFrame) -> StructType:
+    return StructType([*df.schema, StructField("batch", IntegerType())])
+
+
+def run_complete(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str], end: str) -> DataFrame:
+    """Process what has landed and stop; every window is given out, open ones as they stand.
+
+    Each micro-batch writes the rows it changed under its id, so a repeat replaces them. The result
+    has the newest state per key and ``final``: the watermark has passed ``end``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = (df.writeStream.outputMode("update").foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    spark = df.sparkSession
+    mark = (query.lastProgress or {}).get("eventTime", {}).get("watermark")
+    if not path_exists(spark, f"{out}/batch=*"):
+        return spark.createDataFrame([], df.schema).withColumn("final", F.lit(False))
+    newest = dedupe_latest(spark.read.schema(_with_batch(df)).parquet(out), keys, "batch").drop("batch")
+    return newest.withColumn("final", F.coalesce(F.col(end) <= F.lit(mark).cast("timestamp"), F.lit(False)))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and were left out, as far as the query remembers."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
 def run_available(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -75,14 +121,14 @@ def run_available(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def stream_upsert_history(df: DataFrame, out: str, checkpoint: str,
-                          partition: str = "fetch_date") -> StreamingQuery:
-    """Add every micro-batch to the history exactly once, also when a batch is repeated."""
+def stream_upsert_history(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str],
+                          order: Sequence[Column], partition: str = "fetch_date") -> StreamingQuery:
+    """Merge every micro-batch into the days of the history.
 
+    A repeated batch, also one of a new checkpoint, finds its keys there and changes nothing.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", partition)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", partition).parquet(out))
+        sink_merge_days(batch, out, keys, order, partition)
 
     query = (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
@@ -91,34 +137,33 @@ def stream_upsert_history(df: DataFrame, out: str, checkpoint: str,
 
 
 def stream_enrich_static(messages: DataFrame, out: str, state: str, checkpoint: str,
-                         bucket: Column | None = None, keep_days: int = 30,
+                         bucket: Column | None = None, keep_days: int | None = None,
                          order: Sequence[str] = (TIME, "message_id")) -> StreamingQuery:
     """Positions with the vessel's last earlier static message, across micro-batches.
 
-    The state is a table: one static row per vessel seen in the last ``keep_days``
-    days of event time, written per batch. A batch reads the state its predecessor
-    left and joins it by the batch operator, which splits hot vessels by time bucket.
-    Output and state of a batch are written under its id, so a repeat replaces them.
+    The state is the static messages themselves, written per batch, so that late positions find the
+    one that was valid at their time. A batch joins those of its vessels by the batch operator,
+    which splits hot vessels by time bucket. Nothing is forgotten unless ``keep_days`` of event
+    time are given. Output and state of a batch are written under its id, so a repeat replaces
+    them. A position takes what has landed up to its batch; it is not revised afterwards.
     """
     fields = ["mmsi", *order, "message_type", *STATIC_FIELDS]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read three times below
-        before = spark.read.parquet(f"{state}/batch={batch_id - 1}") if batch_id else None
-        rows = batch if before is None else before.unionByName(batch, allowMissingColumns=True)
+        statics = batch.where("message_type = 'ShipStaticData'").select(*fields)
+        statics.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        rows = batch
+        if batch_id:
+            before = spark.read.schema(_with_batch(statics)).parquet(state)
+            before = before.where(F.col("batch") < batch_id).drop("batch")
+            if keep_days is not None:
+                oldest = batch.agg(F.min(TIME)).scalar() - F.make_dt_interval(F.lit(keep_days))
+                before = before.where(F.col(TIME) >= oldest)
+            before = before.join(batch.select("mmsi").distinct(), "mmsi", "left_semi")
+            rows = batch.unionByName(before, allowMissingColumns=True)
         enrich_static(rows, order=order, bucket=bucket).write.mode("overwrite").parquet(
             f"{out}/batch={batch_id}")
-        static = rows.where("message_type = 'ShipStaticData'").select(*fields)
-        last = static.groupBy("mmsi").agg(
-            F.max_by(F.struct(*fields[1:]), F.struct(*order)).alias("_s")).select("mmsi", "_s.*")
-        newest = rows.agg(F.max(TIME)).scalar()
-        last.where(F.col(TIME) >= newest - F.make_dt_interval(F.lit(keep_days))).write.mode(
-            "overwrite").parquet(f"{state}/batch={batch_id}")
-        # a repeat of this batch needs the state before it, nothing older
-        old = {f"batch={i}" for i in range(batch_id - 1)}
-        remove_folders(spark, state, lambda name: name in old)
-        batch.unpersist()
 
     query = (messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
