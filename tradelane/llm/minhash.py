@@ -8,9 +8,10 @@ candidates; these are verified exactly: a pair is linked if the probability Jacc
 the counts, or the Jaccard similarity of the sets, is 0.8 or more. Classes are the components.
 
 No bucket is ever expanded into its pairs. Documents with the same shingles are one from the start.
-In a bucket, each member is compared with one leader; buckets that still hold several components
-are led anew by other members, which only those outside the leader's component are compared with; at
-last the few members outside a bucket's main component meet those of other components in it.
+In a bucket, each member is compared with one leader, the one whose buckets are largest, which is the
+text that others were copied from if there is one. Buckets that still hold several components are
+led anew by one outside the main component, which meets all that are not in its own and is then
+done; at last those still outside meet the members of other components one by one.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bits import filter_of, possible
 from .tables import cut, texts
 from .textops import Flat, mix, slices
 
@@ -155,7 +157,10 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
     """The pairs (one, two) that are similar; each side's profile is fetched by its row."""
-    own = profiles.select("row", "ids", "counts")
+    pairs = cut(pairs, f"{name}-pairs")
+    held = filter_of(pairs.select(F.col("one").alias("row")).union(pairs.select("two")), "row")
+    own = profiles.select("row", "ids", "counts").mapInArrow(
+        possible(held, "row"), "row long, ids binary, counts binary")
     # merged at every size: the pairs grow with the data, and AQE can split a hot leader
     both = (pairs.hint("merge").join(own.withColumnRenamed("row", "one"), "one").hint("merge")
             .join(own.toDF("two", "ids2", "counts2"), "two"))
@@ -189,44 +194,56 @@ def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """The members (band, row) of buckets that hold several components, with these."""
+    """The members (band, row, c) of buckets that hold several components, with these."""
     named = members.join(comp, "row", "left").withColumn("comp", F.coalesce("comp", "row"))
     several = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     return cut(named.join(cut(several.select("band"), f"{name}-bands"), "band"), name)
 
 
-def near_components(profiles: DataFrame) -> DataFrame:
-    """row, comp of the rows of ``profiles`` that are similar to another, directly or by others."""
-    each = profiles.where("n > 0").select("row", F.explode("bands").alias("band"))
-    leaders = each.groupBy("band").agg(F.min("row").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+def near_components(profiles: DataFrame, rows: DataFrame) -> DataFrame:
+    """row, comp of those of ``rows`` that are similar to another, directly or by others."""
+    each = (profiles.where("n > 0").select("row", "bands").join(rows.hint("merge"), "row")
+            .select("row", F.explode("bands").alias("band")))
+    sizes = each.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     # the stored side is unique, so AQE can split a hot bucket on the other
-    members = cut(each.join(cut(leaders, "leaders"), "band"), "members")
-    pairs = members.where("row <> lead").select(F.col("row").alias("one"), F.col("lead").alias("two")).distinct()
+    shared = cut(each.join(cut(sizes, "buckets").hint("merge"), "band"), "shared")
+    # the text that others were copied from keeps to the large buckets: it leads them
+    central = shared.groupBy("row").agg(F.sum("c").alias("c"))
+    members = cut(shared.drop("c").join(central.hint("merge"), "row"), "members")
+    lead = members.groupBy("band").agg(F.max(F.struct("c", (-F.col("row")).alias("r"))).alias("x"))
+    pairs = members.join(cut(lead, "leaders").hint("merge"), "band").select(
+        F.col("row").alias("one"), (-F.col("x.r")).alias("two")).where("one <> two").distinct()
     comp = components(_links(pairs, profiles, "links-0"))
-    members = members.select("band", "row")
     for i in range(1, LEADER_ROUNDS + 1):
         mixed = _mixed(members, comp, f"mixed-{i}")
         if mixed.isEmpty():
             return comp
-        lead = mixed.groupBy("band").agg(F.min(F.struct(F.xxhash64("row", F.lit(i)), "row", "comp")).alias("x"))
-        pairs = mixed.join(cut(lead, f"leaders-{i}"), "band").where("comp <> x.comp").select(
-            F.col("row").alias("one"), F.col("x.row").alias("two")).distinct()
+        outside = mixed.join(_main(mixed), "band").where("comp <> main")
+        lead = cut(outside.groupBy("band").agg(F.max(F.struct("c", (-F.col("row")).alias("r"), "comp")).alias("x")),
+                   f"leaders-{i}")
+        led = mixed.join(lead, "band")
+        pairs = led.where("comp <> x.comp").select(F.col("row").alias("one"), (-F.col("x.r")).alias("two")).distinct()
         comp = _joined(comp, _links(pairs, profiles, f"links-{i}"))
-        members = mixed.select("band", "row")
+        # a leader has met all others of its bucket
+        members = led.where("row <> -x.r").select("band", "row", "c")
     mixed = _mixed(members, comp, "mixed-rest")
     if mixed.isEmpty():
         return comp
-    # main component of a bucket: that of most members
-    sizes = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("x")).select("band", F.col("x.comp").alias("main"))
-    mixed = cut(mixed.join(cut(main, "main"), "band").join(profiles.select("row", "marks"), "row"), "rest")
+    mixed = cut(mixed.join(_main(mixed), "band").join(profiles.select("row", "marks"), "row"), "rest")
     outside = mixed.where("comp <> main").select("band", F.col("row").alias("one"), F.col("comp").alias("c1"),
                                                  F.col("marks").alias("m1"))
     others = mixed.select("band", F.col("row").alias("two"), F.col("comp").alias("c2"), F.col("marks").alias("m2"),
                           (F.col("comp") == F.col("main")).alias("in_main"))
     pairs = (outside.join(others, "band").where("c1 <> c2 and (in_main or one < two)").select("one", "two", "m1", "m2")
              .mapInArrow(_agree, "one long, two long").distinct())
-    return _joined(comp, _links(cut(pairs, "rest-pairs"), profiles, "links-rest"))
+    return _joined(comp, _links(pairs, profiles, "links-rest"))
+
+
+def _main(mixed: DataFrame) -> DataFrame:
+    """band, main: the component of most members of each bucket."""
+    sizes = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("x"))
+    return cut(main.select("band", F.col("x.comp").alias("main")), "main")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,8 +262,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = cut(same, "same-shingles")
     named = cut(slim.join(same, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.coalesce("one", "row").alias("one")), "shingle-classes")
-    alone = profiles.join(named.where("one = row").select("row").hint("merge"), "row")
-    comp = near_components(cut(alone, "distinct-profiles")).toDF("one", "comp")
+    comp = near_components(profiles, named.where("one = row").select("row")).toDF("one", "comp")
     found = cut(named.join(comp, "one", "left").select("row", "doc_id", F.coalesce("comp", "one").alias("comp")), "classes")
     classes = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
                                         F.min(F.struct("doc_id", "row")).alias("first"))
