@@ -118,7 +118,8 @@ def brute_classes(texts):
     return [find(i) for i in range(len(texts))]
 
 
-def test_minhash_against_all_pairs(spark, tmp_path):
+def test_minhash_against_all_pairs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
     r = random.Random(5)
     base = [prose(s, 300).split() for s in range(4)]
     made = [prose(100 + i, r.randint(1, 200)) for i in range(60)] + AWKWARD

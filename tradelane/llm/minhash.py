@@ -11,7 +11,8 @@ No bucket is ever expanded into its pairs. Documents with the same shingles are
 In a bucket, each member is compared with one leader, the one whose buckets are largest, which is the
 text that others were copied from if there is one. Buckets that still hold several components are
 led anew by one outside the main component, which meets all that are not in its own and is then
-done; at last those still outside meet the members of other components one by one.
+done; at last those still outside meet the members of other components in blocks, whose tasks
+give out links only.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ SHINGLE = 5
 BANDS, ROWS = 20, 4
 SLOTS = BANDS * ROWS
 SIMILAR = 0.8
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
+BLOCK = 1024  # rows of a side that are compared in one task
 # agreeing places below which a pair is far from SIMILAR: five deviations of the estimate
 LEAST_AGREE = int(SLOTS * SIMILAR - 5 * (SLOTS * SIMILAR * (1 - SIMILAR)) ** 0.5)
 U = np.uint64
@@ -148,13 +150,6 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.select(["one", "two"]).filter(pa.array(good, pa.bool_()))
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in ("m1", "m2"))
-            yield b.select(["one", "two"]).filter(pa.array((x == y).sum(1) >= LEAST_AGREE))
-
-
 def _links(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
     """The pairs (one, two) that are similar; each side's profile is fetched by its row."""
     pairs = cut(pairs, f"{name}-pairs")
@@ -229,14 +224,56 @@ def near_components(profiles: DataFrame, rows: DataFrame) -> DataFrame:
     mixed = _mixed(members, comp, "mixed-rest")
     if mixed.isEmpty():
         return comp
-    mixed = cut(mixed.join(_main(mixed), "band").join(profiles.select("row", "marks"), "row"), "rest")
-    outside = mixed.where("comp <> main").select("band", F.col("row").alias("one"), F.col("comp").alias("c1"),
-                                                 F.col("marks").alias("m1"))
-    others = mixed.select("band", F.col("row").alias("two"), F.col("comp").alias("c2"), F.col("marks").alias("m2"),
-                          (F.col("comp") == F.col("main")).alias("in_main"))
-    pairs = (outside.join(others, "band").where("c1 <> c2 and (in_main or one < two)").select("one", "two", "m1", "m2")
-             .mapInArrow(_agree, "one long, two long").distinct())
-    return _joined(comp, _links(pairs, profiles, "links-rest"))
+    return _joined(comp, _rest_links(mixed, profiles))
+
+
+def _meet(key: tuple[pa.Scalar, ...], outside: pa.Table, others: pa.Table) -> pa.Table:
+    """Links of a block of texts outside a main component with a block of others near it."""
+    one, two = [], []
+    x, y = outside.to_pydict(), others.to_pydict()
+    own = np.frombuffer(b"".join(y["marks"]), np.uint8).reshape(-1, SLOTS)
+    comp, row, inner = (np.array(y[k]) for k in ("comp", "row", "inner"))
+    for i, r in enumerate(x["row"]):
+        agree = (own == np.frombuffer(x["marks"][i], np.uint8)).sum(1)
+        near = (agree >= LEAST_AGREE) & (comp != x["comp"][i]) & (inner | (row > r))
+        linked: set[int] = set()  # one link to a component is enough
+        for j in np.flatnonzero(near)[np.argsort(-agree[near], kind="stable")].tolist():
+            if y["comp"][j] not in linked and similar(x["ids"][i], y["ids"][j], x["counts"][i], y["counts"][j]):
+                linked.add(y["comp"][j])
+                one.append(r)
+                two.append(y["row"][j])
+    return pa.table([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["one", "two"])
+
+
+def _rest_links(mixed: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Links between the rows outside a main component and all that share a bucket of it with them.
+
+    Rows are dealt by main component, in blocks of BLOCK by BLOCK rows, so a task holds no more than
+    two blocks; what goes out is links, never candidates.
+    """
+    near = cut(mixed.join(_main(mixed), "band").select("main", "row", "comp").distinct(), "rest")
+    held = filter_of(near.select("row"), "row")
+    own = profiles.select("row", "marks", "ids", "counts").mapInArrow(
+        possible(held, "row"), "row long, marks binary, ids binary, counts binary")
+    sizes = near.groupBy("main").agg(
+        F.ceil(F.count_if(F.col("comp") != F.col("main")) / BLOCK).alias("n_i"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_j")).where("n_i > 0")
+    both = (near.hint("merge").join(own, "row").join(cut(sizes, "rest-sizes"), "main")
+            .withColumn("inner", F.col("comp") == F.col("main")))
+
+    def blocks(df: DataFrame, mine: str, all_: str) -> DataFrame:
+        """Every row in its own block of one kind, beside all blocks of the other kind."""
+        of, other = {"i": ("n_i", "n_j"), "j": ("n_j", "n_i")}[mine]
+        return df.select(
+            "main", F.pmod(F.xxhash64("row"), F.col(of)).alias(mine),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(all_),
+            "row", "comp", "inner", "marks", "ids", "counts")
+
+    left, right = blocks(both.where("not inner"), "i", "j"), blocks(both, "j", "i")
+    right = right.toDF(*right.columns)  # columns of their own, so that the sides can be told apart
+    met = left.groupBy("main", "i", "j").cogroup(right.groupBy("main", "i", "j")).applyInArrow(
+        _meet, "one long, two long")
+    return cut(met, "links-rest")
 
 
 def _main(mixed: DataFrame) -> DataFrame:
