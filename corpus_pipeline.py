@@ -39,8 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces in token sequences."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """All documents as pieces in token sequences, which follow the mixed order by sequence_id."""
+    return packing.pack_documents(docs, tokenizer_path(), in_order=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup),

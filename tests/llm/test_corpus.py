@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks import compare
 from tests.llm.helpers import AWKWARD, frame, prose, repeats, sha, stored, words
-from tradelane.llm import exact, lines, minhash, mixing, substring
+from tradelane.llm import exact, lines, minhash, mixing, packing, substring
 from tradelane.llm.tables import cut
 
 SMALL = "/root/testdata/sf0.01"
@@ -299,6 +299,36 @@ def test_pipeline_stages(stages):
     check_packed(after, list(totals.items()))
 
 
+def test_sequences_follow_the_mix(spark, tmp_path, monkeypatch):
+    """Every prefix of the sequences is near the target weights; stages are written and read as in run()."""
+    monkeypatch.setattr(packing.pack_in_order, "__defaults__", (2048, 64, packing.SLACK))
+    r = random.Random(11)
+    sources = ["long"] * 150 + ["short"] * 1800
+    made = [prose(i, r.randint(300, 900) if s == "long" else r.randint(20, 80)) for i, s in enumerate(sources)]
+    docs = stored(frame(spark, made, sources=sources), spark, tmp_path)
+    chosen = mixing.mixed
+    weights = spark.createDataFrame([("long", 0.5), ("short", 0.5)], "source string, weight double")
+    monkeypatch.setattr(mixing, "mixed", lambda d: chosen(d, weights, block=4000, period=20))
+    mixed = cut(corpus_pipeline.mix_sources(spark, docs, SMALL), "mixing")
+    rows = cut(corpus_pipeline.pack(spark, mixed, SMALL), "packing").collect()
+    from tests.llm.test_texts import check_packed
+    totals = Counter()
+    for x in rows:
+        totals[x.doc_id] += x.length
+    assert set(totals) == set(range(len(made)))
+    n = check_packed(rows, list(totals.items()))
+    assert n <= 1.03 * sum(totals.values()) / 2048
+    in_mix = {x.doc_id for x in mixing.schedule(docs, weights, block=4000, period=20).where("in_mix").collect()}
+    end = sum(totals[d] for d in in_mix) * 0.9  # beyond the mix one source goes on alone
+    tokens, at = Counter(), -1
+    for x in sorted(rows, key=lambda x: x.sequence_id):
+        if x.sequence_id != at and 20 * 2048 < sum(tokens.values()) < end:
+            assert abs(tokens["long"] / sum(tokens.values()) - 0.5) < 0.12, tokens
+        at = x.sequence_id
+        tokens[sources[x.doc_id]] += x.length
+    assert sum(tokens.values()) > end > 40 * 2048
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op1_line_dedup", "op8_mixing"):
         plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tradelane.session import scratch_path
 
@@ -25,6 +26,20 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs``, a stored table, with ``__place``: the number of each row by file name, then place in the file.
+
+    It does not depend on how the scan is split. Only the counts of the files are ordered.
+    """
+    file = F.col("_metadata.file_path").alias("__file")
+    sizes = cut(docs.groupBy(file).agg(F.count(F.lit(1)).alias("n")), "file-sizes")
+    # part numbers have more digits beyond 100,000 files
+    before = F.sum("n").over(W.orderBy(F.length("__file"), "__file").rowsBetween(W.unboundedPreceding, W.currentRow))
+    begin = sizes.select("__file", (before - F.col("n")).alias("__begin"))
+    rows = docs.select(*docs.columns, file, F.col("_metadata.row_index").alias("__at")).join(begin, "__file")
+    return rows.select(*docs.columns, (F.col("__begin") + F.col("__at")).alias("__place"))
+
+
 def labelled_sample(spark: SparkSession, sf_dir: str, label: str, limit: int,
                     only=None) -> DataFrame:
     """At most ``limit`` labelled ids with their label, chosen by a hash of the id.
