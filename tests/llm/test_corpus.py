@@ -137,6 +137,30 @@ def test_minhash_against_all_pairs(spark, tmp_path, monkeypatch):
     assert all(rows[i].class_size == size[want[i]] and rows[i].kept == (want[i] == i) for i in range(len(made)))
 
 
+def test_minhash_of_passages_repeated_differently(spark, tmp_path, monkeypatch):
+    """Alike as sets, far apart by counts: each pair is found, also outside a main component."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    made = []
+    for i in range(25):
+        body, passage = prose(i, 104), prose(1000 + i, 24)
+        made += [f"{body} {passage}", f"{body} {' '.join([passage] * 30)}"]
+    made += [" ".join(["one two three four five"] * n) for n in (2, 5, 40, 300)]
+    docs = stored(frame(spark, made), spark, tmp_path)
+    rows = {x.doc_id: x for x in minhash.near_dedup(docs).collect()}
+    assert [rows[i].class_id for i in range(len(made))] == brute_classes(made)
+    assert all(rows[i].class_id == i - i % 2 for i in range(50))
+    # not met by leaders but in blocks
+    import numpy as np
+    import pyarrow as pa
+    found = pa.Table.from_batches(minhash._profiles(iter([pa.record_batch(
+        {"row": pa.array([0, 1]), "doc_id": pa.array([0, 1]), "text": pa.array(made[:2])})])))
+    side = {c: found.column(c) for c in ("row", "marks", "ids", "counts")}
+    one = pa.table({**side, "comp": pa.array([0, 1]), "inner": pa.array([False, False])})
+    assert minhash._meet((), one, one).to_pylist() == [{"one": 0, "two": 1}]
+    assert [len(x) for x in found.column("bands").to_pylist()] == [minhash.BANDS, 2 * minhash.BANDS]
+    assert np.isin(*map(np.array, found.column("bands").to_pylist())).sum() >= 0.8 * minhash.BANDS
+
+
 def test_minhash_of_repeated_rows_and_nothing(spark, tmp_path):
     docs = stored(frame(spark, ["a b c"] * 4 + [None, "", "other words are these here"], ids=[7, 7, None, 3, 4, 5, 6]),
                   spark, tmp_path)

@@ -5,9 +5,13 @@ w, each time at one of SLOTS places; a place keeps whoever came first. A shingle
 until its next arrival is later than every place's first, which ends the work early. Two
 documents agree in a place with their probability Jaccard similarity. Bands of ROWS places give
 candidates; these are verified exactly: a pair is linked if the probability Jaccard similarity of
-the counts, or the Jaccard similarity of the sets, is 0.8 or more. Classes are the components.
+the counts, or the Jaccard similarity of the sets, is 0.8 or more. A text that repeats a shingle has
+a second signature, in which every shingle weighs one, with bands of its own, so that both kinds
+of pairs meet. Texts without repeats have the same signature either way, so the bands of both kinds
+share their buckets. Classes are the components.
 
-No bucket is ever expanded into its pairs. Documents with the same shingles are one from the start.
+No bucket is ever expanded into its pairs. Documents with the same shingles and counts are one from
+the start; those that differ in counts may be similar to different others, and are linked as others.
 In a bucket, each member is compared with one leader, the one whose buckets are largest, which is the
 text that others were copied from if there is one. Buckets that still hold several components are
 led anew by one outside the main component, which meets all that are not in its own and is then
@@ -83,6 +87,13 @@ def signatures(text: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, m: i
     return who.reshape(n, m)
 
 
+def _bands(sig: np.ndarray) -> np.ndarray:
+    bands = np.zeros((len(sig), BANDS), U)
+    for r in range(ROWS):
+        bands = mix(bands + sig[:, r::ROWS][:, :BANDS] + U(r + 1))
+    return mix(bands + np.arange(1, BANDS + 1, dtype=U)).view(np.int64)
+
+
 PROFILE = "row long, doc_id long, n int, k1 long, k2 long, bands array<long>, marks binary, ids binary, counts binary"
 
 
@@ -93,21 +104,28 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             per = np.bincount(text, minlength=f.n)
             cuts = np.concatenate([[0], np.cumsum(per)])
             sig = signatures(text, h, count.astype(np.float64), f.n)
-            bands = np.zeros((f.n, BANDS), U)
-            for r in range(ROWS):
-                bands = mix(bands + sig[:, r::ROWS][:, :BANDS] + U(r + 1))
-            bands = mix(bands + np.arange(1, BANDS + 1, dtype=U)).view(np.int64)
+            uneven = np.zeros(f.n, bool)
+            uneven[text[count > 1]] = True
+            of = uneven[text]
+            flat_sig = signatures((np.cumsum(uneven) - 1)[text[of]], h[of], np.ones(int(of.sum())), int(uneven.sum()))
+            bands = np.zeros((f.n, 2, BANDS), np.int64)
+            bands[:, 0], bands[uneven, 1] = _bands(sig), _bands(flat_sig)
+            own = np.ones((f.n, 2, BANDS), bool)
+            own[:, 1] = uneven[:, None] & (bands[:, 1] != bands[:, 0])
+            ends = np.concatenate([[0], np.cumsum(own.sum((1, 2)))])
             keys = []
             for s in (3, 5):  # sums do not depend on order
                 each = np.concatenate([[U(0)], np.cumsum(mix(mix(h + U(s)) + count.astype(U)))])
                 keys.append((each[cuts[1:]] - each[cuts[:-1]]).view(np.int64))
-            marks = (sig >> U(56)).astype(np.uint8)
+            marks = [(x >> U(56)).astype(np.uint8).tobytes() for x in sig]
+            for i, x in zip(np.flatnonzero(uneven).tolist(), flat_sig, strict=True):
+                marks[i] += (x >> U(56)).astype(np.uint8).tobytes()
             low, many = (h >> U(32)).astype("<u4"), count.astype("<u4")
             spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
             yield pa.record_batch(
                 [rows.column("row"), rows.column("doc_id"), pa.array(per, pa.int32()), *(pa.array(k) for k in keys),
-                 pa.ListArray.from_arrays(pa.array(np.arange(f.n + 1) * BANDS, pa.int32()), pa.array(bands.ravel())),
-                 pa.array([m.tobytes() for m in marks], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[own])),
+                 pa.array(marks, pa.binary()),
                  pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
                  pa.array([many[a:b].tobytes() if (many[a:b] > 1).any() else b"" for a, b in spans], pa.binary())],
                 [x.split()[0] for x in PROFILE.split(", ")])
@@ -227,14 +245,19 @@ def near_components(profiles: DataFrame, rows: DataFrame) -> DataFrame:
     return _joined(comp, _rest_links(mixed, profiles))
 
 
+def _marks(marks: list[bytes]) -> np.ndarray:
+    """Text, kind (by counts, by sets), place. Without repeated shingles both kinds are the same."""
+    return np.frombuffer(b"".join(m * 2 if len(m) == SLOTS else m for m in marks), np.uint8).reshape(-1, 2, SLOTS)
+
+
 def _meet(key: tuple[pa.Scalar, ...], outside: pa.Table, others: pa.Table) -> pa.Table:
     """Links of a block of texts outside a main component with a block of others near it."""
     one, two = [], []
     x, y = outside.to_pydict(), others.to_pydict()
-    own = np.frombuffer(b"".join(y["marks"]), np.uint8).reshape(-1, SLOTS)
+    own = _marks(y["marks"])
     comp, row, inner = (np.array(y[k]) for k in ("comp", "row", "inner"))
     for i, r in enumerate(x["row"]):
-        agree = (own == np.frombuffer(x["marks"][i], np.uint8)).sum(1)
+        agree = (own == _marks(x["marks"][i:i + 1])).sum(2).max(1)  # by counts or by sets
         near = (agree >= LEAST_AGREE) & (comp != x["comp"][i]) & (inner | (row > r))
         linked: set[int] = set()  # one link to a component is enough
         for j in np.flatnonzero(near)[np.argsort(-agree[near], kind="stable")].tolist():
