@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradelane.llm import lines, minhash, mixing, packing, rules
 from tradelane.llm.queries import tokenizer_path
-from tradelane.llm.tables import cut, labelled_sample, read, texts
+from tradelane.llm.tables import cut, labelled_sample, numbered, read, texts
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    kept = minhash.near_dedup(docs).where("kept").select(F.col("row").alias("__row")).hint("merge")
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").drop("__row")
+    docs = numbered(docs)
+    kept = minhash.near_dedup(docs, row_col="__row").where("kept").select(F.col("row").alias("__row")).hint("merge")
+    return docs.join(kept, "__row", "left_semi").drop("__row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -353,6 +353,33 @@ def test_sequences_follow_the_mix(spark, tmp_path, monkeypatch):
     assert sum(tokens.values()) > end > 40 * 2048
 
 
+@pytest.mark.parametrize("stage", ["lines", "substring", "near"])
+def test_rows_are_known_when_scans_are_split_anew(spark, tmp_path, monkeypatch, stage):
+    """After the first tables are written, files are read in other partitions, as when executors are lost."""
+    made = [f"{prose(i % 40, 40)}\n{'l' * 40} {i % 40}\n{prose(1000 + i, 10)}" for i in range(80)]
+    docs = stored(frame(spark, made, parts=6), spark, tmp_path)
+    run = {"lines": lambda: lines.dedup_lines(docs).select("doc_id", "text", "n_removed"),
+           "substring": lambda: substring.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256"),
+           "near": lambda: corpus_pipeline.near_dedup(spark, docs, SMALL).select("doc_id", "text")}[stage]
+    want = sorted(run().collect())
+    key = "spark.sql.files.minPartitionNum"
+    module = {"lines": lines, "substring": substring, "near": minhash}[stage]
+    last = {"lines": "gone", "substring": "anchors", "near": "classes"}[stage]
+
+    def then_split(df, name):
+        out = cut(df, name)
+        if name == last:
+            spark.conf.set(key, "1")
+        return out
+    monkeypatch.setattr(module, "cut", then_split)
+    try:
+        spark.conf.set(key, "64")
+        assert sorted(run().collect()) == want
+        assert spark.conf.get(key) == "1"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op1_line_dedup", "op8_mixing"):
         plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .tables import cut
+from .tables import cut, numbered
 
 MIN_LINES = 3  # a repeated run of so many lines counts,
 LONG_LINE = 40  # and so does a single line of so many characters
@@ -84,10 +84,10 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LO
 
     ``n_lines`` counts the lines that are not blank, ``n_removed`` those of them deleted; blank lines
     stay. All other columns, whatever their names, come back as they are. Null text counts as
-    empty. Of rows that repeat, the first keeps its lines. ``docs`` is a stored table: it is read
-    twice, and its rows are numbered by their place in it.
+    empty. Of rows that repeat, the first keeps its lines. ``docs`` is read once and written with the
+    numbers of its rows.
     """
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("kept"))
+    whole = numbered(docs).select(F.col("__row").alias("row"), F.struct(*docs.columns).alias("kept"))
     slim = whole.select("row", F.col(f"kept.`{id_col}`").cast("long").alias("doc_id"),
                         F.coalesce(F.col(f"kept.`{text_col}`"), F.lit("")).alias("text"))
     gone = (repeated_lines(slim, min_lines, long_line).groupBy("row")

@@ -306,14 +306,17 @@ def _main(mixed: DataFrame) -> DataFrame:
     return cut(main.select("band", F.col("x.comp").alias("main")), "main")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               row_col: str | None = None) -> DataFrame:
     """Per row of ``docs``: row (its number), doc_id, class_id, class_size, kept.
 
     ``class_id`` is the smallest doc_id of the class; its row stays, of several the first. Texts
     without words, null ones among them, are classes of their own. Rows that repeat are copies. Null
-    doc_ids stay before others. ``docs`` is a stored table, whose rows are numbered by their place.
+    doc_ids stay before others. The numbers are those of ``row_col``, which stands in the stored ``docs``;
+    without it they are given in the one scan of ``docs`` and mean nothing beyond this result.
     """
-    own = texts(docs.withColumn("__row", F.monotonically_increasing_id()), id_col, text_col,
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    own = texts(docs.withColumn("__row", row), id_col, text_col,
                 keep=(F.col("__row").alias("row"),)).select("row", "doc_id", "text")
     profiles = cut(own.mapInArrow(_profiles, PROFILE), "profiles")
     slim = profiles.select("row", "doc_id", "n", "k1", "k2")

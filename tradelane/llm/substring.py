@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import filter_of, possible
-from .tables import cut, texts
+from .tables import cut, numbered, texts
 from .textops import Flat, covered, slices
 
 WINDOW = 35
@@ -429,10 +429,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     Every word under a window of ``window`` words that also starts elsewhere goes. ``kept_text`` is
     null where nothing is removed (the words are the text's own) and empty where all are. Null text
-    has no words; rows that repeat are copies of each other. ``docs`` is a stored table: it is read
-    several times, and its rows are numbered by their place in it.
+    has no words; rows that repeat are copies of each other. ``docs`` is read once and written with the
+    numbers of its rows.
     """
-    own = texts(docs.withColumn("__row", F.monotonically_increasing_id()), id_col, text_col,
+    own = texts(numbered(docs.select(id_col, text_col)), id_col, text_col,
                 keep=(F.col("__row").alias("row"),)).select("row", "doc_id", "text")
     base, gone = removals(own, window, records)
     empty = hashlib.sha256(b"").hexdigest()

@@ -26,6 +26,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, a number of each row, written once: scans of it agree however they are split."""
+    return cut(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
 def placed(docs: DataFrame) -> DataFrame:
     """``docs``, a stored table, with ``__place``: the number of each row by file name, then place in the file.
 
