@@ -156,6 +156,30 @@ def test_main_text(source):
     assert extraction.main_text(source or "") == PAGES[source]
 
 
+_P = f"<p>{LONG}</p><p>{LONG}</p>"
+_MENU = "<div class='sidebar'><a href=a>one</a> <a href=b>two</a></div><p>line</p>"
+WRAPPED = {
+    "wrapper": f"<body><div class='layout with-sidebar'><article>{_P}</article></div>{_MENU}</body>",
+    "no article": f"<body><div class='post has-related'><h1>T</h1>{_P}</div>{_MENU}</body>",
+    "id": f"<body><div><div>{_P}</div><div id='market-share'>{_P}</div></div>{_MENU}</body>",
+    "form": f"<body><form id='aspnetForm'><div>{_P}</div></form>{_MENU}</body>",
+    "two articles": f"<body><main><article>{_P}</article><article>{_P}</article></main>{_MENU}</body>",
+    "beside": f"<body><div><article>{_P}</article><article>{_P}</article></div>{_MENU}</body>",
+    "comments": f"<body><article>{_P}</article><div class='comments'>{_P * 4}</div>{_MENU}</body>",
+}
+
+
+@pytest.mark.parametrize("name", list(WRAPPED))
+def test_articles_survive_names_and_neighbours(name):
+    got = extraction.main_text(WRAPPED[name])
+    assert got.count(LONG.strip()) == (4 if name in ("id", "two articles", "beside") else 2)
+    assert "one" not in got.split() and "two" not in got.split()
+
+
+def test_formulas_are_text():
+    assert extraction.main_text("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == "so x=2 holds"
+
+
 def test_pages(spark):
     import html
     import re

@@ -2,7 +2,12 @@
 
 Every DOM node gets its characters per tag, adjusted by its links; the node whose children have
 the largest sum of densities holds the article. The least density on its path to the body is the
-threshold by which the parts beside it, such as a title, belong to the article or not.
+threshold by which the parts beside it, such as a title or a further article, belong or not.
+
+Names and tags of boilerplate are only hints. An element that holds the densest node or an article
+stays; one with a telling class or id goes only if it has little or much linked text as well, or stands
+outside the article elements of its page. On a page without such elements, nothing but hidden parts
+and comments goes if most of the text would.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe object svg math title textarea xmp".split())
+_RAW = frozenset("script style noscript template iframe object svg title textarea xmp".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
@@ -39,6 +44,9 @@ _PRUNED_NAMES = frozenset(
 _PRUNED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NEVER_PRUNED = frozenset("html body article main".split())
+_COMMENT_NAMES = frozenset("comment comments disqus replies respond".split())  # they read like articles
+_HINT, _PART, _COMMENTS, _HIDDEN = 1, 2, 3, 4  # what tag and attributes say of an element
+LEAST_LEFT = 0.25  # of the text outside links
 # a start tag that ends an open element of these kinds
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
@@ -46,29 +54,31 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _SCOPE = frozenset("html body table td th ul ol dl div article section main button".split())
 
 
-def _pruned(tag: str, attrs: str) -> bool:
+def _mark(tag: str, attrs: str) -> int:
     if tag in _NEVER_PRUNED:
-        return False
-    if tag in _PRUNED:
-        return True
+        return 0
+    mark = _PART if tag in _PRUNED else 0
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return mark
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values)
-        if name in ("class", "id") and not _PRUNED_NAMES.isdisjoint(x.lower() for x in _WORD.findall(value)):
-            return True
-        if name == "role" and value.strip().lower() in _PRUNED_ROLES:
-            return True
-        if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+        if name in ("class", "id"):
+            if not _COMMENT_NAMES.isdisjoint(value.lower().split()):
+                mark = max(mark, _COMMENTS)
+            elif not _PRUNED_NAMES.isdisjoint(x.lower() for x in _WORD.findall(value)):
+                mark = max(mark, _HINT)
+        elif name == "role" and value.strip().lower() in _PRUNED_ROLES:
+            mark = max(mark, _PART)
+        elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
+            mark = _HIDDEN
+    return mark
 
 
 class _Page:
     """Nodes in page order (a parent before its children) and the text between them."""
 
-    def __init__(self, source: str, prune: bool = True):
-        self.tag, self.parent, self.gone = ["#root"], [-1], [False]
+    def __init__(self, source: str):
+        self.tag, self.parent, self.mark, self.gone = ["#root"], [-1], [0], [False]
         self.texts: list[tuple[int, str]] = []  # node, text; an empty text marks a break
         stack, at = [0], 0
         for m in _TOKEN.finditer(source):
@@ -85,7 +95,7 @@ class _Page:
                         pass
             else:
                 self._close(stack, tag)
-                node = self._open(stack[-1], tag, prune and _pruned(tag, m["attrs"]))
+                node = self._open(stack[-1], tag, _mark(tag, m["attrs"]))
                 if tag in _RAW:
                     self.gone[node] = True
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*>|\Z", re.I).search(source, at)
@@ -100,14 +110,15 @@ class _Page:
                 self.texts.append((stack[-1], " "))
         self._text(stack[-1], source[at:])
 
-    def _open(self, parent: int, tag: str, gone: bool) -> int:
+    def _open(self, parent: int, tag: str, mark: int) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
-        self.gone.append(gone or self.gone[parent])
+        self.mark.append(mark)
+        self.gone.append(False)
         return len(self.tag) - 1
 
     def _text(self, node: int, text: str) -> None:
-        if text and not self.gone[node]:
+        if text:
             self.texts.append((node, html.unescape(text)))
 
     def _close(self, stack: list[int], tag: str) -> None:
@@ -130,61 +141,109 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, body: float
     return chars / max(tags, 1) * math.log(max(ratio, 1.0)) / max(math.log(base), 0.5)
 
 
+class _Weights:
+    """Characters, tags and densities of the nodes that are not gone, and the densest one."""
+
+    def __init__(self, page: _Page):
+        n, parent, tag = len(page.tag), page.parent, page.tag
+        chars, tags, link_chars, link_tags = ([0] * n for _ in range(4))
+        for node, text in page.texts:
+            chars[node] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            p = parent[i]
+            if page.gone[i]:
+                continue
+            if tag[i] == "a":
+                link_chars[i], link_tags[i] = chars[i], link_tags[i] + 1
+            chars[p] += chars[i]
+            tags[p] += tags[i] + 1
+            link_chars[p] += link_chars[i]
+            link_tags[p] += link_tags[i]
+        body = next((i for i in range(n) if tag[i] == "body"), 0)
+        if not chars[body]:
+            body = 0
+        share = link_chars[body] / max(chars[body], 1)
+        density = [0.0 if page.gone[i] else _density(chars[i], tags[i], link_chars[i], link_tags[i], share)
+                   for i in range(n)]
+        sums = [0.0] * n
+        for i in range(1, n):
+            sums[parent[i]] += density[i]
+        inside = [False] * n
+        inside[body] = True
+        for i in range(body + 1, n):
+            inside[i] = inside[parent[i]] and not page.gone[i]
+        self.chars, self.link_chars, self.density, self.body, self.inside = chars, link_chars, density, body, inside
+        self.best = max((i for i in range(n) if inside[i]), key=lambda i: (sums[i], density[i], -i))
+
+
+def _go(page: _Page, own: list[bool]) -> None:
+    """These nodes and all below them are gone."""
+    page.gone = own
+    for i in range(1, len(own)):
+        own[i] = own[i] or own[page.parent[i]]
+
+
+def _holders(page: _Page, nodes: list[int]) -> list[bool]:
+    holds = [False] * len(page.tag)
+    for i in nodes:
+        while i >= 0 and not holds[i]:
+            holds[i], i = True, page.parent[i]
+    return holds
+
+
+def _prune(page: _Page) -> None:
+    raw, nodes = page.gone, range(len(page.tag))
+    w = _Weights(page)
+    articles = [i for i in nodes if page.tag[i] in ("article", "main") and w.link_chars[i] * 2 < w.chars[i]]
+    holds, own = _holders(page, articles), set(articles)
+    within = [False] * len(page.tag)
+    for i in nodes[1:]:
+        within[i] = i in own or within[page.parent[i]]
+    _go(page, [raw[i] or page.mark[i] == _HIDDEN or page.mark[i] == _COMMENTS and not holds[i] for i in nodes])
+    if not any(text.strip() and not page.gone[node] for node, text in page.texts):
+        page.gone = raw
+    visible, w = list(page.gone), _Weights(page)
+    holds = _holders(page, [*articles, w.best])
+    least = w.density[w.body]
+    _go(page, [visible[i] or not holds[i] and (
+        page.mark[i] == _PART
+        or page.mark[i] == _HINT and (own and not within[i] or w.link_chars[i] * 3 > w.chars[i]
+                                      or w.density[i] < least)) for i in nodes])
+    left = _Weights(page)
+    if not own and left.chars[0] - left.link_chars[0] < LEAST_LEFT * (w.chars[0] - w.link_chars[0]):
+        page.gone = visible
+
+
 def _article(page: _Page) -> list[bool]:
     """Which nodes belong to the article."""
-    n, parent, tag = len(page.tag), page.parent, page.tag
-    chars, tags, link_chars, link_tags = ([0] * n for _ in range(4))
-    for node, text in page.texts:
-        chars[node] += len(text.strip())
-    for i in range(n - 1, 0, -1):
-        p = parent[i]
-        if page.gone[i]:
-            continue
-        if tag[i] == "a":
-            link_chars[i], link_tags[i] = chars[i], link_tags[i] + 1
-        chars[p] += chars[i]
-        tags[p] += tags[i] + 1
-        link_chars[p] += link_chars[i]
-        link_tags[p] += link_tags[i]
-    body = next((i for i in range(n) if tag[i] == "body"), 0)
-    if not chars[body]:
-        body = 0
-    share = link_chars[body] / max(chars[body], 1)
-    density = [0.0 if page.gone[i] else _density(chars[i], tags[i], link_chars[i], link_tags[i], share)
-               for i in range(n)]
-    sums = [0.0] * n
-    for i in range(1, n):
-        sums[parent[i]] += density[i]
-    inside = [False] * n
-    inside[body] = True
-    for i in range(body + 1, n):
-        inside[i] = inside[parent[i]] and not page.gone[i]
-    best = max((i for i in range(n) if inside[i]), key=lambda i: (sums[i], density[i], -i))
-    path = [best]
-    while path[-1] != body:
+    n, parent, tag, w = len(page.tag), page.parent, page.tag, _Weights(page)
+    path = [w.best]
+    while path[-1] != w.body:
         path.append(parent[path[-1]])
-    threshold = min(density[i] for i in path)
-    top = next((i for i in path if tag[i] in ("article", "main")), None)
-    taken = [False] * n
+    threshold = min(w.density[i] for i in path)
+    top = next((i for i in path if tag[i] in ("article", "main")), w.best)
+    path = path[path.index(top):]
+    on_path, loose = set(path), [0] * n
+    for node, text in page.texts:
+        loose[node] += len(text.strip())
+    taken, whole = [False] * n, [False] * n
     for i in range(n):
-        if page.gone[i] or not inside[i]:
+        if page.gone[i] or not w.inside[i]:
             continue
-        if i == (best if top is None else top) or i and taken[parent[i]]:
-            taken[i] = True
-        elif top is None and i not in path and parent[i] in path:
-            dense = density[i] >= threshold or tag[i] in _HEADINGS
-            taken[i] = dense and link_chars[i] * 2 < chars[i]
-    if top is None:  # loose text of the nodes on the path, without their other children
-        for i in path[1:]:
-            taken[i] = sum(len(t.strip()) for node, t in page.texts if node == i) >= threshold > 0
-    return taken
+        if i == top or i and whole[parent[i]]:
+            whole[i] = True
+        elif i in on_path:  # its loose text, without its other children
+            taken[i] = loose[i] >= threshold > 0
+        elif parent[i] in on_path:
+            dense = w.density[i] >= threshold or tag[i] in _HEADINGS
+            whole[i] = dense and w.link_chars[i] * 2 < w.chars[i]
+    return [a or b for a, b in zip(taken, whole, strict=True)]
 
 
 def main_text(source: str) -> str:
     r"""Blocks of the article in page order, white space made one space, joined by two \n."""
     page = _Page(source)
-    if not any(text.strip() for _, text in page.texts):
-        page = _Page(source, prune=False)  # a page that is one form, or the like
+    _prune(page)
     taken, blocks, now = _article(page), [], []
     for node, text in [*page.texts, (0, "")]:
         if not text:
