@@ -411,6 +411,7 @@ QUERIES = {
         (SELECT count(*) FROM {AT_RISK_VIEW} WHERE port_risk_flag) AS risk_port_count
         FROM mart_china_concentration
         WHERE year = (SELECT max(year) FROM mart_china_concentration))""",
+    "q14_ports_at_risk": f"SELECT port_name, beaufort_number FROM {AT_RISK_VIEW} WHERE port_risk_flag",
     "q15_corridor": f"""SELECT *, CASE WHEN worst_strait_score >= 60 OR origin_ports_at_risk >= 2
         THEN '🔴 ROUTE DISRUPTED — Consider Cape of Good Hope rerouting'
         WHEN worst_strait_score >= 40 OR origin_ports_at_risk >= 1

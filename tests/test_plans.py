@@ -45,3 +45,11 @@ def test_results_do_not_depend_on_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
+
+
+def test_every_port_at_risk_is_in_the_result(spark):
+    from tradelane.plans import queries
+    ports = spark.createDataFrame([(f"P{i:02}", "CN" if i < 14 else "DE", i % 13, i != 3) for i in range(20)],
+                                  "port_name string, country_iso string, beaufort_number int, port_risk_flag boolean")
+    got = [r.port_name for r in queries.q14_ports_at_risk(ports).collect()]
+    assert sorted(got) == [f"P{i:02}" for i in range(14) if i != 3] and got[0] == "P12"

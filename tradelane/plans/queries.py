@@ -237,7 +237,7 @@ def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
     status = port_trade.where(F.col("country_iso") == focus_weather).agg(F.struct(
         F.max("beaufort_number").alias("bf"), F.bool_or(risk).alias("risk"),
         F.count_if(risk).alias("n"))).scalar()
-    # a report of the worst ports; risk_port_count has the number of all
+    # a report of the worst ports; risk_port_count has the number of all, q14_ports_at_risk their names
     worst = (port_trade.where((F.col("country_iso") == focus_weather) & risk)
              .orderBy(F.desc("beaufort_number"), "port_name").limit(listed)
              .agg(F.array_join(F.array_sort(F.collect_list("port_name")), ", ")).scalar())
@@ -259,6 +259,12 @@ def q14_china_risk(concentration: DataFrame, port_trade: DataFrame,
     ], "🟢 NORMAL")).orderBy(F.desc("china_share_pct"), "commodity_name")
 
 
+def q14_ports_at_risk(port_trade: DataFrame, focus_weather: str = "CN") -> DataFrame:
+    """Every port at risk behind ``q14_china_risk``, one row each."""
+    return (port_trade.where((F.col("country_iso") == focus_weather) & F.col("port_risk_flag"))
+            .select("port_name", "beaufort_number").orderBy(F.desc("beaufort_number"), "port_name"))
+
+
 def q15_corridor(monitor: DataFrame, port_trade: DataFrame,
                  straits: Sequence[str] = ("Bab el-Mandeb", "Suez Canal", "Strait of Gibraltar"),
                  origins: Sequence[str] = ("Shanghai", "Ningbo-Zhoushan", "Shenzhen", "Busan"),

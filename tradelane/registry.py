@@ -624,6 +624,7 @@ query("q12_net_exporters")(lambda s: sqlq.q12_net_exporters(m_exporters(s), bill
 query("q13_booking")(lambda s: sqlq.q13_booking(m_seasonal(s), m_burden(s)))
 query("q14_china_risk")(
     lambda s: sqlq.q14_china_risk(m_china(s), m_port_trade(s), FOCUS_COUNTRY, BILLION))
+query("q14_ports_at_risk")(lambda s: sqlq.q14_ports_at_risk(m_port_trade(s), FOCUS_COUNTRY))
 query("q15_corridor")(lambda s: sqlq.q15_corridor(m_monitor(s), m_port_trade(s)))
 query("q16_double_risk")(
     lambda s: sqlq.q16_double_risk(m_signals(s), m_china(s), m_burden(s), BILLION))
