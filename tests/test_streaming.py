@@ -75,3 +75,26 @@ def test_late_positions_find_the_static_of_their_time(spark, tmp_path):
     out = str(tmp_path / "out")
     stream.stream_enrich_static(source, out, str(tmp_path / "state"), str(tmp_path / "ck"))
     assert {r.message_id: r.ship_name for r in spark.read.parquet(out).collect()} == {2: "OLD", 4: "NEW", 5: "OLD"}
+
+
+def test_rows_of_closed_days_are_merged(spark, tmp_path):
+    """Files out of time order, one a batch: days that are long closed still change."""
+    schema = "event_id long, mmsi long, t string, route string, sog_knots double"
+    files = [[(1, 1, "2024-01-01 10:00", "A", 1.0)], [(2, 1, "2024-03-01 10:00", "A", 2.0)],
+             [(3, 1, "2024-01-01 12:00", "A", 3.0), (4, 2, "2024-01-02 09:00", "B", None)],
+             [(5, 1, "2024-01-01 08:00", "A", 5.0)], [(6, 1, "2024-03-02 10:00", "A", 6.0)]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).withColumn("event_time_utc", F.to_timestamp("t")).drop("t") \
+            .coalesce(1).write.parquet(str(tmp_path / "in" / f"p{i}"))
+    source = (spark.readStream.schema(spark.read.parquet(str(tmp_path / "in" / "p0")).schema)
+              .option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*")))
+    last = stream.run_merged(source, str(tmp_path / "d"), str(tmp_path / "dc"),
+                             lambda df: stream.daily_partial(df, ["sog_knots"]), stream.daily_merge).collect()
+    assert {(r.mmsi, str(r.day.start.date())): (r.sog_knots, r.final) for r in last} == {
+        (1, "2024-01-01"): (3.0, True), (1, "2024-03-01"): (2.0, True), (2, "2024-01-02"): (None, True),
+        (1, "2024-03-02"): (6.0, False)}
+    got = stream.run_merged(source, str(tmp_path / "r"), str(tmp_path / "rc"),
+                            stream.route_partial, stream.route_merge).collect()
+    assert {(r.route, str(r.day.start.date())): (r.messages, r.speed_sum, r.speeds) for r in got} == {
+        ("A", "2024-01-01"): (3, 9.0, 3), ("A", "2024-03-01"): (1, 2.0, 1), ("B", "2024-01-02"): (1, None, 0),
+        ("A", "2024-03-02"): (1, 6.0, 1)}

@@ -7,6 +7,7 @@ scratch folder, and reads them back through the source under test.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from .plans import routes
 from .registry import query, vessel_messages
 from .session import scratch_path
 from .sources import readers, sinks
-from .standin import TABLE_SCHEMAS, Standin, vessel_rows
+from .standin import Standin, vessel_rows
 from .streaming import vessels as stream
 
 RUN_DATE = dt.date(2024, 2, 1)
@@ -245,12 +246,6 @@ def _(s):
 
 # streams -----------------------------------------------------------------------------
 
-def event_stream(s: Standin) -> DataFrame:
-    events = (s.spark.readStream.schema(TABLE_SCHEMAS["events"])
-              .option("pathGlobFilter", "events.parquet").parquet(s.dir))
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
 def landed_events(s: Standin, parts: int = 4) -> DataFrame:
     """The events as a stream of one file after another, in the order of their ids."""
     root, events = scratch_path(s.spark, "events"), s.table("events")
@@ -268,13 +263,16 @@ def _finished(s: Standin, name: str, df: DataFrame) -> DataFrame:
     return s.spark.read.schema(df.schema).parquet(out)
 
 
-def _complete(s: Standin, name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+def _merged(s: Standin, name: str, partial: Callable[[DataFrame], DataFrame],
+            merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     out = scratch_path(s.spark, name)
-    return stream.run_complete(df, out, out + "-checkpoint", keys, "day.end")
+    return stream.run_merged(stream_positions(s), out, out + "-checkpoint", partial, merge)
 
 
 def stream_positions(s: Standin) -> DataFrame:
-    df = cleaning.vessel_derived(vessel_rows(event_stream(s)))
+    """The events in four batches; in each of them days are open and others come late."""
+    events = landed_events(s).withColumn("ts", F.col("ts").cast("timestamp"))
+    df = cleaning.vessel_derived(vessel_rows(events))
     return geo.map_route(geo.is_strait(geo.locate_bbox(df)))
 
 
@@ -295,22 +293,22 @@ def _(s):
 
 @query("stream_dedupe_daily")
 def _(s):
-    df = stream.stream_dedupe_daily(stream_positions(s), ["event_id", "sog_knots", "port_guess"])
-    out = _complete(s, "stream-daily", df, ["mmsi", "day"])
+    out = _merged(s, "stream-daily", lambda df: stream.daily_partial(df, ["event_id", "sog_knots", "port_guess"]),
+                  stream.daily_merge)
     return out.select("mmsi", F.to_date("day.start").alias("fetch_date"), "event_id", "sog_knots",
                       "port_guess")
 
 
 @query("stream_strait_counts")
 def _(s):
-    df = stream.stream_dedupe_daily(stream_positions(s), ["port_guess", "is_strait", "is_moving"])
-    return stream.strait_counts(_complete(s, "stream-straits", df, ["mmsi", "day"]))
+    return stream.strait_counts(_merged(
+        s, "stream-straits", lambda df: stream.daily_partial(df, ["port_guess", "is_strait", "is_moving"]),
+        stream.daily_merge))
 
 
 @query("stream_route_activity")
 def _(s):
-    daily = _complete(s, "stream-routes", stream.stream_route_activity(stream_positions(s)),
-                      ["route", "mmsi", "day"])
+    daily = _merged(s, "stream-routes", stream.route_partial, stream.route_merge)
     baseline = routes.route_baselines(s.vessels_daily)
     return stream.route_windows(daily, 7, baseline).withColumn("avg_speed", F.round("avg_speed", 6))
 

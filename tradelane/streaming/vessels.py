@@ -2,13 +2,15 @@
 
 Sources are landed files. Aggregations carry a watermark, so state is bounded and a
 day is final once the watermark has passed it; days still open are given out as well and
-marked. Sinks go through ``foreachBatch`` and write under the batch id or merge by key, so
+marked. Stateful aggregations leave out rows later than that; ``run_merged`` keeps them all by
+merging partial results of the batches. Sinks go through ``foreachBatch`` and write under the batch id or merge by key, so
 that a repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,30 @@ def stream_dedupe_daily(df: DataFrame, columns: Sequence[str], tiebreak: str = "
             .select("mmsi", "day", F.col("_last.*")))
 
 
+def daily_partial(df: DataFrame, columns: Sequence[str], tiebreak: str = "event_id") -> DataFrame:
+    """Last position per vessel and day of one batch, with what decides between batches."""
+    return (df.groupBy("mmsi", F.window(TIME, "1 day").alias("day"))
+            .agg(F.max_by(F.struct(TIME, *columns), F.struct(TIME, tiebreak)).alias("_last"),
+                 F.max(F.struct(TIME, tiebreak)).alias("_key"), F.max(TIME).alias("seen")))
+
+
+def daily_merge(parts: DataFrame) -> DataFrame:
+    return (parts.groupBy("mmsi", "day").agg(F.max_by("_last", "_key").alias("_last"))
+            .select("mmsi", "day", F.col("_last.*")))
+
+
+def route_partial(df: DataFrame) -> DataFrame:
+    """Messages and speed per route, vessel and day of one batch."""
+    return (df.groupBy("route", "mmsi", F.window(TIME, "1 day").alias("day"))
+            .agg(F.count("*").alias("messages"), F.sum("sog_knots").alias("speed_sum"),
+                 F.count("sog_knots").alias("speeds"), F.max(TIME).alias("seen")))
+
+
+def route_merge(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("route", "mmsi", "day").agg(
+        *(F.sum(c).alias(c) for c in ("messages", "speed_sum", "speeds")))
+
+
 def strait_counts(daily: DataFrame) -> DataFrame:
     """Exact vessels per strait and day, from the daily last positions that a stream has written."""
     return (daily.where("is_strait")
@@ -98,6 +124,8 @@ def run_complete(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str],
     query = (df.writeStream.outputMode("update").foreachBatch(write)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
+    if late := late_rows(query):
+        warnings.warn(f"{late} rows came after the watermark and are not in {out}", stacklevel=2)
     spark = df.sparkSession
     mark = (query.lastProgress or {}).get("eventTime", {}).get("watermark")
     if not path_exists(spark, f"{out}/batch=*"):
@@ -106,6 +134,29 @@ def run_complete(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str],
     return newest.withColumn("final", F.coalesce(F.col(end) <= F.lit(mark).cast("timestamp"), F.lit(False)))
 
 
+def run_merged(df: DataFrame, out: str, checkpoint: str, partial: Callable[[DataFrame], DataFrame],
+               merge: Callable[[DataFrame], DataFrame], delay: str = "1 hour") -> DataFrame:
+    """Process what has landed and stop; rows of every batch count, however late they come.
+
+    Each micro-batch writes its ``partial`` rows (with ``seen``, their newest time) under its id, so
+    a repeat replaces them; ``merge`` makes the result of all. ``final``: the newest time of all less
+    ``delay`` has passed the day; later rows still change it when they come.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    spark, schema = df.sparkSession, _with_batch(partial(df))
+    if path_exists(spark, f"{out}/batch=*"):
+        parts = spark.read.schema(schema).parquet(out)
+    else:
+        parts = spark.createDataFrame([], schema)
+    mark = parts.agg(F.max("seen")).scalar() - F.expr(f"INTERVAL {delay}")
+    return merge(parts.drop("batch")).withColumn("final", F.coalesce(F.col("day.end") <= mark, F.lit(False)))
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came after the watermark and were left out, as far as the query remembers."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
