@@ -46,12 +46,18 @@ def filter_of(df: DataFrame, column: str):
     return df.sparkSession.sparkContext.broadcast((bits, out))
 
 
+def may_hold(held, ids: np.ndarray) -> np.ndarray:
+    """Marks of the ids (64-bit integers) that the filter may hold."""
+    bits, table = held.value
+    at = (mix(ids.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def possible(held, column: str):
     """For mapInArrow: the rows whose id the filter may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, table = held.value
         for b in batches:
             if b.num_rows:
-                at = _at(b.column(column), bits)
-                yield b.filter(pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+                ids = b.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield b.filter(pa.array(may_hold(held, ids)))
     return run

@@ -53,4 +53,66 @@ ends AS (SELECT min(plan.slot + (CAST(ceil(q.size / 200000) AS BIGINT) // q.q) *
 SELECT b.doc_id, b.source, b.block, CAST(plan.slot + (b.block // plan.q) * (SELECT p FROM p) AS BIGINT) AS slot,
   plan.slot + (b.block // plan.q) * (SELECT p FROM p) < (SELECT horizon FROM ends) AS in_mix
 FROM b JOIN plan ON plan.source = b.source AND plan.nth = b.block % plan.q""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE steps AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i)),
+tab AS (SELECT list(c ORDER BY i) AS t FROM steps),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({AZ}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run),
+bytes AS (SELECT run, n, list_transform(range(CAST(length(hex(b)) / 2 AS BIGINT)),
+    lambda k: CAST('0x' || substr(hex(b), CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT)) AS b
+  FROM (SELECT run, n, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS b FROM runs)),
+sums AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)),
+    4294967295) AS h FROM bytes, tab),
+shown AS (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) ||
+    substr(run, CAST(h % length(run) + 2 AS BIGINT)) ELSE run END AS word FROM sums),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM shown WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+each AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+cut AS (SELECT word, n, i, left(word, CAST(i AS BIGINT)) || substr(word, CAST(i + 2 AS BIGINT)) AS rest FROM each),
+pairs AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest
+    AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+  FROM pairs GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+    CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, form AS link, 1 AS k FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN forms f ON f.word = c.link WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(link, k) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN ends USING (word)""",
+    "op12_ranked_search": rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all({AZ},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+real AS (SELECT doc_id, doc, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM real),
+tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(ts) AS term FROM real) GROUP BY doc, term),
+items AS (SELECT item_id, row_number() OVER () AS item, list_distinct(regexp_extract_all({AZ},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts FROM benchmark),
+asked AS (SELECT item_id, item, unnest(ts) AS term FROM items),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, n_docs),
+scored AS (SELECT a.item, a.item_id, r.doc_id, r.doc, CAST(sum(w.w * ((1000000000 * tf.tf) //
+    (1000 * tf.tf + 8 * (100 - 90 + (90 * r.n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN w USING (term) JOIN tf USING (term) JOIN real r ON r.doc = tf.doc, total
+  GROUP BY a.item, a.item_id, r.doc_id, r.doc)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank,
+  doc_id, score FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) <= 10""",
+    "op13_set_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all({AZ}, '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sets AS (SELECT doc_id, doc, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(len(ws) - 2), lambda i: array_to_string(ws[i + 1:i + 3], ' '))) END AS s FROM d),
+own AS (SELECT list_sort(s) AS s, min(doc) AS class, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY ALL),
+each AS (SELECT class, n, unnest(s) AS g FROM own),
+pairs AS (SELECT a.class AS x, b.class AS y FROM each a JOIN each b ON a.g = b.g AND a.class <> b.class
+    AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT class, class AS other FROM own UNION SELECT r.class, p.y FROM reach r JOIN pairs p ON p.x = r.other),
+comp AS (SELECT class, min(other) AS comp FROM reach GROUP BY class),
+named AS (SELECT s.doc_id, len(s.s) AS n_shingles, CASE WHEN len(s.s) = 0 THEN -s.doc ELSE c.comp END AS comp FROM sets s
+  LEFT JOIN own o ON o.s = list_sort(s.s) LEFT JOIN comp c ON c.class = o.class)
+SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, min(doc_id) OVER (PARTITION BY comp) AS component_id FROM named""",
 }

@@ -122,6 +122,12 @@ class Flat:
         return text[real], starts[real], ends[real]
 
 
+def lowered(f: Flat) -> Flat:
+    """The texts with A-Z lower-cased, and nothing else."""
+    big = (f.data >= 0x41) & (f.data <= 0x5A)
+    return Flat(f.data + (big * np.uint8(0x20)), f.offsets)
+
+
 def repeated(keys: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marks of keys found twice or more within their text, and of those with an equal key before."""
     own = mix(keys + texts.astype(U) * U(0x9E3779B97F4A7C15))
