@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks import compare
 from tests.llm.helpers import AWKWARD, frame, prose, repeats, sha, stored, words
-from tradelane.llm import exact, lines, minhash, mixing, packing, substring
+from tradelane.llm import exact, linking, lines, minhash, mixing, packing, substring
 from tradelane.llm.tables import cut
 
 SMALL = "/root/testdata/sf0.01"
@@ -119,7 +119,7 @@ def brute_classes(texts):
 
 
 def test_minhash_against_all_pairs(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(linking, "BLOCK", 16)
     r = random.Random(5)
     base = [prose(s, 300).split() for s in range(4)]
     made = [prose(100 + i, r.randint(1, 200)) for i in range(60)] + AWKWARD
@@ -139,7 +139,7 @@ def test_minhash_against_all_pairs(spark, tmp_path, monkeypatch):
 
 def test_minhash_of_passages_repeated_differently(spark, tmp_path, monkeypatch):
     """Alike as sets, far apart by counts: each pair is found, also outside a main component."""
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(linking, "BLOCK", 16)
     made = []
     for i in range(25):
         body, passage = prose(i, 104), prose(1000 + i, 24)
@@ -154,9 +154,9 @@ def test_minhash_of_passages_repeated_differently(spark, tmp_path, monkeypatch):
     import pyarrow as pa
     found = pa.Table.from_batches(minhash._profiles(iter([pa.record_batch(
         {"row": pa.array([0, 1]), "doc_id": pa.array([0, 1]), "text": pa.array(made[:2])})])))
-    side = {c: found.column(c) for c in ("row", "marks", "ids", "counts")}
+    side = {c: found.column(c) for c in ("row", "ids", "counts")}
     one = pa.table({**side, "comp": pa.array([0, 1]), "inner": pa.array([False, False])})
-    assert minhash._meet((), one, one).to_pylist() == [{"one": 0, "two": 1}]
+    assert linking._meet(minhash.SIMILAR)((), one, one).to_pylist() == [{"one": 0, "two": 1}]
     assert [len(x) for x in found.column("bands").to_pylist()] == [minhash.BANDS, 2 * minhash.BANDS]
     assert np.isin(*map(np.array, found.column("bands").to_pylist())).sum() >= 0.8 * minhash.BANDS
 
@@ -179,7 +179,7 @@ def test_probability_jaccard():
     some = (x > 0) | (y > 0)
     x, y = x[some], y[some]
     plain = sum(1 / np.maximum(x / x[i], y / y[i]).sum() for i in range(len(x)) if x[i] and y[i])
-    assert abs(minhash.probability_jaccard(x, y) - plain) < 1e-12
+    assert abs(linking.probability_jaccard(x, y) - plain) < 1e-12
     n = np.concatenate([np.zeros(len(x), int), np.ones(len(y), int)])
     h = np.tile(mix(np.arange(1, len(x) + 1).astype(np.uint64)), 2)
     w, has = np.concatenate([x, y]), np.concatenate([x, y]) > 0

@@ -10,13 +10,9 @@ a second signature, in which every shingle weighs one, with bands of its own, so
 of pairs meet. Texts without repeats have the same signature either way, so the bands of both kinds
 share their buckets. Classes are the components.
 
-No bucket is ever expanded into its pairs. Documents with the same shingles and counts are one from
-the start; those that differ in counts may be similar to different others, and are linked as others.
-In a bucket, each member is compared with one leader, the one whose buckets are largest, which is the
-text that others were copied from if there is one. Buckets that still hold several components are
-led anew by one outside the main component, which meets all that are not in its own and is then
-done; at last those still outside meet the members of other components in blocks, whose tasks
-give out links only.
+Documents with the same shingles and counts are one from the start; those that differ in counts may
+be similar to different others, and are linked as others. ``linking`` verifies the members of the
+buckets, which are never expanded into their pairs.
 """
 
 from __future__ import annotations
@@ -28,18 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bits import filter_of, possible
+from .linking import Measure, connect, shared_buckets
 from .tables import cut, texts
 from .textops import Flat, mix, slices
 
 SHINGLE = 5
 BANDS, ROWS = 20, 4
 SLOTS = BANDS * ROWS
-SIMILAR = 0.8
-LEADER_ROUNDS = 1
-BLOCK = 1024  # rows of a side that are compared in one task
-# agreeing places below which a pair is far from SIMILAR: five deviations of the estimate
-LEAST_AGREE = int(SLOTS * SIMILAR - 5 * (SLOTS * SIMILAR * (1 - SIMILAR)) ** 0.5)
+SIMILAR = Measure(percent=80, counted=True)
 U = np.uint64
 
 
@@ -94,7 +86,7 @@ def _bands(sig: np.ndarray) -> np.ndarray:
     return mix(bands + np.arange(1, BANDS + 1, dtype=U)).view(np.int64)
 
 
-PROFILE = "row long, doc_id long, n int, k1 long, k2 long, bands array<long>, marks binary, ids binary, counts binary"
+PROFILE = "row long, doc_id long, n int, k1 long, k2 long, bands array<long>, ids binary, counts binary"
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,195 +109,16 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in (3, 5):  # sums do not depend on order
                 each = np.concatenate([[U(0)], np.cumsum(mix(mix(h + U(s)) + count.astype(U)))])
                 keys.append((each[cuts[1:]] - each[cuts[:-1]]).view(np.int64))
-            marks = [(x >> U(56)).astype(np.uint8).tobytes() for x in sig]
-            for i, x in zip(np.flatnonzero(uneven).tolist(), flat_sig, strict=True):
-                marks[i] += (x >> U(56)).astype(np.uint8).tobytes()
             low, many = (h >> U(32)).astype("<u4"), count.astype("<u4")
             spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
             yield pa.record_batch(
                 [rows.column("row"), rows.column("doc_id"), pa.array(per, pa.int32()), *(pa.array(k) for k in keys),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[own])),
-                 pa.array(marks, pa.binary()),
                  pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
                  pa.array([many[a:b].tobytes() if (many[a:b] > 1).any() else b"" for a, b in spans], pa.binary())],
                 [x.split()[0] for x in PROFILE.split(", ")])
 
 
-def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
-    """Sum over i of 1 / sum over j of max(x_j/x_i, y_j/y_i); x and y are weights of the same items."""
-    with np.errstate(divide="ignore"):
-        ratio = np.where(x > 0, y / np.maximum(x, 1e-300), np.inf)
-    order = np.argsort(ratio, kind="stable")
-    x, y, ratio = x[order], y[order], ratio[order]
-    upto = np.searchsorted(ratio, ratio, "right")
-    px, py = np.concatenate([[0], np.cumsum(x)]), np.concatenate([[0], np.cumsum(y)])
-    both = (x > 0) & (y > 0)
-    return float((1 / (px[upto[both]] / x[both] + (py[-1] - py[upto[both]]) / y[both])).sum())
-
-
-def similar(a: bytes, b: bytes, count_a: bytes, count_b: bytes, least: float = SIMILAR) -> bool:
-    """Whether two profiles reach ``least``, by sets or by counts."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    if not len(x) or not len(y):
-        return False
-    common = len(np.intersect1d(x, y))
-    if common >= least * (len(np.union1d(x, y)) if len(x) + len(y) < 64 else len(x) + len(y) - common):
-        return True
-    if not count_a and not count_b:
-        return False
-    own = np.union1d(x, y)
-    wx, wy = np.zeros(len(own)), np.zeros(len(own))
-    np.add.at(wx, np.searchsorted(own, x), np.frombuffer(count_a, "<u4") if count_a else 1)
-    np.add.at(wy, np.searchsorted(own, y), np.frombuffer(count_b, "<u4") if count_b else 1)
-    return probability_jaccard(wx, wy) >= least
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if b.num_rows:
-            good = [similar(*v) for v in zip(*(b.column(c).to_pylist() for c in ("ids", "ids2", "counts", "counts2")),
-                                             strict=True)]
-            yield b.select(["one", "two"]).filter(pa.array(good, pa.bool_()))
-
-
-def _links(pairs: DataFrame, profiles: DataFrame, name: str) -> DataFrame:
-    """The pairs (one, two) that are similar; each side's profile is fetched by its row."""
-    pairs = cut(pairs, f"{name}-pairs")
-    held = filter_of(pairs.select(F.col("one").alias("row")).union(pairs.select("two")), "row")
-    own = profiles.select("row", "ids", "counts").mapInArrow(
-        possible(held, "row"), "row long, ids binary, counts binary")
-    # merged at every size: the pairs grow with the data, and AQE can split a hot leader
-    both = (pairs.hint("merge").join(own.withColumnRenamed("row", "one"), "one").hint("merge")
-            .join(own.toDF("two", "ids2", "counts2"), "two"))
-    return cut(both.mapInArrow(_verify, "one long, two long"), name)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """row, comp (its smallest connected row) of every linked row, by contracting to least neighbours."""
-    edges = cut(links.select(F.col("one").alias("a"), F.col("two").alias("b")).where("a <> b").distinct(), "edges")
-    nodes = edges.select("a").union(edges.select("b")).distinct()
-    found = nodes.select(F.col("a").alias("row"), F.col("a").alias("comp"))
-    while not edges.isEmpty():
-        ways = edges.union(edges.select("b", "a"))
-        least = cut(ways.groupBy("a").agg(F.min("b").alias("m")).where("m < a"), "least")
-        found = found.join(least.toDF("comp", "m"), "comp", "left").select("row", F.coalesce("m", "comp").alias("comp"))
-        moved = (edges.join(least, "a", "left").select(F.coalesce("m", "a").alias("a"), "b")
-                 .join(least.toDF("b", "m"), "b", "left").select("a", F.coalesce("m", "b").alias("b")))
-        edges = cut(moved.where("a <> b").distinct(), "edges")
-    return cut(found, "components")
-
-
-def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """``comp`` (row, comp) after more links; rows that are in no link yet may be missing in it."""
-    end = comp.toDF("one", "c1"), comp.toDF("two", "c2")
-    between = (links.join(end[0], "one", "left").join(end[1], "two", "left")
-               .select(F.coalesce("c1", "one").alias("one"), F.coalesce("c2", "two").alias("two")))
-    more = components(between)
-    known = comp.join(more.toDF("comp", "to"), "comp", "left").select("row", F.coalesce("to", "comp").alias("comp"))
-    new = more.join(comp.select("row"), "row", "left_anti")
-    return cut(known.unionByName(new), "components")
-
-
-def _mixed(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """The members (band, row, c) of buckets that hold several components, with these."""
-    named = members.join(comp, "row", "left").withColumn("comp", F.coalesce("comp", "row"))
-    several = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-    return cut(named.join(cut(several.select("band"), f"{name}-bands"), "band"), name)
-
-
-def near_components(profiles: DataFrame, rows: DataFrame) -> DataFrame:
-    """row, comp of those of ``rows`` that are similar to another, directly or by others."""
-    each = (profiles.where("n > 0").select("row", "bands").join(rows.hint("merge"), "row")
-            .select("row", F.explode("bands").alias("band")))
-    sizes = each.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    # the stored side is unique, so AQE can split a hot bucket on the other
-    shared = cut(each.join(cut(sizes, "buckets").hint("merge"), "band"), "shared")
-    # the text that others were copied from keeps to the large buckets: it leads them
-    central = shared.groupBy("row").agg(F.sum("c").alias("c"))
-    members = cut(shared.drop("c").join(central.hint("merge"), "row"), "members")
-    lead = members.groupBy("band").agg(F.max(F.struct("c", (-F.col("row")).alias("r"))).alias("x"))
-    pairs = members.join(cut(lead, "leaders").hint("merge"), "band").select(
-        F.col("row").alias("one"), (-F.col("x.r")).alias("two")).where("one <> two").distinct()
-    comp = components(_links(pairs, profiles, "links-0"))
-    for i in range(1, LEADER_ROUNDS + 1):
-        mixed = _mixed(members, comp, f"mixed-{i}")
-        if mixed.isEmpty():
-            return comp
-        outside = mixed.join(_main(mixed), "band").where("comp <> main")
-        lead = cut(outside.groupBy("band").agg(F.max(F.struct("c", (-F.col("row")).alias("r"), "comp")).alias("x")),
-                   f"leaders-{i}")
-        led = mixed.join(lead, "band")
-        pairs = led.where("comp <> x.comp").select(F.col("row").alias("one"), (-F.col("x.r")).alias("two")).distinct()
-        comp = _joined(comp, _links(pairs, profiles, f"links-{i}"))
-        # a leader has met all others of its bucket
-        members = led.where("row <> -x.r").select("band", "row", "c")
-    mixed = _mixed(members, comp, "mixed-rest")
-    if mixed.isEmpty():
-        return comp
-    return _joined(comp, _rest_links(mixed, profiles))
-
-
-def _marks(marks: list[bytes]) -> np.ndarray:
-    """Text, kind (by counts, by sets), place. Without repeated shingles both kinds are the same."""
-    return np.frombuffer(b"".join(m * 2 if len(m) == SLOTS else m for m in marks), np.uint8).reshape(-1, 2, SLOTS)
-
-
-def _meet(key: tuple[pa.Scalar, ...], outside: pa.Table, others: pa.Table) -> pa.Table:
-    """Links of a block of texts outside a main component with a block of others near it."""
-    one, two = [], []
-    x, y = outside.to_pydict(), others.to_pydict()
-    own = _marks(y["marks"])
-    comp, row, inner = (np.array(y[k]) for k in ("comp", "row", "inner"))
-    for i, r in enumerate(x["row"]):
-        agree = (own == _marks(x["marks"][i:i + 1])).sum(2).max(1)  # by counts or by sets
-        near = (agree >= LEAST_AGREE) & (comp != x["comp"][i]) & (inner | (row > r))
-        linked: set[int] = set()  # one link to a component is enough
-        for j in np.flatnonzero(near)[np.argsort(-agree[near], kind="stable")].tolist():
-            if y["comp"][j] not in linked and similar(x["ids"][i], y["ids"][j], x["counts"][i], y["counts"][j]):
-                linked.add(y["comp"][j])
-                one.append(r)
-                two.append(y["row"][j])
-    return pa.table([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["one", "two"])
-
-
-def _rest_links(mixed: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Links between the rows outside a main component and all that share a bucket of it with them.
-
-    Rows are dealt by main component, in blocks of BLOCK by BLOCK rows, so a task holds no more than
-    two blocks; what goes out is links, never candidates.
-    """
-    near = cut(mixed.join(_main(mixed), "band").select("main", "row", "comp").distinct(), "rest")
-    held = filter_of(near.select("row"), "row")
-    own = profiles.select("row", "marks", "ids", "counts").mapInArrow(
-        possible(held, "row"), "row long, marks binary, ids binary, counts binary")
-    sizes = near.groupBy("main").agg(
-        F.ceil(F.count_if(F.col("comp") != F.col("main")) / BLOCK).alias("n_i"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_j")).where("n_i > 0")
-    both = (near.hint("merge").join(own, "row").join(cut(sizes, "rest-sizes"), "main")
-            .withColumn("inner", F.col("comp") == F.col("main")))
-
-    def blocks(df: DataFrame, mine: str, all_: str) -> DataFrame:
-        """Every row in its own block of one kind, beside all blocks of the other kind."""
-        of, other = {"i": ("n_i", "n_j"), "j": ("n_j", "n_i")}[mine]
-        return df.select(
-            "main", F.pmod(F.xxhash64("row"), F.col(of)).alias(mine),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(all_),
-            "row", "comp", "inner", "marks", "ids", "counts")
-
-    left, right = blocks(both.where("not inner"), "i", "j"), blocks(both, "j", "i")
-    right = right.toDF(*right.columns)  # columns of their own, so that the sides can be told apart
-    met = left.groupBy("main", "i", "j").cogroup(right.groupBy("main", "i", "j")).applyInArrow(
-        _meet, "one long, two long")
-    return cut(met, "links-rest")
-
-
-def _main(mixed: DataFrame) -> DataFrame:
-    """band, main: the component of most members of each bucket."""
-    sizes = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("x"))
-    return cut(main.select("band", F.col("x.comp").alias("main")), "main")
-
-
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                row_col: str | None = None) -> DataFrame:
     """Per row of ``docs``: row (its number), doc_id, class_id, class_size, kept.
@@ -325,7 +138,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = cut(same, "same-shingles")
     named = cut(slim.join(same, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.coalesce("one", "row").alias("one")), "shingle-classes")
-    comp = near_components(profiles, named.where("one = row").select("row")).toDF("one", "comp")
+    firsts = named.where("one = row").select("row")
+    each = (profiles.where("n > 0").select("row", "bands").join(firsts.hint("merge"), "row")
+            .select("row", F.explode("bands").alias("bucket")))
+    comp = connect(shared_buckets(each), profiles, SIMILAR).toDF("one", "comp")
     found = cut(named.join(comp, "one", "left").select("row", "doc_id", F.coalesce("comp", "one").alias("comp")), "classes")
     classes = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
                                         F.min(F.struct("doc_id", "row")).alias("first"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (classifier, exact, extraction, lines, minhash, mixing, packing, rules, search, spelling, substring,
-               toxicity)
+from . import (classifier, exact, extraction, lines, minhash, mixing, packing, rules, search, setjoin, spelling,
+               substring, toxicity)
 from .tables import labelled_sample, read, texts
 
 
@@ -74,6 +74,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.set_join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_minhash, op3_quality, op4_toxicity, op5_exact_dedup, op6_quality_rules, op7_html_extraction,
-                            op8_mixing, op9_best_fit_packing, op10_substring_dedup, op11_spelling_variants, op12_ranked_search)}
+                            op8_mixing, op9_best_fit_packing, op10_substring_dedup, op11_spelling_variants, op12_ranked_search,
+                            op13_set_join)}
