@@ -93,6 +93,11 @@ QUERIES_IO = {
           count(DISTINCT (mmsi, v.fetch_date)) AS vessel_days
         FROM (SELECT * FROM all_routed) v, range(7) g(i) GROUP BY ALL) a
       LEFT JOIN (SELECT route, baseline_avg_vessels AS v FROM route_baselines) b USING (route)""",
+    "route_windows_approx": f"""SELECT CAST(v.fetch_date - CAST(i AS INT) AS VARCHAR) AS window_start, route,
+        count(*) AS messages, {r('avg(sog_knots)', 6)} AS avg_speed, count(DISTINCT mmsi) AS vessels, true AS within
+      FROM (SELECT * FROM all_routed) v, range(7) g(i) GROUP BY ALL""",
+    "sink_publish": f"SELECT event_id, mmsi, sog_knots, {day('fetch_date')} FROM vessel_rows",
+    "src_newest_day": QUERIES["latest_snapshot"],
     "stream_upsert_history": f"""SELECT event_id, mmsi, sog_knots, {day('fetch_date')}
       FROM vessel_rows""",
     "stream_enrich_static": QUERIES["enrich_static"],

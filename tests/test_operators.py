@@ -2,13 +2,14 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tradelane import dims, schemas
-from tradelane.operators import asof, cleaning, combine, geo, news, quality, series, trade
+from tradelane.operators import asof, cleaning, combine, geo, news, quality, series, terms, trade
 from tradelane.plans import marts, routes
 from tradelane.sources import readers, sinks
 
@@ -18,7 +19,7 @@ def test_exact_quantiles_match_numpy(spark):
     values = [random.choice([0.0, 1e6, random.expovariate(1e-3)]) for _ in range(5000)] + [1e12]
     df = spark.createDataFrame([(float(v), 7.0 if v else None) for v in values],
                                "a double, b double").repartition(7)
-    got = quality.exact_quantiles(df, ["a", "b"], (0.0, 0.25, 0.5, 0.75, 1.0), bins=8, keep=10)
+    got = quality.exact_quantiles(df, ["a", "b"], (0.0, 0.25, 0.5, 0.75, 1.0), keep=10, size=200)
     for p in (0.0, 0.25, 0.5, 0.75, 1.0):
         assert got[("a", p)] == pytest.approx(np.quantile(values, p), rel=1e-12)
         assert got[("b", p)] == 7.0
@@ -83,6 +84,8 @@ def test_boxes_first_match_and_corners(spark):
     assert {r.id: r.port_guess for r in geo.locate_bbox(df).collect()} == want
     grid = geo.locate_grid(df, dims.location_boxes(spark))
     assert {r.id: r.port_guess for r in grid.collect()} == want
+    small = geo.locate_grid(df, dims.location_boxes(spark), leaf_boxes=1)
+    assert {r.id: r.port_guess for r in small.collect()} == want
     flipped = [("x", 10.0, 0.0, 10.0, 0.0)]
     one = spark.createDataFrame([(5.0, 5.0)], "latitude double, longitude double")
     assert geo.locate_bbox(one, flipped, otherwise=None).first().port_guess == "x"
@@ -215,7 +218,7 @@ def test_exact_quantiles_with_odd_values(spark, extra):
     values = [float(i % 997) for i in range(6000)] + extra
     df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
     real = sorted(v for v in values if v is not None and v == v)
-    got = quality.exact_quantiles(df, ["a"], (0.0, 0.25, 0.5, 1.0), keep=50)
+    got = quality.exact_quantiles(df, ["a"], (0.0, 0.25, 0.5, 1.0), keep=50, size=200)
     for p in (0.0, 0.25, 0.5, 1.0):
         at = (len(real) - 1) * p
         low, high = real[int(at)], real[min(int(at) + 1, len(real) - 1)]
@@ -266,3 +269,133 @@ def test_repeated_day_is_replaced(spark, tmp_path):
         sinks.sink_replace_days(df.where("n = 2").withColumn("n", F.lit(5)), path)
     assert sorted(r.n for r in sinks.read_history(spark, path).collect()) == [1, 5]
     assert not sinks.sink_overwrite(df.where("false"), path)
+
+
+def test_many_boxes_against_all_of_them(spark):
+    """100,000 boxes: most small and in one place, some that cover whole cells, piles of equal ones."""
+    r = np.random.default_rng(4)
+    n = 100_000
+    lat, lon = np.where(r.random((2, n)) < 0.7, r.normal(20, 1.5, (2, n)), r.uniform(-80, 80, (2, n)))
+    wide = np.where(r.random(n) < 0.002, 30.0, r.exponential(0.05, n))
+    lat[:300], lon[:300], wide[:300] = 20.0, 20.0, 0.5
+    priority = r.permutation(n // 2).repeat(2)  # ties are settled by the label
+    box = np.stack([lat, lat + wide, lon, lon + wide])
+    boxes = spark.createDataFrame(
+        [(int(p), f"b{i}", *map(float, b)) for i, (p, b) in enumerate(zip(priority, box.T, strict=True))],
+        "priority int, label string, lat_min double, lat_max double, lon_min double, lon_max double")
+    points = np.concatenate([r.normal(20, 2, (300, 2)), r.uniform(-85, 85, (100, 2)), box[[0, 2], :50].T, box[[1, 3], 300:350].T])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)] + [(-1, None, 1.0)],
+                               "id int, latitude double, longitude double")
+    leaves = geo.box_leaves(boxes)
+    assert leaves.count() < 12 * n and leaves.select("level").distinct().count() > 3
+    assert not any(f.dataType.typeName() == "array" for f in leaves.schema)
+    got = {x.id: x.port_guess for x in geo.locate_grid(df, boxes).collect()}
+    labels = np.array([f"b{i}" for i in range(n)])
+    for i, (a, b) in enumerate(points):
+        hit = np.flatnonzero((box[0] <= a) & (a <= box[1]) & (box[2] <= b) & (b <= box[3]))
+        want = min(((priority[j], labels[j]) for j in hit), default=(0, "Unknown"))[1]
+        assert got[i] == want, i
+    assert got[-1] == "Unknown" and len(got) == len(points) + 1
+
+
+def test_terms_of_a_table(spark):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcde É'.%_\\") for _ in range(rnd.randint(0, 60))) for _ in range(80)]
+    texts += [None, "", "a", "ab", "Red Sea", "red seas", "Ütter"]
+    own = {"".join(rnd.choice("abcde'.%\\É") for _ in range(rnd.randint(1, 5))) for _ in range(150)}
+    own |= {"red sea", "RED SEA", "", "ab", "ütter", "nowhere at all"}
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    table = spark.createDataFrame([(t,) for t in own] + [(None,)], "term string")
+    got = {(r.id, r.term) for r in terms.match_terms(df, table, "id", "text").collect()}
+    assert got == {(i, t.lower()) for i, x in enumerate(texts) if x for t in own if t and t.lower() in x.lower()}
+    word = {(r.id, r.term) for r in terms.match_terms(df, table.where("term ilike 'red sea'"), "id", "text",
+                                                      whole_word=True).collect()}
+    assert word == {(texts.index("Red Sea"), "red sea")}
+    assert terms.match_terms(df, table.limit(0), "id", "text").count() == 0
+
+
+def test_a_hundred_thousand_terms_meet_by_equality(spark):
+    table = spark.range(100_000).selectExpr("concat('term ', id, ' x') AS term")
+    df = spark.createDataFrame([(i, f"first TERM {i * 7} x, then term {i + 5} x and term {i}") for i in range(60)],
+                               "id int, text string")
+    found = terms.match_terms(df, table, "id", "text")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    assert {(r.id, r.term) for r in found.collect()} == {(i, f"term {k} x") for i in range(60) for k in (i * 7, i + 5)}
+
+
+def test_balanced_buckets_split_a_hot_vessel(spark):
+    """A third of all rows under one number: no bucket holds more than its rows and one cell."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, 0 if i % 3 == 0 else 1 + i % 50, start + dt.timedelta(seconds=(i * 7919) % 20_000 * (1 if i % 2 else 30)),
+             "ShipStaticData" if i % 11 == 0 else "PositionReport", f"N{i}" if i % 11 == 0 else None)
+            for i in range(6000)]
+    df = spark.createDataFrame(rows, "message_id long, mmsi long, event_time_utc timestamp, message_type string, "
+                                     "ship_name string").withColumns({f: F.lit(None).cast("string") for f in (
+                                         "imo", "call_sign", "destination", "vessel_type", "eta")})
+    cells = Counter((r[1], r[2].replace(second=0)) for r in rows)
+    split = asof.balanced_buckets(df, "mmsi", "event_time_utc", rows=100)
+    sizes = {(r.mmsi, r._bucket): r["count"] for r in split.groupBy("mmsi", "_bucket").count().collect()}
+    assert max(sizes.values()) <= 100 + max(cells.values()) and len([k for k in sizes if k[0] == 0]) > 15
+    got = {r.message_id: r.ship_name for r in asof.enrich_static(df, rows=100).collect()}
+    last, want = {}, {}
+    for i, vessel, _, kind, name in sorted(rows, key=lambda r: (r[2], r[0])):
+        if kind == "ShipStaticData":
+            last[vessel] = name
+        else:
+            want[i] = last.get(vessel)
+    assert got == want
+
+
+def test_newest_day_reads_one_folder(spark, tmp_path):
+    df = spark.range(50).selectExpr("id", "date_add(date'2024-01-28', cast(id % 7 as int)) AS fetch_date")
+    path = str(tmp_path / "history")
+    sinks.sink_append(df.union(spark.sql("SELECT 99L, CAST(NULL AS DATE)")), path)
+    newest = sinks.read_newest(spark, path, df.schema)
+    assert sinks.newest_partition(spark, path) == "2024-02-03"
+    assert sorted(r.id for r in newest.collect()) == list(range(6, 50, 7))
+    read = newest.select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+    assert all("2024-02-03" in r.f for r in read)
+    assert "PartitionFilters: [isnotnull(fetch_date" in newest._jdf.queryExecution().toString()
+    assert sinks.read_newest(spark, str(tmp_path), df.schema).count() == 0
+
+
+def test_merges_read_no_footers_and_leave_nothing(spark, tmp_path):
+    from tradelane.session import scratch_root
+    path = str(tmp_path / "merged")
+    left = set(sinks.folders(spark, scratch_root(spark), "merge-"))
+    first = spark.createDataFrame([(1, "2024-01-01", 1.0)], "id int, fetch_date string, a double")
+    sinks.sink_merge_days(first, path, ["id"], [F.col("id")])
+    sinks.sink_merge_days(first.selectExpr("id + 1 AS id", "fetch_date", "'x' AS b"), path, ["id"], [F.col("id")])
+    assert [f.name for f in sinks.merged_schema(spark, path, first)] == ["id", "fetch_date", "a", "b"]
+    rows = sinks.read_history(spark, path, sinks.merged_schema(spark, path, first)).orderBy("id").collect()
+    assert [(r.id, r.a, r.b) for r in rows] == [(1, 1.0, None), (2, None, "x")]
+    assert set(sinks.folders(spark, scratch_root(spark), "merge-")) == left
+
+
+def test_published_table_is_never_missing(spark, tmp_path):
+    folder, rows = str(tmp_path / "versions"), spark.range(100).selectExpr("id % 7 AS mmsi", "id")
+    sinks.sink_publish(rows, "published", folder, ["mmsi"], 4)
+    before = spark.table("published")
+    assert before.count() == 100
+    sinks.sink_publish(rows.where("id < 10"), "published", folder, ["mmsi"], 4)
+    assert spark.table("published").count() == 10 and len(sinks.folders(spark, folder, "version=")) == 2
+    sinks.sink_publish(rows.where("id < 5").withColumn("more", F.lit(1)), "published", folder, ["mmsi"], 4)
+    assert spark.table("published").columns == ["mmsi", "id", "more"]
+    assert len(sinks.folders(spark, folder, "version=")) == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (spark.table("published").groupBy("mmsi").count(),
+                   spark.table("published").join(spark.table("published").selectExpr("mmsi", "id AS other"), "mmsi")):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE published")
+
+
+def test_overwrite_puts_the_old_table_back(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert sinks.sink_overwrite(spark.range(3), path)
+    assert sinks.sink_overwrite(spark.range(4), path) and spark.read.parquet(path).count() == 4
+    assert not sinks.sink_overwrite(spark.range(0), path) and spark.read.parquet(path).count() == 4
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["table"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions.common import sql_text
+from ..session import scratch_path
 
 
 def locate_bbox(df: DataFrame, boxes: Sequence[tuple] = tuple(dims.LOCATION_BOXES),
@@ -27,36 +28,77 @@ def locate_bbox(df: DataFrame, boxes: Sequence[tuple] = tuple(dims.LOCATION_BOXE
     return df.withColumn(out, F.expr(f"CASE {steps} ELSE {last} END"))
 
 
-def locate_grid(df: DataFrame, boxes: DataFrame, cell: float = 1.0, lat: str = "latitude",
+def box_leaves(boxes: DataFrame, leaf_boxes: int = 64, size: float = 16.0, levels: int = 14) -> DataFrame:
+    """Boxes by the leaves of a quad tree that is as deep as they are dense.
+
+    A cell is ``size`` degrees wide on level 0 and half as wide on each further one. In every cell the
+    boxes behind the first one that covers it whole are left out, as no point can get that far; a cell
+    that more than ``leaf_boxes`` others only touch is cut into four, down to ``levels``. So piles of large
+    boxes end where the topmost covers a cell, and dense places get small cells. One row per box
+    and leaf: level, y, x, priority, label and the box.
+    """
+    spark = boxes.sparkSession
+    now = boxes.select("priority", "label", *(
+        f(F.col(a), F.col(b)).cast("double").alias(c) for c, f, a, b in (
+            ("lat_min", F.least, "lat_min", "lat_max"), ("lat_max", F.greatest, "lat_min", "lat_max"),
+            ("lon_min", F.least, "lon_min", "lon_max"), ("lon_max", F.greatest, "lon_min", "lon_max"))))
+    own = now.columns
+    leaves = None
+    for level in range(levels + 1):
+        width = size / 2 ** level  # a power of two, so that cells meet exactly
+
+        def cells(low: str, high: str, parent: str) -> Column:
+            first, last = F.floor(F.col(low) / width), F.floor(F.col(high) / width)
+            if level:
+                first, last = F.greatest(first, F.col(parent) * 2), F.least(last, F.col(parent) * 2 + 1)
+            return F.explode(F.when(first <= last, F.sequence(first, last)))
+
+        placed = (now.withColumn("_y", cells("lat_min", "lat_max", "y"))
+                  .withColumn("_x", cells("lon_min", "lon_max", "x"))
+                  .select(F.lit(level).alias("level"), F.col("_y").alias("y"), F.col("_x").alias("x"), *own))
+        covers = ((F.col("lat_min") <= F.col("y") * width) & (F.col("lat_max") >= (F.col("y") + 1) * width)
+                  & (F.col("lon_min") <= F.col("x") * width) & (F.col("lon_max") >= (F.col("x") + 1) * width))
+        rank = F.struct("priority", "label")
+        top = placed.groupBy("y", "x").agg(F.min(F.when(covers, rank)).alias("_top"))
+        reached = placed.join(top, ["y", "x"]).where(F.col("_top").isNull() | (rank <= F.col("_top"))).drop("_top")
+        full = reached.groupBy("y", "x").agg(F.count_if(~covers).alias("_n")).withColumn(
+            "_split", F.lit(level < levels) & (F.col("_n") > leaf_boxes)).select("y", "x", "_split")
+        path = scratch_path(spark, f"box-cells-{level}")
+        reached.join(full, ["y", "x"]).select(*placed.columns, "_split").write.parquet(path)
+        stored = spark.read.parquet(path)
+        done = stored.where("not _split").drop("_split")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        now = stored.where("_split").select("y", "x", *own)
+        if now.isEmpty():
+            return leaves
+    return leaves
+
+
+def locate_grid(df: DataFrame, boxes: DataFrame, size: float = 16.0, lat: str = "latitude",
                 lon: str = "longitude", out: str = "port_guess",
-                otherwise: str | None = "Unknown") -> DataFrame:
+                otherwise: str | None = "Unknown", leaf_boxes: int = 64, levels: int = 14) -> DataFrame:
     """``locate_bbox`` for box tables too long for an expression.
 
-    Boxes are cut into grid cells; points meet only the boxes of their own cell
-    through an equi-join, whose strategy is left to the optimizer.
+    Points meet only the boxes of their own leaf (``box_leaves``) through an equi-join, once per level
+    that has leaves, and keep the first by priority, then label. No row holds more than one box. Points
+    without a place, or with one that is not a number, get ``otherwise``.
     """
-    def cells(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
-
-    by_cell = (
-        boxes.withColumn("_y", cells("lat_min", "lat_max"))
-        .withColumn("_x", cells("lon_min", "lon_max"))
-        .groupBy("_y", "_x")
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "priority", "label", "lat_min", "lat_max", "lon_min", "lon_max"))).alias("_boxes"))
-    )
-
-    def holds(box: Column) -> Column:
-        return (F.col(lat).between(box["lat_min"], box["lat_max"])
-                & F.col(lon).between(box["lon_min"], box["lon_max"]))
-
-    label = F.get(F.filter("_boxes", holds), F.lit(0))["label"]
-    return (
-        df.withColumns({"_y": F.floor(F.col(lat) / cell), "_x": F.floor(F.col(lon) / cell)})
-        .join(by_cell, ["_y", "_x"], "left")
-        .withColumn(out, F.coalesce(label, F.lit(otherwise)))
-        .drop("_y", "_x", "_boxes")
-    )
+    leaves = box_leaves(boxes, leaf_boxes, size, levels)
+    used = sorted(r.level for r in leaves.select("level").distinct().collect())  # levels + 1 at most
+    key = [F.struct(F.lit(n).alias("level"), F.floor(F.col(lat) * (2 ** n / size)).alias("y"),
+                    F.floor(F.col(lon) * (2 ** n / size)).alias("x")) for n in used or [0]]
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"),
+                     F.monotonically_increasing_id().alias("_id"), F.col(lat).alias("_lat"),
+                     F.col(lon).alias("_lon"), F.array(*key).alias("_leaves"))
+    rows = rows.withColumn("_leaf", F.explode("_leaves")).drop("_leaves")
+    at = leaves.select(F.struct("level", "y", "x").alias("_leaf"), "priority", "label", "lat_min", "lat_max",
+                       "lon_min", "lon_max")
+    holds = (F.col("_lat").between(F.col("lat_min"), F.col("lat_max"))
+             & F.col("_lon").between(F.col("lon_min"), F.col("lon_max")))
+    found = rows.join(at, "_leaf", "left").groupBy("_id").agg(
+        F.any_value("_row").alias("_row"), F.min(F.when(holds, F.struct("priority", "label"))).alias("_first"))
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    return found.select(*kept, F.coalesce(F.col("_first.label"), F.lit(otherwise)).alias(out))
 
 
 def is_strait(df: DataFrame, column: str = "port_guess", out: str = "is_strait",

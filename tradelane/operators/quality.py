@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import round_half_up
@@ -51,80 +51,100 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
 
 
+SKETCH = 4096  # size of the quantile sketches
+
+
+def _rank_error(size: int) -> float:
+    """Of the rank, as a share of the rows: three times the error a sketch has with 99 % confidence."""
+    return 3 * 2.296 / size ** 0.9021
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    bins: int = 256, keep: int = 4096) -> dict[tuple[str, float], float | None]:
+                    keep: int = 4096, size: int = SKETCH) -> dict[tuple[str, float], float | None]:
     """Exact linear-interpolated quantiles of long columns; NaN counts as null.
 
-    The row at a rank is found by narrowing: each pass cuts the bracket at approximate quantiles of
-    its own rows, so that far values and infinities do not matter, counts the rows of each piece
-    and moves into the one that holds the rank, until at most ``keep`` rows are left. All ranks
+    A mergeable KLL sketch, made in the pass that counts the rows, brackets the row at a rank; the next
+    pass counts the rows of the pieces around the bracket by plain comparisons and moves into the one
+    that holds the rank, with a sketch of its rows, until at most ``keep`` rows are left. The ends of
+    a bracket are pieces of their own, so far values, infinities and ties do not matter. All ranks
     of all columns share a pass; no column is ever sorted or gathered as a whole. The columns are
     kept on the executors between passes, where a lost part is recomputed.
     """
-    return _summary(df, columns, probs, bins, keep)[1]
+    return _summary(df, columns, probs, keep, size)[1]
 
 
-def _summary(df: DataFrame, columns: Sequence[str], probs: Sequence[float], bins: int = 256,
-             keep: int = 4096) -> tuple[list[dict], dict[tuple[str, float], float | None]]:
+def _summary(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+             keep: int = 4096, size: int = SKETCH) -> tuple[list[dict], dict[tuple[str, float], float | None]]:
     """Count, least, greatest, mean and deviation per column, and the quantiles, in one computation."""
     kept = _numbers(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        names = {"n": F.count, "lo": F.min, "hi": F.max, "mean": F.avg, "std": F.stddev_samp}
+        names = {"n": F.count, "lo": F.min, "hi": F.max, "mean": F.avg, "std": F.stddev_samp,
+                 "sketch": lambda c: _sketch(F.col(c), F.lit(True), size)}
         row = kept.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in names.items()]).first()
         first = [{k: row[f"{k}{i}"] for k in names} for i in range(len(columns))]
-        return first, _narrow(kept, list(columns), first, probs, bins, keep)
+        return first, _narrow(kept, list(columns), first, probs, keep, size)
     finally:
         kept.unpersist()
 
 
-def _narrow(df: DataFrame, cols: list[str], first: list[dict], probs: Sequence[float], bins: int,
-            keep: int) -> dict[tuple[str, float], float | None]:
+def _sketch(x: Column, where: Column, size: int) -> Column:
+    """A sketch of the finite values; null if there are none."""
+    finite = where & (F.abs(x) < float("inf"))
+    return F.when(F.count_if(finite) > 0, F.kll_sketch_agg_double(F.when(finite, x), size))
+
+
+def _around(spark: SparkSession, asked: list[tuple[bytes, float]], error: float) -> list[tuple[float, float]]:
+    """Of each sketch the values that bracket a rank (as a share)."""
+    if not asked:
+        return []
+    cells = [F.kll_sketch_get_quantile_double(F.lit(bytes(sketch)), F.lit(min(max(r + e, 0.0), 1.0)))
+             for sketch, r in asked for e in (-error, error)]
+    found = spark.range(1).select(F.array(*cells)).first()[0]
+    return list(zip(found[::2], found[1::2], strict=True))
+
+
+def _narrow(df: DataFrame, cols: list[str], first: list[dict], probs: Sequence[float],
+            keep: int, size: int) -> dict[tuple[str, float], float | None]:
     brackets: dict[tuple[str, int], dict] = {}
     for c, of in zip(cols, first, strict=True):
         for p in probs if of["n"] else ():
             for rank in {math.floor((of["n"] - 1) * p), math.ceil((of["n"] - 1) * p)}:
-                brackets[(c, rank)] = {"lo": of["lo"], "hi": of["hi"], "below": 0, "rows": of["n"]}
-
-    def place(key: tuple[str, int]) -> tuple:
-        """Ranks of one column in the same bracket are looked for together."""
-        return key[0], brackets[key]["lo"], brackets[key]["hi"]
-
-    def tagged(places: list[tuple], bin_of) -> DataFrame:
-        cells = [F.when(F.col(c).between(lo, hi),
-                        F.struct(F.lit(t).alias("t"), F.col(c).alias("x"), bin_of(t).alias("bin")))
-                 for t, (c, lo, hi) in enumerate(places)]
-        return df.select(F.inline(F.array_compact(F.array(*cells))))
+                brackets[(c, rank)] = {"lo": of["lo"], "hi": of["hi"], "below": 0, "rows": of["n"], "sketch": of["sketch"]}
 
     while wide := [k for k, b in brackets.items() if b["rows"] > keep and b["lo"] < b["hi"]]:
-        places = sorted({place(k) for k in wide})
-        at = [i / bins for i in range(1, bins)]
-        row = df.agg(*[f.alias(f"{k}{t}") for t, (c, lo, hi) in enumerate(places) for k, f in (
-            ("cuts", F.percentile_approx(F.when(F.col(c).between(lo, hi), F.col(c)), at, 10 * bins)),
-            ("next", F.min(F.when((F.col(c) > lo) & (F.col(c) <= hi), F.col(c)))))]).first()
-        # the least value alone and the greatest alone are pieces of their own at any rate
-        cuts = [sorted({*row[f"cuts{t}"], row[f"next{t}"], hi} - {lo}) for t, (_, lo, hi) in enumerate(places)]
-
-        def cuts_below(t: int) -> Column:
-            x = F.col(places[t][0])
-            return F.size(F.filter(F.array(*map(F.lit, cuts[t])), lambda cut: cut <= x))
-
-        counted = tagged(places, cuts_below).groupBy("t", "bin").agg(
-            F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+        sketched = [k for k in wide if brackets[k]["sketch"] is not None]
+        guessed = dict(zip(sketched, _around(df.sparkSession, [
+            (brackets[k]["sketch"], (k[1] - brackets[k]["below"] + 0.5) / brackets[k]["rows"]) for k in sketched],
+            _rank_error(size)), strict=True))
+        # ranks of one column with the same bracket are looked for together
+        place = {k: (k[0], brackets[k]["lo"], *guessed.get(k, (brackets[k]["lo"], brackets[k]["hi"])), brackets[k]["hi"])
+                 for k in wide}
+        places, aggs = sorted(set(place.values())), []
+        for t, (c, lo, a, b, hi) in enumerate(places):
+            x = F.col(c)
+            inner = (x > lo) & (x < hi)
+            pieces = [x == lo, inner & (x < a), inner & x.between(a, b), inner & (x > b), x == hi]
+            aggs.append(F.struct(F.array(*(F.struct(
+                F.count_if(w).alias("n"), F.min(F.when(w, x)).alias("lo"), F.max(F.when(w, x)).alias("hi"))
+                for w in pieces)).alias("pieces"), _sketch(x, pieces[2], size).alias("sketch")).alias(f"p{t}"))
+        counted = df.agg(*aggs).first()
         for key in wide:
-            t, below, before = places.index(place(key)), brackets[key]["below"], brackets[key]["rows"]
-            for r in sorted((r for r in counted if r["t"] == t), key=lambda r: r["bin"]):
-                if key[1] < below + r["n"]:
-                    brackets[key] = {"lo": r["lo"], "hi": r["hi"], "below": below, "rows": r["n"]}
+            found, bracket = counted[places.index(place[key])], brackets[key]
+            below = bracket["below"]
+            for i, piece in enumerate(found["pieces"]):
+                if key[1] < below + piece["n"]:
+                    brackets[key] = {"lo": piece["lo"], "hi": piece["hi"], "below": below, "rows": piece["n"],
+                                     "sketch": found["sketch"] if i == 2 else None}
                     break
-                below += r["n"]
-            if brackets[key]["rows"] >= before:
-                raise RuntimeError(f"no progress at rank {key[1]} of {key[0]}")
+                below += piece["n"]
 
     if short := [k for k, b in brackets.items() if b["lo"] < b["hi"]]:
-        places = sorted({place(k) for k in short})
-        values = tagged(places, lambda t: F.lit(0)).groupBy("t", "x").count().collect()
+        places = sorted({(k[0], brackets[k]["lo"], brackets[k]["hi"]) for k in short})
+        cells = [F.when(F.col(c).between(lo, hi), F.struct(F.lit(t).alias("t"), F.col(c).alias("x")))
+                 for t, (c, lo, hi) in enumerate(places)]
+        values = df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("t", "x").count().collect()
         for key in short:
-            t, below = places.index(place(key)), brackets[key]["below"]
+            t, below = places.index((key[0], brackets[key]["lo"], brackets[key]["hi"])), brackets[key]["below"]
             for r in sorted((r for r in values if r["t"] == t), key=lambda r: r["x"]):
                 below += r["count"]
                 if key[1] < below:

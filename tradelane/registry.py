@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import dims
 from .functions import market, parsing, ports, weather
 from .functions.common import safe_ratio
-from .operators import asof, cleaning, combine, geo, news, quality, series, trade
+from .operators import asof, cleaning, combine, geo, news, quality, series, terms, trade
 from .plans import marts, panels, queries as sqlq, routes
 from .sources import readers
 from .standin import (BILLION, FOCUS_COUNTRY, NEWS_KEYWORDS, NEWS_ROUTES, TRILLION, Standin)
@@ -373,6 +373,18 @@ def _(s):
     return news.classify_news(s.articles).select("doc_id", "risk_hits", "relevant_routes")
 
 
+@query("classify_news_terms")
+def _(s):
+    """Words of ``benchmark`` as tables of terms: long ones are risks, those of five letters name a route."""
+    words = s.table("benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("w"))
+    known = words.select(F.lower("w").alias("term")).distinct()
+    place = F.pmod(F.ascii("term"), F.lit(3))
+    routes = known.where("length(term) = 5").select(
+        "term", place.alias("place"), F.concat(F.lit("Route "), place).alias("route"))
+    return terms.classify_by_terms(s.articles, "doc_id", known.where("length(term) >= 6"), routes).select(
+        "doc_id", "risk_hits", "relevant_routes")
+
+
 @query("union_sources")
 def _(s):
     flow = F.when(F.col("flow_direction") == "Export", 1).otherwise(0)
@@ -547,7 +559,8 @@ _ENRICHED = ("message_id", "mmsi", "sog_knots", "ship_name", "imo", "call_sign",
 
 @query("enrich_static")
 def _(s):
-    return asof.enrich_static(vessel_messages(s.table("events"))).select(*_ENRICHED)
+    # few rows a bucket, so that the vessels of every scale are split
+    return asof.enrich_static(vessel_messages(s.table("events")), rows=20).select(*_ENRICHED)
 
 
 # Routes and marts -------------------------------------------------------------------

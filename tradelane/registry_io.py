@@ -7,7 +7,9 @@ scratch folder, and reads them back through the source under test.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -226,6 +228,25 @@ def _(s):
     return s.spark.read.parquet(path)
 
 
+@query("sink_publish")
+def _(s):
+    """A table in the catalog, then a newer version of it, in buckets of the vessel."""
+    table, folder = f"t{uuid.uuid4().hex}", scratch_path(s.spark, "published")
+    rows = s.vessel_rows.select("event_id", "mmsi", "sog_knots", "fetch_date")
+    for part in (rows.where("event_id % 2 = 0"), rows):
+        sinks.sink_publish(part, table, folder, ["mmsi"], 8)
+    return s.spark.table(table)
+
+
+@query("src_newest_day")
+def _(s):
+    """The newest day of a history that is partitioned by day, found by the names of its folders."""
+    path = scratch_path(s.spark, "days")
+    rows = s.port_weather_rows.select("port_name", "event_id", "wind_speed_ms", "fetch_date")
+    sinks.sink_append(rows, path)
+    return sinks.read_newest(s.spark, path, rows.schema)
+
+
 @query("sink_raw_json")
 def _(s):
     path = scratch_path(s.spark, "raw")
@@ -264,9 +285,9 @@ def _finished(s: Standin, name: str, df: DataFrame) -> DataFrame:
 
 
 def _merged(s: Standin, name: str, partial: Callable[[DataFrame], DataFrame],
-            merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            merge: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     out = scratch_path(s.spark, name)
-    return stream.run_merged(stream_positions(s), out, out + "-checkpoint", partial, merge)
+    return stream.run_merged(stream_positions(s), out, out + "-checkpoint", partial, merge, finish)
 
 
 def stream_positions(s: Standin) -> DataFrame:
@@ -294,7 +315,7 @@ def _(s):
 @query("stream_dedupe_daily")
 def _(s):
     out = _merged(s, "stream-daily", lambda df: stream.daily_partial(df, ["event_id", "sog_knots", "port_guess"]),
-                  stream.daily_merge)
+                  stream.daily_merge, stream.daily_finish)
     return out.select("mmsi", F.to_date("day.start").alias("fetch_date"), "event_id", "sog_knots",
                       "port_guess")
 
@@ -303,7 +324,7 @@ def _(s):
 def _(s):
     return stream.strait_counts(_merged(
         s, "stream-straits", lambda df: stream.daily_partial(df, ["port_guess", "is_strait", "is_moving"]),
-        stream.daily_merge))
+        stream.daily_merge, stream.daily_finish))
 
 
 @query("stream_route_activity")
@@ -313,6 +334,19 @@ def _(s):
     return stream.route_windows(daily, 7, baseline).withColumn("avg_speed", F.round("avg_speed", 6))
 
 
+@query("route_windows_approx")
+def _(s):
+    """Vessels per route and window from mergeable sketches of four batches, beside the exact numbers."""
+    positions = geo.map_route(s.vessels)
+    batches = [stream.route_sketches(positions.where(f"event_id % 4 = {i}")) for i in range(4)]
+    about = stream.approx_route_windows(stream.merge_sketches(reduce(DataFrame.unionAll, batches)))
+    exact = stream.route_windows(stream.route_merge(stream.route_partial(positions)))
+    both = about.withColumnRenamed("vessels", "about").join(
+        exact.select("window_start", "route", "vessels"), ["window_start", "route"])
+    return both.select("window_start", "route", "messages", F.round("avg_speed", 6).alias("avg_speed"), "vessels",
+                       (F.abs(F.col("about") - F.col("vessels")) <= 1 + 0.049 * F.col("vessels")).alias("within"))
+
+
 @query("stream_upsert_history")
 def _(s):
     """The events in four batches, and once more under a new checkpoint."""
@@ -329,7 +363,7 @@ def _(s):
     """Four batches, each of which finds the static messages of the ones before."""
     out = scratch_path(s.spark, "stream-static")
     source = landed_events(s).withColumn("ts", F.col("ts").cast("timestamp"))
-    stream.stream_enrich_static(vessel_messages(source), out, out + "-state", out + "-checkpoint")
+    stream.stream_enrich_static(vessel_messages(source), out, out + "-checkpoint")
     return s.spark.read.parquet(out).select(
         "message_id", "mmsi", "sog_knots", "ship_name", "imo", "call_sign", "destination",
         "vessel_type")
