@@ -41,7 +41,7 @@ def filter_of(df: DataFrame, column: str):
     merged = (df.select(column).mapInArrow(fill, "segment long, at binary").groupBy("segment")
               .applyInArrow(merge, "segment long, bits binary"))
     out = np.zeros(-(-bits // SEGMENT) * SEGMENT // 8, np.uint8)
-    for r in merged.toLocalIterator():
+    for r in merged.collect():  # BITS at most, whatever the number of ids
         out[r.segment * SEGMENT // 8:(r.segment + 1) * SEGMENT // 8] = np.frombuffer(r.bits, np.uint8)
     return df.sparkSession.sparkContext.broadcast((bits, out))
 

@@ -1,11 +1,11 @@
 """Classes of similar texts from buckets, without ever expanding a bucket into its pairs.
 
 Texts that may be similar share a bucket. In a bucket each member is compared with one leader, the one
-whose buckets are largest, which is the text that others were copied from if there is one. Buckets
-that still hold several components are led anew by one outside the main component, which meets all that
-are not in its own. At last those still outside meet the members of other components in blocks: a
-task counts what all texts of two blocks have in common by one product of matrices over the items
-that both sides have, and gives out links only. Counts are whole numbers, so the test is exact.
+whose buckets are largest, which is the text that others were copied from if there is one. In buckets
+that hold several components after that, those outside the main one meet the members of other
+components in blocks: a task counts what all texts of two blocks have in common by one product of matrices
+over the items that both sides have, and gives out links only. Counts are whole numbers, so the test
+is exact.
 
 Rows are dealt by bucket only in joins with one stored row per bucket, whose hot buckets AQE can
 split; what a bucket's members add up to is combined before it is dealt.
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from .bits import filter_of, possible
 from .tables import cut
 
-LEADER_ROUNDS = 1
 BLOCK = 512  # rows of a side that are compared in one task
 COLUMNS = 4096  # items of a product at a time
 UNARY = 16  # counts beyond this are bounded in doubling steps
@@ -213,93 +212,88 @@ def _links(pairs: DataFrame, profiles: DataFrame, measure: Measure, name: str) -
 
 
 def components(links: DataFrame) -> DataFrame:
-    """row, comp (its smallest connected row) of every linked row, by contracting to least neighbours."""
-    edges = cut(links.select(F.col("one").alias("a"), F.col("two").alias("b")).where("a <> b").distinct(), "edges")
-    nodes = edges.select("a").union(edges.select("b")).distinct()
-    found = nodes.select(F.col("a").alias("row"), F.col("a").alias("comp"))
-    while not edges.isEmpty():
-        ways = edges.union(edges.select("b", "a"))
+    """row, comp (its smallest connected row) of every row of the stored ``links`` (one, two).
+
+    Rows are contracted to their least neighbours until no link is left.
+    """
+    edges = links.select(F.col("one").alias("a"), F.col("two").alias("b")).where("a <> b")
+    ways = edges.union(edges.select("b", "a"))
+    found = ways.select(F.col("a").alias("row"), F.col("a").alias("comp")).distinct()
+    while True:
         least = cut(ways.groupBy("a").agg(F.min("b").alias("m")).where("m < a"), "least")
+        if least.isEmpty():
+            return cut(found, "components")
         found = found.join(least.toDF("comp", "m"), "comp", "left").select("row", F.coalesce("m", "comp").alias("comp"))
         moved = (edges.join(least, "a", "left").select(F.coalesce("m", "a").alias("a"), "b")
                  .join(least.toDF("b", "m"), "b", "left").select("a", F.coalesce("m", "b").alias("b")))
         edges = cut(moved.where("a <> b").distinct(), "edges")
-    return cut(found, "components")
+        ways = edges.union(edges.select("b", "a"))
 
 
 def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
     """``comp`` (row, comp) after more links; rows that are in no link yet may be missing in it."""
     end = comp.toDF("one", "c1"), comp.toDF("two", "c2")
-    between = (links.join(end[0], "one", "left").join(end[1], "two", "left")
-               .select(F.coalesce("c1", "one").alias("one"), F.coalesce("c2", "two").alias("two")))
+    between = cut(links.join(end[0], "one", "left").join(end[1], "two", "left")
+                  .select(F.coalesce("c1", "one").alias("one"), F.coalesce("c2", "two").alias("two"))
+                  .where("one <> two").distinct(), "between")
+    if between.isEmpty():
+        return comp
     more = components(between)
     known = comp.join(more.toDF("comp", "to"), "comp", "left").select("row", F.coalesce("to", "comp").alias("comp"))
     new = more.join(comp.select("row"), "row", "left_anti")
-    return cut(known.unionByName(new), "components")
+    return cut(known.unionByName(new), "joined")
 
 
 def shared_buckets(each: DataFrame) -> DataFrame:
-    """The rows of ``each`` (row, bucket, ...) whose bucket holds others too, with c, how many it holds."""
+    """The rows of the stored ``each`` (row, bucket, ...) whose bucket holds others too, with c, how many it holds."""
     sizes = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     # the stored side is unique, so AQE can split a hot bucket on the other
     return cut(each.join(cut(sizes, "buckets").hint("merge"), "bucket"), "shared")
 
 
-def _mixed(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """The members of buckets that hold several components, with comp and main, the bucket's largest."""
-    named = cut(members.join(comp.hint("merge"), "row", "left").withColumn("comp", F.coalesce("comp", "row")), f"{name}-named")
-    sizes = cut(named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")), f"{name}-sizes")
+def _near(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """main, row, comp of the members of buckets that hold several components; main is the bucket's largest."""
+    named = cut(members.join(comp.hint("merge"), "row", "left").select(
+        "bucket", "row", F.coalesce("comp", "row").alias("comp")), "named")
+    sizes = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("x"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    main = cut(main.select("bucket", F.col("x.comp").alias("main")), f"{name}-main")
-    return cut(named.join(main.hint("merge"), "bucket"), name)
+    main = cut(main.select("bucket", F.col("x.comp").alias("main")), "main")
+    return cut(named.join(main.hint("merge"), "bucket").select("main", "row", "comp").distinct(), "near")
 
 
-def connect(shared: DataFrame, profiles: DataFrame, measure: Measure) -> DataFrame:
+def connect(shared: DataFrame, profiles: DataFrame, measure: Measure, known: DataFrame | None = None) -> DataFrame:
     """row, comp of the rows that are similar to another, directly or by others.
 
     ``shared`` is stored: row, bucket, c, as from ``shared_buckets``. ``profiles`` has row, ids, counts.
+    ``known`` are links (one, two) that are found already.
     """
     # the text that others were copied from keeps to the large buckets: it leads them
     central = shared.groupBy("row").agg(F.sum("c").alias("c"))
     members = cut(shared.select("row", "bucket").join(central.hint("merge"), "row"), "members")
-    first = F.max(F.struct("c", (-F.col("row")).alias("r"))).alias("x")
-    lead = cut(members.groupBy("bucket").agg(first), "leaders")
+    lead = cut(members.groupBy("bucket").agg(F.max(F.struct("c", (-F.col("row")).alias("r"))).alias("x")), "leaders")
     pairs = members.join(lead.hint("merge"), "bucket").select(
         F.col("row").alias("one"), (-F.col("x.r")).alias("two")).where("one <> two").distinct()
-    comp = components(_links(pairs, profiles, measure, "links-0"))
-    for i in range(1, LEADER_ROUNDS + 1):
-        mixed = _mixed(members, comp, f"mixed-{i}")
-        if mixed.isEmpty():
-            return comp
-        lead = cut(mixed.where("comp <> main").groupBy("bucket").agg(
-            F.max(F.struct("c", (-F.col("row")).alias("r"), "comp")).alias("x")), f"leaders-{i}")
-        led = cut(mixed.join(lead.hint("merge"), "bucket"), f"led-{i}")
-        pairs = led.where("comp <> x.comp").select(F.col("row").alias("one"), (-F.col("x.r")).alias("two")).distinct()
-        comp = _joined(comp, _links(pairs, profiles, measure, f"links-{i}"))
-        # a leader has met all others of its bucket
-        members = led.where("row <> -x.r").select("row", "bucket", "c")
-    mixed = _mixed(members, comp, "mixed-rest")
-    if mixed.isEmpty():
-        return comp
-    return _joined(comp, _rest_links(mixed, profiles, measure))
+    links = _links(pairs, profiles, measure, "links")
+    comp = components(links if known is None else links.unionByName(known))
+    near = _near(members, comp)
+    return comp if near.isEmpty() else _joined(comp, _rest_links(near, profiles, measure))
 
 
-def _rest_links(mixed: DataFrame, profiles: DataFrame, measure: Measure) -> DataFrame:
+def _rest_links(near: DataFrame, profiles: DataFrame, measure: Measure) -> DataFrame:
     """Links between the rows outside a main component and all that share a bucket of it with them.
 
-    Rows are dealt by main component, in blocks of BLOCK by BLOCK rows, so a task holds no more than
-    two blocks; what goes out is links, never candidates.
+    ``near`` is stored: main, row, comp. Rows are dealt by main component, in blocks of BLOCK by BLOCK rows, so a
+    task holds no more than two blocks; what goes out is links, never candidates.
     """
-    near = cut(mixed.select("main", "row", "comp").distinct(), "rest")
     held = filter_of(near.select("row"), "row")
     own = profiles.select("row", "ids", "counts").mapInArrow(
         possible(held, "row"), "row long, ids binary, counts binary")
     sizes = near.groupBy("main").agg(
         F.ceil(F.count_if(F.col("comp") != F.col("main")) / BLOCK).alias("n_i"),
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_j")).where("n_i > 0")
-    both = (near.hint("merge").join(own, "row").join(cut(sizes, "rest-sizes"), "main")
+    both = (near.hint("merge").join(own, "row").join(cut(sizes, "near-sizes"), "main")
             .withColumn("inner", F.col("comp") == F.col("main")))
-    both = cut(both, "rest-profiles")
+    both = cut(both, "near-profiles")
 
     def blocks(df: DataFrame, mine: str, all_: str) -> DataFrame:
         """Every row in its own block of one kind, beside all blocks of the other kind."""
@@ -313,4 +307,4 @@ def _rest_links(mixed: DataFrame, profiles: DataFrame, measure: Measure) -> Data
     right = right.toDF(*right.columns)  # columns of their own, so that the sides can be told apart
     met = left.groupBy("main", "i", "j").cogroup(right.groupBy("main", "i", "j")).applyInArrow(
         _meet(measure), "one long, two long")
-    return cut(met, "links-rest")
+    return cut(met, "near-links")

@@ -29,17 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import filter_of, may_hold
-from .linking import Measure, components, connect, shared_buckets
+from .linking import Measure, connect, shared_buckets
 from .minhash import shingles
-from .tables import cut, texts
+from .tables import column, cut
 from .textops import lowered, mix, slices
 
 SHINGLE = 3
 PERCENT = 90
 WIDTH = 6  # bytes of a shingle's hash that are kept
 LEVELS = (2, 16, 128)  # sets that hold a shingle, from which it counts as more frequent
-RECORDS = 3_000_000  # of a range of hashes
-BUFFER = 4_000_000  # shingles counted together by a task
+RECORDS = 2_000_000  # of a range of hashes
+BUFFER = 2_000_000  # shingles counted together by a task
 SMALL_MOST = 40  # largest size for which enumerating is considered
 SUBSETS = 50_000  # of a set, sent at a time
 U = np.uint64
@@ -261,8 +261,8 @@ def set_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id
     only where no other row of the component has one. Equal texts with the same id stay as many rows. Other
     columns are not looked at. An empty table gives no rows. ``least_size`` fixes the boundary.
     """
-    own = texts(docs.select(id_col, text_col).withColumn("__row", F.monotonically_increasing_id()), id_col, text_col,
-                keep=(F.col("__row").alias("row"),)).select("row", "doc_id", "text")
+    own = docs.select(F.monotonically_increasing_id().alias("row"), column(id_col).cast("long").alias("doc_id"),
+                      F.coalesce(column(text_col), F.lit("")).alias("text"))
     profiles = cut(own.mapInArrow(_profiles(shingle), PROFILE), "sets")
     slim = profiles.select("row", "doc_id", "n", "k1", "k2")
     same = (slim.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("row").alias("one"), F.count(F.lit(1)).alias("c"))
@@ -279,7 +279,7 @@ def set_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id
     counted = cut(counted, "frequent-shingles")
     filters = [filter_of(counted.where(F.col("c") >= least).select("name"), "name") for least in LEVELS]
     rarest = profiles.select("row", "n", "ids").mapInArrow(_rarest(ranges, filters, percent), "row long, n int, bucket long")
-    shared = shared_buckets(rarest.join(firsts.select("row").hint("merge"), "row"))
+    shared = shared_buckets(cut(rarest.join(firsts.select("row").hint("merge"), "row"), "rarest"))
 
     if least_size is None:
         few = F.col("n") <= 100 * small_most // percent + 1  # sizes, so no more rows than these
@@ -288,9 +288,9 @@ def set_join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id
         least_size = boundary(sets, scanned, small_most, percent)
     light = small_links(profiles.where(F.col("n").between(1, least_size)).select("row", "n", "ids").join(
         firsts.select("row").hint("merge"), "row"), percent)
-    heavy = connect(shared.where(F.col("n") * 100 >= percent * (least_size + 1)).select("row", "bucket", "c"),
-                    profiles.withColumn("counts", F.lit(b"")), Measure(percent, WIDTH))
-    comp = components(light.toDF("one", "two").unionAll(heavy)).toDF("one", "comp")
+    comp = connect(shared.where(F.col("n") * 100 >= percent * (least_size + 1)).select("row", "bucket", "c"),
+                   profiles.withColumn("counts", F.lit(b"")), Measure(percent, WIDTH), light.toDF("one", "two"))
+    comp = comp.toDF("one", "comp")
     found = cut(named.join(comp.hint("merge"), "one", "left").select(
         "doc_id", "n", F.coalesce("comp", "one").alias("comp")), "set-components")
     least = cut(found.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "component-ids")
