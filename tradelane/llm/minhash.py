@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Measure, connect, shared_buckets
-from .tables import cut, texts
+from .tables import column, cut
 from .textops import Flat, mix, slices
 
 SHINGLE = 5
@@ -124,13 +124,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row of ``docs``: row (its number), doc_id, class_id, class_size, kept.
 
     ``class_id`` is the smallest doc_id of the class; its row stays, of several the first. Texts
-    without words, null ones among them, are classes of their own. Rows that repeat are copies. Null
-    doc_ids stay before others. The numbers are those of ``row_col``, which stands in the stored ``docs``;
+    without words, null and empty ones among them, are classes of their own; long ones are read whole. Rows
+    that repeat are copies. Null doc_ids stay before others. Other columns are not looked at; an empty
+    table gives no rows. The numbers are those of ``row_col``, which stands in the stored ``docs``;
     without it they are given in the one scan of ``docs`` and mean nothing beyond this result.
     """
-    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
-    own = texts(docs.withColumn("__row", row), id_col, text_col,
-                keep=(F.col("__row").alias("row"),)).select("row", "doc_id", "text")
+    row = F.monotonically_increasing_id() if row_col is None else column(row_col)
+    own = docs.select(row.alias("row"), column(id_col).cast("long").alias("doc_id"),
+                      F.coalesce(column(text_col), F.lit("")).alias("text"))
     profiles = cut(own.mapInArrow(_profiles, PROFILE), "profiles")
     slim = profiles.select("row", "doc_id", "n", "k1", "k2")
     same = (slim.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("row").alias("one"), F.count(F.lit(1)).alias("c"))
@@ -139,8 +140,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = cut(slim.join(same, ["k1", "k2", "n"], "left").select(
         "row", "doc_id", F.coalesce("one", "row").alias("one")), "shingle-classes")
     firsts = named.where("one = row").select("row")
-    each = (profiles.where("n > 0").select("row", "bands").join(firsts.hint("merge"), "row")
-            .select("row", F.explode("bands").alias("bucket")))
+    each = cut(profiles.where("n > 0").select("row", "bands").join(firsts.hint("merge"), "row")
+               .select("row", F.explode("bands").alias("bucket")), "bands")
     comp = connect(shared_buckets(each), profiles, SIMILAR).toDF("one", "comp")
     found = cut(named.join(comp, "one", "left").select("row", "doc_id", F.coalesce("comp", "one").alias("comp")), "classes")
     classes = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
