@@ -3,60 +3,97 @@
 A source is cut into blocks of equal size. With weight q/P, block j of a source is released at slot
 floor(j*P/q) and due by slot ceil((j+1)*P/q); in each slot the released block that is due earliest
 goes. Every block then meets its deadline, so at any time each source is less than one block away
-from its share. Release times and deadlines repeat with period P, so one period is scheduled, on
-one row as long as P, and every block of the table is placed by arithmetic.
+from its share. Release times and deadlines repeat with period P, so one period is scheduled and every
+block of the table is placed by arithmetic.
+
+More than FAN sources are scheduled as a tree: groups of sources share out the slots first, by the sums
+of their weights, then the members of each group share out its slots, each group in a row of its own.
+All levels use the releases and deadlines in the slots of the whole. A group that keeps to its own
+has, between any two times, at least as many slots as its members have blocks that must go there, so
+every member keeps to its own as well: less than one block away, as if all had been scheduled at once.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .tables import cut
+from .tables import column, cut, whole
 
 BLOCK = 200_000  # characters; each document counts one more
-PERIOD = 1000  # slots; weights are rounded to 1/PERIOD, at least one slot each
+PERIOD = 1000  # slots at least
+LEAST = 50  # slots of the lightest source, so that rounding changes a weight by 1 % at most,
+EACH = 100  # ... unless that takes more slots than so many a source; then the lightest have one slot each
+FAN = 64  # sources or groups that are scheduled in one row, on average
+CHUNK = 512  # slots whose owners are gathered before they are put to the others
 ALPHA = 0.5  # default weights: size of the source to this power
 BUCKET_ROWS = 10_000
-FEW_SOURCES = 10_000
 
 
 def default_weights(sizes: DataFrame, alpha: float = ALPHA) -> DataFrame:
     return sizes.select("source", F.pow(F.col("size").cast("double"), F.lit(alpha)).alias("weight"))
 
 
-def slots(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One period of the schedule: source, nth (block of the source in the period), slot, q, period.
-
-    ``weights`` has source and weight, one row per source; sources with weight 0 or null get none.
-    """
-    each = (weights.where("weight > 0").select(F.struct("source", "weight").alias("s"))
-            .agg(F.sort_array(F.collect_list("s")).alias("w")).where(F.size("w") > 0)
-            .withColumn("total", F.aggregate("w", F.lit(0.0), lambda a, x: a + x["weight"])))
-    one = each.select(F.transform("w", lambda x: F.struct(x["source"].alias("source"), F.greatest(
-        F.lit(1), F.round(x["weight"] / F.col("total") * period).cast("int")).alias("q"))).alias("s"))
-    one = one.withColumn("p", F.aggregate("s", F.lit(0), lambda a, x: a + x["q"]))
-
+def _earliest_due(members: Column, times: Column, period: int) -> Column:
+    """Who gets each of the slots ``times``: place among ``members`` (structs with q) and how many it had before."""
     def step(acc, t):
-        open_ = F.transform("s", lambda x, i: F.when(
-            (F.get(acc["done"], i) < x["q"])
-            & (F.floor(F.get(acc["done"], i).cast("long") * F.col("p") / x["q"]) <= t),
-            F.struct(F.ceil((F.get(acc["done"], i).cast("long") + 1) * F.col("p") / x["q"]).alias("due"),
-                     i.alias("i"))))
+        open_ = F.transform(members, lambda x, i: F.when(
+            (F.get(acc["done"], i) < x["q"]) & (F.floor(F.get(acc["done"], i) * F.lit(period) / x["q"]) <= t),
+            F.struct(F.ceil((F.get(acc["done"], i) + 1) * F.lit(period) / x["q"]).alias("due"), i.alias("i"))))
         chosen = F.array(F.array_min(open_)["i"])  # bound to a name, so that it is worked out once
         return F.get(F.transform(chosen, lambda k: F.struct(
-            F.transform(acc["done"], lambda d, i: d + (i == k).cast("int")).alias("done"),
-            F.concat(acc["out"], F.array(F.struct(k.alias("i"), F.get(acc["done"], k).alias("nth")))).alias("out"))), 0)
+            F.transform(acc["done"], lambda d, i: d + (i == k).cast("long")).alias("done"),
+            F.concat(acc["out"], F.array(F.struct(t.alias("slot"), k.alias("i"), F.get(acc["done"], k).alias("nth")))).alias("out"))), 0)
 
-    start = F.struct(F.transform("s", lambda x: F.lit(0)).alias("done"),
-                     F.array().cast("array<struct<i:int,nth:int>>").alias("out"))
-    done = one.withColumn("out", F.aggregate(F.sequence(F.lit(0), F.col("p") - 1), start, step)["out"])
-    return (done.select("s", "p", F.posexplode("out").alias("slot", "x"))
-            .select(F.get("s", F.col("x.i"))["source"].alias("source"), F.col("x.nth").alias("nth"),
-                    F.col("slot"), F.get("s", F.col("x.i"))["q"].alias("q"), F.col("p").alias("period")))
+    none = F.array().cast("array<struct<slot:int,i:int,nth:bigint>>")
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(times) - 1) / CHUNK).cast("int")),
+                         lambda k: F.slice(times, k * CHUNK + 1, F.lit(CHUNK)))
+
+    def chunk(acc, some):
+        done = F.array(F.aggregate(some, F.struct(acc["done"].alias("done"), none.alias("out")), step))
+        return F.get(F.transform(done, lambda x: F.struct(
+            x["done"].alias("done"), F.concat(acc["out"], x["out"]).alias("out"))), 0)
+
+    start = F.struct(F.transform(members, lambda x: F.lit(0).cast("long")).alias("done"), none.alias("out"))
+    return F.aggregate(chunks, start, chunk)["out"]
+
+
+def slots(weights: DataFrame, period: int = PERIOD, fan: int = FAN) -> DataFrame:
+    """One period of the schedule: source, nth (block of the source in the period), slot, q, period.
+
+    ``weights`` has source and weight, one row per source; sources with weight 0 or null get none. The
+    period grows with the lightest weight. Ties go by the order of the names (of the groups first).
+    """
+    own = cut(weights.where("weight > 0").select("source", "weight"), "mix-weights")
+    of = own.agg(F.sum("weight").alias("all"), F.min("weight").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    if not of.n:
+        return own.select("source", *(F.lit(0).cast(t).alias(c) for c, t in (
+            ("nth", "long"), ("slot", "int"), ("q", "int"), ("period", "int"))))
+    asked = max(period, min(math.ceil(LEAST * of["all"] / of.least), EACH * of.n))
+    groups = 1 if of.n <= fan else -(-of.n // fan)
+    q = F.greatest(F.lit(1), F.round(F.col("weight") / F.lit(of["all"]) * asked).cast("int"))
+    members = cut(own.select(F.pmod(F.xxhash64("source"), F.lit(groups)).alias("parent"), F.col("source").alias("child"),
+                             q.alias("q")), "mix-sources")
+    whole_ = members.agg(F.sum("q")).first()[0]  # the period in the end
+    tree = [members]
+    while groups > 1:
+        groups = 1 if groups <= fan else -(-groups // fan)
+        tree.append(tree[-1].groupBy("parent").agg(F.sum("q").cast("int").alias("q")).select(
+            F.pmod("parent", F.lit(groups)).alias("parent"), F.col("parent").alias("child"), "q"))
+    times = own.sparkSession.range(1).select(F.col("id").alias("parent"), F.sequence(F.lit(0), F.lit(whole_ - 1)).alias("times"))
+    for level in reversed(tree):
+        one = level.groupBy("parent").agg(F.sort_array(F.collect_list(F.struct("child", "q"))).alias("members"))
+        # stored, so that nothing is worked out anew for each slot
+        one = cut(one.join(times, "parent"), "mix-groups")
+        dealt = one.select("members", F.explode(_earliest_due(F.col("members"), F.col("times"), whole_)).alias("x")).select(
+            F.get("members", F.col("x.i"))["child"].alias("child"), F.get("members", F.col("x.i"))["q"].alias("q"),
+            F.col("x.slot").alias("slot"), F.col("x.nth").alias("nth"))
+        dealt = cut(dealt, "mix-dealt")
+        times = dealt.groupBy("child").agg(F.sort_array(F.collect_list("slot")).alias("times")).withColumnRenamed("child", "parent")
+    return dealt.select(F.col("child").alias("source"), "nth", "slot", "q", F.lit(whole_).cast("int").alias("period"))
 
 
 def schedule(docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK, period: int = PERIOD,
@@ -67,14 +104,14 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, block: int = BLO
     block in which it starts, and one longer than a block takes the slots of several. In order of
     slot, then key, the sources stand in their target weights until the first of them is used up
     (``in_mix``); all rows are kept, so after that the others go on alone in theirs. A null source
-    is the source ''; sources without a weight have a null slot and come last.
+    is the source ''; sources without a weight have a null slot and come last. Null and empty texts count
+    one character. Rows that repeat follow each other; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col(f"kept.`{text_col}`"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("kept")).select(
-        "kept", F.col(f"kept.`{id_col}`").cast("long").alias("doc_id"),
-        F.coalesce(F.col(f"kept.`{source_col}`"), F.lit("")).alias("source"),
-        F.md5(F.coalesce(F.col(f"kept.`{id_col}`").cast("string"), F.lit(""))).alias("key"),
+    text = F.coalesce(column(text_col, "kept"), F.lit(""))
+    rows = docs.select(whole(docs)).select(
+        "kept", column(id_col, "kept").cast("long").alias("doc_id"),
+        F.coalesce(column(source_col, "kept"), F.lit("")).alias("source"),
+        F.md5(F.coalesce(column(id_col, "kept").cast("string"), F.lit(""))).alias("key"),
         (F.length(text) + 1).cast("long").alias("size"))
     digits = max(1, math.ceil(math.log(max(docs.count(), 1) / BUCKET_ROWS, 16))) if BUCKET_ROWS else 1
     rows = rows.withColumn("bucket", F.substring("key", 1, digits))
@@ -82,34 +119,31 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, block: int = BLO
     parts = cut(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-parts")
     before = F.sum("size").over(W.partitionBy("source").orderBy("bucket")
                                 .rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
-    offsets = parts.select("source", "bucket", before.alias("before"))
     sizes = parts.groupBy("source").agg(F.sum("size").alias("size"))
     weights = default_weights(sizes) if weights is None else weights.select(
         F.coalesce("source", F.lit("")).alias("source"), F.col("weight").cast("double").alias("weight"))
     present = sizes.join(weights, "source")
-    plan = cut(slots(present.select("source", "weight"), period), "mix-slots")
+    plan = slots(present.select("source", "weight"), period)
+    per_source = plan.select("source", "q", "period").distinct()
+    # what rows need of their source comes with their bucket, so that none are dealt by source alone
+    offsets = parts.select("source", "bucket", before.alias("before")).join(per_source, "source", "left")
 
     # the first slot in which a source has no block left
-    ends = (sizes.join(plan.select("source", "q", "period").distinct(), "source")
+    ends = (sizes.join(per_source, "source")
             .withColumn("nb", F.ceil(F.col("size") / block))
-            .withColumn("nth", (F.col("nb") % F.col("q")).cast("int"))
+            .withColumn("nth", F.col("nb") % F.col("q"))
             .join(plan.select("source", "nth", "slot"), ["source", "nth"])
             .agg(F.min(F.expr("slot + (nb div q) * period")).alias("horizon")))
+    horizon = ends.first().horizon or 0
 
     inner = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(
         W.unboundedPreceding, W.currentRow)
     placed = (rows.withColumn("inside", F.sum("size").over(inner) - F.col("size"))
-              .join(offsets, ["source", "bucket"])
-              .withColumn("block", F.expr(f"(before + inside) div {block}")))
-    few = parts.select("source").distinct().count() <= FEW_SOURCES  # then the plan has a bound
-    bounded = F.broadcast if few else (lambda df: df)
-    per_source = plan.select("source", "q", "period").distinct()
-    placed = (placed.join(bounded(per_source), "source", "left")
-              .withColumn("nth", (F.col("block") % F.col("q")).cast("int"))
-              .join(bounded(plan.select("source", "nth", "slot")), ["source", "nth"], "left")
+              .join(cut(offsets, "mix-offsets"), ["source", "bucket"])
+              .withColumn("block", F.expr(f"(before + inside) div {block}"))
+              .withColumn("nth", F.col("block") % F.col("q"))
+              .join(plan.select("source", "nth", "slot"), ["source", "nth"], "left")
               .withColumn("slot", F.expr("slot + (block div q) * period")))
-    horizon = ends.first()
-    horizon = horizon.horizon if horizon and horizon.horizon is not None else 0
     return placed.select("kept", "doc_id", "source", "key", "size", "block", "slot",
                          F.coalesce(F.col("slot") < horizon, F.lit(False)).alias("in_mix"))
 
@@ -119,4 +153,4 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, **settings) -> Data
     placed = schedule(docs, weights, **settings).withColumn("last", F.col("slot").isNull())
     order = ["last", "slot", "key", "doc_id", "size"]
     return (placed.repartitionByRange(*order).sortWithinPartitions(*order)
-            .select(*(F.col(f"kept.`{c}`").alias(c) for c in docs.columns)))
+            .select(*(column(c, "kept").alias(c) for c in docs.columns)))
