@@ -21,7 +21,7 @@ def tokenizer_path() -> str:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select(
-        "doc_id", "n_lines", "n_removed",
+        "doc_id", "n_lines", "n_removed", "longest_run",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
