@@ -22,20 +22,37 @@ later AS (SELECT *,
     length(line) >= 40 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS one,
     l2 IS NOT NULL AND row_number() OVER (PARTITION BY line, l1, l2 ORDER BY doc_id, pos) > 1 AS run
   FROM runs),
-gone AS (SELECT doc_id, raw, line, one OR bool_or(run) OVER (PARTITION BY doc_id ORDER BY pos
+gone AS (SELECT doc_id, raw, pos, line, one OR bool_or(run) OVER (PARTITION BY doc_id ORDER BY pos
     ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM later),
 counts AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed FROM gone GROUP BY doc_id),
+runs_gone AS (SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM gone WHERE gone),
+longest AS (SELECT doc_id, max(c) AS longest_run FROM (SELECT doc_id, g, count(*) AS c FROM runs_gone GROUP BY ALL)
+  GROUP BY doc_id),
 kept AS (SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.raw) AS text FROM each e
   LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.raw = e.raw WHERE g.gone IS NOT TRUE GROUP BY e.doc_id)
 SELECT r.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
-  sha256(coalesce(k.text, '')) AS kept_sha256
-FROM raw r LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
+  coalesce(l.longest_run, 0) AS longest_run, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM raw r LEFT JOIN counts c USING (doc_id) LEFT JOIN longest l USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS doc,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc, i, array_to_string(ws[i:i + 34], ' ') AS w
+  FROM (SELECT doc, ws, unnest(range(1, len(ws) - 33)) AS i FROM d)),
+twice AS (SELECT doc, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+gone AS (SELECT DISTINCT doc, i + k AS j FROM twice, range(35) AS r(k)),
+each AS (SELECT doc, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d),
+kept AS (SELECT e.doc, count(g.j) AS n_removed, string_agg(e.word, ' ' ORDER BY e.j) FILTER (g.j IS NULL) AS text
+  FROM each e LEFT JOIN gone g ON g.doc = e.doc AND g.j = e.j GROUP BY e.doc)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc)""",
     "op8_mixing": """
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, md5(CAST(doc_id AS VARCHAR)) AS key,
   length(coalesce(text, '')) + 1 AS size FROM documents),
 sizes AS (SELECT source, sum(size) AS size FROM d GROUP BY source),
+ws AS (SELECT source, size, pow(CAST(size AS DOUBLE), 0.5) AS w FROM sizes),
+asked AS (SELECT greatest(1000, least(CAST(ceil(50 * sum(w) / min(w)) AS BIGINT), 100 * count(*))) AS slots FROM ws),
 q AS (SELECT source, row_number() OVER (ORDER BY source) AS i, size, greatest(1, CAST(round(
-  pow(CAST(size AS DOUBLE), 0.5) / sum(pow(CAST(size AS DOUBLE), 0.5)) OVER () * 1000) AS BIGINT)) AS q FROM sizes),
+  w / sum(w) OVER () * slots) AS BIGINT)) AS q FROM ws, asked),
 p AS (SELECT sum(q) AS p, list(q ORDER BY i) AS qs, count(*) AS n FROM q),
 edf AS (SELECT 0 AS t, (SELECT list_transform(qs, lambda x: CAST(0 AS BIGINT)) FROM p) AS done, CAST(NULL AS BIGINT) AS k,
     CAST(NULL AS BIGINT) AS nth

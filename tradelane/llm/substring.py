@@ -5,7 +5,8 @@ non-overlapping runs of BLOCK words of each document. So two equal windows share
 one, found at any place of the other: the blocks are the index, every rolling run of BLOCK words is
 a probe, and a probe that meets the block of another place is an anchor. Around its anchors a
 document's whole windows are hashed and counted; those that start twice or more are the exact
-repeats, and adjoining ones make up the maximal repeats.
+repeats. This takes the place of extending a hit word by word: the repeated windows that adjoin or
+overlap make up the maximal repeat around the hit, and a word is removed exactly if one covers it.
 
 Index and probes are dealt out by hash into shards of about RECORDS records, packed as arrays
 (four bytes of hash and about one of place a probe), because there is one probe for every word.
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import filter_of, possible
-from .tables import cut, numbered, texts
-from .textops import Flat, covered, slices
+from .tables import column, cut, numbered, of_numbered
+from .textops import Flat, covered, mix, slices
 
 WINDOW = 35
 RECORDS = 3_000_000  # of a shard
@@ -151,11 +152,13 @@ class Packer:
         order = np.argsort(shard.astype(np.uint16) if self.shards.n < 1 << 16 else shard, kind="stable")
         at, value, flag = at[order], value[order], flag[order]
         cuts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=self.shards.n))])
-        out = [[-1 - buffer % 1024, 0, buffer, 0, None, None, None, np.concatenate(self.rows).astype("<i8").tobytes(),
+        # dealt by a hash of task and flush: tasks that flush as often as each other do not meet in one part
+        deal = int(mix(np.array([buffer], U))[0] >> U(1))
+        out = [[-1 - buffer, 0, buffer, 0, None, None, None, np.concatenate(self.rows).astype("<i8").tobytes(),
                 np.concatenate(self.sizes).astype("<i8").tobytes()]]
         for s in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[s], cuts[s + 1]
-            out.append([s, buffer % int(self.shards.parts[s]), buffer, int(b - a), value[a:b].tobytes(),
+            out.append([s, deal % int(self.shards.parts[s]), buffer, int(b - a), value[a:b].tobytes(),
                         np.packbits(flag[a:b]).tobytes(), _gaps(at[a:b]), None, None])
         self.flushed += 1
         self._clear()
@@ -428,12 +431,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """Per row: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Every word under a window of ``window`` words that also starts elsewhere goes. ``kept_text`` is
-    null where nothing is removed (the words are the text's own) and empty where all are. Null text
-    has no words; rows that repeat are copies of each other. ``docs`` is read once and written with the
-    numbers of its rows.
+    null where nothing is removed (the words are the text's own) and empty where all are. Null and empty
+    texts have no words; long ones are read whole. Rows that repeat are copies of each other, whose words
+    all go from ``window`` words on. Other columns are not looked at; an empty table gives no rows.
+    ``docs`` is read once and written with the numbers of its rows.
     """
-    own = texts(numbered(docs.select(id_col, text_col)), id_col, text_col,
-                keep=(F.col("__row").alias("row"),)).select("row", "doc_id", "text")
+    own = of_numbered(numbered(docs.select(column(id_col), column(text_col))), id_col, text_col)
     base, gone = removals(own, window, records)
     empty = hashlib.sha256(b"").hexdigest()
     return base.join(gone, "row", "left").select(
