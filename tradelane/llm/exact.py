@@ -6,8 +6,9 @@ those set twice; a segment's task joins them into the positions set twice or mor
 every digest with that second filter: a row whose bits are not all set there has no equal and goes
 straight to the result; the other rows alone are shuffled by digest and decided exactly.
 
-The filter never exceeds ``max_bits``. More rows than it suits are done in rounds, each over the
-digests of one slice of the hash range, which the stored table is partitioned by.
+The filter never exceeds ``max_bits``. More rows than it suits are done in slices of the hash range:
+the digests (not the texts) are dealt to slices once and written to a folder of each, and a slice's
+round reads its own folder only, so every digest is read once per pass however many slices there are.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tradelane.session import scratch_path
 
 from .tables import cut, texts
 
@@ -26,6 +30,8 @@ BITS_PER_ROW = 16
 HASHES = 3
 MAX_BITS = 1 << 28  # 32 MB, the most that is broadcast
 SEGMENT_BITS = 1 << 22
+FILES_PER_SLICE = 8
+_PROBED = "doc_id long, sha binary, row long, maybe boolean"
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +86,7 @@ def repeated_filter(keys: DataFrame, bits: int) -> np.ndarray:
     merged = sent.groupBy("segment").applyInArrow(_merge, "segment long, bits binary")
     out = np.zeros(-(-bits // SEGMENT_BITS) * SEGMENT_BITS // 8, np.uint8)
     step = SEGMENT_BITS // 8
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # ``bits`` at most
         out[row.segment * step:(row.segment + 1) * step] = np.frombuffer(row.bits, np.uint8)
     return out
 
@@ -100,28 +106,31 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Texts are equal when identical after lower-casing A-Z; null counts as empty. The row with the
-    largest doc_id stays (null ids are the smallest); of several such rows, one.
-    An empty table gives an empty result.
+    Texts are equal when identical after lower-casing A-Z, long ones as a whole; null counts as empty. The
+    row with the largest doc_id stays (null ids are the smallest); of several such rows, one. Other columns
+    are not looked at. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     keys = texts(docs, id_col, text_col).mapInArrow(_digests, "doc_id long, sha binary")
     keys = cut(keys.withColumn("row", F.monotonically_increasing_id()), "digests")
     n = keys.count()
-    rounds = max(1, -(-n * BITS_PER_ROW // max_bits))
+    slices = max(1, -(-n * BITS_PER_ROW // max_bits))
     bits = int(min(max_bits, max(1 << 16, n * BITS_PER_ROW)))
-    if rounds > 1:
-        sliced = keys.withColumn("slice", F.pmod(F.xxhash64("sha"), F.lit(rounds)))
-        keys = cut(sliced.repartition("slice", F.spark_partition_id()), "digest-slices")
-    parts = []
-    for i in range(rounds):
-        own = keys.where(F.col("slice") == i).drop("slice") if rounds > 1 else keys
+    if slices == 1:
+        held = spark.sparkContext.broadcast(repeated_filter(keys, bits))
+        return decide(cut(keys.mapInArrow(_probe(held, bits), _PROBED), "probed"))
+    dealt, probed = scratch_path(spark, "digest-slices"), scratch_path(spark, "probed")
+    # a digest that very many rows share is spread over the files of its slice
+    of = F.pmod(F.xxhash64("sha"), F.lit(slices))
+    (keys.withColumn("slice", of).repartition("slice", F.pmod("row", F.lit(FILES_PER_SLICE)))
+     .write.partitionBy("slice").parquet(dealt))
+    stored = spark.read.schema(StructType([*keys.schema, StructField("slice", IntegerType())])).parquet(dealt)
+    for i in range(slices):
+        own = stored.where(F.col("slice") == i).drop("slice")  # one folder
         held = spark.sparkContext.broadcast(repeated_filter(own, bits))
-        parts.append(own.mapInArrow(_probe(held, bits), "doc_id long, sha binary, row long, maybe boolean"))
-    probed = parts[0]
-    for p in parts[1:]:
-        probed = probed.unionAll(p)
-    return decide(cut(probed, "probed"))
+        own.mapInArrow(_probe(held, bits), _PROBED).write.parquet(f"{probed}/slice={i}")
+        held.unpersist()
+    return decide(spark.read.schema(_PROBED).parquet(f"{probed}/*"))
 
 
 def decide(probed: DataFrame) -> DataFrame:
