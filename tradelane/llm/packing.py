@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .textops import slices
-from .tables import cut, placed, texts
+from .tables import column, cut, placed, texts
 from .tokens import Encoder
 
 CAPACITY = 2048
@@ -208,11 +208,13 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                    in_order: bool = False) -> DataFrame:
     """Every document in sequences of at most CAPACITY tokens.
 
-    Null text is an empty one, which is the id END alone. Rows that repeat are packed as often as
-    they stand there. An empty table gives an empty result. With ``in_order``, ``docs`` is a stored
+    Null and empty texts are the id END alone; long ones are cut into pieces. Rows that repeat are packed as
+    often as they stand there; items of equal length go by what tells them apart, not by arrival. Other
+    columns are not looked at. An empty table gives an empty result. With ``in_order``, ``docs`` is a stored
     table, and by sequence_id the sequences follow the order of its rows.
     """
     if in_order:
-        return pack_in_order(pieces(texts(placed(docs), id_col, text_col, keep=("__place",)).withColumnRenamed(
-            "__place", "place"), path))
+        rows = placed(docs).select(column(id_col, "kept").cast("long").alias("doc_id"),
+                                   F.coalesce(column(text_col, "kept"), F.lit("")).alias("text"), "place")
+        return pack_in_order(pieces(rows, path))
     return pack(pieces(texts(docs, id_col, text_col), path))

@@ -1,8 +1,9 @@
 """Token ids of whole texts, each distinct word of a task encoded once.
 
 The pattern of a byte-level BPE never joins a word with what stands before the one space that
-leads it, nor a letter with a sign after it, so a text is cut there, every distinct cut is encoded by the tokenizer, and the ids are
-put together again. Texts with white space beyond ASCII's are given to the tokenizer whole.
+leads it, nor a letter with a sign after it, so a text is cut there, every distinct cut is encoded by
+the tokenizer, and the ids are put together again. Texts with white space beyond ASCII's, or with a
+token that was added to the vocabulary (such as an end of text), are given to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self._forget()
 
     def _forget(self) -> None:
@@ -52,9 +53,8 @@ class Encoder:
         self.known.update(zip(hashes, range(at, at + len(size)), strict=True))
         self.used += len(ids)
 
-    @staticmethod
-    def _odd(f: Flat) -> np.ndarray:
-        """Texts with white space that is not ASCII's, or with control characters near it."""
+    def _odd(self, f: Flat) -> np.ndarray:
+        """Texts with white space that is not ASCII's, with control characters near it, or with added tokens."""
         d = f.data
         odd = (d >= 0x1C) & (d <= 0x1F)
         if len(d) > 1 and (d >= 0x80).any():
@@ -62,6 +62,12 @@ class Encoder:
             two = d[:-2].astype(np.uint32) << 16 | d[1:-1].astype(np.uint32) << 8 | d[2:]
             odd[:-2] |= ((two >= 0xE28080) & (two <= 0xE2808A)) | np.isin(
                 two, [0xE19A80, 0xE1A08E, 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+        raw = f.data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                odd[at] = True
+                at = raw.find(token, at + 1)
         return f.per_text(odd) > 0
 
     @staticmethod
