@@ -7,7 +7,8 @@ from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHES = ("row", "kept", "label", "size", "lines", "gone", "at", "sha", "n_words", "block", "key", "part")
+CLASHES = ("row", "kept", "label", "size", "lines", "gone", "at", "sha", "n_words", "block", "key", "part",
+           "__row", "__place", "rank", "end", "a.b", "kept.text", "q")
 
 
 def frame(spark, texts, ids=None, sources=None, parts=3):
@@ -16,7 +17,7 @@ def frame(spark, texts, ids=None, sources=None, parts=3):
     sources = ["s"] * len(texts) if sources is None else sources
     rows = [(i, t, "en", s, None if t is None else len(t), *["x"] * len(CLASHES))
             for i, t, s in zip(ids, texts, sources, strict=True)]
-    df = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in CLASHES))
+    df = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in CLASHES))  # names with dots too
     return df.repartition(parts, "doc_id", "text") if parts > 1 else df.coalesce(1)
 
 

@@ -1,6 +1,7 @@
 """Operators that compare texts with each other, mixing and the pipeline."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -11,13 +12,13 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks import compare
 from tests.llm.helpers import AWKWARD, frame, prose, repeats, sha, stored, words
-from tradelane.llm import exact, linking, lines, minhash, mixing, packing, substring
+from tradelane.llm import exact, linking, lines, minhash, mixing, packing, substring, tables
 from tradelane.llm.tables import cut
 
 SMALL = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op5_exact_dedup", "op8_mixing"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op5_exact_dedup", "op8_mixing", "op10_substring_dedup"])
 def test_query_matches_sql(spark, name):
     assert compare.compare(spark, compare.connect(SMALL), name, entry.queries()[name],
                            entry.oracle_sql()[name], SMALL) is None
@@ -74,7 +75,7 @@ def test_line_dedup(spark, tmp_path, min_lines):
             for _ in range(60)] + AWKWARD
     docs = stored(frame(spark, made), spark, tmp_path)
     got = lines.dedup_lines(docs, min_lines)
-    assert got.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert got.columns == [*docs.columns, "n_lines", "n_removed", "longest_run"]
     rows = {x.doc_id: x for x in got.collect()}
     for i, want in enumerate(brute_lines(made, min_lines, 40)):
         assert (rows[i].text or "") == want, i
@@ -82,6 +83,35 @@ def test_line_dedup(spark, tmp_path, min_lines):
             [x for x in want.split("\n") if x.strip(" \t\n\x0b\f\r")])
 
 
+def test_longest_runs_and_clashing_names(spark, tmp_path):
+    """Runs of all lengths, some that overlap; every other column comes back as it was."""
+    r = random.Random(3)
+    source = [f"line {i}" for i in range(200)]
+    made = ["\n".join(source)]
+    for i in range(40):
+        a, n = r.randrange(180), r.choice([1, 2, 3, 5, 8, 17, 60])
+        b, m = r.randrange(180), r.choice([0, 3, 4])
+        made.append("\n".join([f"own {i}", *source[a:a + n], *source[b:b + m], f"more {i}"]))
+    docs = stored(frame(spark, made), spark, tmp_path).withColumn("__row", F.lit(77)).withColumn("a.b", F.lit("dots"))
+    rows = {x.doc_id: x for x in lines.dedup_lines(docs).collect()}
+    seen = set()
+    for i, text in enumerate(made):
+        own = text.split("\n")
+        gone = [False] * len(own)
+        for j in range(len(own) - 2):
+            run = tuple(own[j:j + 3])
+            if run in seen:
+                gone[j:j + 3] = [True] * 3
+            seen.add(run)
+        best = now = 0
+        for g in gone:
+            now = now + 1 if g else 0
+            best = max(best, now)
+        assert (rows[i].longest_run, rows[i].n_removed) == (best, sum(gone)), i
+        assert rows[i]["__row"] == 77 and rows[i]["a.b"] == "dots"
+    assert max(x.longest_run for x in rows.values()) > 50
+
+
 def test_line_dedup_of_repeated_rows_and_nothing(spark, tmp_path):
     docs = stored(frame(spark, ["a\nb\nc"] * 3 + [None], ids=[1, 1, None, None]), spark, tmp_path)
     rows = lines.dedup_lines(docs).collect()
@@ -232,6 +262,28 @@ def test_substring_dedup_splits_hot_shards(spark, tmp_path, monkeypatch):
     assert [(rows[i].n_words, rows[i].n_removed, rows[i].kept_sha256) for i in range(len(made))] == brute_substring(made)
 
 
+def test_parts_of_a_hot_shard_are_dealt_by_task_and_flush():
+    """Many tasks that flush once each: neither their records nor their lists of texts meet in one group."""
+    import numpy as np
+    from unittest import mock
+
+    hist = np.zeros(substring.SLOTS, np.int64)
+    hist[5] = 10_000
+    shards = substring.Shards(hist, 1000)
+    assert shards.parts.max() >= 8
+    parts, lists = Counter(), Counter()
+    for task in range(400):
+        with mock.patch.object(substring.TaskContext, "get", return_value=mock.Mock(partitionId=lambda t=task: t)):
+            packer = substring.Packer(shards, "<u4")
+            h = np.array([5 << 52], np.uint64)
+            list(packer.add(np.array([task]), np.array([1]), np.array([0]), h, h, np.array([False])))
+            for b in packer.flush():
+                for x in b.to_pylist():
+                    (lists if x["shard"] < 0 else parts)[x["shard"], x["part"]] += 1
+    assert max(lists.values()) == 1 and len(lists) == 400
+    assert len(parts) > 0.9 * shards.parts.max() and max(parts.values()) < 5 * 400 / len(parts)
+
+
 def test_substring_dedup_of_nothing(spark, tmp_path):
     docs = stored(frame(spark, [None, "", " "], ids=[None, 1, 1]), spark, tmp_path)
     assert {(r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(docs).collect()} == {(0, 0, sha(""))}
@@ -262,6 +314,33 @@ def test_mixing_stays_within_a_block(spark):
         assert all(abs(done[s] - t * n / sum(q)) < 1 for s, n in zip(names, q, strict=True))
 
 
+def test_many_sources_share_out_the_slots(spark):
+    """2,000 sources in a tree of groups: every one stays less than a block from its share at all times."""
+    import numpy as np
+    weights = spark.range(2000).selectExpr("concat('s', id) AS source", "CAST(1 + id % 3 + IF(id = 7, 500, 0) AS DOUBLE) AS weight")
+    rows = mixing.slots(weights).select("source", "slot", "nth", "q", "period").toPandas()
+    period = int(rows.period.iloc[0])
+    assert len(rows) == period and sorted(rows.slot) == list(range(period))
+    per = rows.groupby("source")
+    q, share = per.q.first(), dict((x.source, x.weight) for x in weights.collect())
+    assert (per.size() == q).all() and q.sum() == period and len(q) == 2000
+    total = sum(share.values())
+    assert max(abs(q[s] / period / (w / total) - 1) for s, w in share.items()) < 0.011
+    for _, x in per:
+        x = x.sort_values("slot")
+        n, t, k = int(x.q.iloc[0]), x.slot.to_numpy(), np.arange(len(x))
+        assert (x.nth.to_numpy() == k).all()
+        # before and after each of its blocks, in whole numbers
+        assert (np.abs(k * period - t * n) < period).all() and (np.abs((k + 1) * period - (t + 1) * n) < period).all()
+
+
+def test_light_sources_do_not_change_heavy_ones(spark):
+    weights = spark.createDataFrame([("big", 0.5), *((f"t{i}", 1e-9) for i in range(300)), ("mid", 0.5)], "source string, weight double")
+    rows = mixing.slots(weights, fan=16).groupBy("source").agg(F.first("q").alias("q"), F.first("period").alias("p")).collect()
+    q = {r.source: r.q / r.p for r in rows}
+    assert len(q) == 302 and abs(q["big"] - 0.5) < 0.005 and abs(q["mid"] - 0.5) < 0.005
+
+
 def test_mixing_keeps_all_rows_in_order(spark, tmp_path):
     r = random.Random(4)
     sources = [r.choice(["big"] * 8 + ["mid"] * 3 + [None, ""]) for _ in range(600)]
@@ -330,11 +409,15 @@ def test_sequences_follow_the_mix(spark, tmp_path, monkeypatch):
     sources = ["long"] * 150 + ["short"] * 1800
     made = [prose(i, r.randint(300, 900) if s == "long" else r.randint(20, 80)) for i, s in enumerate(sources)]
     docs = stored(frame(spark, made, sources=sources), spark, tmp_path)
+    assert {"__row", "__place", "a.b"} <= set(docs.columns)
     chosen = mixing.mixed
     weights = spark.createDataFrame([("long", 0.5), ("short", 0.5)], "source string, weight double")
     monkeypatch.setattr(mixing, "mixed", lambda d: chosen(d, weights, block=4000, period=20))
     mixed = cut(corpus_pipeline.mix_sources(spark, docs, SMALL), "mixing")
+    assert tables._RECORDED  # what the stage left, which the next one drops
+    left = [path for _, path in tables._RECORDED]
     rows = cut(corpus_pipeline.pack(spark, mixed, SMALL), "packing").collect()
+    assert not any(os.path.exists(path) for path in left) and mixed.count() == len(made)
     from tests.llm.test_texts import check_packed
     totals = Counter()
     for x in rows:

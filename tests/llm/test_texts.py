@@ -6,11 +6,12 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from tests.llm.helpers import AWKWARD, frame, prose, words
 from tradelane.llm import classifier, extraction, rules, stats, toxicity, trees
-from tradelane.llm.packing import pack_documents, pieces
+from tradelane.llm.packing import best_fit, pack_documents, pieces
 from tradelane.llm.tables import texts
 from tradelane.llm.textops import slices
 from tradelane.llm.tokens import Encoder
@@ -197,7 +198,8 @@ def test_pages(spark):
 
 def test_ids_equal_those_of_the_tokenizer():
     import random
-    encode, r = Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(2)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, plain, r = Encoder(path), Tokenizer.from_file(path), random.Random(2)
     parts = [" ", "  ", "\n", "\t", "\r\n", "a", "B", "é", "1", "12", ".", "!", "'s", "'ll", "\xa0", " ", "\x1c",
              "\x85", "字", "🙂", "　", "<|endoftext|>", "\"", "_", "\x0b", "​"]
     all_ = [*AWKWARD[1:], *("".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(5000))]
@@ -205,7 +207,7 @@ def test_ids_equal_those_of_the_tokenizer():
     for rows, f in slices(pa.record_batch({"text": pa.array(all_)})):
         ids, ends = encode(f)
         for i in range(rows.num_rows):
-            want = encode.tokenizer.encode(all_[at + i], add_special_tokens=False).ids
+            want = plain.encode(all_[at + i], add_special_tokens=False).ids
             assert ids[ends[i]:ends[i + 1]].tolist() == want, repr(all_[at + i])
         at += rows.num_rows
 
@@ -233,9 +235,10 @@ def check_packed(rows, want, capacity=2048):
 def test_packing_round_trip(spark):
     import zlib
     path = public_tokenizers.path("byte_bpe_50k.json")
-    made = AWKWARD + [prose(i, i % 400) for i in range(400)]
+    made = AWKWARD + [prose(i, i % 400) for i in range(400)] + ["a <|endoftext|> b", "<|endoftext|>" * 3, "x<|endoftext|"]
     docs = frame(spark, made)
-    encode = Encoder(path).tokenizer.encode
+    encode = Tokenizer.from_file(path).encode
+    assert encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     ids = {i: [*encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(made)}
     rows = pack_documents(docs, path).collect()
     bins = check_packed(rows, [(i, len(x)) for i, x in ids.items()])
@@ -248,3 +251,185 @@ def test_packing_round_trip(spark):
     assert pack_documents(docs.limit(0), path).count() == 0
     twice = frame(spark, ["a b", "a b", "c"], ids=[1, 1, None])
     assert len(pack_documents(twice, path).collect()) == 3
+
+
+def long_prose(name, n):
+    return "".join(f"<p>Sentence {i} of {name} tells a long story about what happened there and then.</p>" for i in range(n))
+
+
+MENU = "<html><body><nav><a href=x>Home</a><a href=y>More</a></nav>"
+ART, TWO, BAD = long_prose("art", 6), long_prose("two", 3), {n: long_prose("bad", n) for n in (1, 5, 12, 60)}
+# page, what must be there, what must not
+SITES = {f"{c} {n}": (f"{MENU}<div class=content>{ART}</div><div class='{c}'>{BAD[n]}</div>", ["0 of art", "5 of art"], ["of bad"])
+         for c in ("footer", "sidebar", "cookie-notice", "promo", "comment-list", "user-comments", "adBox") for n in BAD}
+SITES |= {
+    "thread": (f"{MENU}<div class=post>{ART}</div><div id='disqus_thread'>{BAD[60]}</div>", ["0 of art", "5 of art"], ["of bad"]),
+    "in article": (f"{MENU}<article>{ART}<section class='user-comments'>{BAD[12]}</section><div class='advert-box'>{BAD[12]}</div>"
+                   f"{TWO}</article>", ["0 of art", "2 of two"], ["of bad"]),
+    "sections": (f"{MENU}<div class=entry><h1>Title</h1><div class=sec>{ART}</div><table><tr><td>cell A</td><td>cell B</td></tr>"
+                 f"</table><blockquote>Short quote.</blockquote><div class=sec>{TWO}</div><p>Tiny.</p><p><a href=z>See this</a></p>"
+                 f"<div class=sec>{TWO}</div><p>The end.</p></div><div class=footer>{BAD[12]}</div>",
+                 ["Title", "5 of art", "cell A", "cell B", "Short quote.", "2 of two", "Tiny.", "See this", "The end."], ["of bad"]),
+    "wrapper": (f"<body><div>Site name</div><div id='sidebar-wrapper'><div>{ART}</div><div class=sidebar>{BAD[5]}</div></div>",
+                ["0 of art", "5 of art"], ["of bad"]),
+    "modifiers": (f"{MENU}<div class='post with-sidebar has-related comments-open'><h1>T</h1>{ART}</div>", ["0 of art", "5 of art"], []),
+    "whole form": (f"<form id=f1><div><h1>T</h1>{ART}</div><div class=footer>{BAD[5]}</div></form>", ["5 of art"], ["of bad"]),
+    "share": (f"{MENU}<article>{ART}<section id='market-share'>{TWO}</section></article>", ["5 of art", "2 of two"], []),
+    "comments as articles": (f"{MENU}<main><article class='post comments-closed'>{ART}</article><div id=comments>"
+                             f"<article class='comment-body'>{BAD[60]}</article></div></main>", ["5 of art"], ["of bad"]),
+    "short article": (f"<body><div><h1>Gone</h1><p>Not found.</p></div><div class=footer>{BAD[12]}</div>", ["Not found."], ["of bad"])}
+
+
+@pytest.mark.parametrize("name", SITES)
+def test_articles_stay_whole_and_alone(name):
+    page, want, never = SITES[name]
+    text = extraction.main_text(page + "</body></html>")
+    assert [w for w in want if w not in text] == [] and [w for w in never if w in text] == []
+
+
+@pytest.mark.parametrize("page", ["<span>" * 100_000, "<span>x" * 50_000 + "</b>" * 50_000, "<div>" * 100_000 + "text",
+                                  "<p>a" * 50_000 + "<span>" * 50_000 + "<p>b" * 20_000, "<a title=\"x>" * 50_000,
+                                  "<ul><li><table><tr><td>" * 20_000])
+def test_long_and_deep_pages_take_time_in_proportion(page):
+    import time
+    began = time.process_time()
+    extraction.main_text(page)
+    assert time.process_time() - began < 10  # a few seconds here; a walk of all open tags per tag takes many minutes
+
+
+def test_densities_are_those_of_a_plain_tree():
+    """Characters per tag, adjusted by links, summed over children, worked out by recursion on random trees."""
+    import math
+    import random
+
+    def grow(r, depth):
+        if depth == 0 or r.random() < 0.2:
+            return ("t", "w" * r.randint(1, 90))
+        tag = r.choice(["div", "div", "b", "a", "section"])
+        return (tag, [grow(r, depth - 1) for _ in range(r.randint(1, 4))])
+
+    def html(x):
+        return x[1] if x[0] == "t" else f"<{x[0]}>{''.join(map(html, x[1]))}</{x[0]}>"
+
+    def counts(x):  # characters, tags, link characters, link tags below and in the node
+        if x[0] == "t":
+            return len(x[1]), 0, 0, 0
+        below = [counts(y) for y in x[1]]
+        c, lc, lt = (sum(b[k] for b in below) for k in (0, 2, 3))
+        t = sum(b[1] + (y[0] != "t") for b, y in zip(below, x[1], strict=True))
+        return (c, t, c, lt + 1) if x[0] == "a" else (c, t, lc, lt)
+
+    def density(x, share):
+        c, t, lc, lt = counts(x)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / max(t, 1) * math.log(max(c / max(lc, 1) * max(t, 1) / max(lt, 1), 1)) / max(math.log(base), 0.5)
+
+    for seed in range(60):
+        r = random.Random(seed)
+        tree = ("body", [grow(r, 5) for _ in range(3)])
+        share = counts(tree)[2] / max(counts(tree)[0], 1)
+        want, sums = [], []
+
+        def walk(x):
+            if x[0] != "t":
+                want.append(density(x, share))
+                sums.append(sum(density(y, share) for y in x[1] if y[0] != "t"))
+                for y in x[1]:
+                    walk(y)
+        walk(tree)
+        page = extraction._Page(html(tree))
+        w = extraction._Weights(page)
+        assert w.density[1:] == pytest.approx(want)
+        assert sums[w.best - 1] == pytest.approx(max(sums))
+
+
+def test_best_fit_is_that_of_a_plain_scan():
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        size = np.sort(r.integers(1, 101, 300))[::-1]
+        rooms: list[int] = []
+        for s in size.tolist():
+            fitting = [i for i, room in enumerate(rooms) if room >= s]
+            if fitting:
+                rooms[min(fitting, key=lambda i: rooms[i])] -= s
+            else:
+                rooms.append(100 - s)
+        bins = best_fit(size, 100)
+        assert sorted(100 - np.bincount(bins, size)) == sorted(rooms)
+
+
+def test_trees_are_those_of_a_plain_search():
+    """Every split tried in turn, two levels, three trees, against the histograms."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(120, 2)).round(1)
+    y = (x[:, 0] * x[:, 1] + 0.3 * r.normal(size=120) > 0).astype(float)
+    model = trees.fit(x, y, np.zeros(2), trees=3, depth=2, rate=0.5, bins=16, l2=2.0, least=5)
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[1:-1])) for j in range(2)]
+    raw = np.full(120, np.log(y.mean() / (1 - y.mean())))
+    for _ in range(3):
+        p = 1 / (1 + np.exp(-raw))
+        g, h = y - p, p * (1 - p)
+
+        def leaf(own):
+            return g[own].sum() / (h[own].sum() + 2)
+
+        def gain(own):
+            return leaf(own) * g[own].sum() / 2
+
+        def grow(own, depth):
+            best = (1e-6, None)
+            for j in range(2):
+                for c in cuts[j]:
+                    a, b = own[x[own, j] <= c], own[x[own, j] > c]
+                    if len(a) >= 5 and len(b) >= 5 and gain(a) + gain(b) - gain(own) > best[0] + 1e-12:
+                        best = (gain(a) + gain(b) - gain(own), (a, b))
+            if depth == 0 or best[1] is None or len(own) < 10:
+                raw[own] += 0.5 * leaf(own)
+            else:
+                for part in best[1]:
+                    grow(part, depth - 1)
+        grow(np.arange(120), 2)
+    assert model.raw(x) == pytest.approx(raw)
+
+
+def test_summed_equations_solve_like_one_matrix(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(300, len(stats.FEATURES)))
+    label = (x[:, 0] + x[:, 1] ** 2 + 0.2 * r.normal(size=300) > 0.8).astype(int)
+    rows = spark.createDataFrame([(*map(float, v), int(b), i % 5) for i, (v, b) in enumerate(zip(x, label, strict=True))],
+                                 ", ".join(f"`{k}` double" for k in stats.FEATURES) + ", label int, fold int").repartition(7)
+    model = classifier.fit_quality(rows.where("fold > 0"))
+    own = np.isin(np.arange(300) % 5, [1, 2, 3])
+    assert model.mean == pytest.approx(x[own].mean(0)) and model.scale == pytest.approx(x[own].std(0))
+    z = model.fourier(x[own])
+    penalty = np.eye(z.shape[1]) * classifier.RIDGE * own.sum() / classifier.FOURIER
+    penalty[-1, -1] = 0
+    assert model.beta == pytest.approx(np.linalg.solve(z.T @ z + penalty, z.T @ label[own]), rel=1e-6, abs=1e-9)
+
+
+def test_ordinal_fit_reaches_the_least_loss():
+    """The loss written out plainly: its numeric gradient is near zero at the fit, and any step away raises it."""
+    r = np.random.default_rng(9)
+    words_ = [np.flatnonzero(r.random(4) < 0.5) for _ in range(80)]
+    grade = np.array([min(2, int((0 in w) + (1 in w) + (r.random() < 0.2))) for w in words_])
+    text, bucket = np.repeat(np.arange(80), [len(w) for w in words_]), np.concatenate(words_)
+    l2 = 1e-2
+    fitted = toxicity.fit_ordinal(text, bucket, grade, rounds=4000, rate=0.01, l2=l2)
+
+    def loss(weights, theta):
+        total = 0.0
+        for w, k in zip(words_, grade, strict=True):
+            upto = [0, *(1 / (1 + np.exp(-(t - weights[w].sum()))) for t in theta), 1]
+            total -= np.log(upto[k + 1] - upto[k])
+        return total / 80 + l2 / 2 * (weights ** 2).sum()
+
+    free = np.concatenate([fitted.weights[:4], fitted.theta])
+    at = lambda f: loss(f[:4], f[4:])
+    least = at(free)
+    for i in range(len(free)):
+        step = np.zeros(len(free))
+        step[i] = 1e-4
+        assert abs(at(free + step) - at(free - step)) / 2e-4 < 2e-3
+        assert at(free + 300 * step) > least and at(free - 300 * step) > least
