@@ -328,7 +328,7 @@ def test_many_sources_share_out_the_slots(spark):
     assert max(abs(q[s] / period / (w / total) - 1) for s, w in share.items()) < 0.011
     for _, x in per:
         x = x.sort_values("slot")
-        n, t, k = int(x.q.iloc[0]), x.slot.to_numpy(), np.arange(len(x))
+        n, t, k = int(x.q.iloc[0]), x.slot.to_numpy(np.int64), np.arange(len(x))
         assert (x.nth.to_numpy() == k).all()
         # before and after each of its blocks, in whole numbers
         assert (np.abs(k * period - t * n) < period).all() and (np.abs((k + 1) * period - (t + 1) * n) < period).all()
