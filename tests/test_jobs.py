@@ -46,6 +46,11 @@ def test_daily_run(spark, sf_dir, tmp_path):
     assert shares.where("china_share_pct > 0").count() > 0
     ports = read("analysis_port_risk_trade").where("country_iso = 'CN'")
     assert ports.where("total_B is not null").count() == ports.count() > 0
+    from tradelane.plans import marts, routes
+    for name, full in (("route_baselines", routes.route_baselines(ships)),
+                       ("route_daily", routes.route_daily(ships)), ("strait_daily", marts.strait_daily(ships))):
+        stored = read(name)
+        assert sorted(map(str, stored.select(*full.columns).collect())) == sorted(map(str, full.collect())), name
     before = sorted(map(str, ships.collect()))
     late = jobs.sources(spark, landing, run_date)["vessel_movements"]
     late = late.where("mmsi % 2 = 0").withColumn("mmsi", F.col("mmsi") + 10**9)  # further vessels of old days
@@ -60,3 +65,31 @@ def test_daily_run(spark, sf_dir, tmp_path):
 
 def test_nothing_landed(spark, tmp_path):
     assert jobs.run(spark, str(tmp_path / "none"), str(tmp_path / "w"), dt.date(2024, 2, 1)) == []
+
+
+def test_daily_figures_follow_late_rows(spark, tmp_path):
+    """Only days with new rows are read and written, and the figures are those of a full build."""
+    from tradelane.plans import marts, routes
+
+    def rows(days, first):
+        return spark.createDataFrame(
+            [(first + i, dt.date(2024, 1, d), 1.0 * i, "Cargo" if i % 2 else "Tanker", "Strait of Malacca", True, bool(i % 3))
+             for d in days for i in range(5)],
+            "mmsi long, fetch_date date, sog_knots double, vessel_category string, port_guess string, is_strait boolean, "
+            "is_moving boolean").withColumn("event_time_utc", F.col("fetch_date").cast("timestamp"))
+
+    history, files = str(tmp_path / "h"), {}
+    for k, new in enumerate((rows([1, 2, 3], 0), rows([4], 0), rows([2], 100), rows([2], 100))):
+        days = sinks.sink_merge_days(new, history, ["mmsi", "fetch_date"], [F.col("event_time_utc").desc()])
+        whole = sinks.read_history(spark, history, new.schema)
+        for name, build in jobs.DAILY["vessel_movements"].items():
+            stored = sinks.refresh_days(whole, str(tmp_path / name), days, build)
+            full = build(whole)
+            assert sorted(map(str, stored.select(*full.columns).collect())) == sorted(map(str, full.collect()))
+        now = {p.parent.name: p.name for p in (tmp_path / "route_daily").glob("*/*.parquet")}
+        assert {d for d in now if now[d] != files.get(d)} == {f"fetch_date={d}" for d in days}
+        files = now
+    assert len(files) == 4
+    assert routes.route_baselines(sinks.refresh_days(whole, str(tmp_path / "route_daily"), [], routes.route_daily)).collect() \
+        == routes.route_baselines(whole).collect()
+    assert marts.strait_vessel_trend(whole).count() == 4

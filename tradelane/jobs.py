@@ -2,9 +2,11 @@
 
     spark-submit -m tradelane.jobs --landing DIR --warehouse DIR --run-date 2024-02-01
 
-Order: sources, routes, marts. Each table is a folder below the warehouse. Histories
+Order: sources, daily figures, routes, marts. Each table is a folder below the warehouse. Histories
 (port weather, strait conditions, vessel movements) are merged by key: late rows join the
-day they belong to, and running a day again changes nothing. Everything else is rebuilt.
+day they belong to, and running a day again changes nothing. The daily figures of routes and
+straits are stored per day, and only days with new rows are worked out again; what is built on
+them reads one row per route or strait and day. Everything else is rebuilt.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .sources import readers, sinks
 HISTORIES = {"port_weather": (["port_name", "fetched_at"], "fetched_at"),
              "strait_conditions": (["strait_name", "fetched_at"], "fetched_at"),
              "vessel_movements": (["mmsi", "fetch_date"], "event_time_utc")}
+# figures per day that are stored beside the history they are made of
+DAILY = {"vessel_movements": {"route_daily": routes.route_daily, "strait_daily": marts.strait_daily}}
 POSITION = readers.POSITION
 
 
@@ -97,9 +101,9 @@ def route_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Route tables, when there are vessels, fuel and news."""
     if not {"vessel_movements", "fuel_prices_daily", "shipping_news"} <= set(t):
         return {}
-    current = routes.current_vs_historical(t["vessel_movements"], t["fuel_prices_daily"],
-                                           t["shipping_news"])
-    return {"route_baselines": routes.route_baselines(t["vessel_movements"]),
+    daily = t.get("route_daily", t["vessel_movements"])
+    current = routes.current_vs_historical(daily, t["fuel_prices_daily"], t["shipping_news"])
+    return {"route_baselines": routes.route_baselines(daily),
             "analysis_current_vs_historical": current,
             "route_deviation_alerts": routes.route_deviation_alerts(current)}
 
@@ -130,7 +134,7 @@ def mart_tables(t: dict[str, DataFrame], run_date: dt.date) -> dict[str, DataFra
             out["analysis_route_disruption"] = marts.route_disruption(
                 straits, wx, dims.route_definitions(spark), **stamp)
     if ships is not None:
-        out["analysis_strait_vessel_trend"] = marts.strait_vessel_trend(ships, **stamp)
+        out["analysis_strait_vessel_trend"] = marts.strait_vessel_trend(t.get("strait_daily", ships), **stamp)
         if wx is not None:
             out["analysis_vessel_port_risk"] = marts.vessel_port_risk(
                 ships.drop("source", "data_type", "granularity"), wx, **stamp)
@@ -141,15 +145,18 @@ def run(spark: SparkSession, landing: str, warehouse: str, run_date: dt.date) ->
     """All jobs of one day; returns the names of the tables written."""
     written, tables = [], {}
     for name, df in sources(spark, landing, run_date).items():
-        path = f"{warehouse}/{name}"
+        path, days = f"{warehouse}/{name}", []
         if name in HISTORIES:
             keys, newest = HISTORIES[name]
-            sinks.sink_merge_days(df, path, keys, [F.col(newest).desc_nulls_last()])
+            days = sinks.sink_merge_days(df, path, keys, [F.col(newest).desc_nulls_last()])
         else:
             sinks.sink_overwrite(df, path, skip_empty=False)
         written.append(name)
         # later steps read what was written, whole histories included
         tables[name] = sinks.read_history(spark, path, df.schema)
+        for daily, build in DAILY.get(name, {}).items():
+            tables[daily] = sinks.refresh_days(tables[name], f"{warehouse}/{daily}", days, build)
+            written.append(daily)
     for step in (route_tables(tables), mart_tables(tables, run_date) if tables else {}):
         for name, df in step.items():
             if sinks.sink_overwrite(df, f"{warehouse}/{name}"):

@@ -328,9 +328,14 @@ def route_disruption(straits: DataFrame, weather_df: DataFrame, routes: DataFram
     return _stamp(out.orderBy(ports.route_status_rank(F.col("overall_status")), "route"), run_date)
 
 
+def strait_daily(vessels: DataFrame) -> DataFrame:
+    """Traffic per strait and day."""
+    return vessel_counts(vessels.where("is_strait"), ["fetch_date", "port_guess"])
+
+
 def strait_vessel_trend(vessels: DataFrame, run_date=None) -> DataFrame:
-    """Daily traffic per strait over the whole history."""
-    out = vessel_counts(vessels.where("is_strait"), ["fetch_date", "port_guess"])
+    """Daily traffic per strait over the whole history, from positions or the stored ``strait_daily``."""
+    out = vessels if "moving_count" in vessels.columns else strait_daily(vessels)
     out = out.withColumnsRenamed({"port_guess": "strait_name", "vessels": "total_vessels"})
     return _stamp(out.withColumn("pct_moving", round_half_up(
         F.col("moving_count") / F.greatest("total_vessels", F.lit(1)) * 100, 1)), run_date)

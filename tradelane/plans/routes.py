@@ -36,11 +36,13 @@ def _route_figures(vessels: DataFrame, exclude_current: bool,
                    routes: Sequence[str]) -> DataFrame:
     """Per route: history means and the newest day, from one pass over the positions.
 
-    The positions become one row per route and day; everything else works on those.
+    The positions become one row per route and day; everything else works on those, which may also be
+    given as they are stored (``route_daily``).
     The newest day is that of all positions, also those outside the routes.
     """
     whole = Window.partitionBy()  # over one row per route and day, or per route
-    daily = route_daily(vessels).withColumns({
+    stored = "daily_vessels" in vessels.columns
+    daily = (vessels if stored else route_daily(vessels)).withColumns({
         "_last": F.struct("fetch_date", "daily_vessels", "avg_speed", "tanker_count"),
         "_past": (F.col("fetch_date") < F.max("fetch_date").over(whole) if exclude_current
                   else F.lit(True)),

@@ -39,8 +39,8 @@ def read_history(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def sink_merge_days(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column],
-                    partition: str = "fetch_date") -> None:
-    """Add rows to a history and keep the first row of each key in ``order``.
+                    partition: str = "fetch_date") -> list:
+    """Add rows to a history and keep the first row of each key in ``order``; returns the days that changed.
 
     Only the days in ``df`` are read and written; of rows equal in ``order`` the new one stays.
     ``keys`` hold the partition column or decide it. The merged days are written beside the history
@@ -62,7 +62,31 @@ def sink_merge_days(df: DataFrame, path: str, keys: Sequence[str], order: Sequen
     merged.write.parquet(f"{staged}/merged")
     write_text(spark, f"{path}/{SCHEMA_FILE}", schema.json())
     sink_replace_days(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, partition)
+    days = [r[0] for r in new.select(partition).distinct().collect()]  # as many as the calendar has
     remove(spark, staged)
+    return days
+
+
+def refresh_days(history: DataFrame, path: str, days: Sequence, build: Callable[[DataFrame], DataFrame],
+                 partition: str = "fetch_date") -> DataFrame:
+    """Bring a table of daily figures up to a history of which only ``days`` have changed.
+
+    ``build`` makes the figures, which have the ``partition`` column, of any days; only the days given are
+    read from the history and written again. The first time, and when there are other columns now, all are.
+    """
+    spark = history.sparkSession
+    schema = build(history).schema
+    kept = read_text(spark, f"{path}/{SCHEMA_FILE}")
+    known = kept is not None and StructType.fromJson(json.loads(kept)).names == schema.names
+    some = F.col(partition).isin([d for d in days if d is not None])
+    if None in days:
+        some |= F.col(partition).isNull()
+    rows = build(history.where(some) if known else history)
+    if not known:
+        remove(spark, path)
+    sink_replace_days(rows, path, partition)
+    write_text(spark, f"{path}/{SCHEMA_FILE}", schema.json())
+    return spark.read.schema(schema).parquet(path)
 
 
 SCHEMA_FILE = "_schema.json"  # a name that readers of the table pass over

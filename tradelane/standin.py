@@ -67,6 +67,7 @@ TABLE_SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
               "props string",
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "benchmark": "item_id long, text string",
 }
 
 
