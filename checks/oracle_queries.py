@@ -223,7 +223,7 @@ QUERIES = {
           f"CASE WHEN {' OR '.join(f'contains(txt, {q(w)})' for w in words)} THEN {q(route)} END"
           for route, words in ROUTE_WORDS)}), ''), 'General') AS relevant_routes
       FROM (SELECT doc_id, lower(concat(title, ' ', description)) AS txt FROM articles)""",
-    "classify_news_terms": """WITH t AS (SELECT DISTINCT lower(w) AS term FROM (
+    "classify_news_terms": """SELECT * FROM (WITH t AS (SELECT DISTINCT lower(w) AS term FROM (
         SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM benchmark)),
       txt AS (SELECT doc_id, lower(concat(title, ' ', description)) AS txt FROM articles),
       hit AS (SELECT doc_id, term FROM txt, t WHERE length(term) >= 5 AND contains(txt, term)),
@@ -231,7 +231,7 @@ QUERIES = {
       ro AS (SELECT doc_id, string_agg(route, ', ' ORDER BY route) AS routes FROM (
         SELECT DISTINCT doc_id, concat('Route ', ascii(term) % 3) AS route FROM hit WHERE length(term) = 5) GROUP BY doc_id)
       SELECT doc_id, coalesce(hits, 0) AS risk_hits, coalesce(routes, 'General') AS relevant_routes
-      FROM txt LEFT JOIN n USING (doc_id) LEFT JOIN ro USING (doc_id)""",
+      FROM txt LEFT JOIN n USING (doc_id) LEFT JOIN ro USING (doc_id))""",
     "union_sources": f"""SELECT * REPLACE (CAST(date AS VARCHAR) AS date),
       row_number() OVER (ORDER BY source, date NULLS LAST, row_key) AS row_id FROM (
       SELECT 'un_comtrade' AS source, make_date(year, 1, 1) AS date,

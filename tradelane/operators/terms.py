@@ -12,13 +12,16 @@ GRAM = 3  # characters that are looked up
 
 def _grams(text: Column, n: int) -> Column:
     """The distinct runs of n characters."""
-    at = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(0)))
-    runs = F.when(F.length(text) >= n, F.transform(at, lambda i: F.substring(text, i, F.lit(n))))
-    return F.array_distinct(F.coalesce(runs, F.array().cast("array<string>")))
+    # read from an array, as finding a character in the text would walk the text each time; the array
+    # is bound to a name, so that it is made once
+    runs = F.transform(F.array(F.split(text, "")), lambda letters: F.transform(
+        letters, lambda c, i: F.concat(c, *(F.get(letters, i + k) for k in range(1, n)))))
+    return F.when(F.length(text) >= n, F.array_distinct(F.array_compact(F.get(runs, F.lit(0)))))
 
 
 def _sized(text: Column, sizes: list[int]) -> Column:
-    return F.explode(F.concat(*(_grams(text, n) for n in sizes)))
+    none = F.array().cast("array<string>")
+    return F.explode(F.concat(*(F.coalesce(_grams(text, n), none) for n in sizes)))
 
 
 def match_terms(texts: DataFrame, terms: DataFrame, key: str, text: str, term: str = "term",
