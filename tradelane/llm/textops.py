@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+STEP = 1 << 18  # by which tables of powers grow; a worker keeps them
 SLICE_BYTES = 1 << 20  # texts are worked on in slices of about this size; one longer text is one slice
 
 _SEP = np.zeros(256, bool)
@@ -42,7 +43,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 2 * SLICE_BYTES)
+            n = -(-n // STEP) * STEP
             self.up = np.cumprod(np.concatenate([[U(1)], np.full(n, self.base, U)]))
             self.down = np.cumprod(np.concatenate([[U(1)], np.full(n, self.inverse, U)]))
         return self.up, self.down
