@@ -77,6 +77,9 @@ QUERIES_IO = {
     "sink_raw_json": """SELECT event_id, mmsi, sog_knots, '2024-02-01' AS dt FROM vessel_rows""",
     "table_snapshot": """SELECT d AS snap_date, count(*) AS rows FROM fuel_raw,
       (VALUES ('20240201'), ('20240118')) AS v(d) GROUP BY 1""",
+    "table_snapshot_published": """SELECT '20240118' AS snap_date, count(*) AS rows, count(DISTINCT mmsi) AS vessels
+        FROM vessel_rows WHERE event_id % 3 = 0 HAVING count(*) > 0
+      UNION ALL SELECT '20240201', count(*), count(DISTINCT mmsi) FROM vessel_rows HAVING count(*) > 0""",
     "stream_ais_source": AIS,
     "stream_filter_type": f"""SELECT message_type, mmsi, latitude, longitude, event_time_utc FROM ({AIS})
       WHERE message_type IS NOT NULL""",

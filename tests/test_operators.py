@@ -393,6 +393,37 @@ def test_published_table_is_never_missing(spark, tmp_path):
         spark.sql("DROP TABLE published")
 
 
+def test_snapshots_of_a_published_table_copy_nothing(spark, tmp_path):
+    folder, rows = str(tmp_path / "versions"), spark.range(100).selectExpr("id % 7 AS mmsi", "id")
+    first = dt.date(2024, 1, 1)
+
+    def day(i):
+        return first + dt.timedelta(days=i)
+
+    def versions():
+        return set(sinks.folders(spark, folder, "version="))
+
+    sinks.sink_publish(rows, "shot", folder, ["mmsi"], 4, keep=1)
+    whole = versions()
+    old = sinks.snapshot_published(spark, "shot", folder, day(0), keep=1)
+    for n in (10, 20, 30):
+        sinks.sink_publish(rows.where(f"id < {n}"), "shot", folder, ["mmsi"], 4, keep=1)
+    assert whole < versions() and len(versions()) == 2  # what a snapshot names stays, others go
+    assert spark.table(old).count() == 100 and spark.table("shot").count() == 30
+    again = sinks.snapshot_published(spark, "shot", folder, day(10), keep=1)
+    sinks.sink_publish(rows.where("id < 40").withColumn("more", F.lit(1)), "shot", folder, ["mmsi"], 4, keep=1)
+    assert spark.table(again).columns == ["mmsi", "id"] and spark.table(again).count() == 30
+    assert sinks.snapshot_published(spark, "shot", folder, day(10), keep=1) == again  # in place of the first
+    assert spark.table(again).columns == ["mmsi", "id", "more"] and spark.table(again).count() == 40
+    assert len(versions()) == 2 and set(sinks.published_snapshots(spark, folder)) == {"20240101", "20240111"}
+    plan = spark.table(again).groupBy("mmsi").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # in the buckets of the table
+    last = sinks.snapshot_published(spark, "shot", folder, day(15), keep=1)
+    assert not spark.catalog.tableExists(old) and spark.catalog.tableExists(again) and len(versions()) == 1
+    for name in ("shot", again, last):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_overwrite_puts_the_old_table_back(spark, tmp_path):
     path = str(tmp_path / "table")
     assert sinks.sink_overwrite(spark.range(3), path)

@@ -265,6 +265,22 @@ def _(s):
             .agg(F.count("*").alias("rows")))
 
 
+@query("table_snapshot_published")
+def _(s):
+    """Snapshots of a published table over three days, without copies; the one past its fourteen days is gone."""
+    table, folder = f"t{uuid.uuid4().hex}", scratch_path(s.spark, "published")
+    rows = s.vessel_rows.select("event_id", "mmsi", "sog_knots", "fetch_date")
+    kept = {}
+    for age, part in ((20, rows.where("event_id % 2 = 0")), (14, rows.where("event_id % 3 = 0")), (0, rows)):
+        day = RUN_DATE - dt.timedelta(days=age)
+        sinks.sink_publish(part, table, folder, ["mmsi"], 8, keep=1)
+        kept[f"{day:%Y%m%d}"] = sinks.snapshot_published(s.spark, table, folder, day, keep=1)
+    days = sinks.published_snapshots(s.spark, folder)
+    each = [s.spark.table(kept[d]).select(F.lit(d).alias("snap_date"), "mmsi") for d in sorted(days)]
+    return reduce(DataFrame.unionAll, each).groupBy("snap_date").agg(
+        F.count("*").alias("rows"), F.count_distinct("mmsi").alias("vessels"))
+
+
 # streams -----------------------------------------------------------------------------
 
 def landed_events(s: Standin, parts: int = 4) -> DataFrame:

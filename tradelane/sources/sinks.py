@@ -175,8 +175,8 @@ def sink_publish(df: DataFrame, table: str, folder: str, bucket_by: Sequence[str
     """Replace a catalog table in one step: it names the old files until the new ones are complete.
 
     Every version is written to a folder of its own below ``folder`` and then named by the table;
-    the newest ``keep`` stay, so that queries that began before the change end well. With
-    ``bucket_by`` the files are hashed into ``buckets`` by these columns and sorted by them, and statistics
+    the newest ``keep`` stay, so that queries that began before the change end well, and so do
+    those that a snapshot names (``snapshot_published``). With ``bucket_by`` the files are hashed into ``buckets`` by these columns and sorted by them, and statistics
     are gathered, so that joins and groupings by them need no exchange of this side.
     """
     spark = df.sparkSession
@@ -195,8 +195,47 @@ def sink_publish(df: DataFrame, table: str, folder: str, bucket_by: Sequence[str
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    versions = sorted(folders(spark, folder, "version="))
-    remove_folders(spark, folder, lambda name: name in versions[:-keep])
+    _drop_versions(spark, folder, keep)
+
+
+SNAPSHOTS_FILE = "_snapshots.json"  # version of each day that has a snapshot, beside the versions
+
+
+def published_snapshots(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Version by day (yyyymmdd) of the snapshots of a published table."""
+    return json.loads(read_text(spark, f"{folder.rstrip('/')}/{SNAPSHOTS_FILE}") or "{}")
+
+
+def _drop_versions(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete the versions that are neither among the newest ``keep`` nor named by a snapshot."""
+    versions, named = sorted(folders(spark, folder, "version=")), set(published_snapshots(spark, folder).values())
+    remove_folders(spark, folder, lambda name: name in versions[:-keep] and name not in named)
+
+
+def snapshot_published(spark: SparkSession, table: str, folder: str, run_date: dt.date, days: int = 14,
+                       keep: int = 2) -> str:
+    """Keep the version that ``table`` names now as the snapshot of a day; returns the snapshot's table.
+
+    No row is read or copied: ``<table>_snap_<yyyymmdd>`` is a further table of the catalog over the same files,
+    in the same buckets, and ``sink_publish`` leaves a version alone as long as a snapshot names it. A second
+    snapshot of a day takes the place of the first. Snapshots older than ``days`` go, and with them the
+    versions that nothing names any more; the newest ``keep`` always stay.
+    """
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first().data_type
+    day, oldest = f"{run_date:%Y%m%d}", f"{run_date - dt.timedelta(days=days):%Y%m%d}"
+    known = published_snapshots(spark, folder) | {day: where.rstrip("/").rpartition("/")[2]}
+    # the version is named first, so that nothing between here and the new table can delete it
+    write_text(spark, f"{folder.rstrip('/')}/{SNAPSHOTS_FILE}", json.dumps(known))
+    name = f"{table}_snap_{day}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} LIKE {table} USING parquet LOCATION '{where}'")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+    for old in [d for d in known if d < oldest]:
+        spark.sql(f"DROP TABLE IF EXISTS {table}_snap_{old}")
+        del known[old]
+    write_text(spark, f"{folder.rstrip('/')}/{SNAPSHOTS_FILE}", json.dumps(known))
+    _drop_versions(spark, folder, keep)
+    return name
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
@@ -247,7 +286,7 @@ def remove_folders(spark: SparkSession, path: str, unwanted: Callable[[str], boo
 
 
 def table_snapshot(df: DataFrame, path: str, run_date: dt.date, days: int = 14) -> None:
-    """Dated copy; copies older than ``days`` are removed."""
+    """Dated copy; copies older than ``days`` are removed. Published tables need none (``snapshot_published``)."""
     df.write.mode("overwrite").parquet(f"{path}/snap_date={run_date:%Y%m%d}")
     oldest = f"snap_date={run_date - dt.timedelta(days=days):%Y%m%d}"
     remove_folders(df.sparkSession, path,
