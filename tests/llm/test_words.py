@@ -152,15 +152,17 @@ def brute_search(docs, items, top):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("shard_docs", "bundle_items", "top"), [(3, 2, 4), (7, 50, 10), (4096, 64, 1)])
-def test_search(spark, shard_docs, bundle_items, top):
+@pytest.mark.parametrize(("shard_docs", "bundle_items", "top", "shard_postings"),
+                         [(3, 2, 4, 10**6), (7, 50, 10, 20), (4096, 64, 1, 10**6)])
+def test_search(spark, shard_docs, bundle_items, top, shard_postings):
     r = random.Random(shard_docs)
     made = [prose(i, r.randint(0, 60), 5 + i) for i in range(90)] + AWKWARD + ["the W1 w2"] * 5
     ids = [*range(len(made) - 5), 3, 3, None, None, -2]
     asked = [prose(1000 + i, 8, 60) for i in range(12)] + AWKWARD + ["W1", "nobody has this1"]
     item_ids = [*range(len(asked) - 2), 1, None]
     items = frame(spark, asked, item_ids).withColumnRenamed("doc_id", "item_id")
-    got = search.search(frame(spark, made, ids), items, top, shard_docs=shard_docs, bundle_items=bundle_items)
+    got = search.search(frame(spark, made, ids), items, top, shard_docs=shard_docs, bundle_items=bundle_items,
+                        shard_postings=shard_postings)
     assert got.columns == ["item_id", "rank", "doc_id", "score"]
     want = brute_search(list(zip(ids, made, strict=True)), list(zip(item_ids, asked, strict=True)), top)
     assert sorted((tuple(x) for x in got.collect()), key=repr) == want

@@ -1,7 +1,7 @@
 r"""Ranked lexical search by pipelined term partitioning.
 
-The documents are cut into shards of at most DOCS documents, whose postings of the terms that any item
-has are packed as arrays. Items are dealt into bundles. A term has one owner; owners follow each
+The documents are cut into shards of at most DOCS documents and about POSTINGS postings of the terms that
+any item has, which are packed as arrays. Items are dealt into bundles. A term has one owner; owners follow each
 other from the rarest terms to the most frequent ones, each with about the same number of postings. A
 bundle visits every shard: there it goes from owner to owner, which is a cogroup with the
 owner's postings of that shard, and carries a sparse accumulator of integer scores per item. What an
@@ -31,7 +31,8 @@ from .textops import Flat, lowered, slices
 TOP = 10
 OWNERS = 4
 DOCS = 4096  # of a shard
-ITEMS = 64  # of a bundle, on average
+POSTINGS = 2_000_000  # of a shard, after which it ends
+ITEMS = 512  # of a bundle, on average; every bundle takes a copy of the postings, so bundles are large
 SCALE = 1_000_000_000
 MOST = SCALE // 1000  # no occurrence in a document adds more than this times the weight
 U = np.uint64
@@ -71,12 +72,13 @@ SHARD = ("shard long, n_docs long, n_terms long, doc_ids array<long>, sizes bina
 _SHARD_NAMES = [x.split()[0] for x in SHARD.split(", ")]
 
 
-def _shards(held, size: int):
-    """One row per ``size`` documents with terms: their postings of terms that an item may have, by term."""
+def _shards(held, size: int, postings: int):
+    """One row per ``size`` documents with terms, or fewer if they have many ``postings``: those of terms that an
+    item may have, by term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId() << 32, 0
         ids, sizes, found = [], [], []
-        held_docs = 0
+        held_docs = held_postings = 0
 
         def flush() -> pa.RecordBatch:
             doc, h, tf = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -100,9 +102,9 @@ def _shards(held, size: int):
                     text, h = terms(f)
                     n = np.bincount(text, minlength=f.n)
                     real = np.flatnonzero(n)
-                    if held_docs and held_docs + len(real) > size:
+                    if held_docs and (held_docs + len(real) > size or held_postings >= postings):
                         yield flush()
-                        made, ids, sizes, found, held_docs = made + 1, [], [], [], 0
+                        made, ids, sizes, found, held_docs, held_postings = made + 1, [], [], [], 0, 0
                     wanted = may_hold(held, h)
                     doc, h, tf = _distinct(text[wanted], h[wanted])
                     place = np.cumsum(n > 0) - 1 + held_docs
@@ -110,6 +112,7 @@ def _shards(held, size: int):
                     sizes.append(n[real])
                     found.append((place[doc], h, tf))
                     held_docs += len(real)
+                    held_postings += len(doc)
         if held_docs:
             yield flush()
     return run
@@ -223,7 +226,7 @@ def weighted_terms(items: DataFrame, shards: DataFrame, n_docs: int) -> DataFram
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text", shard_docs: int = DOCS,
-           bundle_items: int = ITEMS) -> DataFrame:
+           bundle_items: int = ITEMS, shard_postings: int = POSTINGS) -> DataFrame:
     """The ``top`` best documents of each row of ``items``: item_id, rank, doc_id, score.
 
     Null and empty texts have no terms: as documents they do not count, as items they find nothing.
@@ -237,7 +240,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc
     asked = cut(asked.mapInArrow(_item_terms, "item long, item_id long, h long"), "item-terms")
     schema = "item_id long, rank int, doc_id long, score long"
     n_items = asked.select("item").distinct().count()
-    shards = cut(texts(docs, id_col, text_col).mapInArrow(_shards(filter_of(asked, "h"), shard_docs), SHARD), "shards")
+    made = _shards(filter_of(asked, "h"), shard_docs, shard_postings)
+    shards = cut(texts(docs, id_col, text_col).mapInArrow(made, SHARD), "shards")
     n = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count(F.lit(1)).alias("shards")).first()
     if not n_items or not n.shards:
         return spark.createDataFrame([], schema)
