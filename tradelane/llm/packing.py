@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .textops import slices
 from .tables import column, cut, placed, texts
-from .tokens import Encoder
+from .tokens import encoder
 
 CAPACITY = 2048
 ITEMS = 100_000
@@ -52,11 +52,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     with_place = "place" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
         for batch in batches:
             for rows, f in slices(batch):
-                encode = encode or Encoder(path)
-                yield _cut_up(rows.column("doc_id"), *encode(f), capacity, with_ids,
+                yield _cut_up(rows.column("doc_id"), *encoder(path)(f), capacity, with_ids,
                               rows.column("place") if with_place else None)
 
     more = (", ids array<long>" if with_ids else "") + (", place long" if with_place else "")

@@ -9,6 +9,7 @@ token that was added to the vocabulary (such as an end of text), are given to th
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -125,3 +126,9 @@ class Encoder:
         ids = self.ids[np.repeat(self.start[where] - total[:-1], size) + np.arange(total[-1])]
         per_text = np.bincount(text, size, f.n).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_text)])
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker, which keeps what it has learnt (MOST_CUTS bound it) from task to task."""
+    return Encoder(path)
