@@ -72,9 +72,12 @@ def score_rules(docs: DataFrame, model: trees.Trees, threshold: float = THRESHOL
 
 def keep_by_rules(docs: DataFrame, model: trees.Trees, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of a table with a ``text`` column that the rules keep, all columns as they are."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # a name may hold any character
+    text = f"c{docs.columns.index('text')}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, f in slices(batch):
+            for rows, f in slices(batch, text):
                 yield rows.filter(pa.array(verdicts(model, threshold, f)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
