@@ -433,3 +433,11 @@ def test_ordinal_fit_reaches_the_least_loss():
         step[i] = 1e-4
         assert abs(at(free + step) - at(free - step)) / 2e-4 < 2e-3
         assert at(free + 300 * step) > least and at(free - 300 * step) > least
+
+
+def test_a_worker_gives_back_unused_memory_after_each_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr("tradelane.llm.textops.give_back", lambda: given.append(1))
+    batch = pa.record_batch([pa.array(["one two", None, "three"])], ["text"])
+    for n in (1, 2):
+        assert sum(len(rows) for rows, _ in slices(batch)) == 3 and len(given) == n
