@@ -324,6 +324,21 @@ def test_a_hundred_thousand_terms_meet_by_equality(spark):
     assert {(r.id, r.term) for r in found.collect()} == {(i, f"term {k} x") for i in range(60) for k in (i * 7, i + 5)}
 
 
+def test_plain_terms_are_looked_up_in_the_distinct_words(spark):
+    texts = ["Pineapple apples", "apple", "an app-le", "Ä7x a7X", None, "über-Übergang", "apple apple " * 50]
+    own = ["apple", "APPLE", "pp", "7x", "übergang", "p-l", "e a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    table = spark.createDataFrame([(t,) for t in own], "term string")
+    got = [(r.id, r.term) for r in terms.match_terms(df, table, "id", "text").collect()]
+    assert len(got) == len(set(got)) and set(got) == {
+        (i, t.lower()) for i, x in enumerate(texts) if x for t in own if t.lower() in x.lower()}
+    plain = table.where("not contains(term, '-') and not contains(term, ' ')")
+    word = {(r.id, r.term) for r in terms.match_terms(df, plain, "id", "text", whole_word=True).collect()}
+    assert word == {(1, "apple"), (5, "übergang"), (6, "apple")}
+    plan = terms.match_terms(df, plain, "id", "text")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(" not in plan and "transform(" not in plan  # no text is cut into runs of characters or read again
+
+
 def test_balanced_buckets_split_a_hot_vessel(spark):
     """A third of all rows under one number: no bucket holds more than its rows and one cell."""
     start = dt.datetime(2024, 1, 1)
