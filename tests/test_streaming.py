@@ -198,6 +198,23 @@ def test_timers_forget_what_was_replaced_long_ago(spark, tmp_path):
     assert kept.count() == 1  # B, once, however often it was said; A went by a timer
 
 
+def test_vessels_share_states(spark, tmp_path):
+    """Two hundred vessels are two states, so that calls of Python do not grow with the vessels."""
+    for b in range(2):
+        rows = [(1000 * b + i, i % 200, f"2024-01-0{b + 1} {i // 40:02d}:00:00", "ShipStaticData" if i < 200 and (b or i % 3) else "PositionReport",
+                 f"S{i}" if i < 200 and b == 0 and i % 3 else "N" if i < 200 and b else None, None, None, None, None, None, 1.0) for i in range(400)]
+        land_messages(spark, tmp_path, b, rows)
+    source = (spark.readStream.schema(spark.read.parquet(str(tmp_path / "in" / "p0")).schema)
+              .option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*")))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    stream.stream_enrich_static(source, out, ck, parts=1, groups=2)
+    got = {r.message_id: r.ship_name for r in spark.read.parquet(out).collect()}
+    want = {i: f"S{i % 200}" if i % 200 % 3 else None for i in range(400) if i >= 200 or i % 3 == 0}
+    assert got == want | {1000 + i: "N" for i in range(200, 400)}
+    known = spark.read.format("statestore").option("stateVarName", "known").load(ck)
+    assert known.select("key").distinct().count() == 2 and known.count() == 200 + sum(1 for i in range(200) if i % 3)
+
+
 def test_sketches_of_batches_are_near_the_exact_numbers(spark):
     rows = spark.range(60_000).selectExpr(
         "concat('R', id % 2) AS route", "id % 17011 AS mmsi", "CAST(id % 5 AS DOUBLE) AS sog_knots",

@@ -280,56 +280,76 @@ def stream_upsert_history(df: DataFrame, out: str, checkpoint: str, keys: Sequen
 
 
 class _LastStatic(StatefulProcessor):
-    """Static messages of one vessel, and of each position the one that was valid at its time.
+    """Static messages of a group of vessels, and of each position the one that was valid at its time.
 
-    The state is a list with a row per change of the static fields. With ``keep_us`` a timer of event time
-    removes what a later change has replaced for longer than that.
+    The state is a list with a row per vessel and change of its static fields. All vessels of a group are worked on
+    at once, in columns. With ``keep_us`` a timer of event time removes what a later change of the same vessel
+    has replaced for longer than that.
     """
 
     def __init__(self, fields: Sequence[str], columns: Sequence[str], keep_us: int | None):
         self.fields, self.columns, self.keep_us = list(fields), list(columns), keep_us
+        self.kept = [_VESSEL, _AT, _ID, *self.fields]
 
     def init(self, handle) -> None:
         self.handle = handle
         values = ", ".join(f"`{f}` string" for f in self.fields)
-        self.known = handle.getListState("known", f"`{_AT}` long, `{_ID}` long, {values}")
+        self.known = handle.getListState("known", f"`{_VESSEL}` string, `{_AT}` long, `{_ID}` long, {values}")
 
     def _older(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.known.get()), columns=[_AT, _ID, *self.fields], dtype=object)
-
-    def _keep(self, known: pd.DataFrame, watermark_ms: int) -> pd.DataFrame:
-        """Without the changes that were replaced before all that can still come."""
-        if self.keep_us is None or not len(known):
-            return known
-        replaced = known[_AT].shift(-1).fillna(_NEVER).astype("int64")
-        return known[replaced > watermark_ms * 1000 - self.keep_us]
-
-    def _store(self, known: pd.DataFrame, watermark_ms: int) -> None:
-        known = self._keep(known, watermark_ms)
-        self.known.put([tuple(None if pd.isna(v) else v for v in r) for r in known.itertuples(index=False)])
-        if self.keep_us is not None and len(known) > 1:
-            due = (int(known[_AT].iloc[1]) + self.keep_us) // 1000 + 1
-            if due > watermark_ms and due not in set(self.handle.listTimers()):
-                self.handle.registerTimer(due)
+        return pd.DataFrame(list(self.known.get()), columns=self.kept, dtype=object)
+
+    def _replaced(self, known: pd.DataFrame) -> pd.Series:
+        """When the next change of the same vessel came; ``known`` is in order."""
+        same = known[_VESSEL].eq(known[_VESSEL].shift(-1)) | (known[_VESSEL].isna() & known[_VESSEL].shift(-1).isna())
+        same.iloc[-1:] = False
+        return known[_AT].shift(-1).where(same, _NEVER).astype("int64")
+
+    def _store(self, known: pd.DataFrame, older: int, watermark_ms: int) -> None:
+        """Write ``known`` (in order, with the row it was, counted from the ``older`` ones); add if no older row went."""
+        if self.keep_us is not None and len(known):
+            known = known[self._replaced(known) > watermark_ms * 1000 - self.keep_us]
+        was = known["was"].to_numpy(np.int64)
+        rows = known[self.kept].astype(object).where(known[self.kept].notna(), None)
+        if older and (was < older).sum() == older:
+            if len(new := rows[was >= older]):
+                self.known.appendList([tuple(r) for r in new.itertuples(index=False)])
+        else:
+            self.known.put([tuple(r) for r in rows.itertuples(index=False)])
+        if self.keep_us is not None and len(known):
+            next_ = self._replaced(known)
+            if (next_ < _NEVER).any():
+                due = (int(next_.min()) + self.keep_us) // 1000 + 1
+                if due > watermark_ms and due not in set(self.handle.listTimers()):
+                    self.handle.registerTimer(due)
+
+    def _order(self, known: pd.DataFrame) -> pd.DataFrame:
+        known["was"] = np.arange(len(known))
+        return known.sort_values([_VESSEL, _AT, _ID], kind="stable", ignore_index=True)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         static = batch[_STATIC].to_numpy(bool)
-        known = pd.concat([self._older(), batch.loc[static, [_AT, _ID, *self.fields]].astype(object)], ignore_index=True)
-        known = known.sort_values([_AT, _ID], kind="stable", ignore_index=True)
-        same = known[self.fields].fillna("").eq(known[self.fields].shift().fillna("")).all(axis=1) & (
-            known[self.fields].isna().eq(known[self.fields].shift().isna()).all(axis=1))
-        if len(same):
+        older = self._older()
+        known = self._order(pd.concat([older, batch.loc[static, self.kept].astype(object)], ignore_index=True))
+        if len(known):
+            compared = known[[_VESSEL, *self.fields]]
+            before = compared.shift()
+            same = (compared.fillna("").eq(before.fillna("")) & compared.isna().eq(before.isna())).all(axis=1)
             same.iloc[0] = False
-        known = known[~same].reset_index(drop=True)
+            known = known[~same].reset_index(drop=True)
         seen = batch[~static].reset_index(drop=True)
         if len(seen):
-            # places of the positions among the static messages, by time, then number
+            # places of the positions among the static messages of their vessel, by time, then number
+            vessel = pd.factorize(pd.concat([known[_VESSEL], seen[_VESSEL]]), use_na_sentinel=False)[0]
             at = np.concatenate([known[_AT].to_numpy(np.int64), seen[_AT].to_numpy(np.int64)])
             number = np.concatenate([known[_ID].to_numpy(np.int64), seen[_ID].to_numpy(np.int64)])
-            order = np.lexsort((np.arange(len(at)), number, at))
+            order = np.lexsort((np.arange(len(at)), number, at, vessel))
             last = np.empty(len(at), np.int64)
-            last[order] = np.maximum.accumulate(np.where(order < len(known), order, -1))
+            # the last static message before, in the order; of another vessel, it is none
+            place = np.maximum.accumulate(np.where(order < len(known), np.arange(len(at)), -1))
+            found = np.where(place >= 0, order[place], -1)
+            last[order] = np.where((found >= 0) & (vessel[found] == vessel[order]), found, -1)
             valid = last[len(known):]
             for f in self.fields:
                 found = np.append(known[f].to_numpy(object), None)[valid]
@@ -339,10 +359,11 @@ class _LastStatic(StatefulProcessor):
                 seen[f] = found
             yield seen[self.columns]
         if static.any():
-            self._store(known, self._now(timerValues))
+            self._store(known, len(older), self._now(timerValues))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._store(self._older(), self._now(timerValues))
+        older = self._older()
+        self._store(self._order(older), len(older), self._now(timerValues))
         yield from ()
 
     def _now(self, timerValues) -> int:
@@ -353,18 +374,21 @@ class _LastStatic(StatefulProcessor):
 
 
 # rows reach the state as named tuples, which have no names with a leading underscore
-_AT, _ID, _STATIC, _PART, _VESSEL = "at__", "id__", "static__", "part__", "vessel__"
+_AT, _ID, _STATIC, _PART, _VESSEL, _GROUP = "at__", "id__", "static__", "part__", "vessel__", "group__"
 _NEVER = 2**62
+GROUPS = 64  # of vessels, whose changes share a state
 
 
 def enrich_static_stream(messages: DataFrame, order: Sequence[str] = (TIME, "message_id"), parts: int = 8,
                          keep_days: int | None = None, delay: str = "1 hour",
-                         fields: Sequence[str] = STATIC_FIELDS) -> DataFrame:
+                         fields: Sequence[str] = STATIC_FIELDS, groups: int = GROUPS) -> DataFrame:
     """Positions of a stream with the vessel's last earlier static message, from keyed state.
 
-    The state of a vessel holds a row per change of its static fields, so that a late position finds the
-    one that was valid at its time; a batch costs what its own rows and their vessels' changes
-    cost, whatever has come before. A vessel's positions are dealt to ``parts`` states, each of which gets all
+    The state holds a row per vessel and change of its static fields, so that a late position finds the
+    one that was valid at its time. Vessels are dealt to ``groups``, each of which is one state and one call of
+    Python a batch, whatever the number of vessels; a batch costs what its own rows and the changes of their
+    groups cost, and only new changes are written. More vessels than some hundred thousand want more
+    groups; a checkpoint keeps the number it began with. A group's positions are dealt to ``parts`` states, each of which gets all
     its static messages, so a vessel with a third of all rows is not one task. Nothing is forgotten
     unless ``keep_days`` are given: then rows more than ``delay`` late are left out, and a timer
     of event time removes changes that were replaced so many days before the watermark.
@@ -384,14 +408,15 @@ def enrich_static_stream(messages: DataFrame, order: Sequence[str] = (TIME, "mes
         _STATIC: static,
         _PART: F.explode(F.when(static, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
             F.array(F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int")))),
-        _VESSEL: F.col("mmsi").cast("string")})
+        _VESSEL: F.col("mmsi").cast("string"),
+        _GROUP: F.pmod(F.xxhash64(F.col("mmsi").cast("string")), F.lit(groups)).cast("int")})
     sent = [*(F.col(c).cast("string").alias(c) if c in whole else
               F.unix_micros(F.col(c).cast("timestamp")).cast("string").alias(c) if c in times else F.col(c)
-              for c in types), _AT, _ID, _STATIC, _PART, _VESSEL]
+              for c in types), _AT, _ID, _STATIC, _PART, _VESSEL, _GROUP]
     event_time = [] if keep_days is None else [F.col(order[0]).alias("event_time__")]
     out = ", ".join(f"`{c}` {'string' if c in whole or c in times else t.simpleString()}" for c, t in types.items())
     keep_us = None if keep_days is None else keep_days * 86_400_000_000
-    found = df.select(*sent, *event_time).groupBy(_VESSEL, _PART).transformWithStateInPandas(
+    found = df.select(*sent, *event_time).groupBy(_GROUP, _PART).transformWithStateInPandas(
         _LastStatic(fields, list(types), keep_us), out, "append", "None" if keep_days is None else "EventTime")
     return found.select(*(F.timestamp_micros(F.col(c).cast("long")).cast(t).alias(c) if c in times
                           else F.col(c).cast(t).alias(c) for c, t in types.items()))
