@@ -324,6 +324,22 @@ def test_a_hundred_thousand_terms_meet_by_equality(spark):
     assert {(r.id, r.term) for r in found.collect()} == {(i, f"term {k} x") for i in range(60) for k in (i * 7, i + 5)}
 
 
+def test_points_are_not_dealt_anew_to_find_their_box(spark):
+    rnd = random.Random(5)
+    boxes = [(i, f"B{i}", y := rnd.uniform(-20, 20), y + 3, x := rnd.uniform(-20, 20), x + 3) for i in range(30)]
+    pile = [(100 + i, f"P{i}", 50.01, 50.02 + i / 1000, 50.01, 50.02) for i in range(20)]  # beyond what a leaf may hold
+    points = [(i, rnd.uniform(-25, 25), rnd.uniform(-25, 25)) for i in range(300)]
+    points += [(1000 + i, 50.0 + i / 700, 50.015) for i in range(40)] + [(2000, None, 1.0), (2001, float("nan"), 50.0)]
+    df = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    schema = "priority int, label string, lat_min double, lat_max double, lon_min double, lon_max double"
+    for table in (boxes, boxes + pile):
+        found = geo.locate_grid(df, spark.createDataFrame(table, schema), leaf_boxes=4, levels=6)
+        assert {r.id: r.port_guess for r in found.collect()} == {i: next((
+            b[1] for b in table if lat is not None and b[2] <= lat <= b[3] and b[4] <= lon <= b[5]), "Unknown") for i, lat, lon in points}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Aggregate [_id" in plan) == (table != boxes)
+
+
 def test_plain_terms_are_looked_up_in_the_distinct_words(spark):
     texts = ["Pineapple apples", "apple", "an app-le", "Ä7x a7X", None, "über-Übergang", "apple apple " * 50]
     own = ["apple", "APPLE", "pp", "7x", "übergang", "p-l", "e a"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions.common import sql_text
-from ..session import scratch_path
+from ..session import scratch_path, stored
 
 
 def locate_bbox(df: DataFrame, boxes: Sequence[tuple] = tuple(dims.LOCATION_BOXES),
@@ -79,26 +79,50 @@ def locate_grid(df: DataFrame, boxes: DataFrame, size: float = 16.0, lat: str =
                 otherwise: str | None = "Unknown", leaf_boxes: int = 64, levels: int = 14) -> DataFrame:
     """``locate_bbox`` for box tables too long for an expression.
 
-    Points meet only the boxes of their own leaf (``box_leaves``) through an equi-join, once per level
-    that has leaves, and keep the first by priority, then label. No row holds more than one box. Points
-    without a place, or with one that is not a number, get ``otherwise``.
+    A point is in one leaf (``box_leaves``) at most. The boxes of a leaf come as one row, in order of priority, then
+    label, and each level that has leaves is joined by equality, so points are not multiplied, and not dealt anew
+    where the leaves are few. A leaf that even at the last level has many more than ``leaf_boxes`` keeps a row
+    per box, and its points meet them one by one: no row holds more than ``leaf_boxes`` and the one that covers the leaf.
+    Points without a place, or with one that is not a number, get ``otherwise``.
     """
     leaves = box_leaves(boxes, leaf_boxes, size, levels)
-    used = sorted(r.level for r in leaves.select("level").distinct().collect())  # levels + 1 at most
-    key = [F.struct(F.lit(n).alias("level"), F.floor(F.col(lat) * (2 ** n / size)).alias("y"),
-                    F.floor(F.col(lon) * (2 ** n / size)).alias("x")) for n in used or [0]]
-    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"),
-                     F.monotonically_increasing_id().alias("_id"), F.col(lat).alias("_lat"),
-                     F.col(lon).alias("_lon"), F.array(*key).alias("_leaves"))
-    rows = rows.withColumn("_leaf", F.explode("_leaves")).drop("_leaves")
-    at = leaves.select(F.struct("level", "y", "x").alias("_leaf"), "priority", "label", "lat_min", "lat_max",
-                       "lon_min", "lon_max")
+    cell = ["level", "y", "x"]
+    box = F.struct("priority", "label", "lat_min", "lat_max", "lon_min", "lon_max")
+    counts = leaves.groupBy(*cell).agg(F.count("*").alias("_n"))
+    few = F.col("_n") <= leaf_boxes + 1
+    packed = leaves.join(counts.where(few), cell).groupBy(*cell).agg(F.array_sort(F.collect_list(box)).alias("_boxes"))
+    packed = stored(packed.withColumn("_deep", F.lit(False)).unionByName(counts.where(~few).select(
+        *cell, F.lit(None).cast(packed.schema["_boxes"].dataType).alias("_boxes"), F.lit(True).alias("_deep"))), "box-leaves")
+    used = sorted(packed.groupBy("level").agg(F.max("_deep").alias("deep")).collect())  # levels + 1 at most
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(lat).alias("_lat"),
+                     F.col(lon).alias("_lon"))
+    at = [[F.floor(F.col(c) * (2 ** n / size)) for c in ("_lat", "_lon")] for n, _ in used]
+    for (n, _), (y, x) in zip(used, at, strict=True):
+        own = packed.where(F.col("level") == n).select(
+            F.col("y").alias("_y"), F.col("x").alias("_x"), F.col("_boxes").alias(f"_boxes{n}"), F.col("_deep").alias(f"_deep{n}"))
+        rows = rows.join(own, (y == F.col("_y")) & (x == F.col("_x")), "left").drop("_y", "_x")
+
+    def label(found: Column) -> Column:
+        return F.coalesce(found["label"], F.lit(otherwise)).alias(out)
+
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
+    if not used:
+        return rows.select(*kept, F.lit(otherwise).cast("string").alias(out))
+    of_leaf = F.coalesce(*(F.col(f"_boxes{n}") for n, _ in used))
+    first = F.get(F.filter(of_leaf, lambda b: F.col("_lat").between(b["lat_min"], b["lat_max"])
+                           & F.col("_lon").between(b["lon_min"], b["lon_max"])), F.lit(0))
+    deep = F.coalesce(*(F.col(f"_deep{n}") for n, _ in used), F.lit(False))
+    if not any(d for _, d in used):
+        return rows.select(*kept, label(first))
+    leaf = F.coalesce(*(F.when(F.col(f"_deep{n}"), F.struct(F.lit(n).alias("level"), y.alias("y"), x.alias("x")))
+                        for (n, _), (y, x) in zip(used, at, strict=True)))
+    piles = leaves.select(F.struct(*cell).alias("_leaf"), "priority", "label", "lat_min", "lat_max", "lon_min", "lon_max")
     holds = (F.col("_lat").between(F.col("lat_min"), F.col("lat_max"))
              & F.col("_lon").between(F.col("lon_min"), F.col("lon_max")))
-    found = rows.join(at, "_leaf", "left").groupBy("_id").agg(
-        F.any_value("_row").alias("_row"), F.min(F.when(holds, F.struct("priority", "label"))).alias("_first"))
-    kept = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != out]
-    return found.select(*kept, F.coalesce(F.col("_first.label"), F.lit(otherwise)).alias(out))
+    met = (rows.where(deep).select("_row", "_lat", "_lon", leaf.alias("_leaf"), F.monotonically_increasing_id().alias("_id"))
+           .join(piles, "_leaf", "left").groupBy("_id").agg(
+               F.any_value("_row").alias("_row"), F.min(F.when(holds, F.struct("priority", "label"))).alias("_first")))
+    return rows.where(~deep).select(*kept, label(first)).unionAll(met.select(*kept, label(F.col("_first"))))
 
 
 def is_strait(df: DataFrame, column: str = "port_guess", out: str = "is_strait",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import news
-from ..session import scratch_path
+from ..session import stored
 
 GRAM = 3  # characters that are looked up
 WORD = r"[\p{L}\p{N}]"
@@ -31,12 +31,6 @@ def _sized(text: Column, sizes: list[int]) -> Column:
     return F.explode(F.concat(*(F.coalesce(_grams(text, n), none) for n in sizes)))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def match_terms(texts: DataFrame, terms: DataFrame, key: str, text: str, term: str = "term",
                 whole_word: bool = False) -> DataFrame:
     """``key`` and ``term`` of every text that contains a term, each once; case does not count.
@@ -49,7 +43,7 @@ def match_terms(texts: DataFrame, terms: DataFrame, key: str, text: str, term: s
     """
     known = terms.select(F.lower(term).alias("_term")).where("length(_term) > 0").distinct().withColumns({
         "_plain": F.regexp_like("_term", F.lit(f"^{WORD}+$")), "_size": F.least(F.length("_term"), F.lit(GRAM))})
-    known = _stored(known, "terms")
+    known = stored(known, "terms")
     kinds = known.groupBy("_plain", "_size").agg(F.min(F.length("_term")).alias("least")).collect()  # 6 at most
     found = texts.select(F.col(key).alias("_key"), F.lower(text).alias("_text")).where("_text is not null")
     met = found.select("_key", F.lit("").alias("_term")).where(F.lit(False))
@@ -63,10 +57,10 @@ def match_terms(texts: DataFrame, terms: DataFrame, key: str, text: str, term: s
         if whole_word:
             held = plain.select(F.col("_term").alias("_word"), "_term")
         else:
-            own = _stored(words.select("_word").distinct(), "words")
+            own = stored(words.select("_word").distinct(), "words")
             held = _by_grams(own.select(F.col("_word").alias("_key"), F.col("_word").alias("_text")), plain, sizes,
                              False).select(F.col("_key").alias("_word"), "_term")
-            held = _stored(held, "words-of-terms")  # so that its size is known when the join is planned
+            held = stored(held, "words-of-terms")  # so that its size is known when the join is planned
         in_words = words.join(held, "_word").select("_key", "_term")
         met = in_words if len(kinds) == len(sizes) else met.unionAll(in_words)
     return met.select(F.col("_key").alias(key), F.col("_term").alias(term)).distinct()
