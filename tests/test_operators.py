@@ -340,6 +340,14 @@ def test_points_are_not_dealt_anew_to_find_their_box(spark):
         assert ("Aggregate [_id" in plan) == (table != boxes)
 
 
+@pytest.mark.parametrize("name", ["drop_all_null_columns", "quality_report"])
+def test_trade_rows_are_joined_once(spark, name):
+    """What passes over the rows several times reads them as they were written."""
+    from tradelane import registry
+    found = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_plain_terms_are_looked_up_in_the_distinct_words(spark):
     texts = ["Pineapple apples", "apple", "an app-le", "Ä7x a7X", None, "über-Übergang", "apple apple " * 50]
     own = ["apple", "APPLE", "pp", "7x", "übergang", "p-l", "e a"]

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import round_half_up
+from ..session import stored
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column],
@@ -180,7 +181,12 @@ def describe_stats(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Da
 
 
 def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: sizes and nulls before and after, outliers, coverage, value range."""
+    """One row: sizes and nulls before and after, outliers, coverage, value range.
+
+    ``after`` is stored, as its median takes passes of its own.
+    """
+    after = stored(after, "quality-rows")
+
     def nulls(df: DataFrame) -> Column:
         return sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
 

@@ -420,6 +420,7 @@ def _(s):
 
 @query("quality_report")
 def _(s):
+    s.settle_trade()
     after = trade.flag_outlier_grouped(s.trade_unique, k=1.5)
     return quality.quality_report(s.trade_rows, after)
 
