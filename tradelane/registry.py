@@ -124,7 +124,7 @@ def _(s):
 
 @query("drop_all_null_columns")
 def _(s):
-    return cleaning.drop_all_null_columns(s.trade_raw)
+    return cleaning.drop_all_null_columns(s.settle_trade().trade_raw)
 
 
 @query("drop_null_required")
